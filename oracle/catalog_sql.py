@@ -72,3 +72,43 @@ SQL["dedup_rejects"] = D.with_legacy(
     f"SELECT legacy_cst_id, email, kept_legacy_cst_id FROM (SELECT _src_key AS legacy_cst_id, email, "
     f"min(_src_key) OVER (PARTITION BY email) AS kept_legacy_cst_id FROM ({_cust_proj})) "
     f"WHERE legacy_cst_id <> kept_legacy_cst_id", "customers")
+
+# ---- profile ----------------------------------------------------------------
+for _t in ["customer", "part", "lineitem", "events", "documents"]:
+    SQL[f"profile_{_t}"] = D.profile_sql(_t, _t)
+for _t in ["customers", "products", "suppliers", "orders", "order_lines"]:
+    SQL[f"profile_legacy_{_t}"] = D.with_legacy(D.profile_sql(f"legacy_{_t}", _t), _t)
+
+SQL["date_census"] = D.with_legacy(
+    "SELECT column_name, date_iso, date_fr, date_us, date_compact, n_date_formats, mixed_dates FROM ("
+    + D.profile_sql("legacy_orders", "orders") + ") WHERE is_text", "orders")
+SQL["bool_encoding"] = D.with_legacy(
+    "SELECT table_name, column_name, bool_encoding FROM (" + D.profile_sql("legacy_products", "products")
+    + " UNION ALL " + D.profile_sql("legacy_suppliers", "suppliers") + ") WHERE bool_encoding IS NOT NULL",
+    "products", "suppliers")
+SQL["status_encoding"] = D.with_legacy(
+    "SELECT table_name, column_name, unique_count, status_encoding FROM (" + D.profile_sql("legacy_customers", "customers")
+    + " UNION ALL " + D.profile_sql("legacy_orders", "orders") + ") WHERE status_encoding IS NOT NULL",
+    "customers", "orders")
+
+
+def _dup_rows(rel, name, cols):
+    c = ", ".join(cols)
+    return (f"SELECT '{name}' AS table_name, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS dup_rows, "
+            f"CAST(count(*) AS BIGINT) AS distinct_rows FROM (SELECT {c}, count(*) AS n FROM {rel} GROUP BY ALL)")
+
+
+SQL["dup_rows_lineitem"] = _dup_rows("lineitem", "lineitem", [c for c, _ in D.SCHEMAS["lineitem"]])
+SQL["dup_rows_documents"] = _dup_rows("documents", "documents", ["text", "lang", "source", "n_chars"])
+
+
+def _dup_keys(rel, name, cols):
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{c}' AS column_name, CAST(count({c}) - count(DISTINCT {c}) AS BIGINT) AS duplicates, "
+        f"CAST(count(DISTINCT {c}) AS BIGINT) AS distinct_values FROM {rel}" for c in cols)
+
+
+SQL["dup_keys"] = D.with_legacy(
+    _dup_keys("documents", "documents", ["doc_id", "text"]) + " UNION ALL "
+    + _dup_keys("legacy_customers", "customers", ["cst_id", "cst_email"]) + " UNION ALL "
+    + _dup_keys("legacy_products", "products", ["prod_ref"]), "customers", "products")

@@ -229,3 +229,104 @@ SQL_TRANSFORMS = {
     "quantity": lambda c: f"CAST(trunc({clip_lower(f'coalesce({num(c)}, 1.0)', '1.0')}) AS BIGINT)",
     "discount": lambda c: f"CAST({clip(f'coalesce({num(c)}, 0.0)', '0.0', '100.0')} AS DOUBLE)",
 }
+
+
+# ---- schemas (Spark simple type names) of the profiled relations -----------
+
+SCHEMAS = {
+    "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
+                 ("c_acctbal", "double"), ("c_mktsegment", "string")],
+    "part": [("p_partkey", "bigint"), ("p_name", "string"), ("p_brand", "string"), ("p_type", "string"),
+             ("p_size", "int"), ("p_retailprice", "double")],
+    "lineitem": [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"),
+                 ("l_linenumber", "int"), ("l_quantity", "double"), ("l_extendedprice", "double"),
+                 ("l_discount", "double"), ("l_tax", "double"), ("l_returnflag", "string"),
+                 ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz")],
+    "events": [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"),
+               ("event_type", "string"), ("value", "double"), ("props", "string")],
+    "documents": [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"),
+                  ("n_chars", "bigint")],
+    "legacy_customers": [("cst_id", "bigint")] + [(c, "string") for c in (
+        "cst_fname", "cst_lname", "cst_company", "cst_email", "cst_phone", "cst_country", "cst_city",
+        "cst_address", "cst_status", "cst_segment", "cst_created_dt", "cst_notes")],
+    "legacy_products": [("prod_id", "bigint"), ("prod_ref", "string"), ("prod_name", "string"),
+                        ("prod_category", "string"), ("prod_price", "double"), ("prod_currency", "string"),
+                        ("prod_stock", "bigint"), ("prod_unit", "string"), ("prod_active", "string"),
+                        ("prod_created", "string")],
+    "legacy_suppliers": [("sup_id", "bigint"), ("sup_name", "string"), ("sup_country", "string"),
+                         ("sup_contact", "string"), ("sup_email", "string"), ("sup_phone", "string"),
+                         ("sup_rating", "double"), ("sup_active", "string"), ("sup_since", "string")],
+    "legacy_orders": [("ord_id", "bigint"), ("ord_ref", "string"), ("ord_cst_id", "bigint"),
+                      ("ord_date", "string"), ("ord_exp_deliver", "string"), ("ord_delivered", "string"),
+                      ("ord_status", "string"), ("ord_total_ht", "double"), ("ord_tva", "double"),
+                      ("ord_channel", "string"), ("ord_notes", "string")],
+    "legacy_order_lines": [("line_id", "bigint"), ("line_ord_id", "bigint"), ("line_prod_id", "bigint"),
+                           ("line_qty", "double"), ("line_unit_price", "double"), ("line_discount", "double"),
+                           ("line_total", "double")],
+}
+
+NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean")
+BOOL_VALUES = ["1", "0", "Y", "N", "YES", "NO", "TRUE", "FALSE", "A", "I", "ACTIVE", "INACTIVE"]
+
+
+def ratio(n: str, d: str, k: int) -> str:
+    sc = 10 ** k
+    return f"(CASE WHEN ({d}) > 0 THEN ((2 * {sc} * ({n}) + ({d})) // (2 * ({d}))) / {float(sc)} ELSE 0.0 END)"
+
+
+def rhu(x: str, k: int) -> str:
+    sc = float(10 ** k)
+    return f"(floor(({x}) * {sc} + 0.5) / {sc})"
+
+
+def _clean(c: str, t: str) -> str:
+    return f"(CASE WHEN isnan({c}) THEN NULL ELSE {c} END)" if t in ("double", "float") else c
+
+
+def profile_column_sql(rel: str, table_name: str, i: int, c: str, t: str) -> str:
+    x = _clean(c, t)
+    text = t == "string"
+    numeric = t in NUMERIC_TYPES
+    nn = f"count({x})"
+    rows = "count(*)"
+    uniq = f"count(DISTINCT {x})"
+    dnull, bnull = "CAST(NULL AS DOUBLE)", "CAST(NULL AS BIGINT)"
+    if numeric:
+        v = f"CAST({x} AS DOUBLE)"
+        mn, mx, mean, neg = (f"min({v})", f"max({v})", rhu(f"avg({v})", 2),
+                             f"CAST(count_if({v} < 0) AS BIGINT)")
+    else:
+        mn = mx = mean = dnull
+        neg = "CAST(0 AS BIGINT)"
+    if text:
+        avg_len = f"coalesce({rhu(f'avg(length({x}))', 1)}, 0.0)"
+        cnt = [f"CAST(count_if(regexp_matches({x}, '{rx}')) AS BIGINT)" for _, rx, _ in N.DATE_LAYOUTS]
+        nfmt = " + ".join(f"CAST({cc} > 0 AS BIGINT)" for cc in cnt)
+        mixed = f"({nfmt}) > 1"
+        all_bool = f"(count({x}) > 0 AND bool_and(upper({x}) IN {in_list(BOOL_VALUES)}))"
+        bool_enc = f"CASE WHEN {all_bool} THEN string_agg(DISTINCT upper({x}), ',' ORDER BY upper({x})) END"
+        status_enc = (f"CASE WHEN NOT coalesce({all_bool}, FALSE) AND {uniq} BETWEEN 2 AND 15 "
+                      f"THEN string_agg(DISTINCT {x}, ',' ORDER BY {x}) END")
+        nfmt = f"({nfmt})"
+    else:
+        avg_len = dnull
+        cnt = ["CAST(0 AS BIGINT)"] * 4
+        nfmt = "CAST(0 AS BIGINT)"
+        mixed = "FALSE"
+        bool_enc = status_enc = "CAST(NULL AS VARCHAR)"
+    return f"""SELECT '{table_name}' AS table_name, '{c}' AS column_name, {i} AS ordinal, '{t}' AS dtype,
+  {str(text).upper()} AS is_text, {str(numeric).upper()} AS is_numeric,
+  CAST({rows} AS BIGINT) AS row_count, CAST({rows} - {nn} AS BIGINT) AS null_count,
+  {ratio(f"{rows} - {nn}", rows, 4)} AS null_rate,
+  CAST({uniq} AS BIGINT) AS unique_count,
+  {ratio(uniq, rows, 4)} AS unique_rate,
+  CAST({nn} - {uniq} AS BIGINT) AS dup_count,
+  {mn} AS min, {mx} AS max, {mean} AS mean, {neg} AS negative_count, {avg_len} AS avg_length,
+  {cnt[0]} AS date_iso, {cnt[1]} AS date_fr, {cnt[2]} AS date_us, {cnt[3]} AS date_compact,
+  {nfmt} AS n_date_formats, {mixed} AS mixed_dates, {bool_enc} AS bool_encoding, {status_enc} AS status_encoding
+FROM {rel}"""
+
+
+def profile_sql(rel: str, table_name: str) -> str:
+    parts = [profile_column_sql(rel, table_name, i, c, t) for i, (c, t) in enumerate(SCHEMAS[rel])]
+    return "\nUNION ALL\n".join(parts)

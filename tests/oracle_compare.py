@@ -25,13 +25,15 @@ def _norm(v):
         return None
     try:
         import pandas as pd
-        if v is pd.NaT:
+        if not isinstance(v, (list, tuple, dict)) and pd.isna(v):
             return None
-    except Exception:
+    except (TypeError, ValueError):
         pass
     if isinstance(v, float):
         if math.isnan(v):
             return None
+        if v.is_integer() and abs(v) < 2**53:
+            return int(v)
         return float(f"{v:.9g}")
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         try:

@@ -132,3 +132,74 @@ def dedup_rejects(spark, sf_dir):
     return (T.dedup_rejects(c.select("_src_key", "email"), ["email"], "_src_key")
             .select(F.col("_src_key").alias("legacy_cst_id"), "email",
                     F.col("kept__src_key").alias("kept_legacy_cst_id")))
+
+
+# ---- profile (A-*) and encoding detection (D-1..D-4) -------------------------
+
+from tidyload.operators import profile as P  # noqa: E402
+from tidyload.sources.tables import read_table  # noqa: E402
+
+PROFILED_TEST_TABLES = ["customer", "part", "lineitem", "events", "documents"]
+
+
+def _profile_test(table):
+    def q(spark, sf_dir):
+        return P.profile(read_table(spark, sf_dir, table), table)
+    return q
+
+
+def _profile_legacy(table):
+    def q(spark, sf_dir):
+        return P.profile(_legacy(spark, sf_dir, table), table)
+    return q
+
+
+for _t in PROFILED_TEST_TABLES:
+    register(f"profile_{_t}")(_profile_test(_t))
+for _t in ["customers", "products", "suppliers", "orders", "order_lines"]:
+    register(f"profile_legacy_{_t}")(_profile_legacy(_t))
+
+
+@register("date_census")
+def date_census(spark, sf_dir):
+    """D-1/D-2 over every text column of the legacy orders."""
+    p = P.profile(_legacy(spark, sf_dir, "orders"), "orders")
+    return p.where("is_text").select("column_name", "date_iso", "date_fr", "date_us", "date_compact",
+                                     "n_date_formats", "mixed_dates")
+
+
+@register("bool_encoding")
+def bool_encoding(spark, sf_dir):
+    """D-3 over the legacy products and suppliers."""
+    a = P.profile(_legacy(spark, sf_dir, "products"), "products")
+    b = P.profile(_legacy(spark, sf_dir, "suppliers"), "suppliers")
+    return a.unionByName(b).where(F.col("bool_encoding").isNotNull()).select(
+        "table_name", "column_name", "bool_encoding")
+
+
+@register("status_encoding")
+def status_encoding(spark, sf_dir):
+    """D-4 / A-11 over the legacy customers and orders."""
+    a = P.profile(_legacy(spark, sf_dir, "customers"), "customers")
+    b = P.profile(_legacy(spark, sf_dir, "orders"), "orders")
+    return a.unionByName(b).where(F.col("status_encoding").isNotNull()).select(
+        "table_name", "column_name", "unique_count", "status_encoding")
+
+
+@register("dup_rows_lineitem")
+def dup_rows_lineitem(spark, sf_dir):
+    return P.dup_rows(read_table(spark, sf_dir, "lineitem"), "lineitem")
+
+
+@register("dup_rows_documents")
+def dup_rows_documents(spark, sf_dir):
+    return P.dup_rows(read_table(spark, sf_dir, "documents").drop("doc_id"), "documents")
+
+
+@register("dup_keys")
+def dup_keys(spark, sf_dir):
+    """A-9 on documents text (exact copies) and legacy keys."""
+    d = P.dup_keys(read_table(spark, sf_dir, "documents"), "documents", ["doc_id", "text"])
+    c = P.dup_keys(_legacy(spark, sf_dir, "customers"), "customers", ["cst_id", "cst_email"])
+    p = P.dup_keys(_legacy(spark, sf_dir, "products"), "products", ["prod_ref"])
+    return d.unionByName(c).unionByName(p)
