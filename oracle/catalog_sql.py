@@ -112,3 +112,24 @@ SQL["dup_keys"] = D.with_legacy(
     _dup_keys("documents", "documents", ["doc_id", "text"]) + " UNION ALL "
     + _dup_keys("legacy_customers", "customers", ["cst_id", "cst_email"]) + " UNION ALL "
     + _dup_keys("legacy_products", "products", ["prod_ref"]), "customers", "products")
+
+# ---- quality ------------------------------------------------------------------
+from tidyload.plans.specs import CRITICAL_COLUMNS  # noqa: E402
+
+_QT = ["customers", "products", "orders", "order_lines", "suppliers"]
+for _t in _QT:
+    SQL[f"anomalies_{_t}"] = D.with_ctes([_t], D.quality_ctes(_t, CRITICAL_COLUMNS[_t]), f"SELECT * FROM an_{_t}")
+    SQL[f"rule_results_{_t}"] = D.with_ctes([_t], D.quality_ctes(_t, CRITICAL_COLUMNS[_t]), f"SELECT * FROM rr_{_t}")
+
+_all_q = [c for t in _QT for c in D.quality_ctes(t, CRITICAL_COLUMNS[t])]
+_rr_all = " UNION ALL ".join(f"SELECT * FROM rr_{t}" for t in _QT)
+_an_all = " UNION ALL ".join(f"SELECT * FROM an_{t}" for t in _QT)
+SQL["quality_score"] = D.with_ctes(_QT, _all_q + [("rr", _rr_all)], D.score_sql("rr"))
+SQL["score_by_severity"] = D.with_ctes(_QT, _all_q + [("rr", _rr_all)], """
+SELECT table_name, severity, CAST(count(*) AS BIGINT) AS total, CAST(count_if(passed) AS BIGINT) AS passed,
+  ((2 * 1000 * count_if(passed) + count(*)) // (2 * count(*))) / 1000.0 AS score
+FROM rr GROUP BY table_name, severity""")
+SQL["quality_summary"] = D.with_ctes(_QT, _all_q + [("rr", _rr_all), ("an", _an_all), ("sc", D.score_sql("rr")),
+    ("per", "SELECT sc.table_name, score, approved, CAST(coalesce(n, 0) AS BIGINT) AS n_anomalies FROM sc "
+            "LEFT JOIN (SELECT table_name, count(*) AS n FROM an GROUP BY table_name) a ON sc.table_name = a.table_name")],
+    "SELECT * FROM per UNION ALL SELECT 'ALL', CAST(NULL AS DOUBLE), bool_and(approved), CAST(sum(n_anomalies) AS BIGINT) FROM per")

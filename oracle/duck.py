@@ -330,3 +330,94 @@ FROM {rel}"""
 def profile_sql(rel: str, table_name: str) -> str:
     parts = [profile_column_sql(rel, table_name, i, c, t) for i, (c, t) in enumerate(SCHEMAS[rel])]
     return "\nUNION ALL\n".join(parts)
+
+
+# ---- quality (Q, G) over a profile relation p and a dup-rows relation dr ----
+
+def _name_has(words) -> str:
+    return "(" + " OR ".join(f"contains(lower(column_name), '{w}')" for w in words) + ")"
+
+
+def _crit(critical) -> str:
+    return f"column_name IN {in_list(critical)}" if critical else "FALSE"
+
+
+def anomalies_sql(critical) -> str:
+    crit = _crit(critical)
+    o = "CAST(ordinal AS BIGINT) * 10"
+
+    def f(cond, k, typ, sev, metric):
+        return (f"SELECT table_name, {o} + {k} AS seq, '{typ}' AS anomaly_type, '{sev}' AS severity, column_name, "
+                f"CAST({metric} AS DOUBLE) AS metric FROM p WHERE {cond}")
+    parts = [
+        f(f"{crit} AND null_count > 0", 1, "CRITICAL_NULLS", "HIGH", "null_count"),
+        f(f"NOT ({crit}) AND null_rate > 0.15", 1, "HIGH_NULL_RATE", "MEDIUM", "null_rate"),
+        f("mixed_dates", 2, "MIXED_DATE_FORMATS", "HIGH", "n_date_formats"),
+        f("bool_encoding IS NOT NULL", 3, "BOOLEAN_ENCODING", "MEDIUM", "unique_count"),
+        f("status_encoding IS NOT NULL AND unique_count > 3", 4, "STATUS_ENCODING", "HIGH", "unique_count"),
+        f("negative_count > 0", 5, "NEGATIVE_VALUES", "MEDIUM", "negative_count"),
+        f(f"{_name_has(['email', 'ref', 'mail'])} AND dup_count > 0", 100000, "DUPLICATE_KEY", "HIGH", "dup_count"),
+        ("SELECT table_name, CAST(99999 AS BIGINT) AS seq, 'DUPLICATE_ROWS' AS anomaly_type, 'HIGH' AS severity, "
+         "'ALL' AS column_name, CAST(dup_rows AS DOUBLE) AS metric FROM dr WHERE dup_rows > 0"),
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
+def rules_sql(critical) -> str:
+    crit = _crit(critical)
+    o = "CAST(ordinal AS BIGINT) * 10"
+    nd, ns = "CAST(NULL AS DOUBLE)", "CAST(NULL AS VARCHAR)"
+    thr = rhu("least(null_rate * 1.2, 0.3)", 3)
+
+    def r(cond, k, suffix, typ, sev, w, threshold, min_value, valid_set, passed, observed, error=ns):
+        return (f"SELECT table_name, {o} + {k} AS seq, column_name || '__{suffix}' AS rule_id, column_name, "
+                f"'{typ}' AS rule_type, '{sev}' AS severity, CAST({threshold} AS DOUBLE) AS threshold, "
+                f"CAST({min_value} AS DOUBLE) AS min_value, {valid_set} AS valid_set, {passed} AS passed, "
+                f"CAST({observed} AS DOUBLE) AS observed, {error} AS error, {w} AS weight FROM p WHERE {cond}")
+    parts = [
+        r(crit, 1, "not_null", "expect_column_values_to_not_be_null", "CRITICAL", "3.0", "1.0", nd, ns,
+          "null_count = 0", "null_count"),
+        r(f"NOT ({crit}) AND null_rate > 0", 1, "null_rate", "expect_column_values_null_rate_below", "WARNING",
+          "1.0", thr, nd, ns, f"null_count / row_count <= {thr}", "null_count / row_count"),
+        r("status_encoding IS NOT NULL", 3, "valid_values", "expect_column_values_to_be_in_set", "HIGH", "2.0",
+          nd, nd, "status_encoding", "TRUE", "0.0"),
+        r(f"NOT is_text AND NOT ({crit})", 4, "non_negative", "expect_column_values_to_be_between", "HIGH", "2.0",
+          nd, "0.0", ns, "is_numeric AND negative_count = 0", "CASE WHEN is_numeric THEN negative_count END",
+          "CASE WHEN NOT is_numeric THEN 'type error: cannot compare ' || dtype || ' with 0' END"),
+        r(f"unique_rate > 0.98 AND null_rate < 0.01 AND {_name_has(['id', 'ref', 'email', 'code'])}", 5,
+          "unique", "expect_column_values_to_be_unique", "HIGH", "2.0", nd, nd, ns, "dup_count = 0", "dup_count"),
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
+def dup_rows_sql(rel: str, name: str, cols) -> str:
+    c = ", ".join(cols)
+    return (f"SELECT '{name}' AS table_name, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS dup_rows, "
+            f"CAST(count(*) AS BIGINT) AS distinct_rows FROM (SELECT {c}, count(*) AS n FROM {rel} GROUP BY ALL)")
+
+
+def score_sql(rr: str) -> str:
+    tw, pw = "CAST(sum(weight) AS BIGINT)", "CAST(sum(CASE WHEN passed THEN weight ELSE 0.0 END) AS BIGINT)"
+    s = f"(CASE WHEN total_weight > 0 THEN ((2 * 10000 * passed_weight + total_weight) // (2 * total_weight)) / 10000.0 ELSE 1.0 END)"
+    return (f"SELECT table_name, n_rules, n_passed, total_weight, passed_weight, {s} AS score, {s} >= 0.8 AS approved "
+            f"FROM (SELECT table_name, {tw} AS total_weight, {pw} AS passed_weight, CAST(count(*) AS BIGINT) AS n_rules, "
+            f"CAST(count_if(passed) AS BIGINT) AS n_passed FROM {rr} GROUP BY table_name)")
+
+
+def with_ctes(legacy_tables, ctes, body: str) -> str:
+    """WITH legacy views + extra (name, sql) CTEs, then ``body``."""
+    parts = [f"legacy_{t} AS ({LEGACY_SQL[t]})" for t in legacy_tables]
+    parts += [f"{name} AS ({sql})" for name, sql in ctes]
+    return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+def quality_ctes(table: str, critical):
+    """CTEs p_<t>, dr_<t>, an_<t>, rr_<t> for one legacy table."""
+    rel = f"legacy_{table}"
+    cols = [c for c, _ in SCHEMAS[rel]]
+    return [
+        (f"p_{table}", profile_sql(rel, table)),
+        (f"dr_{table}", dup_rows_sql(rel, table, cols)),
+        (f"an_{table}", anomalies_sql(critical).replace(" FROM p ", f" FROM p_{table} ").replace(" FROM dr ", f" FROM dr_{table} ")),
+        (f"rr_{table}", rules_sql(critical).replace(" FROM p ", f" FROM p_{table} ")),
+    ]

@@ -3,14 +3,15 @@
 Plan shape, whatever the table width:
 
 * pass 1 — ONE global aggregate with every cheap per-column statistic (null
-  count, min/max/mean, negatives, mean text length, date-layout counts).  Map
-  side partial aggregation, a single-row final: no data shuffle.
+  count, min/max/mean, negatives, mean text length, date-layout counts and an
+  HLL distinct estimate).  Map-side partial aggregation, a single-row final;
+  the result is per-column metadata (one row per column) kept on the driver.
 * pass 2 — ONE shuffle keyed by (column, value): the table is unpivoted to
   (column, value) pairs, partially aggregated map-side (so hot values collapse
-  before the exchange), then reduced per column to distinct count, duplicate
-  count, encoding flags and the (at most 15-value) value set.  Value sets are
-  collected only for columns already known to have <= 15 distinct values, so
-  no task ever gathers an unbounded list.
+  before the exchange), then reduced per column in ONE aggregate to exact
+  distinct count, duplicate count, encoding flags and the value set.  Values
+  are collected only for columns whose pass-1 estimate is tiny, so no task
+  ever gathers an unbounded list.
 
 Long texts are keyed by their SHA-256 so whole documents are never shuffled.
 """
@@ -59,13 +60,26 @@ def clean(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _stats_pass(df: DataFrame, fields) -> DataFrame:
-    """Pass 1: one aggregate row -> unpivoted to one row per column."""
+# A column is a value-set candidate when its approximate distinct count is at
+# most this (HLL++ is near exact at such small cardinalities); only candidate
+# columns have their values collected, which bounds every collected list.
+SET_CANDIDATE_MAX = 100
+
+STATS_SCHEMA = ("column_name string, ordinal int, dtype string, is_text boolean, is_numeric boolean, "
+                "row_count bigint, null_count bigint, min double, max double, mean_raw double, "
+                "negative_count bigint, len_raw double, date_iso bigint, date_fr bigint, date_us bigint, "
+                "date_compact bigint, approx_distinct bigint")
+
+
+def _stats_pass(df: DataFrame, fields):
+    """Pass 1: one global aggregate (partial per task, single-row final),
+    returned as per-column metadata rows on the driver (one row per column)."""
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, f in enumerate(fields):
         c = F.col(f.name)
         p = f"_{i}_"
         aggs.append(F.count(c).alias(p + "nn"))
+        aggs.append(F.approx_count_distinct(c).alias(p + "approx"))
         if is_numeric(f.dataType):
             v = c.cast("double")
             aggs += [F.min(v).alias(p + "min"), F.max(v).alias(p + "max"),
@@ -76,46 +90,39 @@ def _stats_pass(df: DataFrame, fields) -> DataFrame:
             for label, regex in (("iso", N.DATE_LAYOUTS[0][1]), ("fr", N.DATE_LAYOUTS[1][1]),
                                  ("us", N.DATE_LAYOUTS[2][1]), ("compact", N.DATE_LAYOUTS[3][1])):
                 aggs.append(F.count_if(s.rlike(regex)).alias(p + label))
-    one = df.agg(*aggs)
+    row = df.agg(*aggs).collect()[0].asDict()
 
-    def g(i, name, typ):
-        n = f"_{i}_{name}"
-        return F.col(n).cast(typ) if n in one.columns else F.lit(None).cast(typ)
+    def g(i, name, default=None):
+        return row.get(f"_{i}_{name}", default)
 
-    rows = []
+    out = []
     for i, f in enumerate(fields):
-        rows.append(F.struct(
-            F.lit(f.name).alias("column_name"),
-            F.lit(i).alias("ordinal"),
-            F.lit(f.dataType.simpleString()).alias("dtype"),
-            F.lit(is_text(f.dataType)).alias("is_text"),
-            F.lit(is_numeric(f.dataType)).alias("is_numeric"),
-            F.col("_rows").alias("row_count"),
-            (F.col("_rows") - F.col(f"_{i}_nn")).alias("null_count"),
-            g(i, "min", "double").alias("min"),
-            g(i, "max", "double").alias("max"),
-            g(i, "mean", "double").alias("mean_raw"),
-            F.coalesce(g(i, "neg", "bigint"), F.lit(0).cast("bigint")).alias("negative_count"),
-            g(i, "len", "double").alias("len_raw"),
-            F.coalesce(g(i, "iso", "bigint"), F.lit(0).cast("bigint")).alias("date_iso"),
-            F.coalesce(g(i, "fr", "bigint"), F.lit(0).cast("bigint")).alias("date_fr"),
-            F.coalesce(g(i, "us", "bigint"), F.lit(0).cast("bigint")).alias("date_us"),
-            F.coalesce(g(i, "compact", "bigint"), F.lit(0).cast("bigint")).alias("date_compact"),
+        out.append((
+            f.name, i, f.dataType.simpleString(), is_text(f.dataType), is_numeric(f.dataType),
+            row["_rows"], row["_rows"] - row[f"_{i}_nn"],
+            g(i, "min"), g(i, "max"), g(i, "mean"), g(i, "neg", 0), g(i, "len"),
+            g(i, "iso", 0), g(i, "fr", 0), g(i, "us", 0), g(i, "compact", 0), g(i, "approx", 0),
         ))
-    return one.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
+    return out
 
 
-def value_key(c) -> "F.Column":
-    """Distinctness key of a value as text; long texts by SHA-256 digest."""
+def value_key(c, text: bool = True) -> "F.Column":
+    """Distinctness key of a value as text; long texts (by byte length, O(1))
+    by their SHA-256 digest."""
     s = F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
-    return F.when(F.length(s) > HASH_LONGER_THAN, F.concat(F.lit("#sha256:"), F.sha2(s, 256))).otherwise(s)
+    if not text:
+        return s
+    return F.when(F.octet_length(s) > HASH_LONGER_THAN,
+                  F.concat(F.lit("#sha256:"), F.sha2(s, 256))).otherwise(s)
 
 
 def value_counts(df: DataFrame, columns=None) -> DataFrame:
     """(column_name, value, n) for every non-null value of every column: the
     unpivot + group-by that all distinct/duplicate/value-set figures share."""
     columns = columns or df.columns
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), value_key(c).alias("value"))
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"),
+                               value_key(c, is_text(types[c])).alias("value"))
                       for c in columns])
     return (df.select(F.explode(pairs).alias("p"))
             .where(F.col("p.value").isNotNull())
@@ -123,37 +130,38 @@ def value_counts(df: DataFrame, columns=None) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def _distinct_pass(vc: DataFrame) -> DataFrame:
-    per_col = vc.groupBy("column_name").agg(
+def _distinct_pass(vc: DataFrame, candidates) -> DataFrame:
+    """Pass 2 reduction: one aggregate per column over the value counts.
+    Values are collected only for the candidate columns (bounded lists)."""
+    cand = F.col("column_name").isin(list(candidates)) if candidates else F.lit(False)
+    return vc.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("unique_count"),
         (F.sum("n") - F.count(F.lit(1))).alias("dup_count"),
         F.bool_and(F.upper("value").isin(BOOL_VALUES)).alias("_all_bool"),
+        F.array_sort(F.collect_list(F.when(cand, F.col("value")))).alias("_values"),
+        F.array_sort(F.collect_set(F.when(cand, F.upper("value")))).alias("_upper_values"),
     )
-    small = per_col.where(F.col("unique_count") <= STATUS_MAX_VALUES).select("column_name")
-    sets = (vc.join(F.broadcast(small), "column_name", "left_semi")
-            .groupBy("column_name")
-            .agg(F.array_sort(F.collect_list("value")).alias("_values"),
-                 F.array_sort(F.collect_set(F.upper("value"))).alias("_upper_values")))
-    return per_col.join(sets, "column_name", "left")
 
 
 def profile(df: DataFrame, table_name: str) -> DataFrame:
     """Long-format profile, one row per column (see module doc for the plan)."""
     df = clean(df)
+    spark = df.sparkSession
     fields = df.schema.fields
-    text_cols = {f.name for f in fields if is_text(f.dataType)}
-    stats = _stats_pass(df, fields)
-    dist = _distinct_pass(value_counts(df))
+    stats_rows = _stats_pass(df, fields)
+    candidates = [r[0] for r in stats_rows if r[16] is not None and r[16] <= SET_CANDIDATE_MAX]
+    stats = spark.createDataFrame(stats_rows, STATS_SCHEMA)
+    dist = _distinct_pass(value_counts(df), candidates)
     rows = F.col("row_count")
-    n_formats = sum((F.coalesce(F.col(c), F.lit(0)) > 0).cast("int")
+    n_formats = sum((F.col(c) > 0).cast("int")
                     for c in ("date_iso", "date_fr", "date_us", "date_compact"))
-    text = F.col("column_name").isin(list(text_cols)) if text_cols else F.lit(False)
+    text = F.col("is_text")
     bool_enc = F.when(text & F.coalesce(F.col("_all_bool"), F.lit(False)),
                       F.array_join(F.col("_upper_values"), ","))
     uniq = F.coalesce(F.col("unique_count"), F.lit(0)).cast("bigint")
     status_enc = F.when(text & bool_enc.isNull() & (uniq >= STATUS_MIN_VALUES) & (uniq <= STATUS_MAX_VALUES),
                         F.array_join(F.col("_values"), ","))
-    return stats.join(F.broadcast(dist), "column_name", "left").select(
+    return F.broadcast(stats).join(dist, "column_name", "left").select(
         F.lit(table_name).alias("table_name"),
         "column_name", "ordinal", "dtype", "is_text", "is_numeric", "row_count", "null_count",
         ratio("null_count", rows, 4).alias("null_rate"),

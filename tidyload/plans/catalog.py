@@ -203,3 +203,59 @@ def dup_keys(spark, sf_dir):
     c = P.dup_keys(_legacy(spark, sf_dir, "customers"), "customers", ["cst_id", "cst_email"])
     p = P.dup_keys(_legacy(spark, sf_dir, "products"), "products", ["prod_ref"])
     return d.unionByName(c).unionByName(p)
+
+
+# ---- quality (Q-*, G-*) -------------------------------------------------------
+
+from functools import reduce as _reduce  # noqa: E402
+
+from pyspark.sql import DataFrame as _DF  # noqa: E402
+
+from tidyload.operators import quality as Q  # noqa: E402
+
+LEGACY_ORDER = ["customers", "products", "orders", "order_lines", "suppliers"]
+
+
+def _assess(spark, sf_dir, table):
+    return Q.assess(_legacy(spark, sf_dir, table), table)
+
+
+def _anomalies(table):
+    def q(spark, sf_dir):
+        return _assess(spark, sf_dir, table)[1]
+    return q
+
+
+def _rules(table):
+    def q(spark, sf_dir):
+        return _assess(spark, sf_dir, table)[2]
+    return q
+
+
+for _t in LEGACY_ORDER:
+    register(f"anomalies_{_t}")(_anomalies(_t))
+    register(f"rule_results_{_t}")(_rules(_t))
+
+
+def _all_rules(spark, sf_dir):
+    return _reduce(_DF.unionByName, [_assess(spark, sf_dir, t)[2] for t in LEGACY_ORDER])
+
+
+@register("quality_score")
+def quality_score(spark, sf_dir):
+    """G-7 + G-9 for the five legacy tables."""
+    return Q.score(_all_rules(spark, sf_dir))
+
+
+@register("score_by_severity")
+def score_by_severity(spark, sf_dir):
+    return Q.score_by_severity(_all_rules(spark, sf_dir))
+
+
+@register("quality_summary")
+def quality_summary(spark, sf_dir):
+    """G-10: per-table score, gate and number of findings, plus the ALL row."""
+    assessed = [_assess(spark, sf_dir, t) for t in LEGACY_ORDER]
+    rr = _reduce(_DF.unionByName, [a[2] for a in assessed])
+    an = _reduce(_DF.unionByName, [a[1] for a in assessed])
+    return Q.quality_summary(Q.score(rr), an)

@@ -19,10 +19,27 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
-    """S-1: parquet scan; selecting ``columns`` here lets the scan prune them."""
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None,
+               balance: bool = True) -> DataFrame:
+    """S-1: parquet scan; selecting ``columns`` here lets the scan prune them.
+
+    A file written as one row group scans as ONE task, whatever the cluster
+    size.  With ``balance`` such an under-split scan is spread round-robin over
+    the default parallelism so the CPU-heavy projections that follow run on all
+    cores.  A large input already has at least that many splits, so at scale
+    this adds nothing to the plan.
+    """
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    return balanced(df) if balance else df
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
