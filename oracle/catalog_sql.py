@@ -133,3 +133,246 @@ SQL["quality_summary"] = D.with_ctes(_QT, _all_q + [("rr", _rr_all), ("an", _an_
     ("per", "SELECT sc.table_name, score, approved, CAST(coalesce(n, 0) AS BIGINT) AS n_anomalies FROM sc "
             "LEFT JOIN (SELECT table_name, count(*) AS n FROM an GROUP BY table_name) a ON sc.table_name = a.table_name")],
     "SELECT * FROM per UNION ALL SELECT 'ALL', CAST(NULL AS DOUBLE), bool_and(approved), CAST(sum(n_anomalies) AS BIGINT) FROM per")
+
+# ---- migrated tables as CTEs ----------------------------------------------------
+from tidyload.operators import constraints as CN  # noqa: E402
+from tidyload.sources import tables as TB  # noqa: E402
+
+MIG = ["customers", "products", "suppliers", "orders", "order_lines"]
+MIG_SCHEMAS = {
+    "customers": [("legacy_cst_id", "bigint"), ("first_name", "string"), ("last_name", "string"),
+                  ("company_name", "string"), ("email", "string"), ("phone", "string"),
+                  ("country_code", "string"), ("city", "string"), ("address", "string"),
+                  ("segment", "string"), ("status", "string"), ("is_company", "int"),
+                  ("created_at", "date"), ("notes", "string")],
+    "products": [("legacy_prod_id", "bigint"), ("reference", "string"), ("name", "string"),
+                 ("category", "string"), ("unit_price", "double"), ("currency_code", "string"),
+                 ("stock_qty", "bigint"), ("unit", "string"), ("is_active", "int"), ("created_at", "date")],
+    "suppliers": [("legacy_sup_id", "bigint"), ("name", "string"), ("country_code", "string"),
+                  ("contact_name", "string"), ("email", "string"), ("phone", "string"), ("rating", "double"),
+                  ("is_active", "int"), ("partner_since", "date")],
+    "orders": [("legacy_ord_id", "bigint"), ("order_reference", "string"), ("customer_id", "bigint"),
+               ("order_date", "date"), ("expected_delivery", "date"), ("delivered_at", "date"),
+               ("status", "string"), ("subtotal_ht", "double"), ("tva_rate", "double"),
+               ("channel", "string"), ("notes", "string")],
+    "order_lines": [("legacy_line_id", "bigint"), ("order_id", "bigint"), ("product_id", "bigint"),
+                    ("quantity", "bigint"), ("unit_price", "double"), ("discount_pct", "double")],
+}
+
+
+def mig_body(table: str) -> str:
+    spec = SPECS[table]
+    proj = f"SELECT {_migrate_select(table)}, {spec.key} AS _src_key FROM legacy_{table}"
+    req = " AND ".join(f"{c} IS NOT NULL" for c in spec.required)
+    names = ", ".join(name for name, _, _ in spec.columns)
+    if spec.dedup_on:
+        part = ", ".join(spec.dedup_on)
+        return (f"SELECT {names} FROM (SELECT *, row_number() OVER (PARTITION BY {part} ORDER BY _src_key) AS rn "
+                f"FROM ({proj})) WHERE rn = 1 AND {req}")
+    return f"SELECT {names} FROM ({proj}) WHERE {req}"
+
+
+def with_mig(body: str, tables=MIG) -> str:
+    return D.with_ctes(tables, [(f"mig_{t}", mig_body(t)) for t in tables], body)
+
+
+def _u(parts):
+    return "\nUNION ALL\n".join(parts)
+
+
+def _stats(t):
+    return (f"SELECT '{t}' AS table_name, s.source_count, g.target_count, s.source_count >= g.target_count AS count_match, "
+            f"s.source_count - g.target_count AS count_diff, {D.ratio('g.target_count', 's.source_count', 4)} AS load_rate "
+            f"FROM (SELECT CAST(count(*) AS BIGINT) AS source_count FROM legacy_{t}) s, "
+            f"(SELECT CAST(count(*) AS BIGINT) AS target_count FROM mig_{t}) g")
+
+
+SQL["reconcile_counts"] = with_mig(_u([_stats(t) for t in MIG]))
+
+_NUMT = ("int", "bigint", "double")
+
+
+def _numeric(t):
+    parts = []
+    for c, ty in MIG_SCHEMAS[t]:
+        if ty in _NUMT:
+            parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, min(CAST({c} AS DOUBLE)) AS target_min, "
+                         f"max(CAST({c} AS DOUBLE)) AS target_max, {D.rhu(f'avg(CAST({c} AS DOUBLE))', 2)} AS target_mean, "
+                         f"{D.ratio(f'count(*) - count({c})', 'count(*)', 4)} AS null_rate FROM mig_{t} HAVING count({c}) > 0")
+    return parts
+
+
+SQL["reconcile_numeric"] = with_mig(_u([p for t in MIG for p in _numeric(t)]))
+
+
+def _keys(t):
+    cols = [c for c, _ in MIG_SCHEMAS[t] if any(w in c.lower() for w in ("id", "ref", "email"))]
+    return [f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(count({c}) - count(DISTINCT {c}) AS BIGINT) AS duplicates, "
+            f"count({c}) = count(DISTINCT {c}) AS unique_ok FROM mig_{t}" for c in cols]
+
+
+SQL["reconcile_keys"] = with_mig(_u([p for t in MIG for p in _keys(t)]))
+SQL["reconcile_verdict"] = with_mig(
+    "SELECT s.table_name, s.count_diff, CAST(coalesce(k.key_issues, 0) AS BIGINT) AS key_issues, "
+    "(s.count_diff <= s.source_count * 0.05) AND coalesce(k.key_issues, 0) = 0 AS overall_ok "
+    f"FROM ({_u([_stats(t) for t in MIG])}) s LEFT JOIN (SELECT table_name, count_if(NOT unique_ok) AS key_issues "
+    f"FROM ({_u([p for t in MIG for p in _keys(t)])}) GROUP BY table_name) k ON s.table_name = k.table_name")
+
+
+def _pairs(t):
+    sk, tk = SPECS[t].key, SPECS[t].target_key
+    return (f"SELECT '{t}' AS table_name, status, CAST(sum(coalesce(ns, nt)) AS BIGINT) AS n_rows, "
+            f"CAST(count(*) AS BIGINT) AS n_keys FROM (SELECT ns, nt, CASE WHEN ns IS NULL THEN 'extra_in_target' "
+            f"WHEN nt IS NULL THEN 'missing_in_target' ELSE 'matched' END AS status FROM "
+            f"(SELECT {sk} AS k, count(*) AS ns FROM legacy_{t} GROUP BY {sk}) a FULL OUTER JOIN "
+            f"(SELECT {tk} AS k, count(*) AS nt FROM mig_{t} GROUP BY {tk}) b ON a.k = b.k) GROUP BY status")
+
+
+SQL["reconcile_rows"] = with_mig(_u([_pairs(t) for t in MIG]))
+
+
+def _drift(t):
+    cols = [c for c, _ in MIG_SCHEMAS[t]]
+    dates = [c for c in cols if "date" in c or c.split("_")[-1:] == ["at"]]
+    parts = []
+    agg = f"(SELECT count(*) AS _rows, {', '.join([f'count_if({c} IS NULL) AS _d{i}' for i, c in enumerate(dates)] + ['0 AS _z'])}"
+    valid = {"customers": N.CUSTOMER_STATUSES, "orders": N.ORDER_STATUSES}.get(t)
+    if valid:
+        agg += f", count_if(NOT coalesce(status IN {D.in_list(valid)}, FALSE)) AS _st"
+    negs = [c for c in ("unit_price", "subtotal_ht", "discount_pct") if c in cols]
+    for i, c in enumerate(negs):
+        agg += f", count_if(CAST({c} AS DOUBLE) < 0) AS _n{i}"
+    agg += f" FROM mig_{t}) a, ({_stats(t)}) s"
+    for i, c in enumerate(dates):
+        parts.append(f"SELECT '{t}' AS table_name, CAST({10 + i} AS BIGINT) AS seq, 'DATE_CONVERSION_LOSS' AS issue_type, "
+                     f"'{c}' AS column_name, 'MEDIUM' AS severity, CAST(_d{i} / _rows AS DOUBLE) AS metric FROM {agg} "
+                     f"WHERE _rows > 0 AND _d{i} / _rows > 0.1")
+    if valid:
+        parts.append(f"SELECT '{t}', CAST(100 AS BIGINT), 'INVALID_STATUS_POST_TRANSFORM', 'status', 'HIGH', "
+                     f"CAST(_st AS DOUBLE) FROM {agg} WHERE _st > 0")
+    for i, c in enumerate(negs):
+        parts.append(f"SELECT '{t}', CAST({200 + i} AS BIGINT), 'NEGATIVE_VALUE_POST_TRANSFORM', '{c}', 'HIGH', "
+                     f"CAST(_n{i} AS DOUBLE) FROM {agg} WHERE _n{i} > 0")
+    ret = "(CASE WHEN source_count > 0 THEN target_count / source_count ELSE 0.0 END)"
+    parts.append(f"SELECT '{t}', CAST(300 AS BIGINT), 'LOW_RETENTION_RATE', 'ALL', "
+                 f"CASE WHEN {ret} < 0.8 THEN 'HIGH' ELSE 'MEDIUM' END, CAST({ret} AS DOUBLE) FROM {agg} WHERE {ret} < 0.9")
+    return parts
+
+
+_DRIFT = _u([p for t in MIG for p in _drift(t)])
+SQL["drift_issues"] = with_mig(_DRIFT)
+_TABLES = "(VALUES " + ", ".join(f"('{t}')" for t in MIG) + ") tl(table_name)"
+_STATUS = (f"SELECT tl.table_name, CASE WHEN w = 2 THEN 'failed' WHEN w = 1 THEN 'partial' ELSE 'success' END AS status, "
+           f"CAST(coalesce(n_drift, 0) AS BIGINT) AS n_drift FROM {_TABLES} LEFT JOIN (SELECT table_name, "
+           f"max(CASE WHEN severity = 'HIGH' THEN 2 ELSE 1 END) AS w, count(*) AS n_drift FROM ({_DRIFT}) GROUP BY table_name) d "
+           f"ON tl.table_name = d.table_name")
+SQL["migration_status"] = with_mig(_STATUS)
+_PER = (f"SELECT s.table_name, st.status, s.source_count, s.target_count, st.n_drift FROM ({_u([_stats(t) for t in MIG])}) s "
+        f"JOIN ({_STATUS}) st ON s.table_name = st.table_name")
+SQL["run_summary"] = with_mig(
+    f"SELECT table_name, status, source_count, target_count, {D.ratio('target_count', 'source_count', 4)} AS load_rate, "
+    f"n_drift, CAST(CASE WHEN status = 'success' THEN 1 ELSE 0 END AS BIGINT) AS n_success FROM ({_PER}) "
+    f"UNION ALL SELECT 'ALL', CAST(NULL AS VARCHAR), CAST(sum(source_count) AS BIGINT), CAST(sum(target_count) AS BIGINT), "
+    f"{D.ratio('sum(target_count)', 'sum(source_count)', 4)}, CAST(sum(n_drift) AS BIGINT), "
+    f"CAST(count_if(status = 'success') AS BIGINT) FROM ({_PER})")
+
+
+# ---- constraints ----------------------------------------------------------------
+
+def _check(t, typ, name, col, cond):
+    return (f"SELECT '{t}' AS table_name, '{typ}' AS constraint_type, '{name}' AS constraint_name, '{col}' AS column_name, "
+            f"CAST(count_if({cond}) AS BIGINT) AS violations FROM mig_{t}")
+
+
+SQL["check_not_null"] = with_mig(_u([_check(t, "not_null", f"{c}_not_null", c, f"{c} IS NULL")
+                                     for t in MIG for c in CN.NOT_NULL.get(t, [])]))
+
+
+def _uniq(rel, t, cols):
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    return (f"SELECT '{t}' AS table_name, 'unique' AS constraint_type, '{'_'.join(cols)}_unique' AS constraint_name, "
+            f"'{','.join(cols)}' AS column_name, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS violations FROM "
+            f"(SELECT count(*) AS n FROM {rel} WHERE {nn} GROUP BY {', '.join(cols)})")
+
+
+SQL["check_unique"] = with_mig(_u([_uniq(f"mig_{t}", t, cols) for t in MIG for cols in CN.UNIQUE.get(t, [])]
+                                  + [_uniq("lineitem", "lineitem", ["l_orderkey", "l_linenumber"])]))
+
+
+def _range(t):
+    out = []
+    for name, c, lo, hi, inc in CN.RANGES.get(t, []):
+        conds = []
+        if lo is not None:
+            conds.append(f"{c} < {lo}" if inc else f"{c} <= {lo}")
+        if hi is not None:
+            conds.append(f"{c} > {hi}")
+        out.append(_check(t, "range", name, c, f"coalesce({' OR '.join(conds)}, FALSE)"))
+    return out
+
+
+SQL["check_range"] = with_mig(_u([p for t in ["products", "suppliers", "orders", "order_lines"] for p in _range(t)]))
+SQL["check_set"] = with_mig(_u([_check(t, "in_set", f"{c}_in_set", c, f"coalesce(NOT ({c} IN {D.in_list(v)}), FALSE)")
+                                for t in ["customers", "orders"] for c, v in CN.SETS.get(t, [])]),
+                            ["customers", "orders"])
+
+
+def _length(t):
+    out = [_check(t, "length", f"{c}_len_{n}", c, f"coalesce(length({c}) > {n}, FALSE)")
+           for c, n in CN.LENGTHS.get(t, {}).items()]
+    out += [_check(t, "precision", f"{c}_numeric_{p}_{s}", c, f"{c} IS NOT NULL AND abs({c}) >= {10.0 ** (p - s)}")
+            for c, (p, s) in CN.PRECISION.get(t, {}).items()]
+    return out
+
+
+SQL["check_length"] = with_mig(_u([p for t in MIG for p in _length(t)]))
+
+
+def _dim_values(name):
+    rows, schema = TB.DIMENSIONS[name]
+    cols = [c.split()[0] for c in schema.split(",")]
+    vals = ", ".join("(" + ", ".join(D.q(v) for v in r) + ")" for r in rows)
+    return f"(SELECT * FROM (VALUES {vals}) v({', '.join(cols)}))"
+
+
+def _fk(child, fk, parent, pk):
+    par = _dim_values(parent) if parent.startswith("dim_") else f"mig_{parent}"
+    return (f"SELECT '{child}.{fk}->{parent}.{pk}' AS relation, CAST(coalesce(sum(n), 0) AS BIGINT) AS orphan_rows, "
+            f"CAST(count(*) AS BIGINT) AS orphan_keys FROM (SELECT {fk} AS k, count(*) AS n FROM mig_{child} "
+            f"WHERE {fk} IS NOT NULL GROUP BY {fk}) c WHERE k NOT IN (SELECT {pk} FROM {par} WHERE {pk} IS NOT NULL)")
+
+
+SQL["fk_orphans"] = with_mig(_u([_fk(*r) for r in CN.FOREIGN_KEYS]))
+_SK = "SELECT row_number() OVER (ORDER BY legacy_cst_id) AS customer_id, legacy_cst_id FROM mig_customers"
+SQL["surrogate_keys"] = with_mig(_SK, ["customers"])
+SQL["fk_resolve"] = with_mig(
+    f"SELECT o.legacy_ord_id, o.customer_id AS legacy_customer_id, c.customer_id FROM mig_orders o "
+    f"LEFT JOIN ({_SK}) c ON o.customer_id = c.legacy_cst_id", ["customers", "orders"])
+SQL["dim_lookup"] = with_mig(
+    f"SELECT 'orders' AS table_name, o.legacy_ord_id AS legacy_id, o.status AS code, d.label AS name, "
+    f"CAST(d.is_terminal AS VARCHAR) AS extra FROM mig_orders o LEFT JOIN {_dim_values('dim_status_order')} d "
+    f"ON o.status = d.status_code UNION ALL SELECT 'customers', c.legacy_cst_id, c.country_code, d.country_name, d.region "
+    f"FROM mig_customers c LEFT JOIN {_dim_values('dim_country')} d ON c.country_code = d.country_code",
+    ["customers", "orders"])
+
+
+def _num(c, p, s):
+    return f"CAST({D.rhu(c, s)} AS DECIMAL({p},{s}))"
+
+
+SQL["total_ttc"] = with_mig(
+    f"SELECT legacy_ord_id, CAST(CAST({_num('subtotal_ht', 14, 2)} * (CAST(100 AS DECIMAL(3,0)) + "
+    f"{_num('tva_rate', 5, 2)}) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(14,2)) AS DOUBLE) AS total_ttc "
+    "FROM mig_orders", ["orders"])
+_LT = (f"CAST(CAST(quantity AS DECIMAL(10,0)) * {_num('unit_price', 12, 2)} * "
+       f"((CAST(100 AS DECIMAL(3,0)) - {_num('discount_pct', 5, 2)}) * CAST(0.01 AS DECIMAL(3,2))) AS DECIMAL(14,2))")
+SQL["line_total"] = D.with_legacy(
+    f"SELECT legacy_line_id, CAST({_LT} AS DOUBLE) AS line_total, "
+    f"CAST({_num('source_line_total', 14, 2)} - {_LT} AS DOUBLE) AS source_minus_generated FROM "
+    f"(SELECT {_migrate_select('order_lines')}, line_total AS source_line_total FROM legacy_order_lines)", "order_lines")
+SQL["row_level_log"] = D.with_legacy(
+    "SELECT 'customers' AS table_name, status, error_message, CAST(count(*) AS BIGINT) AS n_rows FROM ("
+    "SELECT CASE WHEN rn > 1 OR legacy_cst_id IS NULL THEN 'skipped' ELSE 'success' END AS status, "
+    "CASE WHEN rn > 1 THEN 'duplicate on email' WHEN legacy_cst_id IS NULL THEN 'missing required: legacy_cst_id' END "
+    "AS error_message FROM (SELECT *, row_number() OVER (PARTITION BY email ORDER BY _src_key) AS rn FROM ("
+    f"SELECT {_migrate_select('customers')}, cst_id AS _src_key FROM legacy_customers))) GROUP BY ALL", "customers")

@@ -16,23 +16,22 @@ from tidyload.plans.specs import SPECS, TableSpec, build_column
 from tidyload.session import checkpointed
 
 
-def project(df: DataFrame, spec: TableSpec, keep_key: bool = False) -> DataFrame:
+def project(df: DataFrame, spec: TableSpec, keep_key: bool = False, extra=None) -> DataFrame:
     """P-1..P-8: rename-and-select with the spec's Column builders.
 
     With ``keep_key`` the source order key rides along as ``_src_key`` so that
-    dedup can order rows even when the key is not a target column.
+    dedup can order rows even when the key is not a target column; ``extra``
+    ({source column: output name}) passes further source columns through.
     """
     types = dict((f.name, f.dataType.simpleString()) for f in df.schema.fields)
     cols = [build_column(t, F.col(s), types[s]).alias(name) for name, s, t in spec.columns]
     if keep_key:
         cols.append(F.col(spec.key).alias("_src_key"))
+    for s, name in (extra or {}).items():
+        cols.append(F.col(s).alias(name))
     return df.select(*cols)
 
 
-def _null_safe_eq(left: DataFrame, right: DataFrame, cols):
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def survivors(df: DataFrame, on, order_col: str) -> DataFrame:
     """One row per ``on`` group: the smallest ``order_col`` (nulls form one group).
 

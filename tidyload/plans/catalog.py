@@ -259,3 +259,186 @@ def quality_summary(spark, sf_dir):
     rr = _reduce(_DF.unionByName, [a[2] for a in assessed])
     an = _reduce(_DF.unionByName, [a[1] for a in assessed])
     return Q.quality_summary(Q.score(rr), an)
+
+
+# ---- load stats, reconciliation, drift (K-2, R-*) ----------------------------
+
+from tidyload.operators import constraints as C  # noqa: E402
+from tidyload.operators import reconcile as R  # noqa: E402
+from tidyload.plans.specs import VALID_STATUSES  # noqa: E402
+
+MIGRATION_ORDER = ["customers", "products", "suppliers", "orders", "order_lines"]
+
+
+def _frames(spark, sf_dir, tables=MIGRATION_ORDER):
+    src = {t: _legacy(spark, sf_dir, t) for t in tables}
+    tgt = {t: T.migrate(src[t], SPECS[t]) for t in tables}
+    return src, tgt
+
+
+def _union(parts):
+    return _reduce(_DF.unionByName, parts)
+
+
+@register("reconcile_counts")
+def reconcile_counts(spark, sf_dir):
+    src, tgt = _frames(spark, sf_dir)
+    return _union([R.load_stats(src[t], tgt[t], t) for t in MIGRATION_ORDER])
+
+
+@register("reconcile_numeric")
+def reconcile_numeric(spark, sf_dir):
+    _, tgt = _frames(spark, sf_dir)
+    return _union([R.numeric_checks(tgt[t], t) for t in MIGRATION_ORDER])
+
+
+@register("reconcile_keys")
+def reconcile_keys(spark, sf_dir):
+    _, tgt = _frames(spark, sf_dir)
+    return _union([R.key_checks(tgt[t], t) for t in MIGRATION_ORDER])
+
+
+@register("reconcile_verdict")
+def reconcile_verdict(spark, sf_dir):
+    src, tgt = _frames(spark, sf_dir)
+    stats = _union([R.load_stats(src[t], tgt[t], t) for t in MIGRATION_ORDER])
+    keys = _union([R.key_checks(tgt[t], t) for t in MIGRATION_ORDER])
+    return R.verdict(stats, keys)
+
+
+@register("reconcile_rows")
+def reconcile_rows(spark, sf_dir):
+    src, tgt = _frames(spark, sf_dir)
+    return _union([R.pair_rows(src[t], tgt[t], SPECS[t].key, SPECS[t].target_key, t) for t in MIGRATION_ORDER])
+
+
+def _drift(spark, sf_dir):
+    src, tgt = _frames(spark, sf_dir)
+    stats = {t: R.load_stats(src[t], tgt[t], t) for t in MIGRATION_ORDER}
+    issues = _union([R.drift_issues(tgt[t], t, stats[t], VALID_STATUSES.get(t)) for t in MIGRATION_ORDER])
+    return stats, issues
+
+
+@register("drift_issues")
+def drift_issues(spark, sf_dir):
+    """R-6 .. R-8b for the five migrated tables."""
+    return _drift(spark, sf_dir)[1]
+
+
+def _table_list(spark):
+    return spark.createDataFrame([(t,) for t in MIGRATION_ORDER], "table_name string")
+
+
+@register("migration_status")
+def migration_status(spark, sf_dir):
+    _, issues = _drift(spark, sf_dir)
+    return R.migration_status(_table_list(spark), issues)
+
+
+@register("run_summary")
+def run_summary(spark, sf_dir):
+    stats, issues = _drift(spark, sf_dir)
+    status = R.migration_status(_table_list(spark), issues)
+    return R.run_summary(_union(list(stats.values())), status)
+
+
+# ---- constraints, foreign keys, lookups (C-*, J-*, W-3, R-9) -----------------
+
+@register("check_not_null")
+def check_not_null(spark, sf_dir):
+    _, tgt = _frames(spark, sf_dir)
+    return _union([C.check_not_null(tgt[t], t) for t in MIGRATION_ORDER])
+
+
+@register("check_unique")
+def check_unique(spark, sf_dir):
+    """C-2 on the migrated tables and on lineitem's (l_orderkey, l_linenumber)."""
+    _, tgt = _frames(spark, sf_dir)
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"])
+    return _union([C.check_unique(tgt[t], t) for t in MIGRATION_ORDER]
+                  + [C.check_unique(li, "lineitem", [["l_orderkey", "l_linenumber"]])])
+
+
+@register("check_range")
+def check_range(spark, sf_dir):
+    _, tgt = _frames(spark, sf_dir)
+    return _union([C.check_range(tgt[t], t) for t in ["products", "suppliers", "orders", "order_lines"]])
+
+
+@register("check_set")
+def check_set(spark, sf_dir):
+    _, tgt = _frames(spark, sf_dir, ["customers", "orders"])
+    return _union([C.check_set(tgt[t], t) for t in ["customers", "orders"]])
+
+
+@register("check_length")
+def check_length(spark, sf_dir):
+    _, tgt = _frames(spark, sf_dir)
+    return _union([C.check_length(tgt[t], t) for t in MIGRATION_ORDER])
+
+
+@register("fk_orphans")
+def fk_orphans(spark, sf_dir):
+    """J-1: the eight relations of the target DDL over the migrated tables."""
+    _, tgt = _frames(spark, sf_dir)
+    return C.all_fk_orphans(spark, tgt)
+
+
+@register("surrogate_keys")
+def surrogate_keys(spark, sf_dir):
+    """W-3: dense customer ids in legacy-id order."""
+    _, tgt = _frames(spark, sf_dir, ["customers"])
+    return T.surrogate_keys(tgt["customers"], "legacy_cst_id", "customer_id").select(
+        "customer_id", "legacy_cst_id")
+
+
+@register("fk_resolve")
+def fk_resolve(spark, sf_dir):
+    """J-2: orders' legacy customer id -> the migrated customer's surrogate id."""
+    _, tgt = _frames(spark, sf_dir, ["customers", "orders"])
+    cust = T.surrogate_keys(tgt["customers"], "legacy_cst_id", "customer_id")
+    o = tgt["orders"].select("legacy_ord_id", F.col("customer_id").alias("legacy_customer_id"))
+    return C.resolve_fk(o, "legacy_customer_id", cust, "legacy_cst_id", "customer_id", "customer_id")
+
+
+@register("dim_lookup")
+def dim_lookup(spark, sf_dir):
+    """J-3: order status -> label / is_terminal; country -> name / region."""
+    from tidyload.sources.tables import dimension
+    _, tgt = _frames(spark, sf_dir, ["customers", "orders"])
+    o = C.dim_lookup(tgt["orders"].select("legacy_ord_id", "status"), "status",
+                     dimension(spark, "dim_status_order"), "status_code", ["label", "is_terminal"])
+    c = C.dim_lookup(tgt["customers"].select("legacy_cst_id", "country_code"), "country_code",
+                     dimension(spark, "dim_country"), "country_code", ["country_name", "region"])
+    return (o.select(F.lit("orders").alias("table_name"), F.col("legacy_ord_id").alias("legacy_id"),
+                     F.col("status").alias("code"), F.col("label").alias("name"),
+                     F.col("is_terminal").cast("string").alias("extra"))
+            .unionByName(c.select(F.lit("customers").alias("table_name"), F.col("legacy_cst_id").alias("legacy_id"),
+                                  F.col("country_code").alias("code"), F.col("country_name").alias("name"),
+                                  F.col("region").alias("extra"))))
+
+
+@register("total_ttc")
+def total_ttc(spark, sf_dir):
+    _, tgt = _frames(spark, sf_dir, ["orders"])
+    return tgt["orders"].select("legacy_ord_id", C.total_ttc("subtotal_ht", "tva_rate").cast("double")
+                                .alias("total_ttc"))
+
+
+@register("line_total")
+def line_total(spark, sf_dir):
+    """C-8 and the source-vs-generated difference (the source ignores discount)."""
+    src = _legacy(spark, sf_dir, "order_lines")
+    proj = T.project(src, SPECS["order_lines"], extra={"line_total": "source_line_total"})
+    lt = C.line_total("quantity", "unit_price", "discount_pct")
+    return proj.select("legacy_line_id", lt.cast("double").alias("line_total"),
+                       (C.to_numeric("source_line_total", 14, 2) - lt).cast("double")
+                       .alias("source_minus_generated"))
+
+
+@register("row_level_log")
+def row_level_log(spark, sf_dir):
+    """R-9: per source customer: success or skipped (duplicate / missing)."""
+    c = T.project(_legacy(spark, sf_dir, "customers"), SPECS["customers"], keep_key=True)
+    log = C.row_level_log(c, "_src_key", ["email"], SPECS["customers"].required, "run_sf", "customers")
+    return log.groupBy("table_name", "status", "error_message").agg(F.count(F.lit(1)).alias("n_rows"))
