@@ -376,3 +376,122 @@ SQL["row_level_log"] = D.with_legacy(
     "CASE WHEN rn > 1 THEN 'duplicate on email' WHEN legacy_cst_id IS NULL THEN 'missing required: legacy_cst_id' END "
     "AS error_message FROM (SELECT *, row_number() OVER (PARTITION BY email ORDER BY _src_key) AS rn FROM ("
     f"SELECT {_migrate_select('customers')}, cst_id AS _src_key FROM legacy_customers))) GROUP BY ALL", "customers")
+
+# ---- mapping ---------------------------------------------------------------------
+import json as _json  # noqa: E402
+
+from tidyload.operators import mapping as MP  # noqa: E402
+from tidyload.sources.legacy import ORDER_KEYS  # noqa: E402
+
+_DOCS = _json.load(open(MP.PACKAGED_MAPPINGS, encoding="utf-8"))
+_MROWS = [(d["table_source"], i, m, d["migration_complexity"]) for d in _DOCS for i, m in enumerate(d["mappings"])]
+
+
+def _pattern_sql(t):
+    cols = [c for c, _ in D.SCHEMAS[f"legacy_{t}"]]
+    k = ORDER_KEYS[t]
+    order = ", ".join([k] + [c for c in cols if c != k])
+    parts = []
+    for c in cols:
+        if c == k:
+            continue
+        first = lambda n, cond: f"bool_and(CASE WHEN pos <= {n} THEN {cond} ELSE TRUE END)"
+        dates = [first(20, f"regexp_matches(v, '{rx}')") for rx, _ in MP.PATTERN_DATES]
+        date_fmt = "CASE " + " ".join(f"WHEN {d} THEN '{lab}'" for d, (_, lab) in zip(dates, MP.PATTERN_DATES)) + " END"
+        pattern = (f"CASE WHEN count(*) = 0 THEN 'empty' WHEN ({date_fmt}) IS NOT NULL THEN 'date' "
+                   f"WHEN bool_and(v IN {D.in_list(MP.PATTERN_BOOL)}) THEN 'boolean_encoded' "
+                   f"WHEN bool_and(v IN {D.in_list(MP.PATTERN_STATUS)}) OR (count(DISTINCT v) <= 8 AND count(DISTINCT v) > 1) "
+                   f"THEN 'categorical' WHEN {first(10, chr(39).join(['regexp_matches(v, ', MP.PATTERN_PHONE, ')']))} THEN 'phone' "
+                   f"ELSE 'text' END")
+        parts.append(
+            f"SELECT '{t}' AS table_name, '{c}' AS column_name, {pattern} AS pattern, "
+            f"CASE WHEN {pattern} = 'date' THEN {date_fmt} END AS date_format, "
+            f"CAST(count(*) AS BIGINT) AS sample_size, CAST(count(DISTINCT v) AS BIGINT) AS sample_distinct, "
+            f"CASE WHEN {pattern} = 'text' THEN {D.rhu('avg(length(v))', 1)} END AS avg_length "
+            f"FROM (SELECT CAST({c} AS VARCHAR) AS v, row_number() OVER (ORDER BY {order}) AS pos FROM legacy_{t} "
+            f"WHERE {c} IS NOT NULL QUALIFY pos <= 50) HAVING count(*) > 0")
+    return parts
+
+
+_PATTERNS = _u([p for t in MIG for p in _pattern_sql(t)])
+SQL["value_pattern"] = D.with_ctes(MIG, [], _PATTERNS)
+
+
+def _family(x):
+    clean = f"trim(regexp_replace(upper({x}), '\\(.*\\)', ''))"
+    arms = " ".join("WHEN " + " OR ".join(f"contains({clean}, '{m}')" for m in members) + f" THEN '{fam}'"
+                    for fam, members in MP.TYPE_FAMILIES)
+    return f"(CASE {arms} ELSE 'other' END)"
+
+
+_MAP_VALUES = "(VALUES " + ", ".join(
+    "(" + ", ".join([D.q(t), str(i), D.q(m['source_col']), D.q(m['target_col']), D.q(m.get('source_type')),
+                     D.q(m.get('target_type')), D.q(m.get('transform')), repr(float(m['confidence'])), D.q(cx)]) + ")"
+    for t, i, m, cx in _MROWS) + (") mv(table_name, position, source_col, target_col, source_type, target_type, "
+                                 "transform, confidence, migration_complexity)")
+_sf, _tf = _family("coalesce(source_type, 'TEXT')"), _family("coalesce(target_type, 'TEXT')")
+_compat = (f"(CASE WHEN {_sf} = {_tf} THEN TRUE WHEN {_sf} = 'int' AND {_tf} = 'numeric' THEN TRUE "
+           f"WHEN {_sf} = 'text' AND {_tf} IN ('int','numeric','bool','date') THEN FALSE "
+           f"WHEN {_sf} = 'int' AND {_tf} = 'bool' THEN TRUE ELSE FALSE END)")
+_risk = (f"(CASE WHEN {_sf} = {_tf} THEN 'low' WHEN {_sf} = 'int' AND {_tf} = 'numeric' THEN 'low' "
+         f"WHEN {_sf} = 'text' AND {_tf} IN ('int','numeric','bool','date') THEN 'high' "
+         f"WHEN {_sf} = 'int' AND {_tf} = 'bool' THEN 'medium' ELSE 'medium' END)")
+_conf1 = f"(CASE WHEN NOT {_compat} THEN least(coalesce(confidence, 0.8), 0.65) ELSE confidence END)"
+_direct = "transform = 'direct'"
+_ENRICH = (
+    f"SELECT mv.table_name, CAST(position AS INTEGER) AS position, source_col, target_col, source_type, target_type, "
+    f"{_sf} AS source_family, {_tf} AS target_family, {_compat} AS type_compatible, {_risk} AS type_risk, "
+    f"p.pattern AS value_pattern, p.date_format, transform AS proposed_transform, "
+    f"CASE WHEN {_direct} AND p.pattern = 'boolean_encoded' THEN 'normalize_bool' WHEN {_direct} AND p.pattern = 'date' "
+    f"THEN 'normalize_date' WHEN {_direct} AND p.pattern = 'phone' THEN 'normalize_phone' ELSE transform END AS transform, "
+    f"confidence AS proposed_confidence, CASE WHEN {_direct} AND p.pattern = 'boolean_encoded' THEN least({_conf1}, 0.75) "
+    f"ELSE {_conf1} END AS confidence, migration_complexity "
+    f"FROM {_MAP_VALUES} LEFT JOIN pat p ON mv.table_name = p.table_name AND mv.source_col = p.column_name")
+SQL["mapping_enrich"] = D.with_ctes(MIG, [("pat", _PATTERNS)], f"SELECT * EXCLUDE (migration_complexity) FROM ({_ENRICH})")
+SQL["mapping_ambiguous"] = D.with_ctes(MIG, [("pat", _PATTERNS)],
+                                       f"SELECT table_name, source_col, target_col, confidence FROM ({_ENRICH}) "
+                                       f"WHERE coalesce(confidence, 1.0) < 0.8")
+SQL["mapping_summary"] = D.with_ctes(MIG, [("pat", _PATTERNS)], (
+    "SELECT table_name, CAST(count(*) AS BIGINT) AS n_mappings, CAST(count_if(coalesce(confidence, 0) >= 0.9) AS BIGINT) AS n_high, "
+    "CAST(count_if(coalesce(confidence, 0) >= 0.7 AND coalesce(confidence, 0) < 0.9) AS BIGINT) AS n_medium, "
+    "CAST(count_if(coalesce(confidence, 0) < 0.7) AS BIGINT) AS n_low, "
+    "CAST(count_if(coalesce(confidence, 1.0) < 0.8) AS BIGINT) AS n_ambiguous, first(migration_complexity) AS migration_complexity, "
+    f"count_if(coalesce(confidence, 1.0) < 0.8) > 0 AS needs_review FROM ({_ENRICH}) GROUP BY table_name"))
+
+
+def _stg_sql(t):
+    cols = []
+    for tt, i, m, _ in _MROWS:
+        if tt != t:
+            continue
+        src, tr, sql = m["source_col"], m.get("transform") or "direct", (m.get("transform_sql") or "").strip()
+        if tr == "skip":
+            continue
+        if tr == "direct" or not sql:
+            e = src
+        elif tr == "normalize_date":
+            e = f"try_cast({src} AS DATE)"
+        elif tr == "normalize_phone":
+            e = src
+        else:
+            e = f"({sql})"
+        cols.append(f"{e} AS {m['target_col']}")
+    where = {"products": "WHERE (coalesce(prod_price >= 0, FALSE) OR prod_price IS NULL) AND "
+                         "(coalesce(prod_stock >= 0, FALSE) OR prod_stock IS NULL)",
+             "order_lines": "WHERE coalesce(line_qty > 0, FALSE) OR line_qty IS NULL"}.get(t, "")
+    return D.with_legacy(f"SELECT {', '.join(cols)} FROM legacy_{t} {where}", t)
+
+
+for _t in MIG:
+    SQL[f"stg_{_t}"] = _stg_sql(_t)
+
+
+def _mproj_sql(t):
+    spec = {name: (s, tr) for name, s, tr in SPECS[t].columns}
+    cols = [f"{D.SQL_TRANSFORMS[spec[m['target_col']][1]](m['source_col'])} AS {m['target_col']}"
+            for tt, i, m, _ in _MROWS if tt == t]
+    return D.with_legacy(f"SELECT {', '.join(cols)} FROM legacy_{t}", t)
+
+
+for _t in MIG:
+    SQL[f"mapping_projection_{_t}"] = _mproj_sql(_t)

@@ -442,3 +442,77 @@ def row_level_log(spark, sf_dir):
     c = T.project(_legacy(spark, sf_dir, "customers"), SPECS["customers"], keep_key=True)
     log = C.row_level_log(c, "_src_key", ["email"], SPECS["customers"].required, "run_sf", "customers")
     return log.groupBy("table_name", "status", "error_message").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# ---- mapping (S-6, D-5 .. D-10, P-10 .. P-16) --------------------------------
+
+from tidyload.operators import mapping as M  # noqa: E402
+from tidyload.sources.legacy import ORDER_KEYS  # noqa: E402
+
+
+def _order_cols(table, df):
+    """Sample order: the row key, then every column as tie-breaker (the
+    order-lines key is not unique)."""
+    k = ORDER_KEYS[table]
+    return [k] + [c for c in df.columns if c != k]
+
+
+def _patterns(spark, sf_dir, tables):
+    parts = []
+    for t in tables:
+        df = _legacy(spark, sf_dir, t)
+        cols = [c for c in df.columns if c != ORDER_KEYS[t]]
+        parts.append(M.value_patterns(df, t, _order_cols(t, df), columns=cols))
+    return _union(parts)
+
+
+@register("value_pattern")
+def value_pattern(spark, sf_dir):
+    """D-5 (+S-5 samples) over the legacy tables."""
+    return _patterns(spark, sf_dir, MIGRATION_ORDER)
+
+
+def _enriched(spark, sf_dir):
+    rows = M.mapping_rows(M.read_mapping_documents(spark))
+    return M.enrich(rows, _patterns(spark, sf_dir, MIGRATION_ORDER))
+
+
+@register("mapping_enrich")
+def mapping_enrich(spark, sf_dir):
+    """D-6 .. D-8: type families/compatibility and data-driven upgrades."""
+    return _enriched(spark, sf_dir).drop("transform_sql", "migration_complexity")
+
+
+@register("mapping_ambiguous")
+def mapping_ambiguous(spark, sf_dir):
+    return M.ambiguous(_enriched(spark, sf_dir)).select("table_name", "source_col", "target_col", "confidence")
+
+
+@register("mapping_summary")
+def mapping_summary(spark, sf_dir):
+    return M.summary(_enriched(spark, sf_dir))
+
+
+def _staging(table):
+    def q(spark, sf_dir):
+        rows = M.mapping_rows(M.read_mapping_documents(spark))
+        return M.staging_model(_legacy(spark, sf_dir, table), rows, table)
+    return q
+
+
+for _t in MIGRATION_ORDER:
+    register(f"stg_{_t}")(_staging(_t))
+
+
+def _mapping_projection(table):
+    def q(spark, sf_dir):
+        """P-14 in registry mode with the spec's transforms as overrides: the
+        mapping-driven projection equals the hard-coded table transform."""
+        rows = M.mapping_rows(M.read_mapping_documents(spark))
+        overrides = {name: tr for name, _, tr in SPECS[table].columns}
+        return M.apply_mapping(_legacy(spark, sf_dir, table), rows, table, mode="registry", overrides=overrides)
+    return q
+
+
+for _t in MIGRATION_ORDER:
+    register(f"mapping_projection_{_t}")(_mapping_projection(_t))

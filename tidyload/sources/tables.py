@@ -68,28 +68,48 @@ def first_rows(df: DataFrame, key: str, n: int = 3) -> DataFrame:
     return df.orderBy(F.col(key)).limit(n)
 
 
-def column_samples(df: DataFrame, key: str, k: int = 30, columns=None) -> DataFrame:
-    """S-5: up to ``k`` non-null values per column, first by ``key``.
-
-    One bounded top-k per column (``TakeOrderedAndProject``), unioned; each reads
-    only (key, column) thanks to column pruning, and no task ever holds more than
-    ``k`` rows of a column, however large or skewed the table is.
+def column_samples(df: DataFrame, order_by, k: int = 30, columns=None) -> DataFrame:
+    """S-5: up to ``k`` non-null values per column, first by ``order_by``.
+
+    A distributed top-k in ONE scan: each task keeps, per column, only its
+    ``k`` first non-null values (``mapInPandas`` over Arrow batches, bounded
+    state), and a window ranks the surviving candidates — at most
+    ``k x tasks`` per column — to pick the global first ``k``.  No task ever
+    holds more than that, however large or skewed the table.  ``order_by`` is a
+    column name or a list (add tie-breakers when the first is not unique so the
+    sample is deterministic); order columns must be non-null.
     """
-    columns = columns or [c for c in df.columns if c != key]
-    parts = []
-    for c in columns:
-        parts.append(
-            df.where(F.col(c).isNotNull())
-            .orderBy(F.col(key))
-            .limit(k)
-            .select(F.lit(c).alias("column_name"), F.col(key).alias("row_key"),
-                    F.col(c).cast("string").alias("value"))
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    w = Window.partitionBy("column_name").orderBy("row_key")
-    return out.withColumn("position", F.row_number().over(w))
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    columns = list(columns) if columns is not None else [c for c in df.columns if c not in order]
+    keys = [f"_o{i}" for i in range(len(order))]
+    vals = [f"_v{i}" for i in range(len(columns))]
+    narrow = df.select(*[F.col(o).alias(k2) for o, k2 in zip(order, keys)],
+                       *[F.col(c).cast("string").alias(v) for c, v in zip(columns, vals)])
+    key_fields = [T.StructField(k2, narrow.schema[k2].dataType) for k2 in keys]
+    out_schema = T.StructType([T.StructField("column_name", T.StringType())] + key_fields
+                              + [T.StructField("value", T.StringType())])
+    names = dict(zip(vals, columns))
+
+    def local_first(batches):
+        import pandas as pd
+        best = {v: None for v in vals}
+        for pdf in batches:
+            for v in vals:
+                cand = pdf.loc[pdf[v].notna(), keys + [v]]
+                if best[v] is not None:
+                    cand = pd.concat([best[v], cand], ignore_index=True)
+                best[v] = cand.sort_values(keys, kind="mergesort").head(k)
+        for v, cand in best.items():
+            if cand is not None and len(cand):
+                out = cand.rename(columns={v: "value"})
+                out.insert(0, "column_name", names[v])
+                yield out[["column_name"] + keys + ["value"]]
+
+    cands = narrow.mapInPandas(local_first, out_schema)
+    w = Window.partitionBy("column_name").orderBy(*keys)
+    ranked = cands.withColumn("position", F.row_number().over(w)).where(F.col("position") <= k)
+    return ranked.select("column_name", F.struct(*[F.col(k2).alias(o) for k2, o in zip(keys, order)])
+                         .alias("row_key"), "value", "position")
 
 
 # S-8 reference dimensions (fixed values from the target DDL).
