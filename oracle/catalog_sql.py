@@ -495,3 +495,32 @@ def _mproj_sql(t):
 
 for _t in MIG:
     SQL[f"mapping_projection_{_t}"] = _mproj_sql(_t)
+
+# ---- loads / sinks / samples ---------------------------------------------------------
+SQL["load_roundtrip"] = with_mig("SELECT * FROM mig_orders", ["orders"])
+SQL["audit_append"] = with_mig(_u([
+    f"SELECT '{r}' AS migration_run, table_name, source_count, target_count, 'success' AS status "
+    f"FROM ({_u([_stats(t) for t in MIG])})" for r in ("run_a", "run_b")]))
+SQL["csv_roundtrip"] = with_mig("SELECT * FROM mig_suppliers", ["suppliers"])
+SQL["json_results"] = D.with_ctes(_QT, _all_q + [("an", _an_all)], (
+    "SELECT table_name, CAST(count(*) AS BIGINT) AS n_anomalies, arg_min(anomaly_type, "
+    "struct_pack(seq := seq, anomaly_type := anomaly_type, severity := severity, column_name := column_name, "
+    "metric := metric)) AS first_anomaly FROM an GROUP BY table_name"))
+SQL["preflight"] = D.with_ctes(_QT, _all_q + [("rr", _rr_all)], (
+    f"SELECT tl.table_name, CAST(count(mv.source_col) AS BIGINT) AS n_mappings, CAST(0 AS BIGINT) AS missing_source_columns, "
+    f"first(sc.score) AS score, first(sc.approved) AS approved, count(mv.source_col) > 0 AS ready FROM {_TABLES} "
+    f"LEFT JOIN {_MAP_VALUES} ON tl.table_name = mv.table_name LEFT JOIN ({D.score_sql('rr')}) sc "
+    f"ON tl.table_name = sc.table_name GROUP BY tl.table_name"))
+_txt = [c for c, ty in D.SCHEMAS["legacy_customers"] if ty == "string"]
+SQL["sample_values"] = D.with_legacy(_u([
+    f"SELECT '{c}' AS column_name, pos AS position, v AS value FROM (SELECT CAST({c} AS VARCHAR) AS v, "
+    f"row_number() OVER (ORDER BY cst_id) AS pos FROM legacy_customers WHERE {c} IS NOT NULL QUALIFY pos <= 5)"
+    for c in _txt]), "customers")
+SQL["first_rows"] = D.with_legacy("SELECT * FROM legacy_orders ORDER BY ord_id LIMIT 3", "orders")
+SQL["load_ready_orders"] = with_mig(
+    f"SELECT row_number() OVER (ORDER BY o.legacy_ord_id) AS order_id, o.legacy_ord_id, c.customer_sk, "
+    f"coalesce(o.status, 'pending') AS status, o.order_date, "
+    f"CAST(CAST({_num('o.subtotal_ht', 14, 2)} * (CAST(100 AS DECIMAL(3,0)) + {_num('o.tva_rate', 5, 2)}) "
+    f"* CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(14,2)) AS DOUBLE) AS total_ttc FROM mig_orders o LEFT JOIN "
+    f"(SELECT row_number() OVER (ORDER BY legacy_cst_id) AS customer_sk, legacy_cst_id FROM mig_customers) c "
+    f"ON o.customer_id = c.legacy_cst_id", ["customers", "orders"])

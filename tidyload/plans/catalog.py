@@ -516,3 +516,83 @@ def _mapping_projection(table):
 
 for _t in MIGRATION_ORDER:
     register(f"mapping_projection_{_t}")(_mapping_projection(_t))
+
+
+# ---- loads, sinks, result documents, preflight (K-*, S-1..S-7, R-1) ----------
+
+from tidyload.session import shared_path  # noqa: E402
+from tidyload.sources import sinks as K  # noqa: E402
+from tidyload.sources.tables import column_samples, first_rows, schema_rows  # noqa: E402
+
+
+@register("load_roundtrip")
+def load_roundtrip(spark, sf_dir):
+    """K-1: overwrite-load the migrated orders into the shared folder, read back."""
+    _, tgt = _frames(spark, sf_dir, ["orders"])
+    return K.overwrite_load(tgt["orders"], shared_path(spark, "target", "orders"))
+
+
+@register("audit_append")
+def audit_append(spark, sf_dir):
+    """K-2 + K-3: load stats of the five tables appended twice to a fresh log."""
+    src, tgt = _frames(spark, sf_dir)
+    stats = _union([R.load_stats(src[t], tgt[t], t) for t in MIGRATION_ORDER])
+    path = shared_path(spark, "migration_log")
+    K.audit_append(stats, path, "run_a", "2024-01-15 10:00:00")
+    return K.audit_append(stats, path, "run_b", "2024-01-16 10:00:00").drop("migrated_at")
+
+
+@register("csv_roundtrip")
+def csv_roundtrip(spark, sf_dir):
+    """K-4: the migrated suppliers through a header CSV extract and back."""
+    _, tgt = _frames(spark, sf_dir, ["suppliers"])
+    return K.csv_extract(tgt["suppliers"], shared_path(spark, "csv", "suppliers"))
+
+
+@register("json_results")
+def json_results(spark, sf_dir):
+    """K-5: quality findings as one nested JSON document per table, read back
+    and flattened to (table, number of findings, first finding type)."""
+    parts = [_assess(spark, sf_dir, t)[1] for t in LEGACY_ORDER]
+    docs = K.result_documents(_union(parts), shared_path(spark, "quality_docs"),
+                              ["seq", "anomaly_type", "severity", "column_name", "metric"], "anomalies")
+    return docs.select("table_name", F.size("anomalies").cast("bigint").alias("n_anomalies"),
+                       F.col("anomalies")[0]["anomaly_type"].alias("first_anomaly"))
+
+
+@register("preflight")
+def preflight(spark, sf_dir):
+    """R-1 (+S-2, S-6, S-7): mapping present, mapped columns exist, quality."""
+    rows = M.mapping_rows(M.read_mapping_documents(spark))
+    schemas = _union([schema_rows(spark, _legacy(spark, sf_dir, t), t) for t in MIGRATION_ORDER])
+    score = Q.score(_all_rules(spark, sf_dir)).select("table_name", "score", "approved")
+    return K.preflight(_table_list(spark), rows, schemas, score)
+
+
+@register("sample_values")
+def sample_values(spark, sf_dir):
+    """A-7 / S-5: first five non-null values per text column of the legacy
+    customers (a sampling operator: the limit is the feature)."""
+    c = _legacy(spark, sf_dir, "customers")
+    cols = [f.name for f in c.schema.fields if f.dataType.simpleString() == "string"]
+    s = column_samples(c, "cst_id", k=5, columns=cols)
+    return s.select("column_name", F.col("position").cast("bigint").alias("position"), "value")
+
+
+@register("first_rows")
+def first_rows_q(spark, sf_dir):
+    """S-4: the first three legacy orders by key (a top-k)."""
+    return first_rows(_legacy(spark, sf_dir, "orders"), "ord_id", 3)
+
+
+@register("load_ready_orders")
+def load_ready_orders(spark, sf_dir):
+    """C-6 + C-7 + J-2 + W-3: migrated orders with defaults, generated total,
+    resolved customer surrogate key and their own surrogate key."""
+    _, tgt = _frames(spark, sf_dir, ["customers", "orders"])
+    cust = T.surrogate_keys(tgt["customers"], "legacy_cst_id", "customer_sk")
+    o = C.apply_defaults(tgt["orders"], "orders")
+    o = C.resolve_fk(o, "customer_id", cust, "legacy_cst_id", "customer_sk", "customer_sk")
+    o = T.surrogate_keys(o, "legacy_ord_id", "order_id")
+    return o.select("order_id", "legacy_ord_id", "customer_sk", "status", "order_date",
+                    C.total_ttc("subtotal_ht", "tva_rate").cast("double").alias("total_ttc"))
