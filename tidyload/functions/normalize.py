@@ -84,18 +84,57 @@ def upper_strip(c) -> Column:
     return strip(F.upper(as_text(c)))
 
 
+# (regex label) -> 1-based (start, length) of year, month, day in the text.
+DATE_PARTS = {
+    "iso": ((1, 4), (6, 2), (9, 2)),
+    "dd/mm/yyyy": ((7, 4), (4, 2), (1, 2)),
+    "mm-dd-yyyy": ((7, 4), (1, 2), (4, 2)),
+    "yyyymmdd": ((1, 4), (5, 2), (7, 2)),
+}
+
+
+def _days_in_month(y: Column, m: Column) -> Column:
+    leap = ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
+    return (F.when(m == 2, F.when(leap, 29).otherwise(28))
+            .when(m.isin(4, 6, 9, 11), 30).otherwise(31))
+
+
+def date_parts(s: Column) -> Column:
+    """N-1 step 2: struct(y, m, d) of already-stripped text, from the first
+    matching layout (null when none matches)."""
+    parts = [(s.rlike(regex), DATE_PARTS[label]) for label, regex, _ in DATE_LAYOUTS]
+    layout = None
+    for i, (cond, _) in enumerate(parts):
+        layout = (F.when if layout is None else layout.when)(cond, F.lit(i))
+
+    def pick(idx):
+        out = None
+        for i, (_, spec) in enumerate(parts):
+            start, length = spec[idx]
+            out = (F.when if out is None else out.when)(layout == i, F.substring(s, start, length).cast("int"))
+        return out
+
+    return F.when(layout.isNotNull(), F.struct(pick(0).alias("y"), pick(1).alias("m"), pick(2).alias("d")))
+
+
+def date_from_parts(p: Column) -> Column:
+    """N-1 step 3: calendar check (leap years included) then ``make_date``,
+    evaluated only on valid parts, so bad dates cost no parse exception."""
+    y, m, d = p["y"], p["m"], p["d"]
+    valid = (y >= 1) & (m >= 1) & (m <= 12) & (d >= 1) & (d <= _days_in_month(y, m))
+    return F.when(valid, F.make_date(y, m, d))
+
+
 def normalize_date(c) -> Column:
     """N-1: mixed legacy date text -> DATE; no layout or invalid day -> null.
 
     ``dd-MM-yyyy`` is read as ``MM-dd-yyyy`` exactly like the reference, so a day
-    above 12 becomes null and smaller days are swapped.
+    above 12 becomes null and smaller days are swapped; year 0 is rejected
+    (Python has none).  Table transforms run the three steps (strip, parts,
+    date) as staged projections so each is computed once per row; this
+    single-expression form is for ad hoc use.
     """
-    s = strip(c)
-    candidates = []
-    for _, regex, fmt in DATE_LAYOUTS:
-        d = F.try_to_date(s, fmt)
-        candidates.append(F.when(s.rlike(regex) & (F.year(d) >= 1), d))
-    return F.coalesce(*candidates)
+    return date_from_parts(date_parts(strip(c)))
 
 
 def normalize_status_customer(c) -> Column:

@@ -101,9 +101,10 @@ def type_family(t: Column) -> Column:
     return out.otherwise(F.lit("other"))
 
 
-def type_compat(src: Column, tgt: Column):
-    """D-7: (compatible, risk) of a source -> target SQL type pair."""
-    s, t = type_family(src), type_family(tgt)
+def type_compat(src: Column, tgt: Column, families: bool = False):
+    """D-7: (compatible, risk) of a source -> target SQL type pair; with
+    ``families`` the inputs are already type families (D-6 outputs)."""
+    s, t = (src, tgt) if families else (type_family(src), type_family(tgt))
     compatible = (F.when(s == t, True).when((s == "int") & (t == "numeric"), True)
                   .when((s == "text") & t.isin("int", "numeric", "bool", "date"), False)
                   .when((s == "int") & (t == "bool"), True).otherwise(False))
@@ -149,10 +150,13 @@ def enrich(rows: DataFrame, patterns: DataFrame) -> DataFrame:
     a ``direct`` transform is upgraded by the observed pattern (boolean ->
     normalize_bool with confidence <= 0.75, date -> normalize_date, phone ->
     normalize_phone).  Patterns are joined on (table, column): one row each."""
-    compatible, risk, sfam, tfam = type_compat(F.coalesce("source_type", F.lit("TEXT")),
-                                               F.coalesce("target_type", F.lit("TEXT")))
     p = patterns.select(F.col("table_name").alias("_pt"), F.col("column_name").alias("_pc"), "pattern", "date_format")
-    j = rows.join(p, (rows["table_name"] == p["_pt"]) & (rows["source_col"] == p["_pc"]), "left")
+    j = (rows.join(p, (rows["table_name"] == p["_pt"]) & (rows["source_col"] == p["_pc"]), "left")
+         .withColumn("_sf", type_family(F.coalesce("source_type", F.lit("TEXT"))))
+         .withColumn("_tf", type_family(F.coalesce("target_type", F.lit("TEXT")))))
+    compatible, risk, sfam, tfam = type_compat(F.col("_sf"), F.col("_tf"), families=True)
+    j = j.withColumn("_compat", compatible)
+    compatible = F.col("_compat")
     conf0 = F.coalesce(F.col("confidence"), F.lit(DEFAULT_CONFIDENCE))
     conf1 = F.when(~compatible, F.least(conf0, F.lit(INCOMPATIBLE_CAP))).otherwise(F.col("confidence"))
     direct = F.col("transform") == "direct"
@@ -172,7 +176,8 @@ def enrich(rows: DataFrame, patterns: DataFrame) -> DataFrame:
 
 def ambiguous(enriched: DataFrame) -> DataFrame:
     """P-10: mappings whose confidence (missing = 1) is below 0.80."""
-    return enriched.where(F.coalesce(F.col("confidence"), F.lit(1.0)) < AMBIGUOUS_BELOW)
+    from tidyload.operators.transform import keep_where
+    return keep_where(enriched, F.coalesce(F.col("confidence"), F.lit(1.0)) < AMBIGUOUS_BELOW)
 
 
 def summary(enriched: DataFrame, approved: bool = False) -> DataFrame:
@@ -226,36 +231,40 @@ def _sql_mode_column(m, types) -> Column | None:
     return F.expr(sql)
 
 
-def _registry_mode_column(m, types, table) -> Column | None:
-    src, tr = m["source_col"], m["transform"] or "direct"
+def _registry_transform(m, table) -> str | None:
+    tr = m["transform"] or "direct"
     if tr == "skip":
         return None
     if tr == "normalize_status":
-        tr = STATUS_BY_TABLE.get(table, "normalize_status_customer")
-    return TRANSFORMS[tr](F.col(src), types.get(src, "string"))
+        return STATUS_BY_TABLE.get(table, "normalize_status_customer")
+    return tr
 
 
 def apply_mapping(df: DataFrame, mapping: DataFrame, table: str, mode: str = "sql",
                   overrides: dict | None = None) -> DataFrame:
-    """P-14: compile the (tiny) mapping rows of ``table`` into ONE projection.
+    """P-14: compile the (tiny) mapping rows of ``table`` into a projection.
 
     ``mode='sql'`` follows the staging generator (mapping SQL verbatim);
     ``mode='registry'`` resolves transform names to this library's Column
-    builders; ``overrides`` maps target column -> registry transform name."""
+    builders (multi-step ones as staged projections); ``overrides`` maps
+    target column -> registry transform name."""
+    from tidyload.operators.transform import staged_select
     rows = [r.asDict() for r in mapping.where(F.col("table_name") == table).orderBy("position").collect()]
     types = dict((f.name, f.dataType.simpleString()) for f in df.schema.fields)
-    cols = []
+    if mode == "sql" and not overrides:
+        cols = []
+        for m in rows:
+            c = _sql_mode_column(m, types)
+            if c is not None:
+                cols.append(c.alias(m["target_col"]))
+        return df.select(*cols)
+    items = []
     for m in rows:
         tgt = m["target_col"]
-        if overrides and tgt in overrides:
-            c = TRANSFORMS[overrides[tgt]](F.col(m["source_col"]), types.get(m["source_col"], "string"))
-        elif mode == "sql":
-            c = _sql_mode_column(m, types)
-        else:
-            c = _registry_mode_column(m, types, table)
-        if c is not None:
-            cols.append(c.alias(tgt))
-    return df.select(*cols)
+        tr = overrides[tgt] if overrides and tgt in overrides else _registry_transform(m, table)
+        if tr is not None:
+            items.append((tgt, m["source_col"], tr))
+    return staged_select(df, items)
 
 
 def staging_filter(table: str, as_written: bool = False) -> Column | None:

@@ -12,10 +12,36 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidyload.plans.specs import SPECS, TableSpec, build_column
+from tidyload.plans.specs import SPECS, TableSpec, stages
 from tidyload.session import checkpointed
 
 
+def staged_select(df: DataFrame, items, passthrough=()) -> DataFrame:
+    """Select ``items`` = [(alias, source column, transform name)] plus the
+    ``passthrough`` columns, running multi-step transforms as one projection
+    per step.  Catalyst does not inline an expensive alias that is used more
+    than once, so every intermediate is computed once per row and each
+    projection stays small enough for whole-stage codegen."""
+    types = dict((f.name, f.dataType.simpleString()) for f in df.schema.fields)
+    plans = [(alias, src, stages(tr), types[src]) for alias, src, tr in items]
+    depth = max([len(st) for _, _, st, _ in plans] + [1])
+    keep = [F.col(c) for c in passthrough]
+    cur = [F.col(src) for _, src, _, _ in plans]
+    for step in range(depth):
+        last = step == depth - 1
+        cols = []
+        for i, (alias, _, st, typ) in enumerate(plans):
+            c = cur[i]
+            # single-step transforms run in the last projection, with the rest
+            offset = depth - len(st)
+            if step >= offset:
+                c = st[step - offset](c, typ)
+            cols.append(c.alias(alias if last else f"_s{i}"))
+        df = df.select(*cols, *keep)
+        cur = [F.col(f"_s{i}") for i in range(len(plans))]
+    return df
+
+
 def project(df: DataFrame, spec: TableSpec, keep_key: bool = False, extra=None) -> DataFrame:
     """P-1..P-8: rename-and-select with the spec's Column builders.
 
@@ -23,13 +49,15 @@ def project(df: DataFrame, spec: TableSpec, keep_key: bool = False, extra=None)
     dedup can order rows even when the key is not a target column; ``extra``
     ({source column: output name}) passes further source columns through.
     """
-    types = dict((f.name, f.dataType.simpleString()) for f in df.schema.fields)
-    cols = [build_column(t, F.col(s), types[s]).alias(name) for name, s, t in spec.columns]
+    items = list(spec.columns)
+    passthrough = []
     if keep_key:
-        cols.append(F.col(spec.key).alias("_src_key"))
+        df = df.withColumn("_src_key", F.col(spec.key))
+        passthrough.append("_src_key")
     for s, name in (extra or {}).items():
-        cols.append(F.col(s).alias(name))
-    return df.select(*cols)
+        df = df.withColumn(name, F.col(s))
+        passthrough.append(name)
+    return staged_select(df, [(name, s, t) for name, s, t in items], passthrough)
 
 
 def survivors(df: DataFrame, on, order_col: str) -> DataFrame:
@@ -83,9 +111,29 @@ def dedup_rejects(df: DataFrame, on, order_col: str) -> DataFrame:
             .withColumnRenamed("_keep_key", "kept_" + order_col))
 
 
-def required_filter(df: DataFrame, required) -> DataFrame:
-    """P-9: ``dropna(subset=required)``."""
-    return df.dropna(subset=list(required))
+def keep_where(df: DataFrame, cond) -> DataFrame:
+    """Filter evaluated IN the projection that computes its inputs.
+
+    A plain ``where`` on a column produced by a multi-step transform is pushed
+    below the staged projections with every alias inlined, so the whole
+    normaliser chain is copied into the predicate (and computed twice).  Here
+    the kept rows are the non-null elements of ``when(cond, [row])`` exploded:
+    no Filter node exists to be pushed down."""
+    row = F.struct(*[F.col(c) for c in df.columns])
+    return df.select(F.explode(F.when(cond, F.array(row))).alias("_row")).select("_row.*")
+
+
+def required_filter(df: DataFrame, required, computed=()) -> DataFrame:
+    """P-9: ``dropna(subset=required)``.  Columns in ``computed`` (outputs of
+    multi-step transforms) are checked by ``keep_where``; the others by an
+    ordinary filter, which Catalyst pushes down to the scan."""
+    plain = [c for c in required if c not in computed]
+    heavy = [c for c in required if c in computed]
+    if plain:
+        df = df.dropna(subset=plain)
+    if heavy:
+        df = keep_where(df, reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in heavy]))
+    return df
 
 
 def migrate(df: DataFrame, spec: TableSpec | str, nulls: str = "collapse") -> DataFrame:
@@ -95,7 +143,8 @@ def migrate(df: DataFrame, spec: TableSpec | str, nulls: str = "collapse") -> Da
     out = project(df, spec, keep_key=bool(spec.dedup_on))
     if spec.dedup_on:
         out = dedup_keep_first(out, spec.dedup_on, "_src_key", nulls=nulls).drop("_src_key")
-    return required_filter(out, spec.required)
+    computed = [name for name, _, tr in spec.columns if len(stages(tr)) > 1]
+    return required_filter(out, spec.required, computed)
 
 
 def surrogate_keys(df: DataFrame, order_col: str, id_col: str = "target_id") -> DataFrame:

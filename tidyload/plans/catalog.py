@@ -30,11 +30,11 @@ def _legacy(spark, sf_dir, table):
 
 @register("norm_date_orders")
 def norm_date_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _legacy(spark, sf_dir, "orders")
-    return o.select("ord_id", "ord_date",
-                    N.normalize_date("ord_date").alias("order_date"),
-                    N.normalize_date("ord_exp_deliver").alias("expected_delivery"),
-                    N.normalize_date("ord_delivered").alias("delivered_at"))
+    o = _legacy(spark, sf_dir, "orders").withColumn("ord_date_raw", F.col("ord_date"))
+    return T.staged_select(o, [("order_date", "ord_date", "normalize_date"),
+                               ("expected_delivery", "ord_exp_deliver", "normalize_date"),
+                               ("delivered_at", "ord_delivered", "normalize_date")],
+                           ["ord_id", "ord_date_raw"]).withColumnRenamed("ord_date_raw", "ord_date")
 
 
 def date_layout(c) -> "F.Column":
@@ -49,9 +49,9 @@ def date_layout(c) -> "F.Column":
 @register("norm_date_loss")
 def norm_date_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R-11: source layout x converted-or-lost census of one normalised column."""
-    o = _legacy(spark, sf_dir, "orders")
-    return (o.select(date_layout("ord_date").alias("source_format"),
-                     N.normalize_date("ord_date").isNull().alias("target_null"))
+    o = _legacy(spark, sf_dir, "orders").withColumn("source_format", date_layout("ord_date"))
+    d = T.staged_select(o, [("order_date", "ord_date", "normalize_date")], ["source_format"])
+    return (d.select("source_format", F.col("order_date").isNull().alias("target_null"))
             .groupBy("source_format", "target_null").agg(F.count(F.lit(1)).alias("n_rows")))
 
 

@@ -25,7 +25,9 @@ TRANSFORMS = {
     "direct": lambda c, t: c,
     "lowercase": lambda c, t: N.lower_strip(c),
     "uppercase": lambda c, t: N.upper_strip(c),
-    "normalize_date": lambda c, t: N.normalize_date(c),
+    # staged: strip -> (y, m, d) -> date, one projection per step
+    "normalize_date": [lambda c, t: N.strip(c), lambda c, t: N.date_parts(c),
+                       lambda c, t: N.date_from_parts(c)],
     "normalize_status_customer": lambda c, t: N.normalize_status_customer(c),
     "normalize_status_order": lambda c, t: N.normalize_status_order(c),
     "normalize_bool": lambda c, t: N.normalize_bool(c),
@@ -163,9 +165,18 @@ QUALITY_THRESHOLD = 0.80
 SEVERITY_WEIGHTS = {"CRITICAL": 3.0, "HIGH": 2.0, "WARNING": 1.0}
 
 
-def build_column(transform: str, col: Column, source_type: str) -> Column:
+def stages(transform: str) -> list:
+    """The transform as a list of steps (most transforms have one)."""
     try:
         fn = TRANSFORMS[transform]
     except KeyError as e:
         raise ValueError(f"unknown transform {transform!r}") from e
-    return fn(col, source_type)
+    return fn if isinstance(fn, list) else [fn]
+
+
+def build_column(transform: str, col: Column, source_type: str) -> Column:
+    """The whole transform as one expression (for ad hoc use)."""
+    out = col
+    for step in stages(transform):
+        out = step(out, source_type)
+    return out

@@ -48,7 +48,8 @@ def pick(k: Column, values: list) -> Column:
 
 
 def iso_text(d: Column) -> Column:
-    return F.date_format(d, "yyyy-MM-dd")
+    """ISO text of a date (the DATE -> STRING cast, no formatter object)."""
+    return d.cast("date").cast("string")
 
 
 def mixed_date(iso: Column, sel: Column) -> Column:
