@@ -26,17 +26,26 @@ NEGATIVE_CHECK_COLUMNS = ["unit_price", "subtotal_ht", "discount_pct"]
 ISSUE_COLS = ["table_name", "seq", "issue_type", "column_name", "severity", "metric"]
 
 
+def _side_counts(source: DataFrame, target: DataFrame):
+    """Rows of both sides as one union of flags: one aggregate then counts
+    both (the source side reads no columns at all)."""
+    return (source.select(F.lit(1).alias("_s"), F.lit(0).alias("_t"))
+            .unionByName(target.select(F.lit(0).alias("_s"), F.lit(1).alias("_t"))))
+
+
+def _stats_columns(table_name: str):
+    return [F.lit(table_name).alias("table_name"), "source_count", "target_count",
+            (F.col("source_count") >= F.col("target_count")).alias("count_match"),
+            (F.col("source_count") - F.col("target_count")).alias("count_diff"),
+            ratio("target_count", "source_count", 4).alias("load_rate")]
+
+
 def load_stats(source: DataFrame, target: DataFrame, table_name: str) -> DataFrame:
-    """K-2 / R-2: source_count, target_count, count_match, count_diff, filtered,
-    load_rate (4 digits).  Two single-row aggregates joined on the table name."""
-    s = source.agg(F.count(F.lit(1)).alias("source_count")).withColumn("table_name", F.lit(table_name))
-    t = target.agg(F.count(F.lit(1)).alias("target_count")).withColumn("table_name", F.lit(table_name))
-    j = s.join(t, "table_name")
-    return j.select(
-        "table_name", "source_count", "target_count",
-        (F.col("source_count") >= F.col("target_count")).alias("count_match"),
-        (F.col("source_count") - F.col("target_count")).alias("count_diff"),
-        ratio("target_count", "source_count", 4).alias("load_rate"))
+    """K-2 / R-2: source_count, target_count, count_match, count_diff,
+    load_rate (4 digits): ONE global aggregate over both sides, no join."""
+    one = _side_counts(source, target).agg(F.sum("_s").cast("bigint").alias("source_count"),
+                                           F.sum("_t").cast("bigint").alias("target_count"))
+    return one.select(*_stats_columns(table_name))
 
 
 def numeric_checks(target: DataFrame, table_name: str) -> DataFrame:
@@ -107,25 +116,28 @@ def _date_like(name: str) -> bool:
     return "date" in name or name.split("_")[-1:] == ["at"]
 
 
-def drift_issues(target: DataFrame, table_name: str, stats: DataFrame,
+def drift_issues(target: DataFrame, table_name: str, source: DataFrame,
                  valid_statuses=None) -> DataFrame:
-    """R-6 .. R-8b in the reference's order (``seq``): one aggregate pass over
-    the migrated rows, joined (on the table name, 1 x 1) with the load counts
-    of ``load_stats``."""
-    aggs = [F.count(F.lit(1)).alias("_rows")]
+    """R-6 .. R-8b in the reference's order (``seq``): ONE aggregate over the
+    migrated rows and the source row flags (for the retention figure)."""
     date_cols = [c for c in target.columns if _date_like(c)]
-    for i, c in enumerate(date_cols):
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"_d{i}"))
     has_status = valid_statuses is not None and "status" in target.columns
+    neg_cols = [c for c in NEGATIVE_CHECK_COLUMNS if c in target.columns]
+    used = list(dict.fromkeys(date_cols + (["status"] if has_status else []) + neg_cols))
+    types = dict((f.name, f.dataType) for f in target.schema.fields)
+    u = (target.select(*used, F.lit(1).alias("_t"))
+         .unionByName(source.select(*[F.lit(None).cast(types[c]).alias(c) for c in used], F.lit(0).alias("_t"))))
+    tgt_row = F.col("_t") == 1
+    aggs = [F.count_if(tgt_row).alias("_rows"), F.count_if(~tgt_row).alias("_src")]
+    for i, c in enumerate(date_cols):
+        aggs.append(F.count_if(tgt_row & F.col(c).isNull()).alias(f"_d{i}"))
     if has_status:
-        aggs.append(F.count_if(~F.coalesce(F.col("status").isin(list(valid_statuses)), F.lit(False)))
+        aggs.append(F.count_if(tgt_row & ~F.coalesce(F.col("status").isin(list(valid_statuses)), F.lit(False)))
                     .alias("_st"))
-    neg_cols = [c for c in NEGATIVE_CHECK_COLUMNS if c in target.columns]
     for i, c in enumerate(neg_cols):
         aggs.append(F.count_if(F.col(c).cast("double") < 0).alias(f"_n{i}"))
-    one = (target.agg(*aggs).withColumn("table_name", F.lit(table_name))
-           .join(stats.select("table_name", "source_count", "target_count"), "table_name"))
-    src, tgt = F.col("source_count"), F.col("target_count")
+    one = u.agg(*aggs)
+    src, tgt = F.col("_src"), F.col("_rows")
     retention = F.when(src > 0, tgt / src).otherwise(F.lit(0.0))
 
     def issue(seq, typ, col, sev, metric, cond):
@@ -147,8 +159,8 @@ def drift_issues(target: DataFrame, table_name: str, stats: DataFrame,
     cands.append(issue(300, "LOW_RETENTION_RATE", "ALL",
                        F.when(retention < RETENTION_FAIL, F.lit("HIGH")).otherwise(F.lit("MEDIUM")),
                        retention, retention < RETENTION_WARN))
-    return (one.select("table_name", F.explode(F.array(*cands)).alias("i")).where(F.col("i").isNotNull())
-            .select("table_name", "i.*"))
+    return (one.select(F.explode(F.array(*cands)).alias("i")).where(F.col("i").isNotNull())
+            .select(F.lit(table_name).alias("table_name"), "i.*"))
 
 
 def migration_status(tables: DataFrame, issues: DataFrame) -> DataFrame:

@@ -315,7 +315,7 @@ def reconcile_rows(spark, sf_dir):
 def _drift(spark, sf_dir):
     src, tgt = _frames(spark, sf_dir)
     stats = {t: R.load_stats(src[t], tgt[t], t) for t in MIGRATION_ORDER}
-    issues = _union([R.drift_issues(tgt[t], t, stats[t], VALID_STATUSES.get(t)) for t in MIGRATION_ORDER])
+    issues = _union([R.drift_issues(tgt[t], t, src[t], VALID_STATUSES.get(t)) for t in MIGRATION_ORDER])
     return stats, issues
 
 
@@ -450,11 +450,14 @@ from tidyload.operators import mapping as M  # noqa: E402
 from tidyload.sources.legacy import ORDER_KEYS  # noqa: E402
 
 
+UNIQUE_ORDER_KEY = {"customers", "products", "suppliers", "orders"}
+
+
 def _order_cols(table, df):
-    """Sample order: the row key, then every column as tie-breaker (the
-    order-lines key is not unique)."""
+    """Sample order: the row key; where it is not unique (order lines) every
+    column follows as tie-breaker so the sample is deterministic."""
     k = ORDER_KEYS[table]
-    return [k] + [c for c in df.columns if c != k]
+    return [k] if table in UNIQUE_ORDER_KEY else [k] + [c for c in df.columns if c != k]
 
 
 def _patterns(spark, sf_dir, tables):
