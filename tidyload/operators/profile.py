@@ -116,14 +116,16 @@ def value_key(c, text: bool = True) -> "F.Column":
                   F.concat(F.lit("#sha256:"), F.sha2(s, 256))).otherwise(s)
 
 
-def value_counts(df: DataFrame, columns=None) -> DataFrame:
+def value_counts(df: DataFrame, columns=None, extra=()) -> DataFrame:
     """(column_name, value, n) for every non-null value of every column: the
-    unpivot + group-by that all distinct/duplicate/value-set figures share."""
+    unpivot + group-by that all distinct/duplicate/value-set figures share.
+    ``extra`` adds (name, Column) pseudo-columns (e.g. the row digest)."""
     columns = columns or df.columns
     types = dict((f.name, f.dataType) for f in df.schema.fields)
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"),
-                               value_key(c, is_text(types[c])).alias("value"))
-                      for c in columns])
+    pairs = F.array(*([F.struct(F.lit(c).alias("column_name"),
+                                value_key(c, is_text(types[c])).alias("value"))
+                       for c in columns]
+                      + [F.struct(F.lit(name).alias("column_name"), col.alias("value")) for name, col in extra]))
     return (df.select(F.explode(pairs).alias("p"))
             .where(F.col("p.value").isNotNull())
             .groupBy("p.column_name", "p.value")
@@ -143,15 +145,29 @@ def _distinct_pass(vc: DataFrame, candidates) -> DataFrame:
     )
 
 
-def profile(df: DataFrame, table_name: str) -> DataFrame:
-    """Long-format profile, one row per column (see module doc for the plan)."""
+ROW_PSEUDO_COLUMN = "*"
+
+
+def profile(df: DataFrame, table_name: str, with_rows: bool = False) -> DataFrame:
+    """Long-format profile, one row per column (see module doc for the plan).
+
+    With ``with_rows`` the value-count pass also counts the row digest as a
+    pseudo-column ``*`` (ordinal -1): its ``dup_count`` is the whole-row
+    duplicate count (A-8) and ``unique_count`` the distinct rows, from the
+    same shuffle, with no further scan."""
     df = clean(df)
     spark = df.sparkSession
     fields = df.schema.fields
     stats_rows = _stats_pass(df, fields)
     candidates = [r[0] for r in stats_rows if r[16] is not None and r[16] <= SET_CANDIDATE_MAX]
+    extra = []
+    if with_rows and stats_rows:
+        n = stats_rows[0][5]
+        stats_rows = stats_rows + [(ROW_PSEUDO_COLUMN, -1, "row", False, False, n, 0, None, None, None, 0,
+                                    None, 0, 0, 0, 0, n)]
+        extra = [(ROW_PSEUDO_COLUMN, row_digest(df))]
     stats = spark.createDataFrame(stats_rows, STATS_SCHEMA)
-    dist = _distinct_pass(value_counts(df), candidates)
+    dist = _distinct_pass(value_counts(df, extra=extra), candidates)
     rows = F.col("row_count")
     n_formats = sum((F.col(c) > 0).cast("int")
                     for c in ("date_iso", "date_fr", "date_us", "date_compact"))

@@ -48,9 +48,11 @@ def _one_pass(prof: DataFrame, candidates) -> DataFrame:
     return (prof.select(F.explode(arr).alias("r")).where(F.col("r").isNotNull()).select("r.*"))
 
 
-def anomalies(prof: DataFrame, dup_rows: DataFrame, critical=()) -> DataFrame:
-    """Q-1..Q-8 in the reference's check order (``seq``)."""
+def anomalies(prof: DataFrame, dup_rows: DataFrame | None = None, critical=()) -> DataFrame:
+    """Q-1..Q-8 in the reference's check order (``seq``).  Whole-row duplicates
+    come from the profile's ``*`` row when it has one (``dup_rows=None``)."""
     crit = _critical(critical)
+    is_row = F.col("column_name") == P.ROW_PSEUDO_COLUMN
     o = F.col("ordinal").cast("bigint") * 10
 
     def finding(cond, k, typ, sev, metric):
@@ -67,9 +69,15 @@ def anomalies(prof: DataFrame, dup_rows: DataFrame, critical=()) -> DataFrame:
         finding(F.col("status_encoding").isNotNull() & (F.col("unique_count") > STATUS_FINDING_MIN_VALUES),
                 4, "STATUS_ENCODING", "HIGH", F.col("unique_count")),
         finding(F.col("negative_count") > 0, 5, "NEGATIVE_VALUES", "MEDIUM", F.col("negative_count")),
-        finding(_name_has(DUP_KEY_WORDS) & (F.col("dup_count") > 0), 100000, "DUPLICATE_KEY", "HIGH",
+        finding(~is_row & _name_has(DUP_KEY_WORDS) & (F.col("dup_count") > 0), 100000, "DUPLICATE_KEY", "HIGH",
                 F.col("dup_count")),
+        (is_row & (F.col("dup_count") > 0), F.struct(
+            F.col("table_name"), F.lit(99999).cast("bigint").alias("seq"),
+            F.lit("DUPLICATE_ROWS").alias("anomaly_type"), F.lit("HIGH").alias("severity"),
+            F.lit("ALL").alias("column_name"), F.col("dup_count").cast("double").alias("metric"))),
     ])
+    if dup_rows is None:
+        return per_column
     whole_rows = dup_rows.where(F.col("dup_rows") > 0).select(
         "table_name", F.lit(99999).cast("bigint").alias("seq"), F.lit("DUPLICATE_ROWS").alias("anomaly_type"),
         F.lit("HIGH").alias("severity"), F.lit("ALL").alias("column_name"),
@@ -95,6 +103,7 @@ def rules(prof: DataFrame, critical=()) -> DataFrame:
             observed.cast("double").alias("observed"),
             error.cast("string").alias("error"), F.lit(SEVERITY_WEIGHTS[sev]).alias("weight"))
 
+    prof = prof.where(F.col("column_name") != P.ROW_PSEUDO_COLUMN)
     raw_rate = F.col("null_count") / F.col("row_count")
     thr = round_half_up(F.least(F.col("null_rate") * NULL_RATE_SLACK, F.lit(NULL_RATE_CAP)), 3)
     comparable = F.col("is_numeric")
@@ -152,6 +161,6 @@ def assess(df: DataFrame, table_name: str, critical=None):
     """Profile + findings + rules for one table (``critical`` defaults to the
     reference's list for its five tables)."""
     critical = CRITICAL_COLUMNS.get(table_name, []) if critical is None else critical
-    prof = P.profile(df, table_name)
-    dr = P.dup_rows(df, table_name)
-    return prof, anomalies(prof, dr, critical), rules(prof, critical)
+    full = P.profile(df, table_name, with_rows=True)
+    prof = full.where(F.col("column_name") != P.ROW_PSEUDO_COLUMN)
+    return prof, anomalies(full, None, critical), rules(full, critical)
