@@ -117,10 +117,11 @@ def keep_where(df: DataFrame, cond) -> DataFrame:
     A plain ``where`` on a column produced by a multi-step transform is pushed
     below the staged projections with every alias inlined, so the whole
     normaliser chain is copied into the predicate (and computed twice).  Here
-    the kept rows are the non-null elements of ``when(cond, [row])`` exploded:
-    no Filter node exists to be pushed down."""
-    row = F.struct(*[F.col(c) for c in df.columns])
-    return df.select(F.explode(F.when(cond, F.array(row))).alias("_row")).select("_row.*")
+    each row is exploded against a one-element array when ``cond`` holds and
+    an empty one otherwise: no Filter node exists to be pushed down, and the
+    generator's pass-through columns can still be pruned by later consumers."""
+    flag = F.explode(F.when(cond, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
+    return df.select("*", flag.alias("_kept")).drop("_kept")
 
 
 def required_filter(df: DataFrame, required, computed=()) -> DataFrame:

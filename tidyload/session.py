@@ -11,6 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# A whole-stage-codegen method that fuses a view and several staged
+# projections can exceed the JVM's 8000-byte JIT limit and would then run in
+# the bytecode interpreter; this lets the JIT compile it (set the same in the
+# cluster's spark-defaults for drivers and executors).
+JIT_HUGE_METHODS = "-XX:-DontCompileHugeMethods"
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "tidyload") -> SparkSession:
@@ -23,6 +29,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.driver.extraJavaOptions", JIT_HUGE_METHODS)
+        .config("spark.executor.extraJavaOptions", JIT_HUGE_METHODS)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
