@@ -344,36 +344,16 @@ def run_summary(spark, sf_dir):
 
 # ---- constraints, foreign keys, lookups (C-*, J-*, W-3, R-9) -----------------
 
-def _loaded(spark, sf_dir, tables=MIGRATION_ORDER):
-    """K-1 then read back: each migrated table is computed ONCE and written to
-    the shared folder; constraint and foreign-key checks read the loaded
-    target (as checks on a real target do) instead of recomputing the
-    transform in every relation they take part in."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    from tidyload.session import shared_path as _sp
-    _, tgt = _frames(spark, sf_dir, tables)
-    paths = {t: _sp(spark, "target", t) for t in tables}
-
-    def write(t):
-        tgt[t].write.mode("overwrite").parquet(paths[t])
-
-    # independent jobs: submitted together so their stages share the cluster
-    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        list(pool.map(write, tables))
-    return {t: spark.read.parquet(paths[t]) for t in tables}
-
-
 @register("check_not_null")
 def check_not_null(spark, sf_dir):
-    tgt = _loaded(spark, sf_dir)
+    _, tgt = _frames(spark, sf_dir)
     return _union([C.check_not_null(tgt[t], t) for t in MIGRATION_ORDER])
 
 
 @register("check_unique")
 def check_unique(spark, sf_dir):
     """C-2 on the migrated tables and on lineitem's (l_orderkey, l_linenumber)."""
-    tgt = _loaded(spark, sf_dir)
+    _, tgt = _frames(spark, sf_dir)
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"])
     return _union([C.check_unique(tgt[t], t) for t in MIGRATION_ORDER]
                   + [C.check_unique(li, "lineitem", [["l_orderkey", "l_linenumber"]])])
@@ -381,7 +361,7 @@ def check_unique(spark, sf_dir):
 
 @register("check_range")
 def check_range(spark, sf_dir):
-    tgt = _loaded(spark, sf_dir, ["products", "suppliers", "orders", "order_lines"])
+    _, tgt = _frames(spark, sf_dir, ["products", "suppliers", "orders", "order_lines"])
     return _union([C.check_range(tgt[t], t) for t in ["products", "suppliers", "orders", "order_lines"]])
 
 
@@ -393,14 +373,16 @@ def check_set(spark, sf_dir):
 
 @register("check_length")
 def check_length(spark, sf_dir):
-    tgt = _loaded(spark, sf_dir)
+    _, tgt = _frames(spark, sf_dir)
     return _union([C.check_length(tgt[t], t) for t in MIGRATION_ORDER])
 
 
 @register("fk_orphans")
 def fk_orphans(spark, sf_dir):
-    """J-1: the eight relations of the target DDL over the loaded tables."""
-    tgt = _loaded(spark, sf_dir)
+    """J-1: the eight relations of the target DDL over the migrated tables
+    (on a cluster, pass the loaded targets: the checks then read key columns
+    from parquet instead of recomputing transforms)."""
+    _, tgt = _frames(spark, sf_dir)
     return C.all_fk_orphans(spark, tgt)
 
 
