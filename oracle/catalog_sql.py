@@ -524,3 +524,10 @@ SQL["load_ready_orders"] = with_mig(
     f"* CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(14,2)) AS DOUBLE) AS total_ttc FROM mig_orders o LEFT JOIN "
     f"(SELECT row_number() OVER (ORDER BY legacy_cst_id) AS customer_sk, legacy_cst_id FROM mig_customers) c "
     f"ON o.customer_id = c.legacy_cst_id", ["customers", "orders"])
+
+_DPAIRS = [("order_date", "ord_date"), ("expected_delivery", "ord_exp_deliver"), ("delivered_at", "ord_delivered")]
+SQL["drift_date_loss"] = D.with_legacy(_u([
+    f"SELECT 'orders' AS table_name, '{t}' AS column_name, CAST(count_if(({D.norm_date(s)}) IS NULL) AS BIGINT) AS target_nulls, "
+    f"CAST(count_if({s} IS NULL) AS BIGINT) AS source_nulls, "
+    f"CAST(count_if({s} IS NOT NULL AND ({D.norm_date(s)}) IS NULL) AS BIGINT) AS lost, CAST(count(*) AS BIGINT) AS row_count "
+    f"FROM legacy_orders" for t, s in _DPAIRS]), "orders")

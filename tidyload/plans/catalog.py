@@ -601,3 +601,25 @@ def load_ready_orders(spark, sf_dir):
     o = T.surrogate_keys(o, "legacy_ord_id", "order_id")
     return o.select("order_id", "legacy_ord_id", "customer_sk", "status", "order_date",
                     C.total_ttc("subtotal_ht", "tva_rate").cast("double").alias("total_ttc"))
+
+
+@register("drift_date_loss")
+def drift_date_loss(spark, sf_dir):
+    """R-6 detail: per date column of the migrated orders, target nulls, nulls
+    already in the source, and values LOST by conversion (source present,
+    target null) — one aggregate over the projection with the sources kept."""
+    src = _legacy(spark, sf_dir, "orders")
+    pairs = [("order_date", "ord_date"), ("expected_delivery", "ord_exp_deliver"), ("delivered_at", "ord_delivered")]
+    proj = T.project(src, SPECS["orders"], extra={s: f"_src_{t}" for t, s in pairs})
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, (t, _) in enumerate(pairs):
+        aggs += [F.count_if(F.col(t).isNull()).alias(f"_tn{i}"),
+                 F.count_if(F.col(f"_src_{t}").isNull()).alias(f"_sn{i}"),
+                 F.count_if(F.col(f"_src_{t}").isNotNull() & F.col(t).isNull()).alias(f"_l{i}")]
+    one = proj.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(t).alias("column_name"), F.col(f"_tn{i}").alias("target_nulls"),
+                              F.col(f"_sn{i}").alias("source_nulls"), F.col(f"_l{i}").alias("lost"),
+                              F.col("_rows").alias("row_count")) for i, (t, _) in enumerate(pairs)])
+    return one.select(F.explode(rows).alias("r")).select(
+        F.lit("orders").alias("table_name"), "r.column_name", "r.target_nulls", "r.source_nulls", "r.lost",
+        "r.row_count")
