@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidyload.llm import decontaminate, embedding_lsh, minhash, mixing, suffix_dedup
+from tidyload.llm import (decontaminate, embedding_lsh, html_text, language_id, minhash, mixing, suffix_dedup, token_counts,
+                          url_filter, weak_quality)
 from tidyload.llm.common import table
 
 
@@ -19,6 +20,10 @@ def op2_minhash_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select(
@@ -34,9 +39,33 @@ def op5_substring_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"]).select("doc.page_id", "doc.url", "text", "n_chars")
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learn = language_id.admitted("doc_id")
+    found = language_id.identify(docs, language_id.train(docs.where(learn)), keep=["doc_id"])
+    return found.select("doc.doc_id", "lang_pred", "score").withColumn("held_out", ~learn).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op8_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = weak_quality.quality(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("doc.doc_id", "posterior", "score", "good")
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document before and after its personal data is masked."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("edits", token_counts.personal_data_edits())
+    return token_counts.count_tokens(docs, edits_col="edits", keep=["doc_id"]).select("doc.doc_id", *[f.name for f in token_counts.RESULT])
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_embedding_dups, op2_minhash_dups, op4_benchmark_leaks, op5_substring_dups, op10_source_mix)}
+    f.__name__: f for f in (
+        op1_embedding_dups, op2_minhash_dups, op3_url_filter, op4_benchmark_leaks, op5_substring_dups, op6_html_text,
+        op7_language_id, op8_weak_quality, op9_token_counts, op10_source_mix)}
