@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidyload.llm import decontaminate, minhash, mixing, suffix_dedup
+from tidyload.llm import decontaminate, language_id, minhash, mixing, suffix_dedup
 from tidyload.llm.common import table, written
 
 MIN_BYTES = 100
@@ -17,6 +17,11 @@ MIN_BYTES = 100
 and over the stock lines and phrases that ordinary documents share."""
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or without a language that most of them is in, go."""
+    return language_id.known_language(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, 0.8) stays."""
     return minhash.keep_one_of_each(docs)
@@ -37,7 +42,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
-STAGES = [("minhash", near_duplicates), ("substrings", substrings), ("benchmark", benchmark), ("mixing", mixture)]
+STAGES = [("language", language), ("minhash", near_duplicates), ("substrings", substrings),
+          ("benchmark", benchmark), ("mixing", mixture)]
 ORACLE_SQL = None
 
 
