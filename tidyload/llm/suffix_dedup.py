@@ -19,14 +19,15 @@ a suffix sorts by its place in a phrase:
 2. ``dictionary``: where all phrases at a shared trigger are equal, every suffix
    in them has the same neighbours, and the smallest id of the phrase settles
    them all at once (copies of any number collapse into one entry).
-3. ``suffixes``: where phrases at a trigger differ, their suffixes are sorted
-   (a suffix array of a block's dictionary, cut at ``min_bytes``); equal
+3. ``suffixes``: where phrases at a trigger differ, another exchange of 4-byte
+   codes drops the suffixes that one document holds; the others are sorted
+   (a suffix array of a block's dictionary, cut at ``min_bytes``), equal
    neighbours form a class, and classes merge across blocks under a 128-bit
    fingerprint with the smallest id.
 4. ``remove``: each block marks the bytes that classes with smaller ids cover.
 
 Distribution. Documents are packed into blocks of about ``BLOCK_BYTES`` by a hash
-of the id; the four passes read the same exchange of blocks. Each pass sends at
+of the id; the five passes read the same exchange of blocks. Each pass sends at
 most one entry per distinct value and block to a bucket by the value's hash, and
 the bucket answers the blocks. The number of blocks and buckets follows the bytes
 of the input, so the size of a group does not; a passage that a third of the
@@ -50,7 +51,7 @@ from pyspark.sql.types import (ArrayType, BinaryType, LongType, StructField, Str
 
 from tidyload.llm import common as C
 
-TRIGGER = 24
+TRIGGER = 28
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 4 << 20
 NEVER = np.iinfo(np.int64).max
@@ -171,40 +172,53 @@ def _number(group: pa.Table, column: str = "block") -> int:
     return group.column(column)[0].as_py()
 
 
+def _codes(keys: np.ndarray, n: int) -> np.ndarray:
+    """The bucket of a value and its low 32 bits."""
+    return (keys & np.uint64(0xFFFFFFFF)) | _buckets(keys, n).astype(np.uint64) << np.uint64(32)
+
+
+def _announced(number: int, keys: np.ndarray, doc: np.ndarray, n: int) -> pa.Table:
+    """The distinct values of a block as 4-byte codes; kind 1 if two documents of the block hold them."""
+    order, first = _runs(keys, doc)
+    keys = keys[order][first]  # once per document
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    starts = np.flatnonzero(new)
+    many = np.diff(np.append(starts, len(keys))) > 1
+    rows = []
+    for kind, chosen in ((0, ~many), (1, many)):
+        own = keys[starts[chosen]]
+        rows += [r + (b"", b"", b"") for r in _messages(number, kind, own, n, own.astype(np.uint32))]
+    return _table(rows, _ARROW_MESSAGE)
+
+
 def _triggers(width: int, n: int):
-    """Pass 1, in a block: the distinct triggers, and whether two documents of the block hold them."""
+    """Pass 1, in a block: the distinct triggers."""
 
     def send(group: pa.Table) -> pa.Table:
         block = Block(group, width)
-        order, first = _runs(block.grams, block.doc)
-        grams = block.grams[order][first]  # once per document
-        new = np.ones(len(grams), bool)
-        new[1:] = grams[1:] != grams[:-1]
-        starts = np.flatnonzero(new)
-        many = np.diff(np.append(starts, len(grams))) > 1
-        keys, number, rows = grams[starts], _number(group), []
-        for kind, chosen in ((0, ~many), (1, many)):
-            own = keys[chosen]
-            rows += [r + (b"", b"", b"") for r in _messages(number, kind, own, n, own.astype(np.uint32))]
-        return _table(rows, _ARROW_MESSAGE)
+        return _announced(_number(group), block.grams, block.doc, n)
 
     return send
 
 
-def _shared(group: pa.Table) -> pa.Table:
-    """Pass 1, in a bucket: tell each block which of its triggers two documents hold."""
-    blocks, kinds, sent = (group.column(x).to_pylist() for x in ("block", "kind", "a"))
-    codes = [np.frombuffer(x, np.uint32) for x in sent]
-    single = np.sort(np.concatenate([c for c, k in zip(codes, kinds)] or [np.zeros(0, np.uint32)]))
-    twice = np.unique(single[1:][single[1:] == single[:-1]])
-    within = np.concatenate([c for c, k in zip(codes, kinds) if k == 1] or [np.zeros(0, np.uint32)])
-    known = np.union1d(twice, within)
-    bucket, rows = _number(group, "bucket"), []
-    for block, code in zip(blocks, codes):
-        found = code[_member(code, known)]
-        if len(found):
-            rows.append((block, 1, (found.astype(np.uint64) | np.uint64(bucket << 32)).tobytes(), b""))
-    return _table(rows, _ARROW_ANSWER)
+def _shared(answer: int):
+    """In a bucket: tell each block which of its codes two documents hold."""
+
+    def settle(group: pa.Table) -> pa.Table:
+        blocks, kinds, sent = (group.column(x).to_pylist() for x in ("block", "kind", "a"))
+        codes = [np.frombuffer(x, np.uint32) for x in sent]
+        every = np.sort(np.concatenate(codes))
+        twice = np.unique(every[1:][every[1:] == every[:-1]])
+        known = np.union1d(twice, np.concatenate([c for c, k in zip(codes, kinds) if k == 1] or [np.zeros(0, np.uint32)]))
+        bucket, rows = _number(group, "bucket"), []
+        for block, code in zip(blocks, codes):
+            found = code[_member(code, known)]
+            if len(found):
+                rows.append((block, answer, (found.astype(np.uint64) | np.uint64(bucket << 32)).tobytes(), b""))
+        return _table(rows, _ARROW_ANSWER)
+
+    return settle
 
 
 def _member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -230,8 +244,7 @@ def _phrases(width: int, n: int):
         if not packed.num_rows or not told.num_rows:
             return _table([], _ARROW_MESSAGE)
         block, (codes,) = Block(packed, width), _answers(told, 1, 1)
-        code = (block.grams & np.uint64(0xFFFFFFFF)) | _buckets(block.grams, n).astype(np.uint64) << np.uint64(32)
-        block.keep(_member(code, codes))
+        block.keep(_member(_codes(block.grams, n), codes))
         phrase = C.ROLLING.spans(block.prefix, block.lo, block.hi + width)
         shape = ((block.hi - block.lo) << 20 | (block.at - block.lo)).astype(np.uint64)
         phrase = C.mixed(phrase + shape * np.uint64(0x9E3779B97F4A7C15))
@@ -285,20 +298,35 @@ def _expanded(block: Block, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return starts, np.repeat(block.doc[chosen], count)
 
 
-def _fingerprints(block: Block, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (C.ROLLING.spans(block.prefix, starts, starts + block.width),
-            C.ROLLING_2.spans(C.ROLLING_2.prefix(block.data), starts, starts + block.width))
+def _first_print(block: Block, starts: np.ndarray) -> np.ndarray:
+    return C.ROLLING.spans(block.prefix, starts, starts + block.width)
 
 
-def _suffixes(width: int, n: int):
-    """Pass 3, in a block: sort the suffixes of phrases that differ at their
-    trigger, cut at ``width`` bytes; one entry for each run of equal neighbours."""
+def _candidates(width: int, n: int):
+    """Pass 3, in a block: the strings in phrases that differ at their trigger."""
 
     def send(key, packed: pa.Table, told: pa.Table) -> pa.Table:
         if not packed.num_rows or not told.num_rows:
             return _table([], _ARROW_MESSAGE)
         block = Block(packed, width)
         starts, doc = _expanded(block, _fill(block, told) == MIXED)
+        return _announced(_number(packed), _first_print(block, starts), doc, n)
+
+    return send
+
+
+def _suffixes(width: int, n: int):
+    """Pass 4, in a block: sort the suffixes of phrases that differ at their
+    trigger, cut at ``width`` bytes, if two documents may hold them; one entry for
+    each run of equal neighbours."""
+
+    def send(key, packed: pa.Table, told: pa.Table) -> pa.Table:
+        if not packed.num_rows or not told.num_rows:
+            return _table([], _ARROW_MESSAGE)
+        block, (codes,) = Block(packed, width), _answers(told, 4, 1)
+        starts, doc = _expanded(block, _fill(block, told) == MIXED)
+        likely = _member(_codes(_first_print(block, starts), n), codes)
+        starts, doc = starts[likely], doc[likely]
         if not len(starts):
             return _table([], _ARROW_MESSAGE)
         cut = np.lib.stride_tricks.sliding_window_view(block.data, width)[starts]
@@ -308,7 +336,8 @@ def _suffixes(width: int, n: int):
         new[1:] = (cut[1:] != cut[:-1]).any(axis=1)
         first = np.flatnonzero(new)
         least = np.minimum.reduceat(block.ids[doc][order], first)
-        one, two = _fingerprints(block, starts[order][first])
+        starts = starts[order][first]
+        one, two = _first_print(block, starts), C.ROLLING_2.spans(C.ROLLING_2.prefix(block.data), starts, starts + width)
         order = np.lexsort((two, one))
         one, two, least = one[order], two[order], least[order]
         return _table([r + (b"",) for r in _messages(_number(packed), 3, one, n, one, two, least)], _ARROW_MESSAGE)
@@ -317,14 +346,14 @@ def _suffixes(width: int, n: int):
 
 
 def _one_class(group: pa.Table) -> pa.Table:
-    """Pass 3, in a bucket: the smallest id of each class of equal strings."""
+    """Pass 4, in a bucket: the smallest id of each class of equal strings."""
     blocks = group.column("block").to_pylist()
     one, two, least = ([np.frombuffer(x, t) for x in group.column(c).to_pylist()] for c, t in zip("abc", (np.uint64, np.uint64, np.int64)))
     return _settled(blocks, one, 3, lambda order, first: np.minimum.reduceat(np.concatenate(least)[order], first), np.concatenate(two or [np.zeros(0, np.uint64)]))
 
 
 def _removed(width: int, whole_chars: bool, schema: pa.Schema):
-    """Pass 4, in a block: the removed spans and the bytes that stay."""
+    """Pass 5, in a block: the removed spans and the bytes that stay."""
 
     def finish(key, packed: pa.Table, told: pa.Table) -> pa.Table:
         if not packed.num_rows:
@@ -340,7 +369,9 @@ def _removed(width: int, whole_chars: bool, schema: pa.Schema):
             starts, doc = _expanded(block, ids == MIXED)
             if len(starts):
                 keys, least = _answers(told, 3, 2)
-                one = C.ROLLING.spans(block.prefix, starts, starts + width)
+                one = _first_print(block, starts)
+                known = _member(one, keys)
+                starts, doc, one = starts[known], doc[known], one[known]
                 gone = starts[least[np.searchsorted(keys, one)] < own[doc]]
                 np.add.at(depth, gone, 1)
                 np.add.at(depth, gone + width, -1)
@@ -391,9 +422,10 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     def told(send, answers: DataFrame) -> DataFrame:
         return by_block.cogroup(answers.groupBy("block")).applyInArrow(send, MESSAGE)
 
-    shared = ask(by_block.applyInArrow(_triggers(min_bytes, buckets), MESSAGE), _shared)
+    shared = ask(by_block.applyInArrow(_triggers(min_bytes, buckets), MESSAGE), _shared(1))
     phrases = ask(told(_phrases(min_bytes, buckets), shared), _one_phrase)
-    classes = ask(told(_suffixes(min_bytes, buckets), phrases), _one_class)
+    likely = ask(told(_candidates(min_bytes, buckets), phrases), _shared(4))
+    classes = ask(told(_suffixes(min_bytes, buckets), phrases.unionByName(likely)), _one_class)
     out = StructType([own.schema["doc"],
                       StructField("removed_spans", ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())]))),
                       StructField("kept_bytes", BinaryType())])
