@@ -22,7 +22,7 @@ a suffix sorts by its place in a phrase:
 3. ``suffixes``: where phrases at a trigger differ, another exchange of 4-byte
    codes drops the suffixes that one document holds; the others are sorted
    (a suffix array of a block's dictionary, cut at ``min_bytes``), equal
-   neighbours form a class, and classes merge across blocks under a 128-bit
+   neighbours form a class, and classes merge across blocks under a 96-bit
    fingerprint with the smallest id.
 4. ``remove``: each block marks the bytes that classes with smaller ids cover.
 
@@ -55,15 +55,15 @@ TRIGGER = 28
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 4 << 20
 NEVER = np.iinfo(np.int64).max
-MIXED = -1  # a trigger whose phrases differ; ids of such triggers come with the suffix classes
 
 MESSAGE = "bucket int, block int, kind int, a binary, b binary, c binary, d binary"
-ANSWER = "block int, kind int, a binary, b binary"
+ANSWER = "block int, kind int, bucket int, a binary, b binary"
+SHARED, SURE, MIXED, LIKELY, CLASS = 1, 2, 3, 4, 5
 
 
 def _pack(batches):
     """Rows of a batch, grouped by block, each group as one compressed Arrow stream."""
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))
     for batch in batches:
         blocks = batch.column("block").to_numpy(zero_copy_only=False)
         order = np.argsort(blocks, kind="stable")
@@ -156,7 +156,7 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
 
 
 _ARROW_MESSAGE = pa.schema([(n, pa.int32()) for n in ("bucket", "block", "kind")] + [(n, pa.binary()) for n in "abcd"])
-_ARROW_ANSWER = pa.schema([(n, pa.int32()) for n in ("block", "kind")] + [(n, pa.binary()) for n in "ab"])
+_ARROW_ANSWER = pa.schema([(n, pa.int32()) for n in ("block", "kind", "bucket")] + [(n, pa.binary()) for n in "ab"])
 
 
 def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,7 +215,7 @@ def _shared(answer: int):
         for block, code in zip(blocks, codes):
             found = code[_member(code, known)]
             if len(found):
-                rows.append((block, answer, (found.astype(np.uint64) | np.uint64(bucket << 32)).tobytes(), b""))
+                rows.append((block, answer, bucket, found.tobytes(), b""))
         return _table(rows, _ARROW_ANSWER)
 
     return settle
@@ -228,12 +228,19 @@ def _member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[place] == values
 
 
-def _answers(group: pa.Table, kind: int, columns: int) -> list[np.ndarray]:
-    rows = [r for r in group.to_pylist() if r["kind"] == kind]
-    kinds = (np.uint64, np.int64)
-    parts = [np.concatenate([np.frombuffer(r[c], t) for r in rows] or [np.zeros(0, t)]) for c, t in zip("ab", kinds)]
-    order = np.argsort(parts[0], kind="stable")
-    return [p[order] if len(p) == len(order) else p for p in parts[:columns]]
+def _told_codes(told: pa.Table, kind: int) -> np.ndarray:
+    """The codes that buckets answered, sorted."""
+    rows = [r for r in told.to_pylist() if r["kind"] == kind]
+    return np.sort(np.concatenate([np.frombuffer(r["a"], np.uint32) | np.uint64(r["bucket"] << 32) for r in rows] or [np.zeros(0, np.uint64)]))
+
+
+def _told_ids(told: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """The values that buckets answered, sorted, and their smallest ids."""
+    rows = [r for r in told.to_pylist() if r["kind"] == kind]
+    keys = np.concatenate([np.frombuffer(r["a"], np.uint64) for r in rows] or [np.zeros(0, np.uint64)])
+    ids = np.concatenate([np.frombuffer(r["b"], np.int64) for r in rows] or [np.zeros(0, np.int64)])
+    order = np.argsort(keys, kind="stable")
+    return keys[order], ids[order]
 
 
 def _phrases(width: int, n: int):
@@ -243,7 +250,7 @@ def _phrases(width: int, n: int):
     def send(key, packed: pa.Table, told: pa.Table) -> pa.Table:
         if not packed.num_rows or not told.num_rows:
             return _table([], _ARROW_MESSAGE)
-        block, (codes,) = Block(packed, width), _answers(told, 1, 1)
+        block, codes = Block(packed, width), _told_codes(told, SHARED)
         block.keep(_member(_codes(block.grams, n), codes))
         phrase = C.ROLLING.spans(block.prefix, block.lo, block.hi + width)
         shape = ((block.hi - block.lo) << 20 | (block.at - block.lo)).astype(np.uint64)
@@ -255,47 +262,58 @@ def _phrases(width: int, n: int):
         high = np.maximum.reduceat(phrase[order], first)
         least = np.minimum.reduceat(block.ids[block.doc][order], first)
         keys = block.grams[order][first]
-        return _table(_messages(_number(packed), 2, keys, n, keys, low, high ^ low, least), _ARROW_MESSAGE)
+        return _table(_messages(_number(packed), 0, keys, n, keys, low, high ^ low, least), _ARROW_MESSAGE)
 
     return send
 
 
+def _columns(group: pa.Table, **types) -> list[list[np.ndarray]]:
+    return [[np.frombuffer(x, t) for x in group.column(c).to_pylist()] for c, t in types.items()]
+
+
+def _spread(order: np.ndarray, first: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Values by run, laid out as the entries were."""
+    out = np.empty(len(order), values.dtype)
+    out[order] = np.repeat(values, np.diff(np.append(first, len(order))))
+    return out
+
+
 def _one_phrase(group: pa.Table) -> pa.Table:
-    """Pass 2, in a bucket: the smallest id of each trigger, or MIXED if its phrases differ."""
-    blocks = group.column("block").to_pylist()
-    keys, low, high, least = (
-        [np.frombuffer(x, t) for x in group.column(c).to_pylist()] for c, t in zip("abcd", (np.uint64, np.uint64, np.uint64, np.int64)))
-    return _settled(blocks, keys, 2, lambda order, first: np.where(
-        np.minimum.reduceat(np.concatenate(low)[order], first) == np.maximum.reduceat((np.concatenate(low) ^ np.concatenate(high))[order], first),
-        np.minimum.reduceat(np.concatenate(least)[order], first), MIXED))
-
-
-def _settled(blocks: list[int], keys: list[np.ndarray], kind: int, value, *more: np.ndarray) -> pa.Table:
-    every = np.concatenate(keys or [np.zeros(0, np.uint64)])
-    if not len(every):
-        return _table([], _ARROW_ANSWER)
-    order, first = _runs(every, *more)
-    found = np.empty(len(every), np.int64)
-    found[order] = np.repeat(value(order, first), np.diff(np.append(first, len(every))))
-    rows, at = [], 0
-    for block, own in zip(blocks, keys):
-        rows.append((block, kind, own.tobytes(), found[at: at + len(own)].tobytes()))
+    """Pass 2, in a bucket: the smallest id of each trigger whose phrases are
+    equal (SURE), or that they differ (MIXED)."""
+    keys, low, high, least = _columns(group, a=np.uint64, b=np.uint64, c=np.uint64, d=np.int64)
+    order, first = _runs(np.concatenate(keys))
+    one, two, ids = np.concatenate(low)[order], (np.concatenate(low) ^ np.concatenate(high))[order], np.concatenate(least)[order]
+    equal = _spread(order, first, np.minimum.reduceat(one, first) == np.maximum.reduceat(two, first))
+    ids = _spread(order, first, np.minimum.reduceat(ids, first))
+    bucket, rows, at = _number(group, "bucket"), [], 0
+    for block, own in zip(group.column("block").to_pylist(), keys):
+        part = slice(at, at + len(own))
+        rows.append((block, SURE, bucket, own[equal[part]].tobytes(), ids[part][equal[part]].tobytes()))
+        rows.append((block, MIXED, bucket, own[~equal[part]].tobytes(), b""))
         at += len(own)
-    return _table(rows, _ARROW_ANSWER)
+    return _table([r for r in rows if r[3]], _ARROW_ANSWER)
 
 
-def _fill(block: Block, told: pa.Table) -> np.ndarray:
-    """Keep the block's phrases with a shared trigger; their ids, MIXED where phrases differ."""
-    keys, ids = _answers(told, 2, 2)
+def _mixed(block: Block, told: pa.Table) -> None:
+    """Keep the block's phrases whose trigger other phrases share."""
+    keys = np.sort(np.concatenate([np.frombuffer(r["a"], np.uint64) for r in told.to_pylist()] or [np.zeros(0, np.uint64)]))
     block.keep(_member(block.grams, keys))
-    return ids[np.searchsorted(keys, block.grams)] if len(keys) else np.zeros(0, np.int64)
 
 
-def _expanded(block: Block, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and row of every string in the chosen phrases."""
-    lo, count = block.lo[chosen], block.hi[chosen] - block.lo[chosen] + 1
-    starts = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
-    return starts, np.repeat(block.doc[chosen], count)
+def _expanded(block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Start and row of every string in the block's phrases."""
+    count = block.hi - block.lo + 1
+    starts = np.repeat(block.lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
+    return starts, np.repeat(block.doc, count)
+
+
+def _chosen(block: Block, keys: np.ndarray, of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, row and fingerprint of the block's strings whose ``of(fingerprint)`` is among the keys."""
+    starts, doc = _expanded(block)
+    one = _first_print(block, starts)
+    found = _member(of(one), keys)
+    return starts[found], doc[found], one[found]
 
 
 def _first_print(block: Block, starts: np.ndarray) -> np.ndarray:
@@ -309,7 +327,8 @@ def _candidates(width: int, n: int):
         if not packed.num_rows or not told.num_rows:
             return _table([], _ARROW_MESSAGE)
         block = Block(packed, width)
-        starts, doc = _expanded(block, _fill(block, told) == MIXED)
+        _mixed(block, told)
+        starts, doc = _expanded(block)
         return _announced(_number(packed), _first_print(block, starts), doc, n)
 
     return send
@@ -323,10 +342,8 @@ def _suffixes(width: int, n: int):
     def send(key, packed: pa.Table, told: pa.Table) -> pa.Table:
         if not packed.num_rows or not told.num_rows:
             return _table([], _ARROW_MESSAGE)
-        block, (codes,) = Block(packed, width), _answers(told, 4, 1)
-        starts, doc = _expanded(block, _fill(block, told) == MIXED)
-        likely = _member(_codes(_first_print(block, starts), n), codes)
-        starts, doc = starts[likely], doc[likely]
+        block = Block(packed, width)
+        starts, doc, _ = _chosen(block, _told_codes(told, LIKELY), lambda one: _codes(one, n))
         if not len(starts):
             return _table([], _ARROW_MESSAGE)
         cut = np.lib.stride_tricks.sliding_window_view(block.data, width)[starts]
@@ -337,19 +354,24 @@ def _suffixes(width: int, n: int):
         first = np.flatnonzero(new)
         least = np.minimum.reduceat(block.ids[doc][order], first)
         starts = starts[order][first]
-        one, two = _first_print(block, starts), C.ROLLING_2.spans(C.ROLLING_2.prefix(block.data), starts, starts + width)
+        one, two = _first_print(block, starts), C.ROLLING_2.spans(C.ROLLING_2.prefix(block.data), starts, starts + width).astype(np.uint32)
         order = np.lexsort((two, one))
         one, two, least = one[order], two[order], least[order]
-        return _table([r + (b"",) for r in _messages(_number(packed), 3, one, n, one, two, least)], _ARROW_MESSAGE)
+        return _table([r + (b"",) for r in _messages(_number(packed), 0, one, n, one, two, least)], _ARROW_MESSAGE)
 
     return send
 
 
 def _one_class(group: pa.Table) -> pa.Table:
     """Pass 4, in a bucket: the smallest id of each class of equal strings."""
-    blocks = group.column("block").to_pylist()
-    one, two, least = ([np.frombuffer(x, t) for x in group.column(c).to_pylist()] for c, t in zip("abc", (np.uint64, np.uint64, np.int64)))
-    return _settled(blocks, one, 3, lambda order, first: np.minimum.reduceat(np.concatenate(least)[order], first), np.concatenate(two or [np.zeros(0, np.uint64)]))
+    one, two, least = _columns(group, a=np.uint64, b=np.uint32, c=np.int64)
+    order, first = _runs(np.concatenate(one), np.concatenate(two))
+    ids = _spread(order, first, np.minimum.reduceat(np.concatenate(least)[order], first))
+    bucket, rows, at = _number(group, "bucket"), [], 0
+    for block, own in zip(group.column("block").to_pylist(), one):
+        rows.append((block, CLASS, bucket, own.tobytes(), ids[at: at + len(own)].tobytes()))
+        at += len(own)
+    return _table(rows, _ARROW_ANSWER)
 
 
 def _removed(width: int, whole_chars: bool, schema: pa.Schema):
@@ -362,19 +384,18 @@ def _removed(width: int, whole_chars: bool, schema: pa.Schema):
         own = np.where(block.known, block.ids, np.iinfo(np.int64).min)
         depth = np.zeros(len(block.data) + 1, np.int32)
         if told.num_rows:
-            ids = _fill(block, told)
-            sure = (ids != MIXED) & (ids < own[block.doc])
-            np.add.at(depth, block.lo[sure], 1)
-            np.add.at(depth, block.hi[sure] + width, -1)
-            starts, doc = _expanded(block, ids == MIXED)
+            classes, least = _told_ids(told, CLASS)
+            starts, doc, one = _chosen(block, classes, lambda one: one)
             if len(starts):
-                keys, least = _answers(told, 3, 2)
-                one = _first_print(block, starts)
-                known = _member(one, keys)
-                starts, doc, one = starts[known], doc[known], one[known]
-                gone = starts[least[np.searchsorted(keys, one)] < own[doc]]
+                gone = starts[least[np.searchsorted(classes, one)] < own[doc]]
                 np.add.at(depth, gone, 1)
                 np.add.at(depth, gone + width, -1)
+            keys, ids = _told_ids(told, SURE)
+            block.keep(_member(block.grams, keys))
+            if len(block.grams):
+                sure = ids[np.searchsorted(keys, block.grams)] < own[block.doc]
+                np.add.at(depth, block.lo[sure], 1)
+                np.add.at(depth, block.hi[sure] + width, -1)
         gone = np.cumsum(depth[:-1]) > 0
         if whole_chars and len(gone):
             heads = np.flatnonzero((block.data & 0xC0) != 0x80)
@@ -422,14 +443,15 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     def told(send, answers: DataFrame) -> DataFrame:
         return by_block.cogroup(answers.groupBy("block")).applyInArrow(send, MESSAGE)
 
-    shared = ask(by_block.applyInArrow(_triggers(min_bytes, buckets), MESSAGE), _shared(1))
+    shared = ask(by_block.applyInArrow(_triggers(min_bytes, buckets), MESSAGE), _shared(SHARED))
     phrases = ask(told(_phrases(min_bytes, buckets), shared), _one_phrase)
-    likely = ask(told(_candidates(min_bytes, buckets), phrases), _shared(4))
-    classes = ask(told(_suffixes(min_bytes, buckets), phrases.unionByName(likely)), _one_class)
+    likely = ask(told(_candidates(min_bytes, buckets), phrases.where(F.col("kind") == MIXED)), _shared(LIKELY))
+    classes = ask(told(_suffixes(min_bytes, buckets), likely), _one_class)
     out = StructType([own.schema["doc"],
                       StructField("removed_spans", ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())]))),
                       StructField("kept_bytes", BinaryType())])
-    return by_block.cogroup(phrases.unionByName(classes).groupBy("block")).applyInArrow(
+    answers = phrases.where(F.col("kind") == SURE).unionByName(classes)
+    return by_block.cogroup(answers.groupBy("block")).applyInArrow(
         _removed(min_bytes, whole_chars, to_arrow_schema(out)), out)
 
 
