@@ -16,15 +16,17 @@ a suffix sorts by its place in a phrase:
 
 1. ``parse``: triggers that occur in one document cannot lie in a shared string;
    one exchange of 4-byte trigger codes finds the others.
-2. ``dictionary``: where all phrases at a shared trigger are equal, every suffix
-   in them has the same neighbours, and the smallest id of the phrase settles
-   them all at once (copies of any number collapse into one entry).
-3. ``suffixes``: where phrases at a trigger differ, another exchange of 4-byte
-   codes drops the suffixes that one document holds; the others are sorted
-   (a suffix array of a block's dictionary, cut at ``min_bytes``), equal
-   neighbours form a class, and classes merge across blocks under a 96-bit
-   fingerprint with the smallest id.
-4. ``remove``: each block marks the bytes that classes with smaller ids cover.
+2. ``dictionary``: phrases with a shared trigger meet by it, and each distinct
+   phrase gets the smallest id that holds it. Every later holder of a phrase loses
+   all strings of it, so copies of any number are settled here.
+3. ``suffixes``: what is left is the first holder of a phrase whose trigger has
+   other phrases too. The suffixes of these dictionary entries (once each, not once
+   per occurrence) are sorted, cut at ``min_bytes`` (a suffix array of a block's part
+   of the dictionary); equal neighbours form a class, and classes merge across
+   blocks under a 96-bit fingerprint with the smallest id. An exchange of 4-byte
+   codes first drops the suffixes that one phrase alone holds.
+4. ``remove``: each block marks the bytes that phrases and classes with smaller
+   ids cover.
 
 Distribution. Documents are packed into blocks of about ``BLOCK_BYTES`` by a hash
 of the id; the five passes read the same exchange of blocks. Each pass sends at
@@ -58,7 +60,7 @@ NEVER = np.iinfo(np.int64).max
 
 MESSAGE = "bucket int, block int, kind int, a binary, b binary, c binary, d binary"
 ANSWER = "block int, kind int, bucket int, a binary, b binary"
-SHARED, SURE, MIXED, LIKELY, CLASS = 1, 2, 3, 4, 5
+SHARED, PHRASE, FIRST, LIKELY, CLASS = 1, 2, 3, 4, 5
 
 
 def _pack(batches):
@@ -243,26 +245,30 @@ def _told_ids(told: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], ids[order]
 
 
+def _prints(block: Block) -> np.ndarray:
+    """A fingerprint of each phrase: its bytes, its trigger and where that stands in it."""
+    shape = ((block.hi - block.lo) << 20 | (block.at - block.lo)).astype(np.uint64)
+    own = C.ROLLING.spans(block.prefix, block.lo, block.hi + block.width)
+    return C.mixed(own + shape * np.uint64(0x9E3779B97F4A7C15)) ^ block.grams
+
+
 def _phrases(width: int, n: int):
-    """Pass 2, in a block: for each shared trigger the smallest and largest
-    fingerprint of its phrases and the smallest id."""
+    """Pass 2, in a block: the distinct phrases with a shared trigger, the smallest
+    id of each, and whether it occurs more than once."""
 
     def send(key, packed: pa.Table, told: pa.Table) -> pa.Table:
         if not packed.num_rows or not told.num_rows:
             return _table([], _ARROW_MESSAGE)
-        block, codes = Block(packed, width), _told_codes(told, SHARED)
-        block.keep(_member(_codes(block.grams, n), codes))
-        phrase = C.ROLLING.spans(block.prefix, block.lo, block.hi + width)
-        shape = ((block.hi - block.lo) << 20 | (block.at - block.lo)).astype(np.uint64)
-        phrase = C.mixed(phrase + shape * np.uint64(0x9E3779B97F4A7C15))
-        order, first = _runs(block.grams)
+        block = Block(packed, width)
+        block.keep(_member(_codes(block.grams, n), _told_codes(told, SHARED)))
+        phrase = _prints(block)
+        order, first = _runs(block.grams, phrase)
         if not len(first):
             return _table([], _ARROW_MESSAGE)
-        low = np.minimum.reduceat(phrase[order], first)
-        high = np.maximum.reduceat(phrase[order], first)
         least = np.minimum.reduceat(block.ids[block.doc][order], first)
-        keys = block.grams[order][first]
-        return _table(_messages(_number(packed), 0, keys, n, keys, low, high ^ low, least), _ARROW_MESSAGE)
+        again = (np.diff(np.append(first, len(order))) > 1).astype(np.uint8)
+        keys, phrase = block.grams[order][first], phrase[order][first]
+        return _table(_messages(_number(packed), 0, keys, n, keys, phrase, least, again), _ARROW_MESSAGE)
 
     return send
 
@@ -278,42 +284,55 @@ def _spread(order: np.ndarray, first: np.ndarray, values: np.ndarray) -> np.ndar
     return out
 
 
-def _one_phrase(group: pa.Table) -> pa.Table:
-    """Pass 2, in a bucket: the smallest id of each trigger whose phrases are
-    equal (SURE), or that they differ (MIXED)."""
-    keys, low, high, least = _columns(group, a=np.uint64, b=np.uint64, c=np.uint64, d=np.int64)
-    order, first = _runs(np.concatenate(keys))
-    one, two, ids = np.concatenate(low)[order], (np.concatenate(low) ^ np.concatenate(high))[order], np.concatenate(least)[order]
-    equal = _spread(order, first, np.minimum.reduceat(one, first) == np.maximum.reduceat(two, first))
-    ids = _spread(order, first, np.minimum.reduceat(ids, first))
+def _dictionary(group: pa.Table) -> pa.Table:
+    """Pass 2, in a bucket: the dictionary's entries at its triggers. A block learns
+    the smallest id of each of its phrases (PHRASE) unless that is its only
+    occurrence there; the block that holds it learns so (FIRST) if the trigger has
+    other phrases too."""
+    keys, phrase, least, again = _columns(group, a=np.uint64, b=np.uint64, c=np.int64, d=np.uint8)
+    gram, entry, own, more = (np.concatenate(x) for x in (keys, phrase, least, again))
+    order, first = _runs(gram, entry)
+    ids = _spread(order, first, np.minimum.reduceat(own[order], first))
+    grams, start = gram[order][first], np.ones(len(first), bool)
+    start[1:] = grams[1:] != grams[:-1]
+    heads = np.flatnonzero(start)
+    several = np.repeat(np.diff(np.append(heads, len(first))) > 1, np.diff(np.append(heads, len(first))))
+    several = _spread(order, first, several)
+    wanted, holder = (more > 0) | (ids < own), several & (ids == own)
     bucket, rows, at = _number(group, "bucket"), [], 0
-    for block, own in zip(group.column("block").to_pylist(), keys):
-        part = slice(at, at + len(own))
-        rows.append((block, SURE, bucket, own[equal[part]].tobytes(), ids[part][equal[part]].tobytes()))
-        rows.append((block, MIXED, bucket, own[~equal[part]].tobytes(), b""))
-        at += len(own)
+    for block, part in zip(group.column("block").to_pylist(), phrase):
+        here = slice(at, at + len(part))
+        told = part[wanted[here]]
+        rows.append((block, PHRASE, bucket, told.tobytes(), ids[here][wanted[here]].tobytes()))
+        rows.append((block, FIRST, bucket, part[holder[here]].tobytes(), b""))
+        at += len(part)
     return _table([r for r in rows if r[3]], _ARROW_ANSWER)
 
 
-def _mixed(block: Block, told: pa.Table) -> None:
-    """Keep the block's phrases whose trigger other phrases share."""
-    keys = np.sort(np.concatenate([np.frombuffer(r["a"], np.uint64) for r in told.to_pylist()] or [np.zeros(0, np.uint64)]))
-    block.keep(_member(block.grams, keys))
+def _first_held(block: Block, told: pa.Table) -> None:
+    """Keep one occurrence of each phrase that the block was told it holds first."""
+    keys = np.sort(np.concatenate([np.frombuffer(r["a"], np.uint64) for r in told.to_pylist() if r["kind"] == FIRST] or [np.zeros(0, np.uint64)]))
+    phrase = _prints(block)
+    mine = np.flatnonzero(_member(phrase, keys))
+    order = mine[np.lexsort((block.ids[block.doc[mine]], phrase[mine]))]
+    new = np.ones(len(order), bool)
+    new[1:] = phrase[order][1:] != phrase[order][:-1]
+    block.keep(np.sort(order[new]))
 
 
 def _expanded(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """Start and row of every string in the block's phrases."""
+    """Start of every string in the block's phrases, and the phrase it is in."""
     count = block.hi - block.lo + 1
     starts = np.repeat(block.lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
-    return starts, np.repeat(block.doc, count)
+    return starts, np.repeat(np.arange(len(count)), count)
 
 
 def _chosen(block: Block, keys: np.ndarray, of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, row and fingerprint of the block's strings whose ``of(fingerprint)`` is among the keys."""
-    starts, doc = _expanded(block)
+    """Start, phrase and fingerprint of the block's strings whose ``of(fingerprint)`` is among the keys."""
+    starts, phrase = _expanded(block)
     one = _first_print(block, starts)
     found = _member(of(one), keys)
-    return starts[found], doc[found], one[found]
+    return starts[found], phrase[found], one[found]
 
 
 def _first_print(block: Block, starts: np.ndarray) -> np.ndarray:
@@ -321,29 +340,31 @@ def _first_print(block: Block, starts: np.ndarray) -> np.ndarray:
 
 
 def _candidates(width: int, n: int):
-    """Pass 3, in a block: the strings in phrases that differ at their trigger."""
+    """Pass 3, in a block: the suffixes, cut at ``width``, of the dictionary's
+    phrases that it holds first and that have others at their trigger."""
 
     def send(key, packed: pa.Table, told: pa.Table) -> pa.Table:
         if not packed.num_rows or not told.num_rows:
             return _table([], _ARROW_MESSAGE)
         block = Block(packed, width)
-        _mixed(block, told)
-        starts, doc = _expanded(block)
-        return _announced(_number(packed), _first_print(block, starts), doc, n)
+        _first_held(block, told)
+        starts, phrase = _expanded(block)
+        return _announced(_number(packed), _first_print(block, starts), phrase, n)
 
     return send
 
 
 def _suffixes(width: int, n: int):
-    """Pass 4, in a block: sort the suffixes of phrases that differ at their
-    trigger, cut at ``width`` bytes, if two documents may hold them; one entry for
-    each run of equal neighbours."""
+    """Pass 4, in a block: sort these suffixes if two phrases may hold them; one
+    entry for each run of equal neighbours."""
 
     def send(key, packed: pa.Table, told: pa.Table) -> pa.Table:
         if not packed.num_rows or not told.num_rows:
             return _table([], _ARROW_MESSAGE)
         block = Block(packed, width)
-        starts, doc, _ = _chosen(block, _told_codes(told, LIKELY), lambda one: _codes(one, n))
+        _first_held(block, told)
+        starts, phrase, _ = _chosen(block, _told_codes(told, LIKELY), lambda one: _codes(one, n))
+        doc = block.doc[phrase]
         if not len(starts):
             return _table([], _ARROW_MESSAGE)
         cut = np.lib.stride_tricks.sliding_window_view(block.data, width)[starts]
@@ -385,17 +406,18 @@ def _removed(width: int, whole_chars: bool, schema: pa.Schema):
         depth = np.zeros(len(block.data) + 1, np.int32)
         if told.num_rows:
             classes, least = _told_ids(told, CLASS)
-            starts, doc, one = _chosen(block, classes, lambda one: one)
+            starts, phrase, one = _chosen(block, classes, lambda one: one)
             if len(starts):
-                gone = starts[least[np.searchsorted(classes, one)] < own[doc]]
+                gone = starts[least[np.searchsorted(classes, one)] < own[block.doc[phrase]]]
                 np.add.at(depth, gone, 1)
                 np.add.at(depth, gone + width, -1)
-            keys, ids = _told_ids(told, SURE)
-            block.keep(_member(block.grams, keys))
-            if len(block.grams):
-                sure = ids[np.searchsorted(keys, block.grams)] < own[block.doc]
-                np.add.at(depth, block.lo[sure], 1)
-                np.add.at(depth, block.hi[sure] + width, -1)
+            keys, ids = _told_ids(told, PHRASE)
+            prints = _prints(block)
+            later = np.flatnonzero(_member(prints, keys))
+            if len(later):
+                later = later[ids[np.searchsorted(keys, prints[later])] < own[block.doc[later]]]
+                np.add.at(depth, block.lo[later], 1)
+                np.add.at(depth, block.hi[later] + width, -1)
         gone = np.cumsum(depth[:-1]) > 0
         if whole_chars and len(gone):
             heads = np.flatnonzero((block.data & 0xC0) != 0x80)
@@ -444,13 +466,14 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         return by_block.cogroup(answers.groupBy("block")).applyInArrow(send, MESSAGE)
 
     shared = ask(by_block.applyInArrow(_triggers(min_bytes, buckets), MESSAGE), _shared(SHARED))
-    phrases = ask(told(_phrases(min_bytes, buckets), shared), _one_phrase)
-    likely = ask(told(_candidates(min_bytes, buckets), phrases.where(F.col("kind") == MIXED)), _shared(LIKELY))
-    classes = ask(told(_suffixes(min_bytes, buckets), likely), _one_class)
+    entries = ask(told(_phrases(min_bytes, buckets), shared), _dictionary)
+    first = entries.where(F.col("kind") == FIRST)
+    likely = ask(told(_candidates(min_bytes, buckets), first), _shared(LIKELY))
+    classes = ask(told(_suffixes(min_bytes, buckets), first.unionByName(likely)), _one_class)
     out = StructType([own.schema["doc"],
                       StructField("removed_spans", ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())]))),
                       StructField("kept_bytes", BinaryType())])
-    answers = phrases.where(F.col("kind") == SURE).unionByName(classes)
+    answers = entries.where(F.col("kind") == PHRASE).unionByName(classes)
     return by_block.cogroup(answers.groupBy("block")).applyInArrow(
         _removed(min_bytes, whole_chars, to_arrow_schema(out)), out)
 
