@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle import duck as D
-from tidyload.functions import normalize as N
+from oracle import fixed as N
 from tidyload.plans.specs import SPECS
 
 SQL = {}
@@ -38,7 +38,7 @@ SQL["norm_date_orders"] = D.with_legacy(
     f"FROM legacy_orders", "orders")
 
 _layout = "CASE WHEN ord_date IS NULL THEN 'null' " + " ".join(
-    f"WHEN regexp_matches({D.strip('ord_date')}, '{rx}') THEN '{label}'" for label, rx, _ in N.DATE_LAYOUTS
+    f"WHEN regexp_matches({D.strip('ord_date')}, '{rx}') THEN '{label}'" for label, rx in N.DATE_LAYOUTS
 ) + " ELSE 'other' END"
 SQL["norm_date_loss"] = D.with_legacy(
     f"SELECT source_format, target_null, CAST(count(*) AS BIGINT) AS n_rows FROM ("
@@ -70,8 +70,14 @@ SQL["dedup_keep_first"] = D.with_legacy(
     f"FROM ({_cust_proj})) WHERE rn = 1", "customers")
 SQL["dedup_rejects"] = D.with_legacy(
     f"SELECT legacy_cst_id, email, kept_legacy_cst_id FROM (SELECT _src_key AS legacy_cst_id, email, "
-    f"min(_src_key) OVER (PARTITION BY email) AS kept_legacy_cst_id FROM ({_cust_proj})) "
-    f"WHERE legacy_cst_id <> kept_legacy_cst_id", "customers")
+    f"min(_src_key) OVER (PARTITION BY email) AS kept_legacy_cst_id, row_number() OVER (PARTITION BY email ORDER BY _src_key NULLS LAST) AS rn "
+    f"FROM ({_cust_proj})) WHERE rn > 1", "customers")
+_ol_names = [name for name, _, _ in SPECS["order_lines"].columns]
+_ol = (f"SELECT *, row_number() OVER (PARTITION BY legacy_line_id ORDER BY _src_key NULLS LAST, {', '.join(f'{c} NULLS FIRST' for c in _ol_names)}) AS rn "
+       f"FROM (SELECT {_migrate_select('order_lines')}, line_id AS _src_key FROM legacy_order_lines)")
+SQL["dedup_order_lines"] = D.with_legacy(f"SELECT {', '.join(_ol_names)} FROM ({_ol}) WHERE rn = 1", "order_lines")
+SQL["dedup_order_lines_rejects"] = D.with_legacy(
+    f"SELECT {', '.join(_ol_names)}, legacy_line_id AS kept_legacy_line_id FROM ({_ol}) WHERE rn > 1", "order_lines")
 
 # ---- profile ----------------------------------------------------------------
 for _t in ["customer", "part", "lineitem", "events", "documents"]:
@@ -134,6 +140,16 @@ SQL["quality_summary"] = D.with_ctes(_QT, _all_q + [("rr", _rr_all), ("an", _an_
             "LEFT JOIN (SELECT table_name, count(*) AS n FROM an GROUP BY table_name) a ON sc.table_name = a.table_name")],
     "SELECT * FROM per UNION ALL SELECT 'ALL', CAST(NULL AS DOUBLE), bool_and(approved), CAST(sum(n_anomalies) AS BIGINT) FROM per")
 
+_SETS = {"ord_status": ("VARCHAR", ["P", "PEND", "pending", "C", "CONF", "confirmed", "S", "SHIP", "shipped", "D", "DELIV", "delivered"],
+                        "C,CONF,D,DELIV,P,PEND,S,SHIP,confirmed,delivered,pending,shipped"),
+         "ord_channel": ("VARCHAR", ["WEB", "tel", " Store ", "API", "FAX"], " Store ,API,FAX,WEB,tel"),
+         "ord_tva": ("DOUBLE", [0.0, 7.0], "0.0,7.0")}
+SQL["rule_supplied_sets"] = D.with_legacy(" UNION ALL ".join(
+    f"SELECT '{c}__valid_values' AS rule_id, '{c}' AS column_name, '{text}' AS valid_set, "
+    f"count_if({c} IS NOT NULL AND {c} NOT IN {D.in_list(values)}) = 0 AS passed, "
+    f"CAST(count_if({c} IS NOT NULL AND {c} NOT IN {D.in_list(values)}) AS DOUBLE) AS observed FROM legacy_orders"
+    for c, (_, values, text) in _SETS.items()), "orders")
+
 # ---- migrated tables as CTEs ----------------------------------------------------
 from tidyload.operators import constraints as CN  # noqa: E402
 from tidyload.sources import tables as TB  # noqa: E402
@@ -312,9 +328,20 @@ def _range(t):
 
 
 SQL["check_range"] = with_mig(_u([p for t in ["products", "suppliers", "orders", "order_lines"] for p in _range(t)]))
-SQL["check_set"] = with_mig(_u([_check(t, "in_set", f"{c}_in_set", c, f"coalesce(NOT ({c} IN {D.in_list(v)}), FALSE)")
-                                for t in ["customers", "orders"] for c, v in CN.SETS.get(t, [])]),
-                            ["customers", "orders"])
+_LOG_STATUS = ("SELECT CASE WHEN row_number() OVER (PARTITION BY email ORDER BY _src_key) > 1 OR legacy_cst_id IS NULL THEN 'skipped' "
+               f"ELSE 'success' END AS status FROM (SELECT {_migrate_select('customers')}, cst_id AS _src_key FROM legacy_customers)")
+
+
+def _set(rel, t, c, v):
+    return (f"SELECT '{t}' AS table_name, 'in_set' AS constraint_type, '{c}_in_set' AS constraint_name, '{c}' AS column_name, "
+            f"CAST(count_if(coalesce(NOT ({c} IN {D.in_list(v)}), FALSE)) AS BIGINT) AS violations FROM {rel}")
+
+
+SQL["check_set"] = with_mig(_u(
+    [_set(f"mig_{t}", t, c, v) for t in ["customers", "orders"] for c, v in CN.SETS.get(t, [])]
+    + [_set("(SELECT cst_segment AS segment FROM legacy_customers)", "legacy_customers", "segment", ["B2B", "B2C", "VIP"]),
+       _set("(SELECT ord_channel AS channel FROM legacy_orders)", "legacy_orders", "channel", ["WEB", "TEL", "STORE", "API"]),
+       _set(f"({_LOG_STATUS})", "migration_log", "status", ["success", "skipped", "error"])]), ["customers", "orders"])
 
 
 def _length(t):
@@ -370,51 +397,64 @@ SQL["line_total"] = D.with_legacy(
     f"SELECT legacy_line_id, CAST({_LT} AS DOUBLE) AS line_total, "
     f"CAST({_num('source_line_total', 14, 2)} - {_LT} AS DOUBLE) AS source_minus_generated FROM "
     f"(SELECT {_migrate_select('order_lines')}, line_total AS source_line_total FROM legacy_order_lines)", "order_lines")
-SQL["row_level_log"] = D.with_legacy(
-    "SELECT 'customers' AS table_name, status, error_message, CAST(count(*) AS BIGINT) AS n_rows FROM ("
-    "SELECT CASE WHEN rn > 1 OR legacy_cst_id IS NULL THEN 'skipped' ELSE 'success' END AS status, "
-    "CASE WHEN rn > 1 THEN 'duplicate on email' WHEN legacy_cst_id IS NULL THEN 'missing required: legacy_cst_id' END "
-    "AS error_message FROM (SELECT *, row_number() OVER (PARTITION BY email ORDER BY _src_key) AS rn FROM ("
-    f"SELECT {_migrate_select('customers')}, cst_id AS _src_key FROM legacy_customers))) GROUP BY ALL", "customers")
 
-# ---- mapping ---------------------------------------------------------------------
-import json as _json  # noqa: E402
 
+def _log(t):
+    spec = SPECS[t]
+    names = list(dict.fromkeys([spec.target_key, *spec.required, *spec.dedup_on]))
+    dup = f"row_number() OVER (PARTITION BY {', '.join(spec.dedup_on)} ORDER BY _src_key) > 1" if spec.dedup_on else "FALSE"
+    miss = "concat_ws(',', " + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in spec.required) + ")"
+    rows = (f"SELECT _src_key AS legacy_id, {', '.join(names)}, {dup} AS dup, {miss} AS miss "
+            f"FROM (SELECT {_migrate_select(t)}, {spec.key} AS _src_key FROM legacy_{t})")
+    marked = f"SELECT *, dup OR miss <> '' AS skip FROM ({rows})"
+    order = ", ".join(f"{c} NULLS LAST" for c in ["legacy_id", *names])
+    return (f"SELECT 'run_sf' AS migration_run, '{t}' AS table_name, legacy_id, "
+            f"CASE WHEN NOT skip THEN row_number() OVER (PARTITION BY skip ORDER BY {order}) END AS target_id, "
+            f"CASE WHEN skip THEN 'skipped' ELSE 'success' END AS status, "
+            f"CASE WHEN dup THEN 'duplicate on {','.join(spec.dedup_on)}' WHEN miss <> '' THEN 'missing required: ' || miss END AS error_message "
+            f"FROM ({marked})")
+
+
+SQL["row_level_log"] = D.with_legacy(_u([_log(t) for t in MIG]), *MIG)
+
+# ---- mapping ---------------------------------------------------------------------
 from tidyload.operators import mapping as MP  # noqa: E402
+from tidyload.plans import mappings as MD  # noqa: E402
 from tidyload.sources.legacy import ORDER_KEYS  # noqa: E402
 
-_DOCS = _json.load(open(MP.PACKAGED_MAPPINGS, encoding="utf-8"))
-_MROWS = [(d["table_source"], i, m, d["migration_complexity"]) for d in _DOCS for i, m in enumerate(d["mappings"])]
+_MROWS = [(d["table_source"], i, m, d["migration_complexity"]) for d in MD.documents("proposed") for i, m in enumerate(d["mappings"])]
+_CROWS = [(d["table_source"], i, m, d["migration_complexity"]) for d in MD.documents("committed") for i, m in enumerate(d["mappings"])]
 
 
-def _pattern_sql(t):
+def _pattern_sql(t, sample=None, key=True):
     cols = [c for c, _ in D.SCHEMAS[f"legacy_{t}"]]
     k = ORDER_KEYS[t]
-    order = ", ".join([k] + [c for c in cols if c != k])
     parts = []
     for c in cols:
         if c == k:
             continue
-        first = lambda n, cond: f"bool_and(CASE WHEN pos <= {n} THEN {cond} ELSE TRUE END)"
-        dates = [first(20, f"regexp_matches(v, '{rx}')") for rx, _ in MP.PATTERN_DATES]
-        date_fmt = "CASE " + " ".join(f"WHEN {d} THEN '{lab}'" for d, (_, lab) in zip(dates, MP.PATTERN_DATES)) + " END"
-        pattern = (f"CASE WHEN count(*) = 0 THEN 'empty' WHEN ({date_fmt}) IS NOT NULL THEN 'date' "
-                   f"WHEN bool_and(v IN {D.in_list(MP.PATTERN_BOOL)}) THEN 'boolean_encoded' "
-                   f"WHEN bool_and(v IN {D.in_list(MP.PATTERN_STATUS)}) OR (count(DISTINCT v) <= 8 AND count(DISTINCT v) > 1) "
-                   f"THEN 'categorical' WHEN {first(10, chr(39).join(['regexp_matches(v, ', MP.PATTERN_PHONE, ')']))} THEN 'phone' "
-                   f"ELSE 'text' END")
+        first = lambda n, cond: f"bool_and(CASE WHEN pos <= {n} THEN {cond} ELSE TRUE END)" if sample else f"bool_and({cond})"
+        dates = [first(20, f"regexp_matches(v, '{rx}')") for rx, _ in N.PATTERN_DATES]
+        date_fmt = "CASE " + " ".join(f"WHEN {d} THEN '{lab}'" for d, (_, lab) in zip(dates, N.PATTERN_DATES)) + " END"
+        phone = first(10, f"regexp_matches(v, '{N.PATTERN_PHONE}')")
+        pattern = (f"CASE WHEN ({date_fmt}) IS NOT NULL THEN 'date' "
+                   f"WHEN bool_and(v IN {D.in_list(N.PATTERN_BOOL)}) THEN 'boolean_encoded' "
+                   f"WHEN bool_and(v IN {D.in_list(N.PATTERN_STATUS)}) OR (count(DISTINCT v) <= 8 AND count(DISTINCT v) > 1) "
+                   f"THEN 'categorical' WHEN {phone} THEN 'phone' ELSE 'text' END")
+        pos = f", row_number() OVER (ORDER BY {k}) AS pos" if sample else ""
+        limit = f" QUALIFY pos <= {sample}" if sample else ""
         parts.append(
             f"SELECT '{t}' AS table_name, '{c}' AS column_name, {pattern} AS pattern, "
             f"CASE WHEN {pattern} = 'date' THEN {date_fmt} END AS date_format, "
-            f"CAST(count(*) AS BIGINT) AS sample_size, CAST(count(DISTINCT v) AS BIGINT) AS sample_distinct, "
+            f"CAST(count(*) AS BIGINT) AS n_values, CAST(count(DISTINCT v) AS BIGINT) AS n_distinct, "
             f"CASE WHEN {pattern} = 'text' THEN {D.rhu('avg(length(v))', 1)} END AS avg_length "
-            f"FROM (SELECT CAST({c} AS VARCHAR) AS v, row_number() OVER (ORDER BY {order}) AS pos FROM legacy_{t} "
-            f"WHERE {c} IS NOT NULL QUALIFY pos <= 50) HAVING count(*) > 0")
+            f"FROM (SELECT CAST({c} AS VARCHAR) AS v{pos} FROM legacy_{t} WHERE {c} IS NOT NULL{limit}) HAVING count(*) > 0")
     return parts
 
 
 _PATTERNS = _u([p for t in MIG for p in _pattern_sql(t)])
 SQL["value_pattern"] = D.with_ctes(MIG, [], _PATTERNS)
+SQL["sampled_pattern"] = D.with_legacy(_u(_pattern_sql("orders", sample=50)), "orders")
 
 
 def _family(x):
@@ -445,7 +485,10 @@ _ENRICH = (
     f"CASE WHEN {_direct} AND p.pattern = 'boolean_encoded' THEN 'normalize_bool' WHEN {_direct} AND p.pattern = 'date' "
     f"THEN 'normalize_date' WHEN {_direct} AND p.pattern = 'phone' THEN 'normalize_phone' ELSE transform END AS transform, "
     f"confidence AS proposed_confidence, CASE WHEN {_direct} AND p.pattern = 'boolean_encoded' THEN least({_conf1}, 0.75) "
-    f"ELSE {_conf1} END AS confidence, migration_complexity "
+    f"ELSE {_conf1} END AS confidence, concat_ws(' | ', CASE WHEN NOT {_compat} THEN 'type ' || {_sf} || ' to ' || {_tf} END, "
+    f"CASE WHEN {_direct} AND p.pattern = 'boolean_encoded' THEN 'boolean codes seen' END, "
+    f"CASE WHEN {_direct} AND p.pattern = 'date' THEN 'dates seen: ' || p.date_format END, "
+    f"CASE WHEN {_direct} AND p.pattern = 'phone' THEN 'phone numbers seen' END) AS notes, migration_complexity "
     f"FROM {_MAP_VALUES} LEFT JOIN pat p ON mv.table_name = p.table_name AND mv.source_col = p.column_name")
 SQL["mapping_enrich"] = D.with_ctes(MIG, [("pat", _PATTERNS)], f"SELECT * EXCLUDE (migration_complexity) FROM ({_ENRICH})")
 SQL["mapping_ambiguous"] = D.with_ctes(MIG, [("pat", _PATTERNS)],
@@ -459,42 +502,43 @@ SQL["mapping_summary"] = D.with_ctes(MIG, [("pat", _PATTERNS)], (
     f"count_if(coalesce(confidence, 1.0) < 0.8) > 0 AS needs_review FROM ({_ENRICH}) GROUP BY table_name"))
 
 
-def _stg_sql(t):
+def _stg_sql(t, as_written=False):
     cols = []
-    for tt, i, m, _ in _MROWS:
-        if tt != t:
-            continue
-        src, tr, sql = m["source_col"], m.get("transform") or "direct", (m.get("transform_sql") or "").strip()
-        if tr == "skip":
-            continue
-        if tr == "direct" or not sql:
-            e = src
-        elif tr == "normalize_date":
-            e = f"try_cast({src} AS DATE)"
-        elif tr == "normalize_phone":
-            e = src
-        else:
-            e = f"({sql})"
-        cols.append(f"{e} AS {m['target_col']}")
-    where = {"products": "WHERE (coalesce(prod_price >= 0, FALSE) OR prod_price IS NULL) AND "
-                         "(coalesce(prod_stock >= 0, FALSE) OR prod_stock IS NULL)",
-             "order_lines": "WHERE coalesce(line_qty > 0, FALSE) OR line_qty IS NULL"}.get(t, "")
+    for tt, _, m, _ in _MROWS:
+        if tt == t:
+            cast = m["transform"] not in ("direct", "normalize_phone") and m["staging"]
+            e = N.STAGING_SQL["numeric" if m["transform"] == "cast_numeric" else m["staging"]].format(c=m["source_col"]) if cast else m["source_col"]
+            cols.append(f"{e} AS {m['target_col']}")
+    where = {"products": "WHERE (prod_price >= 0 OR prod_price IS NULL) AND (prod_stock >= 0 OR prod_stock IS NULL)",
+             "order_lines": "WHERE line_qty > 0 OR line_qty IS NULL"}.get(t, "")
+    if as_written:
+        where = "WHERE 1=1 AND prod_price >= 0 OR prod_price IS NULL AND prod_stock >= 0 OR prod_stock IS NULL"
     return D.with_legacy(f"SELECT {', '.join(cols)} FROM legacy_{t} {where}", t)
 
 
 for _t in MIG:
     SQL[f"stg_{_t}"] = _stg_sql(_t)
+SQL["stg_products_as_written"] = _stg_sql("products", as_written=True)
 
 
-def _mproj_sql(t):
-    spec = {name: (s, tr) for name, s, tr in SPECS[t].columns}
-    cols = [f"{D.SQL_TRANSFORMS[spec[m['target_col']][1]](m['source_col'])} AS {m['target_col']}"
-            for tt, i, m, _ in _MROWS if tt == t]
-    return D.with_legacy(f"SELECT {', '.join(cols)} FROM legacy_{t}", t)
+def _mapped_sql(t):
+    cols = []
+    for tt, _, m, _ in _CROWS:
+        if tt == t:
+            tr = {"normalize_status": f"normalize_status_{t[:-1]}"}.get(m["transform"], m["transform"])
+            tr = "normalize_currency" if m["target_col"] == "currency_code" else tr
+            cols.append(f"{D.SQL_TRANSFORMS[tr](m['source_col'])} AS {m['target_col']}")
+    return f"SELECT {', '.join(cols)} FROM legacy_{t}"
 
 
 for _t in MIG:
-    SQL[f"mapping_projection_{_t}"] = _mproj_sql(_t)
+    SQL[f"mapping_projection_{_t}"] = D.with_legacy(_mapped_sql(_t), _t)
+
+_FILLED = {"customers": ["status"], "products": ["currency_code", "stock_qty", "is_active"], "suppliers": ["is_active"],
+           "orders": ["status"], "order_lines": ["discount_pct"]}
+SQL["defaults_filled"] = D.with_legacy(_u([
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS nulls_before, CAST(0 AS BIGINT) AS nulls_after "
+    f"FROM ({_mapped_sql(t)})" for t, cols in _FILLED.items() for c in cols]), *MIG)
 
 # ---- loads / sinks / samples ---------------------------------------------------------
 SQL["load_roundtrip"] = with_mig("SELECT * FROM mig_orders", ["orders"])
@@ -502,15 +546,23 @@ SQL["audit_append"] = with_mig(_u([
     f"SELECT '{r}' AS migration_run, table_name, source_count, target_count, 'success' AS status "
     f"FROM ({_u([_stats(t) for t in MIG])})" for r in ("run_a", "run_b")]))
 SQL["csv_roundtrip"] = with_mig("SELECT * FROM mig_suppliers", ["suppliers"])
-SQL["json_results"] = D.with_ctes(_QT, _all_q + [("an", _an_all)], (
-    "SELECT table_name, CAST(count(*) AS BIGINT) AS n_anomalies, arg_min(anomaly_type, "
-    "struct_pack(seq := seq, anomaly_type := anomaly_type, severity := severity, column_name := column_name, "
-    "metric := metric)) AS first_anomaly FROM an GROUP BY table_name"))
+SQL["json_results"] = D.with_ctes(_QT, _all_q + [("rr", _rr_all), ("an", _an_all)], (
+    f"SELECT tl.table_name, sc.score, sc.approved, CAST(coalesce(a.n, 0) AS BIGINT) AS n_anomalies, a.first_anomaly, "
+    f"CAST(r.n AS BIGINT) AS n_rules, CAST(r.k AS BIGINT) AS n_severities FROM {_TABLES} LEFT JOIN ({D.score_sql('rr')}) sc "
+    f"ON tl.table_name = sc.table_name LEFT JOIN (SELECT table_name, count(*) AS n, arg_min(anomaly_type, seq) AS first_anomaly FROM an "
+    f"GROUP BY table_name) a ON tl.table_name = a.table_name LEFT JOIN (SELECT table_name, count(*) AS n, count(DISTINCT severity) AS k "
+    f"FROM rr GROUP BY table_name) r ON tl.table_name = r.table_name"))
+_NMAP = {t: sum(1 for tt, *_ in _CROWS if tt == t) for t in MIG}
+SQL["json_documents"] = with_mig(
+    _u([f"SELECT 'mapping' AS kind, '{t}' AS table_name, '{cx}' AS state, CAST({sum(1 for tt, *_ in _MROWS if tt == t)} AS BIGINT) AS n_entries"
+        for t, cx in MD.COMPLEXITY.items()]) + f" UNION ALL SELECT 'run', table_name, status, n_drift FROM ({_STATUS})")
+_HAVE = "(VALUES " + ", ".join(f"('{t}', '{c}')" for t in MIG for c, _ in D.SCHEMAS[f"legacy_{t}"] if c != "line_discount") + ") sr(table_name, column_name)"
+_WANT = "(VALUES " + ", ".join(f"('{t}', '{m['source_col']}')" for t, _, m, _ in _CROWS) + ") mv(table_name, column_name)"
 SQL["preflight"] = D.with_ctes(_QT, _all_q + [("rr", _rr_all)], (
-    f"SELECT tl.table_name, CAST(count(mv.source_col) AS BIGINT) AS n_mappings, CAST(0 AS BIGINT) AS missing_source_columns, "
-    f"first(sc.score) AS score, first(sc.approved) AS approved, count(mv.source_col) > 0 AS ready FROM {_TABLES} "
-    f"LEFT JOIN {_MAP_VALUES} ON tl.table_name = mv.table_name LEFT JOIN ({D.score_sql('rr')}) sc "
-    f"ON tl.table_name = sc.table_name GROUP BY tl.table_name"))
+    f"SELECT tl.table_name, w.n_mappings, w.missing AS missing_source_columns, sc.score, sc.approved, w.n_mappings > 0 AND w.missing = 0 AS ready "
+    f"FROM {_TABLES} LEFT JOIN (SELECT mv.table_name, CAST(count(*) AS BIGINT) AS n_mappings, CAST(count_if(sr.column_name IS NULL) AS BIGINT) AS missing "
+    f"FROM {_WANT} LEFT JOIN {_HAVE} ON mv.table_name = sr.table_name AND mv.column_name = sr.column_name GROUP BY mv.table_name) w "
+    f"ON tl.table_name = w.table_name LEFT JOIN (SELECT * FROM ({D.score_sql('rr')}) WHERE table_name <> 'suppliers') sc ON tl.table_name = sc.table_name"))
 _txt = [c for c, ty in D.SCHEMAS["legacy_customers"] if ty == "string"]
 SQL["sample_values"] = D.with_legacy(_u([
     f"SELECT '{c}' AS column_name, pos AS position, v AS value FROM (SELECT CAST({c} AS VARCHAR) AS v, "

@@ -7,8 +7,9 @@ views the driver registers), with the same fixed values.  Used only by
 
 from __future__ import annotations
 
-from tidyload.functions import normalize as N
-from tidyload.sources import legacy as L
+from oracle import fixed as N
+
+L = N
 
 
 def q(v) -> str:
@@ -76,7 +77,7 @@ SELECT o_orderkey AS ord_id,
   CASE WHEN o_orderkey % 10 = 0 THEN o_orderpriority END AS ord_notes
 FROM orders""",
     "customers": f"""
-SELECT c_custkey AS cst_id,
+SELECT CASE WHEN c_custkey % 211 <> 0 THEN c_custkey END AS cst_id,
   CASE WHEN NOT (c_custkey % 5 < 2) THEN c_name END AS cst_fname,
   CASE WHEN NOT (c_custkey % 5 < 2) THEN c_mktsegment END AS cst_lname,
   CASE WHEN c_custkey % 5 < 2 THEN c_name || ' SARL' END AS cst_company,
@@ -94,34 +95,35 @@ SELECT c_custkey AS cst_id,
 FROM customer""",
     "products": f"""
 SELECT p_partkey AS prod_id,
-  'REF-' || CAST(CASE WHEN p_partkey % 61 = 0 THEN p_partkey - 1 ELSE p_partkey END AS VARCHAR) AS prod_ref,
-  p_name AS prod_name,
+  CASE WHEN p_partkey % 107 <> 0 THEN 'REF-' || CAST(CASE WHEN p_partkey % 61 = 0 THEN p_partkey - 1 ELSE p_partkey END AS VARCHAR) END AS prod_ref,
+  CASE WHEN p_partkey % 103 <> 0 THEN p_name END AS prod_name,
   CASE WHEN p_partkey % 20 <> 0 THEN p_type END AS prod_category,
   CASE WHEN p_partkey % 50 = 0 THEN NULL WHEN p_partkey % 41 = 0 THEN -p_retailprice ELSE p_retailprice END AS prod_price,
   {pick('p_partkey', L.PRODUCT_CURRENCY_RAW)} AS prod_currency,
-  CASE WHEN p_partkey % 25 = 0 THEN CAST(-1 AS BIGINT) ELSE p_partkey % 500 END AS prod_stock,
+  CASE WHEN p_partkey % 27 = 0 THEN NULL WHEN p_partkey % 25 = 0 THEN CAST(-1 AS BIGINT) ELSE p_partkey % 500 END AS prod_stock,
   {pick('p_partkey', L.PRODUCT_UNIT_RAW)} AS prod_unit,
   {pick('p_partkey', L.PRODUCT_ACTIVE_RAW)} AS prod_active,
   CASE WHEN p_partkey % 29 <> 0 THEN {mixed_date(iso(days_after('2017-01-01', 'p_partkey', 2000)), 'p_partkey')} END AS prod_created
 FROM part""",
     "suppliers": f"""
 SELECT s_suppkey AS sup_id,
-  s_name AS sup_name,
+  CASE WHEN s_suppkey % 19 <> 0 THEN s_name END AS sup_name,
   {pick('s_suppkey', L.SUPPLIER_COUNTRY_RAW)} AS sup_country,
   CASE WHEN s_suppkey % 10 <> 0 THEN 'Contact ' || CAST(s_suppkey AS VARCHAR) END AS sup_contact,
   CASE WHEN s_suppkey % 12 <> 0 THEN 'contact' || CAST(s_suppkey AS VARCHAR) || '@supplier.com' END AS sup_email,
   {phone('s_suppkey + 2')} AS sup_phone,
-  CAST({pick('s_suppkey', L.SUPPLIER_RATING_RAW)} AS DOUBLE) AS sup_rating,
+  {pick('s_suppkey', L.SUPPLIER_RATING_RAW)} AS sup_rating,
   {pick('s_suppkey', L.SUPPLIER_ACTIVE_RAW)} AS sup_active,
   CASE WHEN s_suppkey % 23 <> 0 THEN {mixed_date(iso(days_after('2010-01-01', 's_suppkey', 4000)), 's_suppkey')} END AS sup_since
 FROM supplier""",
     "order_lines": """
-SELECT k AS line_id, l_orderkey AS line_ord_id, l_partkey AS line_prod_id,
-  CASE WHEN k % 50 = 0 THEN NULL WHEN k % 51 = 0 THEN 0.0 ELSE l_quantity END AS line_qty,
-  l_extendedprice / l_quantity AS line_unit_price,
-  CASE WHEN k % 20 <> 0 THEN l_discount * 100 END AS line_discount,
-  CASE WHEN k % 33 <> 0 THEN l_extendedprice END AS line_total
-FROM (SELECT *, l_orderkey * 10 + l_linenumber AS k FROM lineitem)""",
+SELECT l_orderkey * 10 + l_linenumber AS line_id, CASE WHEN m % 89 <> 0 THEN l_orderkey END AS line_ord_id,
+  CASE WHEN m % 83 <> 0 THEN l_partkey END AS line_prod_id,
+  CASE WHEN m % 50 = 0 THEN NULL WHEN m % 51 = 0 THEN 0.0 WHEN m % 53 = 0 THEN -3.0 WHEN m % 43 = 0 THEN 2.75 ELSE l_quantity END::DOUBLE AS line_qty,
+  CASE WHEN m % 47 = 0 THEN NULL WHEN m % 59 = 0 THEN -(l_extendedprice / l_quantity) ELSE l_extendedprice / l_quantity END AS line_unit_price,
+  CASE WHEN m % 20 = 0 THEN NULL WHEN m % 61 = 0 THEN 150.0 WHEN m % 67 = 0 THEN -5.0 ELSE l_discount * 100 END::DOUBLE AS line_discount,
+  CASE WHEN m % 33 <> 0 THEN l_extendedprice END AS line_total
+FROM (SELECT *, l_orderkey * 7 + l_linenumber * 13 AS m FROM lineitem)""",
 }
 
 LEGACY_VIEW_NAMES = {t: f"legacy_{t}" for t in LEGACY_SQL}
@@ -207,6 +209,11 @@ def num(x: str) -> str:
     return f"(CASE WHEN isnan({x}) THEN NULL ELSE {x} END)"
 
 
+def text_num(x: str) -> str:
+    """Numbers in text; anything else is null."""
+    return f"(CASE WHEN regexp_full_match({x}, '\\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\\s*') THEN try_cast(trim({x}) AS DOUBLE) END)"
+
+
 # target column -> SQL over the legacy view (same meaning as plans.specs.SPECS)
 SQL_TRANSFORMS = {
     "direct": lambda c: c,
@@ -224,7 +231,8 @@ SQL_TRANSFORMS = {
     "presence_flag": lambda c: f"CAST({c} IS NOT NULL AS INTEGER)",
     "price": lambda c: clip_lower(num(c), "0.0"),
     "stock": lambda c: f"CAST({clip_lower(f'coalesce({c}, 0)', 0)} AS BIGINT)",
-    "rating": lambda c: f"CAST({clip(f'coalesce({num(c)}, 0.0)', '0.0', '5.0')} AS DOUBLE)",
+    "rating": lambda c: f"CAST({clip(f'coalesce({text_num(c)}, 0.0)', '0.0', '5.0')} AS DOUBLE)",
+    "cast_numeric": lambda c: c if c == "prod_stock" else num(c),
     "tva": lambda c: f"CAST(coalesce({num(c)}, 19.0) AS DOUBLE)",
     "quantity": lambda c: f"CAST(trunc({clip_lower(f'coalesce({num(c)}, 1.0)', '1.0')}) AS BIGINT)",
     "discount": lambda c: f"CAST({clip(f'coalesce({num(c)}, 0.0)', '0.0', '100.0')} AS DOUBLE)",
@@ -255,7 +263,7 @@ SCHEMAS = {
                         ("prod_created", "string")],
     "legacy_suppliers": [("sup_id", "bigint"), ("sup_name", "string"), ("sup_country", "string"),
                          ("sup_contact", "string"), ("sup_email", "string"), ("sup_phone", "string"),
-                         ("sup_rating", "double"), ("sup_active", "string"), ("sup_since", "string")],
+                         ("sup_rating", "string"), ("sup_active", "string"), ("sup_since", "string")],
     "legacy_orders": [("ord_id", "bigint"), ("ord_ref", "string"), ("ord_cst_id", "bigint"),
                       ("ord_date", "string"), ("ord_exp_deliver", "string"), ("ord_delivered", "string"),
                       ("ord_status", "string"), ("ord_total_ht", "double"), ("ord_tva", "double"),
@@ -300,7 +308,7 @@ def profile_column_sql(rel: str, table_name: str, i: int, c: str, t: str) -> str
         neg = "CAST(0 AS BIGINT)"
     if text:
         avg_len = f"coalesce({rhu(f'avg(length({x}))', 1)}, 0.0)"
-        cnt = [f"CAST(count_if(regexp_matches({x}, '{rx}')) AS BIGINT)" for _, rx, _ in N.DATE_LAYOUTS]
+        cnt = [f"CAST(count_if(regexp_matches({x}, '{rx}')) AS BIGINT)" for _, rx in N.DATE_LAYOUTS]
         nfmt = " + ".join(f"CAST({cc} > 0 AS BIGINT)" for cc in cnt)
         mixed = f"({nfmt}) > 1"
         all_bool = f"(count({x}) > 0 AND bool_and(upper({x}) IN {in_list(BOOL_VALUES)}))"

@@ -48,6 +48,30 @@ def test_products_filter_as_written(spark):
 
 
 def test_packaged_mapping_rows(spark):
+    committed = M.mapping_rows(M.read_mapping_documents(spark))
+    assert {r[0]: r[1] for r in committed.groupBy("table_name").count().collect()} == {
+        "customers": 13, "products": 10, "orders": 11, "order_lines": 6, "suppliers": 9}
+    assert {"lowercase", "uppercase"} <= {r[0] for r in committed.select("transform").distinct().collect()}
+    assert M.mapping_rows(M.read_mapping_documents(spark, form="proposed")).count() == 44
+
+
+def test_mapping_documents_from_shared_storage(spark, tmp_path):
+    docs = M.read_mapping_documents(spark)
+    docs.write.json(str(tmp_path / "docs"))
+    assert M.mapping_rows(M.read_mapping_documents(spark, str(tmp_path / "docs"))).count() == 49
+
+
+def test_projection_follows_the_rows(spark):
+    from tidyload.plans.mappings import RELABELLED
     rows = M.mapping_rows(M.read_mapping_documents(spark))
-    assert rows.count() == 44
-    assert rows.groupBy("table_name").count().count() == 5
+    df = spark.createDataFrame([(1, "r", "n", "c", 2.0, " eur", 3, "u", "Y", "2024-01-02")],
+                               "prod_id long, prod_ref string, prod_name string, prod_category string, prod_price double, prod_currency string, "
+                               "prod_stock long, prod_unit string, prod_active string, prod_created string")
+    assert M.apply_mapping(df, rows, "products").first().currency_code == " E"  # the row's label, taken at its word
+    assert M.apply_mapping(df, rows, "products", relabelled=RELABELLED["products"]).first().currency_code == "EUR"
+
+
+def test_patterns_look_at_all_values(spark):
+    df = spark.createDataFrame([(i, "2024-01-%02d" % (1 + i % 28) if i < 60 else "soon") for i in range(61)], "k long, d string")
+    assert M.value_patterns(df, "t", ["d"]).first().pattern == "text"
+    assert M.sampled_patterns(df, "t", "k").first().pattern == "date"

@@ -33,3 +33,21 @@ def test_no_cartesian(spark):
     for name in ["reconcile_counts", "drift_issues", "run_summary", "quality_score"]:
         p = plan(E.queries()[name](spark, "/root/testdata/sf0.001"))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_one_computation_per_migration(spark):
+    # each source once for the migration and once for its row count
+    for name, most in (("reconcile_verdict", 10), ("run_summary", 10), ("drift_issues", 10), ("check_unique", 6), ("fk_orphans", 5)):
+        assert scans(E.queries()[name](spark, "/root/testdata/sf0.001")) <= most, name
+
+
+def test_no_python_in_the_library_plans(spark):
+    names = ["value_pattern", "sampled_pattern", "sample_values", "mapping_enrich", "quality_score", "profile_documents", "row_level_log", "dedup_order_lines_rejects"]
+    for name in names:
+        p = plan(E.queries()[name](spark, "/root/testdata/sf0.001"))
+        assert not any(x in p for x in ("MapInPandas", "MapInArrow", "BatchEvalPython", "ArrowEvalPython")), name
+        assert "RoundRobin" not in p, name

@@ -45,13 +45,84 @@ def test_no_rules_scores_one(spark):
 
 
 def test_assessment_properties(spark):
+    from tidyload.operators import profile as P
     from tidyload.sources.legacy import legacy_table
     df = legacy_table(spark, "/root/testdata/sf0.001", "customers")
-    prof, an, rules = Q.assess(df, "customers")
+    rules = Q.rule_results(Q.assess(df, "customers"))
     s = Q.score(rules).first()["score"]
     assert 0.0 <= s <= 1.0
     # every critical column gets exactly one not-null rule
     crit = rules.where(F.col("rule_type") == "expect_column_values_to_not_be_null").select("column_name")
     assert sorted(r[0] for r in crit.collect()) == ["cst_email", "cst_id"]
     # profile has one row per column
-    assert prof.count() == len(df.columns)
+    assert P.profile(df, "customers").count() == len(df.columns)
+
+
+def profiled(spark, rows, schema, **options):
+    from tidyload.operators import profile as P
+    return {r["column_name"]: r for r in P.profile(spark.createDataFrame(rows, schema), "t", **options).collect()}
+
+
+def test_many_spellings_are_one_encoding(spark):
+    from itertools import product
+    words = ["".join(w) for w in product(*[(c, c.upper()) for c in "inactive"])]
+    got = profiled(spark, [(w,) for w in words] + [(None,)], "v string")["v"]
+    assert got["unique_count"] == 256 and got["bool_encoding"] == "INACTIVE" and got["status_encoding"] is None
+
+
+def test_long_values_are_listed_as_they_are(spark):
+    a, b = "a" * 300, "b" * 1000
+    got = profiled(spark, [(a, "x"), (b, "x"), (a, "y"), (None, "y")], "v string, w string", with_rows=True)
+    assert got["v"]["status_encoding"] == f"{a},{b}" and got["v"]["avg_length"] == 533.3 and got["v"]["dup_count"] == 1
+    assert got["w"]["status_encoding"] == "x,y" and got["*"]["unique_count"] == 4
+
+
+def test_signed_zero_and_nan(spark):
+    got = profiled(spark, [(0.0, 1), (-0.0, 1), (float("nan"), 1), (None, 1)], "v double, k int", with_rows=True)
+    assert (got["v"]["unique_count"], got["v"]["null_count"], got["v"]["dup_count"]) == (1, 2, 1)
+    assert got["*"]["unique_count"] == 2 and got["k"]["mean"] == 1.0
+
+
+def test_profile_of_no_rows(spark):
+    got = profiled(spark, [], "v string, k int")
+    assert (got["v"]["row_count"], got["v"]["null_rate"], got["k"]["unique_count"], got["k"]["mean"]) == (0, 0.0, 0, None)
+
+
+def test_ratio_of_large_counts(spark):
+    from tidyload.functions.numeric import ratio
+    rows = [(10**15, 3 * 10**15), (10**18, 10**18), (1, 3), (0, 5), (5, 0), (9, 60000)]
+    got = [r[0] for r in spark.createDataFrame(rows, "n long, d long").select(ratio("n", "d", 4)).collect()]
+    assert got == [0.3333, 1.0, 0.3333, 0.0, 0.0, 0.0002]
+
+
+def test_supplied_set_can_fail(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("b",), (None,), ("c",)], "state string")
+    bad = Q.rule_results(Q.assess(df, "t", [], {"state": ["a", "c"]})).where("rule_id = 'state__valid_values'").collect()
+    assert [(r.passed, r.observed, r.valid_set) for r in bad] == [(False, 2.0, "a,c")]
+    good = Q.rule_results(Q.assess(df, "t", [], {"state": ["a", "b", "c", "d"]})).where("rule_id = 'state__valid_values'").collect()
+    assert [(r.passed, r.observed) for r in good] == [(True, 0.0)]
+
+
+def test_gate(spark, monkeypatch):
+    scores = Q.score(rule_rows(spark))
+    with pytest.raises(Q.QualityGateError, match="customers"):
+        Q.enforce_gate(scores)
+    assert Q.enforce_gate(scores, 0.2).count() == 5
+    monkeypatch.setenv(Q.THRESHOLD_ENV, "0.6")
+    assert {r.table_name for r in Q.score(rule_rows(spark)).where("approved").collect()} == {"products", "orders", "order_lines"}
+
+
+def test_documents_for_tables_without_findings(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+    from tidyload.sources import sinks as K
+    assessed = Q.assess(spark.createDataFrame([("a@x",), ("a@x",)], "email string"), "dirty", [])
+    tables = spark.createDataFrame([("dirty",), ("clean",)], "table_name string")
+    docs = {r["table"]: r for r in K.write_documents(Q.documents(assessed, tables), str(tmp_path / "d")).collect()}
+    assert set(docs) == {"dirty", "clean"} and docs["clean"].anomalies == [] and docs["clean"].score == 1.0
+    assert [a.anomaly_type for a in docs["dirty"].anomalies] == ["DUPLICATE_ROWS", "DUPLICATE_KEY"]
+    none = K.write_documents(Q.documents(assessed.limit(0), tables.limit(0)), str(tmp_path / "none"))
+    assert none.count() == 0
+    assert {r.table_name for r in K.read_quality_reports(spark, str(tmp_path / "d")).collect()} == {"dirty", "clean"}
+    assert K.read_quality_reports(spark, str(tmp_path / "missing")).count() == 0
+    with pytest.raises(AnalysisException):
+        K.read_quality_reports(spark, "nosuchstore://x/y")

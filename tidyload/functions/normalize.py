@@ -240,56 +240,61 @@ def fill(c, default) -> Column:
 
 
 def to_int(c) -> Column:
-    """P-7: ``astype(int)`` after a fill: truncation toward zero."""
-    return _col(c).cast("long")
+    """P-7: ``astype(int)`` after a fill: truncation toward zero; a value out of
+    range becomes null instead of aborting the job."""
+    return _col(c).try_cast("long")
 
 
 # ---------------------------------------------------------------------------
-# Mapping-time SQL variants (N-9 .. N-11), as the mapping documents spell them.
-# They differ from N-2/N-3 on case, 'yes'/'y' and null customers.
+# Staging variants (N-9 .. N-11), as the staging models spell them. They differ
+# from N-2 .. N-6 on case, on 'yes'/'y' and on nulls.
 # ---------------------------------------------------------------------------
 
-def sql_status_customer(c) -> Column:
-    """N-9 customer CASE: case-sensitive {1,A,active} -> active, else inactive."""
-    c = _col(c)
-    return F.when(c.isin(["1", "A", "active"]), F.lit("active")).otherwise(F.lit("inactive"))
-
-
-SQL_ORDER_STATUS = {
+# Fixed values of the staging variants.
+STAGING_ACTIVE = ["1", "A", "active"]
+STAGING_ORDER_STATUS = {
     "pending": ["P", "PEND", "pending", "0"],
     "confirmed": ["C", "CONF", "confirmed", "1"],
     "shipped": ["S", "SHIP", "shipped", "2"],
     "delivered": ["D", "DELIV", "delivered", "3"],
     "cancelled": ["X", "CANC", "cancelled", "9"],
 }
+STAGING_TRUE = ["1", "Y", "YES", "TRUE", "A", "ACTIVE"]
+STAGING_PRODUCT_TRUE = ["Y", "1", "YES", "TRUE"]
+STAGING_SUPPLIER_TRUE = ["Y", "1", "YES"]
+STAGING_COUNTRIES = {
+    "TN": ["TN", "TUNISIA", "TUNISIE"],
+    "FR": ["FR", "FRANCE"],
+    "DZ": ["DZ", "ALGERIE", "ALGERIA"],
+}
 
 
-def sql_status_order(c) -> Column:
-    """N-9 order CASE: case-sensitive codes, unknown/null -> pending."""
-    c = _col(c)
+def staging_status_customer(c) -> Column:
+    """N-9 customers: case-sensitive, null is inactive."""
+    return F.when(_col(c).isin(STAGING_ACTIVE), F.lit("active")).otherwise(F.lit("inactive"))
+
+
+def staging_status_order(c) -> Column:
+    """N-9 orders: case-sensitive codes, unknown and null are pending."""
     out = None
-    for state, codes in SQL_ORDER_STATUS.items():
-        out = (F.when if out is None else out.when)(c.isin(codes), F.lit(state))
+    for state, codes in STAGING_ORDER_STATUS.items():
+        out = (F.when if out is None else out.when)(_col(c).isin(codes), F.lit(state))
     return out.otherwise(F.lit("pending"))
 
 
-def sql_bool(c, true_values=("Y", "1", "YES", "TRUE")) -> Column:
-    """N-10: ``CASE WHEN UPPER(x) IN (...) THEN 1 ELSE 0 END``."""
+def staging_bool(c, true_values) -> Column:
+    """N-10: upper-cased text in a set -> 1, all else -> 0."""
     return F.when(F.upper(as_text(c)).isin(list(true_values)), F.lit(1)).otherwise(F.lit(0))
 
 
-def sql_default_country(c) -> Column:
-    """N-11: TN/FR/DZ spellings (upper) -> code, anything else unchanged."""
-    c = _col(c)
-    u = F.upper(c)
-    return (
-        F.when(u.isin("TN", "TUNISIA", "TUNISIE"), F.lit("TN"))
-        .when(u.isin("FR", "FRANCE"), F.lit("FR"))
-        .when(u.isin("DZ", "ALGERIE", "ALGERIA"), F.lit("DZ"))
-        .otherwise(c)
-    )
+def staging_country(c) -> Column:
+    """N-11: three countries' spellings -> code, anything else unchanged."""
+    u, out = F.upper(_col(c)), None
+    for code, names in STAGING_COUNTRIES.items():
+        out = (F.when if out is None else out.when)(u.isin(names), F.lit(code))
+    return out.otherwise(_col(c))
 
 
-def sql_upper_trim(c) -> Column:
-    """N-10: ``UPPER(TRIM(x))`` (SQL TRIM removes spaces only)."""
+def staging_upper_trim(c) -> Column:
+    """N-10: upper and trim (spaces only)."""
     return F.upper(F.trim(as_text(c)))

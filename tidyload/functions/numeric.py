@@ -5,7 +5,8 @@ string half-up, others round the binary value), so figures that are compared
 across engines use explicit formulas:
 
 * ``ratio(n, d, k)`` — a count ratio rounded half-up on the EXACT rational
-  n/d with integer arithmetic: ``(2·n·10^k + d) div (2·d) / 10^k``.
+  n/d: ``(2·n·10^k + d) div (2·d) / 10^k`` in decimal arithmetic, exact for
+  counts up to 10^18.
 * ``round_half_up(x, k)`` — ``floor(x·10^k + 0.5) / 10^k`` on a double, which
   also agrees with Python's ``round`` on binary values such as 2.675.
 """
@@ -20,15 +21,11 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def int_div(a: Column, b: Column) -> Column:
-    """Exact floor division of non-negative integers (< 2^53)."""
-    return ((a - F.pmod(a, b)) / b).cast("long")
-
-
 def ratio(n, d, digits: int, empty: float = 0.0) -> Column:
-    n, d = _c(n).cast("long"), _c(d).cast("long")
+    n, d = _c(n).cast("decimal(19,0)"), _c(d).cast("decimal(19,0)")
     scale = 10 ** digits
-    q = int_div(n * (2 * scale) + d, d * 2)
+    top = n * F.lit(2 * scale).cast("decimal(8,0)") + d
+    q = F.call_function("div", top, F.when(d > 0, d * F.lit(2).cast("decimal(1,0)")))
     return F.when(d > 0, q / F.lit(float(scale))).otherwise(F.lit(empty))
 
 

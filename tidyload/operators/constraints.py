@@ -2,11 +2,11 @@
 the row-level migration log (R-9).
 
 Constraint checks are one global aggregate per table (count of violating rows
-per constraint, partial per task).  Foreign keys pre-aggregate the child's key
-values before the anti-join, so a key holding a third of the child rows is one
-row per map task by the time it is shuffled; literal dimensions are broadcast
-(their size is fixed by the DDL), table parents are left to adaptive execution,
-which broadcasts only when the runtime size is under the threshold.
+per constraint, partial per task).  Keys and foreign keys of all tables are counted
+in one shuffle each: every table is read once and unpivoted to (constraint, key)
+entries, which map-side aggregation collapses, so a key holding a third of the rows
+is one row per map task by the time it is shuffled.  Literal dimensions are
+broadcast in lookups (their size is fixed by the DDL).
 """
 
 from __future__ import annotations
@@ -43,6 +43,7 @@ RANGES = {
                     ("discount_pct_0_100", "discount_pct", 0, 100, True)],
 }
 SETS = {
+    "migration_log": [("status", ["success", "skipped", "error"])],
     "customers": [("segment", ["B2B", "B2C", "VIP"])],
     "orders": [("channel", ["WEB", "TEL", "STORE", "API"])],
 }
@@ -134,19 +135,24 @@ def check_length(df: DataFrame, table_name: str) -> DataFrame:
     return _checks(df, table_name, checks)
 
 
-def check_unique(df: DataFrame, table_name: str, keys=None) -> DataFrame:
-    """C-2: duplicate (non-null) key tuples, one aggregate per key; partial
-    aggregation keeps hot keys map-side."""
-    keys = UNIQUE.get(table_name, []) if keys is None else keys
-    parts = []
-    for cols in keys:
-        nn = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
-        g = df.where(nn).groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(g.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("violations"))
-                     .select(F.lit(table_name).alias("table_name"), F.lit("unique").alias("constraint_type"),
-                             F.lit("_".join(cols) + "_unique").alias("constraint_name"),
-                             F.lit(",".join(cols)).alias("column_name"), "violations"))
-    return reduce(DataFrame.unionByName, parts)
+def check_unique(frames: dict, keys: dict | None = None) -> DataFrame:
+    """C-2: duplicate (non-null) key tuples of several tables, ``frames`` by name,
+    all in one shuffle: each table is read once."""
+    keys = UNIQUE if keys is None else keys
+    parts, listed = [], []
+    for table_name, df in frames.items():
+        own = keys.get(table_name, [])
+        listed += [(table_name, "_".join(k) + "_unique", ",".join(k)) for k in own]
+        entries = [F.struct(F.lit(table_name).alias("table_name"), F.lit("_".join(k) + "_unique").alias("constraint_name"),
+                            F.when(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in k]),
+                                   F.to_json(F.struct(*k))).alias("key")) for k in own]
+        parts.append(df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").where(F.col("key").isNotNull()))
+    counted = reduce(DataFrame.unionByName, parts).groupBy("table_name", "constraint_name", "key").agg(F.count(F.lit(1)).alias("n"))
+    by = counted.groupBy("table_name", "constraint_name").agg(F.sum(F.col("n") - 1).cast("bigint").alias("v"))
+    names = next(iter(frames.values())).sparkSession.createDataFrame(listed, "table_name string, constraint_name string, column_name string")
+    return names.join(by, ["table_name", "constraint_name"], "left").select(
+        "table_name", F.lit("unique").alias("constraint_type"), "constraint_name", "column_name",
+        F.coalesce("v", F.lit(0)).cast("bigint").alias("violations"))
 
 
 def apply_defaults(df: DataFrame, table_name: str) -> DataFrame:
@@ -180,30 +186,34 @@ def line_total(qty, price, disc) -> "F.Column":
 
 # ---- foreign keys / lookups --------------------------------------------------
 
-def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, relation: str) -> DataFrame:
-    """J-1: non-null child keys missing from the parent -> (orphan rows, keys).
-
-    The child is reduced to (key, rows) first (partial aggregation collapses
-    hot keys), then anti-joined with the parent's distinct keys."""
-    keys = child.where(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    pkeys = parent.select(F.col(pk).alias("_k")).distinct()
-    orphans = keys.join(pkeys, "_k", "left_anti")
-    return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphan_rows"),
-                       F.count(F.lit(1)).alias("orphan_keys")).select(
-        F.lit(relation).alias("relation"), "orphan_rows", "orphan_keys")
-
-
-def parent_frame(spark, name: str, migrated: dict) -> DataFrame:
-    return dimension(spark, name) if name.startswith("dim_") else migrated[name]
-
-
-def all_fk_orphans(spark, migrated: dict) -> DataFrame:
-    parts = []
-    for child, fk, parent, pk in FOREIGN_KEYS:
-        if child in migrated and (parent.startswith("dim_") or parent in migrated):
-            rel = f"{child}.{fk}->{parent}.{pk}"
-            parts.append(fk_orphans(migrated[child], fk, parent_frame(spark, parent, migrated), pk, rel))
-    return reduce(DataFrame.unionByName, parts)
+def key_columns(table: str) -> list[str]:
+    """The columns of a table that take part in a foreign key, on either side."""
+    return list(dict.fromkeys([fk for child, fk, _, _ in FOREIGN_KEYS if child == table]
+                              + [pk for _, _, parent, pk in FOREIGN_KEYS if parent == table]))
+
+
+def all_fk_orphans(spark, migrated: dict, relations=None) -> DataFrame:
+    """J-1: per relation, non-null child keys missing from the parent (orphan rows,
+    orphan keys). Children and parents of all relations meet in one shuffle of
+    (relation, key); each table is read once, for its key columns only."""
+    relations = FOREIGN_KEYS if relations is None else relations
+    used, entries = [], {}
+    for child, fk, parent, pk in relations:
+        if child not in migrated or not (parent.startswith("dim_") or parent in migrated):
+            continue
+        name = f"{child}.{fk}->{parent}.{pk}"
+        used.append((name,))
+        for table, column, is_child in ((child, fk, 1), (parent, pk, 0)):
+            entries.setdefault(table, []).append(F.struct(
+                F.lit(name).alias("relation"), F.col(column).cast("string").alias("key"), F.lit(is_child).alias("child")))
+    parts = [(dimension(spark, t) if t.startswith("dim_") else migrated[t]).select(F.explode(F.array(*e)).alias("e")).select("e.*")
+             for t, e in entries.items()]
+    met = reduce(DataFrame.unionByName, parts).where(F.col("key").isNotNull()).groupBy("relation", "key").agg(
+        F.sum("child").alias("n"), F.min("child").alias("orphan"))
+    by = met.where(F.col("orphan") == 1).groupBy("relation").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("keys"))
+    return spark.createDataFrame(used, "relation string").join(by, "relation", "left").select(
+        "relation", F.coalesce("rows", F.lit(0)).cast("bigint").alias("orphan_rows"),
+        F.coalesce("keys", F.lit(0)).cast("bigint").alias("orphan_keys"))
 
 
 def resolve_fk(child: DataFrame, fk: str, parent: DataFrame, legacy_key: str, surrogate: str,
@@ -221,25 +231,27 @@ def dim_lookup(df: DataFrame, code_col: str, dim: DataFrame, dim_key: str, colum
     return df.join(F.broadcast(d), df[code_col] == d["_dk"], "left").drop("_dk")
 
 
-def row_level_log(projected: DataFrame, key: str, dedup_on, required, run_id: str,
-                  table_name: str) -> DataFrame:
-    """R-9: one row per source row: success, or skipped with the reason.
+def row_level_log(source: DataFrame, spec, run_id: str) -> DataFrame:
+    """R-9: one row per source row of a table: success with the target id it gets,
+    or skipped with the reason.
 
-    ``projected`` is the spec projection with the source key (before dedup and
-    the required filter).  Dedup survivors come from the skew-proof aggregate
-    and are joined back on the (unique, evenly spread) row key."""
-    from tidyload.operators.transform import survivors
-    df = projected
-    if dedup_on:
-        keep = survivors(df, dedup_on, key).select(F.col("_keep_key").alias("_kk"), F.lit(True).alias("_kept"))
-        df = df.join(keep, df[key] == keep["_kk"], "left").drop("_kk")
-        dup = ~F.coalesce(F.col("_kept"), F.lit(False))
+    Target ids number the loaded rows in legacy-key order (W-3), as a load into a
+    serial column does."""
+    from tidyload.operators.transform import dedup_marks, project, surrogate_keys
+    names = [spec.target_key, *spec.required, *spec.dedup_on]
+    df = project(source, spec, keep_key=True, columns=names)
+    if spec.dedup_on:
+        df = dedup_marks(df, spec.dedup_on, "_src_key")
+        dup = ~F.col("_kept")
     else:
         dup = F.lit(False)
-    missing = [F.when(F.col(c).isNull(), F.lit(c)) for c in required]
-    miss = F.concat_ws(",", *missing)
-    status = F.when(dup | (miss != ""), F.lit("skipped")).otherwise(F.lit("success"))
-    msg = (F.when(dup, F.concat(F.lit("duplicate on "), F.lit(",".join(dedup_on or []))))
-           .when(miss != "", F.concat(F.lit("missing required: "), miss)))
-    return df.select(F.lit(run_id).alias("migration_run"), F.lit(table_name).alias("table_name"),
-                     F.col(key).alias("legacy_id"), status.alias("status"), msg.alias("error_message"))
+    miss = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in spec.required])
+    skipped = dup | (miss != "")
+    message = (F.when(dup, F.concat(F.lit("duplicate on "), F.lit(",".join(spec.dedup_on))))
+               .when(miss != "", F.concat(F.lit("missing required: "), miss)))
+    rows = df.select(F.col("_src_key").alias("legacy_id"), *[F.col(c).alias(f"_{c}") for c in dict.fromkeys(names)],
+                     F.when(skipped, F.lit("skipped")).otherwise(F.lit("success")).alias("status"), message.alias("error_message"))
+    loaded = surrogate_keys(rows.where(F.col("status") == "success"), ["legacy_id", *[f"_{c}" for c in dict.fromkeys(names)]], "target_id")
+    out = [F.lit(run_id).alias("migration_run"), F.lit(spec.source).alias("table_name"), "legacy_id"]
+    return loaded.select(*out, "target_id", "status", "error_message").unionByName(
+        rows.where(F.col("status") != "success").select(*out, F.lit(None).cast("long").alias("target_id"), "status", "error_message"))

@@ -4,14 +4,14 @@ type families and compatibility (D-6, D-7), the value-pattern classifier
 ambiguous filter (P-10), unmapped columns (P-16) and the mapping-driven
 projection (P-11 .. P-14).
 
-Mapping rows are metadata (tens of rows per table); they are read with
-``spark.read.json`` and joined with per-column facts computed from the data.
-Only ``apply_mapping`` brings them to the driver, to build a projection.
+Mapping rows are metadata (tens of rows per table): the packaged documents are
+plain data on the driver, others are read from shared storage; they are joined
+with per-column facts computed from the data.  Only ``apply_mapping`` brings them
+to the driver, to build a projection.
 """
 
 from __future__ import annotations
 
-import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,24 +19,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidyload.functions import normalize as N
-from tidyload.plans.specs import TRANSFORMS
+from tidyload.functions.numeric import round_half_up
+from tidyload.operators import profile as P
+from tidyload.plans import mappings as packaged
 from tidyload.sources.tables import column_samples
 
-PACKAGED_MAPPINGS = os.path.join(os.path.dirname(os.path.dirname(__file__)), "data", "mappings.json")
-
 MAPPING_ROW = T.StructType([
     T.StructField("source_col", T.StringType()), T.StructField("target_col", T.StringType()),
     T.StructField("source_type", T.StringType()), T.StructField("target_type", T.StringType()),
     T.StructField("transform", T.StringType()), T.StructField("confidence", T.DoubleType()),
-    T.StructField("notes", T.StringType()), T.StructField("transform_sql", T.StringType()),
+    T.StructField("notes", T.StringType()), T.StructField("staging", T.StringType()),
 ])
 MAPPING_DOC = T.StructType([
     T.StructField("table_source", T.StringType()), T.StructField("table_target", T.StringType()),
-    T.StructField("migration_complexity", T.StringType()), T.StructField("complexity_reason", T.StringType()),
+    T.StructField("migration_complexity", T.StringType()),
     T.StructField("mappings", T.ArrayType(MAPPING_ROW)),
-    T.StructField("unmapped_source", T.ArrayType(T.StringType())),
-    T.StructField("unmapped_target", T.ArrayType(T.StringType())),
-    T.StructField("migration_risks", T.ArrayType(T.StringType())),
 ])
 
 # Type-family vocabularies (substring tests, in this order).
@@ -78,9 +75,12 @@ TARGET_COLUMNS = {
 }
 
 
-def read_mapping_documents(spark: SparkSession, path: str = PACKAGED_MAPPINGS) -> DataFrame:
-    """S-6: mapping documents (JSON, one or many per file) with a fixed schema."""
-    return spark.read.schema(MAPPING_DOC).option("multiLine", True).json(path)
+def read_mapping_documents(spark: SparkSession, path: str | None = None, form: str = "committed") -> DataFrame:
+    """S-6: mapping documents with a fixed schema: the packaged ones of a form, or
+    JSON (one document a line) from a shared ``path``."""
+    if path is not None:
+        return spark.read.schema(MAPPING_DOC).json(path)
+    return spark.createDataFrame(packaged.documents(form), MAPPING_DOC)
 
 
 def mapping_rows(docs: DataFrame) -> DataFrame:
@@ -114,42 +114,57 @@ def type_compat(src: Column, tgt: Column, families: bool = False):
     return compatible, risk, s, t
 
 
-def value_patterns(df: DataFrame, table_name: str, order_by, columns=None, sample: int = SAMPLE_SIZE) -> DataFrame:
-    """D-5 over S-5 samples: first ``sample`` non-null values of each column by
-    ``order_by`` (a bounded top-k per column), classified by the first rule
-    that matches: date, boolean_encoded, categorical, phone, else text."""
-    s = column_samples(df, order_by, k=sample, columns=columns)
-    v = F.col("value")
-    first = lambda n, cond: F.bool_and(F.when(F.col("position") <= n, cond).otherwise(True))
-    aggs = [F.count(F.lit(1)).alias("n"), F.count_distinct(v).alias("n_distinct"),
-            F.bool_and(v.isin(PATTERN_BOOL)).alias("all_bool"),
-            F.bool_and(v.isin(PATTERN_STATUS)).alias("all_status"),
-            first(PHONE_PROBE, v.rlike(PATTERN_PHONE)).alias("phone"),
-            F.avg(F.length(v)).alias("avg_len")]
-    aggs += [first(DATE_PROBE, v.rlike(rx)).alias(f"date{i}") for i, (rx, _) in enumerate(PATTERN_DATES)]
-    g = s.groupBy("column_name").agg(*aggs)
+def _labelled(g: DataFrame, table_name: str) -> DataFrame:
+    """The first rule that fits: date, boolean_encoded, categorical, phone, else text."""
     date_fmt = None
     for i, (_, label) in enumerate(PATTERN_DATES):
         date_fmt = (F.when if date_fmt is None else date_fmt.when)(F.col(f"date{i}"), F.lit(label))
-    pattern = (F.when(F.col("n") == 0, F.lit("empty"))
-               .when(date_fmt.isNotNull(), F.lit("date"))
+    pattern = (F.when(date_fmt.isNotNull(), F.lit("date"))
                .when(F.col("all_bool"), F.lit("boolean_encoded"))
                .when(F.col("all_status") | ((F.col("n_distinct") <= CATEGORICAL_MAX) & (F.col("n_distinct") > 1)),
                      F.lit("categorical"))
                .when(F.col("phone"), F.lit("phone"))
                .otherwise(F.lit("text")))
-    from tidyload.functions.numeric import round_half_up
     return g.select(F.lit(table_name).alias("table_name"), "column_name", pattern.alias("pattern"),
                     F.when(pattern == "date", date_fmt).alias("date_format"),
-                    F.col("n").alias("sample_size"), F.col("n_distinct").alias("sample_distinct"),
+                    F.col("n").alias("n_values"), "n_distinct",
                     F.when(pattern == "text", round_half_up("avg_len", 1)).alias("avg_length"))
 
 
+def value_patterns(df: DataFrame, table_name: str, columns=None) -> DataFrame:
+    """D-5 over all values: each column with values is labelled by the first rule
+    that all of them meet. One shuffle of value counts, as in the profile, so a
+    rule looks at each distinct value once."""
+    columns = list(columns or df.columns)
+    counts = P.value_counts(P.clean(df.select(*columns))).where(P.known())
+    v, n = P.as_string(), F.col("n")
+    rule = lambda cond: F.bool_and(~F.col("long") & cond)
+    aggs = [F.sum(n).alias("n"), F.count(F.lit(1)).alias("n_distinct"), rule(v.isin(PATTERN_BOOL)).alias("all_bool"),
+            rule(v.isin(PATTERN_STATUS)).alias("all_status"), rule(v.rlike(PATTERN_PHONE)).alias("phone"),
+            (F.sum(F.coalesce("len", F.length(v)) * n) / F.sum(n)).alias("avg_len")]
+    aggs += [rule(v.rlike(rx)).alias(f"date{i}") for i, (rx, _) in enumerate(PATTERN_DATES)]
+    names = df.sparkSession.createDataFrame(list(enumerate(columns)), "c int, column_name string")
+    return _labelled(counts.groupBy("c").agg(*aggs).join(names, "c"), table_name)
+
+
+def sampled_patterns(df: DataFrame, table_name: str, order_by, columns=None, sample: int = SAMPLE_SIZE) -> DataFrame:
+    """D-5 as an option over S-5 samples: the first ``sample`` non-null values of
+    each column by ``order_by`` (dates by the first 20 of them, phones by the first 10)."""
+    v = F.col("value")
+    first = lambda k, cond: F.bool_and(F.when(F.col("position") <= k, cond).otherwise(True))
+    aggs = [F.count(F.lit(1)).alias("n"), F.count_distinct(v).alias("n_distinct"),
+            F.bool_and(v.isin(PATTERN_BOOL)).alias("all_bool"), F.bool_and(v.isin(PATTERN_STATUS)).alias("all_status"),
+            first(PHONE_PROBE, v.rlike(PATTERN_PHONE)).alias("phone"), F.avg(F.length(v)).alias("avg_len")]
+    aggs += [first(DATE_PROBE, v.rlike(rx)).alias(f"date{i}") for i, (rx, _) in enumerate(PATTERN_DATES)]
+    return _labelled(column_samples(df, order_by, k=sample, columns=columns).groupBy("column_name").agg(*aggs), table_name)
+
+
 def enrich(rows: DataFrame, patterns: DataFrame) -> DataFrame:
     """D-8: type check lowers confidence of incompatible pairs to <= 0.65;
     a ``direct`` transform is upgraded by the observed pattern (boolean ->
     normalize_bool with confidence <= 0.75, date -> normalize_date, phone ->
-    normalize_phone).  Patterns are joined on (table, column): one row each."""
+    normalize_phone); each step extends ``notes``.  Patterns are joined on
+    (table, column): one row each."""
     p = patterns.select(F.col("table_name").alias("_pt"), F.col("column_name").alias("_pc"), "pattern", "date_format")
     j = (rows.join(p, (rows["table_name"] == p["_pt"]) & (rows["source_col"] == p["_pc"]), "left")
          .withColumn("_sf", type_family(F.coalesce("source_type", F.lit("TEXT"))))
@@ -160,18 +175,31 @@ def enrich(rows: DataFrame, patterns: DataFrame) -> DataFrame:
     conf0 = F.coalesce(F.col("confidence"), F.lit(DEFAULT_CONFIDENCE))
     conf1 = F.when(~compatible, F.least(conf0, F.lit(INCOMPATIBLE_CAP))).otherwise(F.col("confidence"))
     direct = F.col("transform") == "direct"
-    pat = F.col("pattern")
-    new_t = (F.when(direct & (pat == "boolean_encoded"), F.lit("normalize_bool"))
-             .when(direct & (pat == "date"), F.lit("normalize_date"))
-             .when(direct & (pat == "phone"), F.lit("normalize_phone"))
+    seen = lambda what: direct & (F.col("pattern") == what)
+    new_t = (F.when(seen("boolean_encoded"), F.lit("normalize_bool"))
+             .when(seen("date"), F.lit("normalize_date"))
+             .when(seen("phone"), F.lit("normalize_phone"))
              .otherwise(F.col("transform")))
-    conf2 = F.when(direct & (pat == "boolean_encoded"), F.least(conf1, F.lit(BOOL_CAP))).otherwise(conf1)
+    conf2 = F.when(seen("boolean_encoded"), F.least(conf1, F.lit(BOOL_CAP))).otherwise(conf1)
+    notes = F.concat_ws(
+        " | ", F.when(F.col("notes") != "", F.col("notes")),
+        F.when(~compatible, F.concat(F.lit("type "), sfam, F.lit(" to "), tfam)),
+        F.when(seen("boolean_encoded"), F.lit("boolean codes seen")),
+        F.when(seen("date"), F.concat(F.lit("dates seen: "), F.col("date_format"))),
+        F.when(seen("phone"), F.lit("phone numbers seen")))
     return j.select("table_name", "position", "source_col", "target_col", "source_type", "target_type",
                     sfam.alias("source_family"), tfam.alias("target_family"), compatible.alias("type_compatible"),
                     risk.alias("type_risk"), F.col("pattern").alias("value_pattern"), "date_format",
                     F.col("transform").alias("proposed_transform"), new_t.alias("transform"),
-                    F.col("confidence").alias("proposed_confidence"), conf2.alias("confidence"),
-                    "transform_sql", "migration_complexity")
+                    F.col("confidence").alias("proposed_confidence"), conf2.alias("confidence"), notes.alias("notes"),
+                    "migration_complexity")
+
+
+def documents(enriched: DataFrame) -> DataFrame:
+    """K-5: one mapping document per table, its mappings in their order."""
+    row = F.struct("position", "source_col", "target_col", "transform", "confidence", "value_pattern", "notes")
+    return enriched.groupBy(F.col("table_name").alias("table")).agg(
+        F.any_value("migration_complexity").alias("migration_complexity"), F.sort_array(F.collect_list(row)).alias("mappings"))
 
 
 def ambiguous(enriched: DataFrame) -> DataFrame:
@@ -212,23 +240,29 @@ def unmapped(spark: SparkSession, rows: DataFrame, source_schemas: dict) -> Data
 
 STATUS_BY_TABLE = {"customers": "normalize_status_customer", "orders": "normalize_status_order"}
 
+STAGING = {
+    "status_customer": N.staging_status_customer,
+    "status_order": N.staging_status_order,
+    "bool_product": lambda c: N.staging_bool(c, N.STAGING_PRODUCT_TRUE),
+    "bool_supplier": lambda c: N.staging_bool(c, N.STAGING_SUPPLIER_TRUE),
+    "bool": lambda c: N.staging_bool(c, N.STAGING_TRUE),
+    "country": N.staging_country,
+    "upper_trim": N.staging_upper_trim,
+    "numeric": lambda c: c.try_cast("double"),
+    "date": lambda c: c.try_cast("date"),
+}
+
 
-def _sql_mode_column(m, types) -> Column | None:
-    """The staging generator's dispatch: skip drops; direct or no SQL copies;
-    normalize_date casts; normalize_phone copies; cast_numeric casts; any
-    other transform with SQL uses that SQL."""
-    src, tr, sql = m["source_col"], m["transform"] or "direct", (m["transform_sql"] or "").strip()
+def _staging_column(m) -> Column | None:
+    """The staging generator's dispatch: ``skip`` drops; ``direct``, or no staging
+    conversion, copies; dates and numbers are cast, phones copied, and anything
+    else goes through the row's conversion."""
+    src, tr, conversion = F.col(m["source_col"]), m["transform"] or "direct", m["staging"]
     if tr == "skip":
         return None
-    if tr == "direct" or not sql:
-        return F.col(src)
-    if tr == "normalize_date":
-        return F.col(src).try_cast("date")
-    if tr == "normalize_phone":
-        return F.col(src)
-    if tr == "cast_numeric" and not sql:
-        return F.col(src).try_cast("double")
-    return F.expr(sql)
+    if tr in ("direct", "normalize_phone") or not conversion:
+        return src
+    return STAGING[{"normalize_date": "date", "cast_numeric": "numeric"}.get(tr, conversion)](src)
 
 
 def _registry_transform(m, table) -> str | None:
@@ -240,31 +274,21 @@ def _registry_transform(m, table) -> str | None:
     return tr
 
 
-def apply_mapping(df: DataFrame, mapping: DataFrame, table: str, mode: str = "sql",
-                  overrides: dict | None = None) -> DataFrame:
-    """P-14: compile the (tiny) mapping rows of ``table`` into a projection.
+def apply_mapping(df: DataFrame, mapping: DataFrame, table: str, mode: str = "registry",
+                  relabelled: dict | None = None) -> DataFrame:
+    """P-14: compile the (few) mapping rows of ``table`` into a projection.
 
-    ``mode='sql'`` follows the staging generator (mapping SQL verbatim);
-    ``mode='registry'`` resolves transform names to this library's Column
-    builders (multi-step ones as staged projections); ``overrides`` maps
-    target column -> registry transform name."""
+    ``mode='registry'`` resolves each row's transform to this library's Column
+    builders (multi-step ones as staged projections); ``relabelled`` (target column
+    -> transform) names the rows whose label is known to be wrong.
+    ``mode='staging'`` follows the staging generator."""
     from tidyload.operators.transform import staged_select
     rows = [r.asDict() for r in mapping.where(F.col("table_name") == table).orderBy("position").collect()]
-    types = dict((f.name, f.dataType.simpleString()) for f in df.schema.fields)
-    if mode == "sql" and not overrides:
-        cols = []
-        for m in rows:
-            c = _sql_mode_column(m, types)
-            if c is not None:
-                cols.append(c.alias(m["target_col"]))
-        return df.select(*cols)
-    items = []
-    for m in rows:
-        tgt = m["target_col"]
-        tr = overrides[tgt] if overrides and tgt in overrides else _registry_transform(m, table)
-        if tr is not None:
-            items.append((tgt, m["source_col"], tr))
-    return staged_select(df, items)
+    if mode == "staging":
+        cols = [(m["target_col"], _staging_column(m)) for m in rows]
+        return df.select(*[c.alias(name) for name, c in cols if c is not None])
+    items = [(m["target_col"], m["source_col"], (relabelled or {}).get(m["target_col"]) or _registry_transform(m, table)) for m in rows]
+    return staged_select(df, [i for i in items if i[2] is not None])
 
 
 def staging_filter(table: str, as_written: bool = False) -> Column | None:
@@ -286,8 +310,8 @@ def staging_filter(table: str, as_written: bool = False) -> Column | None:
 
 
 def staging_model(df: DataFrame, mapping: DataFrame, table: str, as_written: bool = False) -> DataFrame:
-    """P-11 .. P-13c: the generated staging model of a table (SQL mode of
+    """P-11 .. P-13c: the generated staging model of a table (staging mode of
     P-14 plus the table's filter), expressed as one filtered projection."""
     cond = staging_filter(table, as_written)
     src = df.where(cond) if cond is not None else df
-    return apply_mapping(src, mapping, table, mode="sql")
+    return apply_mapping(src, mapping, table, mode="staging")

@@ -1,44 +1,44 @@
 """Column profile (A-1 .. A-11) and encoding detection (D-1 .. D-4).
 
-Plan shape, whatever the table width:
-
-* pass 1 — ONE global aggregate with every cheap per-column statistic (null
-  count, min/max/mean, negatives, mean text length, date-layout counts and an
-  HLL distinct estimate).  Map-side partial aggregation, a single-row final;
-  the result is per-column metadata (one row per column) kept on the driver.
-* pass 2 — ONE shuffle keyed by (column, value): the table is unpivoted to
-  (column, value) pairs, partially aggregated map-side (so hot values collapse
-  before the exchange), then reduced per column in ONE aggregate to exact
-  distinct count, duplicate count, encoding flags and the value set.  Values
-  are collected only for columns whose pass-1 estimate is tiny, so no task
-  ever gathers an unbounded list.
-
-Long texts are keyed by their SHA-256 so whole documents are never shuffled.
+Plan shape, whatever the table width: the table is unpivoted to (column, value)
+pairs, nulls included, and counted by value in ONE shuffle (partially aggregated
+map-side, so hot values collapse before the exchange). Every figure of the profile
+comes from those counts: nulls, distinct values, duplicates, minimum, maximum,
+mean, negatives, text lengths, date layouts and encoding flags. Nothing runs while
+the query is built, and nothing is estimated.
+
+Value lists are bounded by construction: boolean encodings hold words of a
+vocabulary of twelve, status encodings are listed for columns whose exact distinct
+count is 2 to 15. Texts longer than ``LONG_TEXT`` bytes are grouped by their
+SHA-256, so whole documents never cross a shuffle; where such a text belongs into a
+status list, a second look at the table (skipped at run time when no column needs
+it: the broadcast side is then empty) fetches the text itself.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidyload.functions import normalize as N
 from tidyload.functions.numeric import ratio, round_half_up
 
-# The boolean-encoding vocabulary (upper-cased) and the limits.
+# The boolean-encoding vocabulary (upper-cased) and the limits of D-4.
 BOOL_VALUES = ["1", "0", "Y", "N", "YES", "NO", "TRUE", "FALSE", "A", "I", "ACTIVE", "INACTIVE"]
 STATUS_MIN_VALUES, STATUS_MAX_VALUES = 2, 15
-HASH_LONGER_THAN = 256
+
+LONG_TEXT = 256
+"""Bytes beyond which a text is grouped by its digest (the figures do not change)."""
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType, T.BooleanType)
+WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
+FLOATING = (T.FloatType, T.DoubleType)
 
-PROFILE_SCHEMA_COLS = [
-    "table_name", "column_name", "ordinal", "dtype", "is_text", "is_numeric", "row_count",
-    "null_count", "null_rate", "unique_count", "unique_rate", "dup_count", "min", "max", "mean",
-    "negative_count", "avg_length", "date_iso", "date_fr", "date_us", "date_compact",
-    "n_date_formats", "mixed_dates", "bool_encoding", "status_encoding",
-]
+ROW_PSEUDO_COLUMN = "*"
+ROW_ORDINAL = -1
+META_SCHEMA = "c int, column_name string, dtype string, is_text boolean, is_numeric boolean"
 
 
 def is_text(dt) -> bool:
@@ -50,156 +50,148 @@ def is_numeric(dt) -> bool:
 
 
 def clean(df: DataFrame) -> DataFrame:
-    """NaN is missing (pandas semantics): map it to null in floating columns."""
+    """Floating columns: NaN is missing (pandas semantics), and -0.0 is 0.0."""
     cols = []
     for f in df.schema.fields:
-        c = F.col(f.name)
-        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
-            c = F.nanvl(c, F.lit(None).cast(f.dataType))
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, FLOATING):
+            c = F.nanvl(c, F.lit(None).cast(f.dataType)) + F.lit(0.0).cast(f.dataType)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
 
-# A column is a value-set candidate when its approximate distinct count is at
-# most this (HLL++ is near exact at such small cardinalities); only candidate
-# columns have their values collected, which bounds every collected list.
-SET_CANDIDATE_MAX = 100
-
-STATS_SCHEMA = ("column_name string, ordinal int, dtype string, is_text boolean, is_numeric boolean, "
-                "row_count bigint, null_count bigint, min double, max double, mean_raw double, "
-                "negative_count bigint, len_raw double, date_iso bigint, date_fr bigint, date_us bigint, "
-                "date_compact bigint, approx_distinct bigint")
-
-
-def _stats_pass(df: DataFrame, fields):
-    """Pass 1: one global aggregate (partial per task, single-row final),
-    returned as per-column metadata rows on the driver (one row per column)."""
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, f in enumerate(fields):
-        c = F.col(f.name)
-        p = f"_{i}_"
-        aggs.append(F.count(c).alias(p + "nn"))
-        aggs.append(F.approx_count_distinct(c).alias(p + "approx"))
-        if is_numeric(f.dataType):
-            v = c.cast("double")
-            aggs += [F.min(v).alias(p + "min"), F.max(v).alias(p + "max"),
-                     F.avg(v).alias(p + "mean"), F.count_if(v < 0).alias(p + "neg")]
-        if is_text(f.dataType):
-            s = c.cast("string")
-            aggs.append(F.avg(F.length(s)).alias(p + "len"))
-            for label, regex in (("iso", N.DATE_LAYOUTS[0][1]), ("fr", N.DATE_LAYOUTS[1][1]),
-                                 ("us", N.DATE_LAYOUTS[2][1]), ("compact", N.DATE_LAYOUTS[3][1])):
-                aggs.append(F.count_if(s.rlike(regex)).alias(p + label))
-    row = df.agg(*aggs).collect()[0].asDict()
-
-    def g(i, name, default=None):
-        return row.get(f"_{i}_{name}", default)
-
-    out = []
-    for i, f in enumerate(fields):
-        out.append((
-            f.name, i, f.dataType.simpleString(), is_text(f.dataType), is_numeric(f.dataType),
-            row["_rows"], row["_rows"] - row[f"_{i}_nn"],
-            g(i, "min"), g(i, "max"), g(i, "mean"), g(i, "neg", 0), g(i, "len"),
-            g(i, "iso", 0), g(i, "fr", 0), g(i, "us", 0), g(i, "compact", 0), g(i, "approx", 0),
-        ))
-    return out
-
-
-def value_key(c, text: bool = True) -> "F.Column":
-    """Distinctness key of a value as text; long texts (by byte length, O(1))
-    by their SHA-256 digest."""
-    s = F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
-    if not text:
-        return s
-    return F.when(F.octet_length(s) > HASH_LONGER_THAN,
-                  F.concat(F.lit("#sha256:"), F.sha2(s, 256))).otherwise(s)
-
-
-def value_counts(df: DataFrame, columns=None, extra=()) -> DataFrame:
-    """(column_name, value, n) for every non-null value of every column: the
-    unpivot + group-by that all distinct/duplicate/value-set figures share.
-    ``extra`` adds (name, Column) pseudo-columns (e.g. the row digest)."""
-    columns = columns or df.columns
-    types = dict((f.name, f.dataType) for f in df.schema.fields)
-    pairs = F.array(*([F.struct(F.lit(c).alias("column_name"),
-                                value_key(c, is_text(types[c])).alias("value"))
-                       for c in columns]
-                      + [F.struct(F.lit(name).alias("column_name"), col.alias("value")) for name, col in extra]))
-    return (df.select(F.explode(pairs).alias("p"))
-            .where(F.col("p.value").isNotNull())
-            .groupBy("p.column_name", "p.value")
-            .agg(F.count(F.lit(1)).alias("n")))
-
-
-def _distinct_pass(vc: DataFrame, candidates) -> DataFrame:
-    """Pass 2 reduction: one aggregate per column over the value counts.
-    Values are collected only for the candidate columns (bounded lists)."""
-    cand = F.col("column_name").isin(list(candidates)) if candidates else F.lit(False)
-    return vc.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("unique_count"),
-        (F.sum("n") - F.count(F.lit(1))).alias("dup_count"),
-        F.bool_and(F.upper("value").isin(BOOL_VALUES)).alias("_all_bool"),
-        F.array_sort(F.collect_list(F.when(cand, F.col("value")))).alias("_values"),
-        F.array_sort(F.collect_set(F.when(cand, F.upper("value")))).alias("_upper_values"),
-    )
-
-
-ROW_PSEUDO_COLUMN = "*"
-
-
-def profile(df: DataFrame, table_name: str, with_rows: bool = False) -> DataFrame:
+def _is_long(c: Column) -> Column:
+    return F.coalesce(F.octet_length(c) > LONG_TEXT, F.lit(False))
+
+
+def _entry(ordinal: int, c: Column, dt) -> Column:
+    """One value of a row: its column's ordinal, and the value as text (or digest), double or long."""
+    text = c if is_text(dt) else c.cast("string")
+    long = _is_long(text) if is_text(dt) else F.lit(False)
+    return F.struct(
+        F.lit(ordinal).alias("c"),
+        (F.lit(None).cast("string") if isinstance(dt, WHOLE + FLOATING) else F.when(long, F.sha2(text, 256)).otherwise(text)).alias("s"),
+        (c.cast("double") if isinstance(dt, FLOATING + (T.DecimalType,)) else F.lit(None).cast("double")).alias("d"),
+        (c.cast("int").cast("long") if isinstance(dt, T.BooleanType) else c.cast("long") if isinstance(dt, WHOLE)
+         else F.lit(None).cast("long")).alias("l"),
+        long.alias("long"),
+        (F.length(text) if is_text(dt) else F.lit(None).cast("int")).alias("len"))
+
+
+def value_counts(df: DataFrame, with_rows: bool = False) -> DataFrame:
+    """(c, s, d, l, long, len, n): how often each value of each column occurs,
+    nulls (no s, d or l) included; ``with_rows`` adds the digest of the whole row
+    as column ``ROW_ORDINAL``. ``df`` is cleaned already."""
+    entries = [_entry(i, F.col(f"`{f.name}`"), f.dataType) for i, f in enumerate(df.schema.fields)]
+    if with_rows:
+        entries.append(_entry(ROW_ORDINAL, row_digest(df), T.StringType()))
+    return (df.select(F.explode(F.array(*entries)).alias("p"))
+            .groupBy("p.c", "p.s", "p.d", "p.l", "p.long")
+            .agg(F.max("p.len").alias("len"), F.count(F.lit(1)).alias("n")))
+
+
+def known() -> Column:
+    return F.col("s").isNotNull() | F.col("d").isNotNull() | F.col("l").isNotNull()
+
+
+def as_string() -> Column:
+    """A counted value as text (a long one as its digest)."""
+    return F.coalesce("s", F.col("l").cast("string"), F.col("d").cast("string"))
+
+
+def _statistics(counts: DataFrame, valid_sets: dict) -> DataFrame:
+    """One row per column ordinal, from the value counts."""
+    s, n, num = F.col("s"), F.col("n"), F.coalesce("d", F.col("l").cast("double"))
+    text = s.isNotNull() & ~F.col("long")
+    up = F.upper(F.when(text, s))
+    aggs = [F.sum(n).alias("row_count"), F.sum(F.when(~known(), n)).alias("null_count"),
+            F.count_if(known()).alias("unique_count"), F.sum(F.when(known(), n - 1)).alias("dup_count"),
+            F.min(num).alias("min"), F.max(num).alias("max"),
+            (F.sum(num * n) / F.sum(F.when(num.isNotNull(), n))).alias("mean_raw"),
+            F.sum(F.when(num < 0, n)).alias("negative_count"),
+            (F.sum(F.col("len") * n) / F.sum(F.when(F.col("len").isNotNull(), n))).alias("len_raw"),
+            F.bool_and(F.when(known(), F.coalesce(up.isin(BOOL_VALUES), F.lit(False)))).alias("all_bool"),
+            F.array_sort(F.collect_set(F.when(up.isin(BOOL_VALUES), up))).alias("bool_words")]
+    for name, (_, regex, _) in zip(("date_iso", "date_fr", "date_us", "date_compact"), N.DATE_LAYOUTS):
+        aggs.append(F.sum(F.when(text & s.rlike(regex), n)).alias(name))
+    if valid_sets:
+        valid = None
+        for ordinal, values in valid_sets.items():
+            valid = (F.when if valid is None else valid.when)(F.col("c") == ordinal, as_string().isin([str(v) for v in values]))
+        aggs.append(F.sum(F.when(known() & ~valid, n)).alias("invalid_count"))
+    return counts.groupBy("c").agg(*aggs)
+
+
+def _status_lists(df: DataFrame, counts: DataFrame, by_column: DataFrame) -> DataFrame:
+    """(c, values): the sorted values of the columns that D-4 lists, at most 15 each."""
+    chosen = F.broadcast(by_column.where(
+        F.col("is_text") & ~F.coalesce("all_bool", F.lit(False))
+        & F.col("unique_count").between(STATUS_MIN_VALUES, STATUS_MAX_VALUES)).select("c"))
+    values = counts.where(F.col("s").isNotNull()).join(chosen, "c").select("c", "s", "long")
+    texts = [(i, F.col(f"`{f.name}`")) for i, f in enumerate(df.schema.fields) if is_text(f.dataType)]
+    if not texts:
+        return values.groupBy("c").agg(F.array_sort(F.collect_list("s")).alias("values"))
+    wide = df.select(F.explode(F.filter(
+        F.array(*[F.struct(F.lit(i).alias("c"), c.alias("text")) for i, c in texts]),
+        lambda x: _is_long(x["text"]))).alias("p")).select("p.c", "p.text", F.sha2("p.text", 256).alias("s"))
+    fetched = wide.join(F.broadcast(values.where("long").select("c", "s")), ["c", "s"]).groupBy("c", "s").agg(
+        F.any_value("text").alias("text"))
+    every = values.where("not long").select("c", F.col("s").alias("text")).unionByName(fetched.select("c", "text"))
+    return every.groupBy("c").agg(F.array_sort(F.collect_list("text")).alias("values"))
+
+
+def profile(df: DataFrame, table_name: str, with_rows: bool = False, valid_sets: dict | None = None) -> DataFrame:
     """Long-format profile, one row per column (see module doc for the plan).
 
-    With ``with_rows`` the value-count pass also counts the row digest as a
-    pseudo-column ``*`` (ordinal -1): its ``dup_count`` is the whole-row
-    duplicate count (A-8) and ``unique_count`` the distinct rows, from the
-    same shuffle, with no further scan."""
+    With ``with_rows`` the row digest is counted as a pseudo-column ``*`` (ordinal
+    -1): its ``dup_count`` is the whole-row duplicate count (A-8). ``valid_sets``
+    (column -> supplied values) adds ``invalid_count``, the rows whose value lies
+    outside (null for columns without a set)."""
     df = clean(df)
     spark = df.sparkSession
     fields = df.schema.fields
-    stats_rows = _stats_pass(df, fields)
-    candidates = [r[0] for r in stats_rows if r[16] is not None and r[16] <= SET_CANDIDATE_MAX]
-    extra = []
-    if with_rows and stats_rows:
-        n = stats_rows[0][5]
-        stats_rows = stats_rows + [(ROW_PSEUDO_COLUMN, -1, "row", False, False, n, 0, None, None, None, 0,
-                                    None, 0, 0, 0, 0, n)]
-        extra = [(ROW_PSEUDO_COLUMN, row_digest(df))]
-    stats = spark.createDataFrame(stats_rows, STATS_SCHEMA)
-    dist = _distinct_pass(value_counts(df, extra=extra), candidates)
-    rows = F.col("row_count")
-    n_formats = sum((F.col(c) > 0).cast("int")
-                    for c in ("date_iso", "date_fr", "date_us", "date_compact"))
+    ordinals = {f.name: i for i, f in enumerate(fields)}
+    meta_rows = [(i, f.name, f.dataType.simpleString(), is_text(f.dataType), is_numeric(f.dataType))
+                 for i, f in enumerate(fields)]
+    if with_rows:
+        meta_rows.append((ROW_ORDINAL, ROW_PSEUDO_COLUMN, "row", False, False))
+    counts = value_counts(df, with_rows)
+    sets = {ordinals[c]: v for c, v in (valid_sets or {}).items()}
+    meta = spark.createDataFrame(meta_rows, META_SCHEMA)
+    by_column = meta.join(_statistics(counts, sets), "c", "left")
     text = F.col("is_text")
-    bool_enc = F.when(text & F.coalesce(F.col("_all_bool"), F.lit(False)),
-                      F.array_join(F.col("_upper_values"), ","))
-    uniq = F.coalesce(F.col("unique_count"), F.lit(0)).cast("bigint")
-    status_enc = F.when(text & bool_enc.isNull() & (uniq >= STATUS_MIN_VALUES) & (uniq <= STATUS_MAX_VALUES),
-                        F.array_join(F.col("_values"), ","))
-    return F.broadcast(stats).join(dist, "column_name", "left").select(
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
+    layouts = ("date_iso", "date_fr", "date_us", "date_compact")
+    dates = {c: F.when(text, zero(c)).otherwise(F.lit(0)).cast("bigint") for c in layouts}
+    n_formats = sum((dates[c] > 0).cast("bigint") for c in layouts)
+    bool_enc = F.when(text & F.coalesce("all_bool", F.lit(False)), F.array_join("bool_words", ","))
+    listed = by_column.join(_status_lists(df, counts, by_column), "c", "left")
+    number = F.when(F.col("is_numeric"), F.lit(True))
+    return listed.select(
         F.lit(table_name).alias("table_name"),
-        "column_name", "ordinal", "dtype", "is_text", "is_numeric", "row_count", "null_count",
-        ratio("null_count", rows, 4).alias("null_rate"),
-        uniq.alias("unique_count"),
-        ratio(uniq, rows, 4).alias("unique_rate"),
-        F.coalesce(F.col("dup_count"), F.lit(0)).cast("bigint").alias("dup_count"),
-        "min", "max",
-        round_half_up("mean_raw", 2).alias("mean"),
-        "negative_count",
+        "column_name", F.col("c").alias("ordinal"), "dtype", "is_text", "is_numeric",
+        zero("row_count").alias("row_count"), zero("null_count").alias("null_count"),
+        ratio(zero("null_count"), zero("row_count"), 4).alias("null_rate"),
+        zero("unique_count").alias("unique_count"),
+        ratio(zero("unique_count"), zero("row_count"), 4).alias("unique_rate"),
+        zero("dup_count").alias("dup_count"),
+        F.when(number, F.col("min")).alias("min"), F.when(number, F.col("max")).alias("max"),
+        F.when(number, round_half_up("mean_raw", 2)).alias("mean"),
+        F.when(number, zero("negative_count")).otherwise(F.lit(0)).cast("bigint").alias("negative_count"),
         F.when(text, F.coalesce(round_half_up("len_raw", 1), F.lit(0.0))).alias("avg_length"),
-        "date_iso", "date_fr", "date_us", "date_compact",
+        *[dates[c].alias(c) for c in layouts],
         n_formats.cast("bigint").alias("n_date_formats"),
         (n_formats > 1).alias("mixed_dates"),
         bool_enc.alias("bool_encoding"),
-        status_enc.alias("status_encoding"),
+        F.array_join("values", ",").alias("status_encoding"),
+        *([F.when(F.col("c").isin(list(sets)), zero("invalid_count")).alias("invalid_count")] if sets else []),
     )
 
 
-def row_digest(df: DataFrame) -> "F.Column":
+def row_digest(df: DataFrame) -> Column:
     """SHA-256 of the row's JSON form (field names, escaped values, nulls
     omitted per field): equal rows, nulls equal, give equal digests."""
-    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns])), 256)
+    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])), 256)
 
 
 def dup_rows(df: DataFrame, table_name: str) -> DataFrame:
@@ -215,8 +207,10 @@ def dup_rows(df: DataFrame, table_name: str) -> DataFrame:
 
 def dup_keys(df: DataFrame, table_name: str, columns) -> DataFrame:
     """A-9 / C-2: duplicates among non-null values, per column."""
-    vc = value_counts(clean(df).select(*columns))
-    return vc.groupBy("column_name").agg(
-        (F.sum("n") - F.count(F.lit(1))).cast("bigint").alias("duplicates"),
-        F.count(F.lit(1)).alias("distinct_values"),
-    ).select(F.lit(table_name).alias("table_name"), "column_name", "duplicates", "distinct_values")
+    columns = list(columns)
+    g = value_counts(clean(df.select(*columns))).where(known()).groupBy("c").agg(
+        F.sum(F.col("n") - 1).cast("bigint").alias("duplicates"), F.count(F.lit(1)).alias("distinct_values"))
+    meta = df.sparkSession.createDataFrame(list(enumerate(columns)), "c int, column_name string")
+    return meta.join(g, "c", "left").select(
+        F.lit(table_name).alias("table_name"), "column_name", F.coalesce("duplicates", F.lit(0)).cast("bigint").alias("duplicates"),
+        F.coalesce("distinct_values", F.lit(0)).cast("bigint").alias("distinct_values"))

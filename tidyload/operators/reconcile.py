@@ -10,9 +10,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidyload.functions.numeric import ratio, round_half_up
 from tidyload.operators import profile as P
@@ -86,14 +85,26 @@ def key_checks(target: DataFrame, table_name: str, exclude=()) -> DataFrame:
                     (F.col("duplicates") == 0).alias("unique_ok"))
 
 
-def verdict(stats: DataFrame, keys: DataFrame) -> DataFrame:
-    """R-5: diff <= 5 % of source and no key duplicates."""
-    bad = keys.groupBy("table_name").agg(F.count_if(~F.col("unique_ok")).alias("key_issues"))
-    j = stats.join(bad, "table_name", "left")
-    ki = F.coalesce(F.col("key_issues"), F.lit(0)).cast("bigint")
-    return j.select("table_name", "count_diff", ki.alias("key_issues"),
-                    ((F.col("count_diff") <= F.col("source_count") * MAX_COUNT_DIFF) & (ki == 0))
-                    .alias("overall_ok"))
+def verdict(source: dict, target: dict) -> DataFrame:
+    """R-5: diff <= 5 % of source and no key duplicates, for all tables in one
+    shuffle: each target is computed once and unpivoted to its key-like values
+    (and one entry a row), each source is only counted."""
+    parts, entry = [], "table_name string, column_name string, key string"
+    for t, df in target.items():
+        entries = [F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), k.cast("string").alias("key"))
+                   for c, k in [("*", F.lit(None)), *((c, F.col(c)) for c in key_like_columns(df))]]
+        parts.append(df.select(F.explode(F.array(*entries)).alias("e")).select("e.*"))
+        parts.append(source[t].select(F.lit(t).alias("table_name"), F.lit("#").alias("column_name"), F.lit(None).cast("string").alias("key")))
+    counted = reduce(DataFrame.unionByName, parts).groupBy(*[c.split()[0] for c in entry.split(", ")]).agg(F.count(F.lit(1)).alias("n"))
+    own = lambda c: F.sum(F.when(F.col("column_name") == c, F.col("n")))
+    per_column = counted.groupBy("table_name", "column_name").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("key").isNotNull(), F.col("n") - 1)).alias("dup"))
+    by = per_column.groupBy("table_name").agg(
+        F.coalesce(own("#"), F.lit(0)).alias("source_count"), F.coalesce(own("*"), F.lit(0)).alias("target_count"),
+        F.count_if(F.col("dup") > 0).cast("bigint").alias("key_issues"))
+    diff = F.col("source_count") - F.col("target_count")
+    return by.select("table_name", diff.cast("bigint").alias("count_diff"), "key_issues",
+                     ((diff <= F.col("source_count") * MAX_COUNT_DIFF) & (F.col("key_issues") == 0)).alias("overall_ok"))
 
 
 def pair_rows(source: DataFrame, target: DataFrame, source_key: str, target_key: str,
@@ -116,10 +127,10 @@ def _date_like(name: str) -> bool:
     return "date" in name or name.split("_")[-1:] == ["at"]
 
 
-def drift_issues(target: DataFrame, table_name: str, source: DataFrame,
-                 valid_statuses=None) -> DataFrame:
-    """R-6 .. R-8b in the reference's order (``seq``): ONE aggregate over the
-    migrated rows and the source row flags (for the retention figure)."""
+def drift(target: DataFrame, table_name: str, source: DataFrame, valid_statuses=None) -> DataFrame:
+    """K-2 and R-6 .. R-8b of one table: a row with ``source_count``,
+    ``target_count`` and ``issues`` (array, in the reference's order ``seq``), from
+    ONE aggregate over the migrated rows and the source row flags."""
     date_cols = [c for c in target.columns if _date_like(c)]
     has_status = valid_statuses is not None and "status" in target.columns
     neg_cols = [c for c in NEGATIVE_CHECK_COLUMNS if c in target.columns]
@@ -159,27 +170,30 @@ def drift_issues(target: DataFrame, table_name: str, source: DataFrame,
     cands.append(issue(300, "LOW_RETENTION_RATE", "ALL",
                        F.when(retention < RETENTION_FAIL, F.lit("HIGH")).otherwise(F.lit("MEDIUM")),
                        retention, retention < RETENTION_WARN))
-    return (one.select(F.explode(F.array(*cands)).alias("i")).where(F.col("i").isNotNull())
-            .select(F.lit(table_name).alias("table_name"), "i.*"))
-
-
-def migration_status(tables: DataFrame, issues: DataFrame) -> DataFrame:
-    """R-8c: failed if any HIGH issue, partial if any issue, else success; a
-    left join from the table list so tables without issues get success."""
-    worst = issues.groupBy("table_name").agg(
-        F.max(F.when(F.col("severity") == "HIGH", 2).otherwise(1)).alias("_w"),
-        F.count(F.lit(1)).alias("n_drift"))
-    j = tables.join(worst, "table_name", "left")
-    st = (F.when(F.col("_w") == 2, F.lit("failed")).when(F.col("_w") == 1, F.lit("partial"))
-          .otherwise(F.lit("success")))
-    return j.select("table_name", st.alias("status"),
-                    F.coalesce("n_drift", F.lit(0)).cast("bigint").alias("n_drift"))
-
-
-def run_summary(stats: DataFrame, status: DataFrame) -> DataFrame:
-    """R-10: per table status / source / target / rate / #drift, plus the
-    total row (global retention, number of successful tables) via rollup."""
-    j = stats.join(status, "table_name")
+    return one.select(F.lit(table_name).alias("table_name"), src.cast("bigint").alias("source_count"),
+                      tgt.cast("bigint").alias("target_count"), F.filter(F.array(*cands), lambda i: i.isNotNull()).alias("issues"))
+
+
+def drift_issues(drifts: DataFrame) -> DataFrame:
+    """R-6 .. R-8b: the issues of ``drift`` rows."""
+    return drifts.select("table_name", F.explode("issues").alias("i")).select("table_name", "i.*")
+
+
+def _status() -> Column:
+    return (F.when(F.exists("issues", lambda i: i["severity"] == "HIGH"), F.lit("failed"))
+            .when(F.size("issues") > 0, F.lit("partial")).otherwise(F.lit("success")))
+
+
+def migration_status(drifts: DataFrame) -> DataFrame:
+    """R-8c: failed if any HIGH issue, partial if any issue, else success."""
+    return drifts.select("table_name", _status().alias("status"), F.size("issues").cast("bigint").alias("n_drift"))
+
+
+def run_summary(drifts: DataFrame) -> DataFrame:
+    """R-10: per table status / source / target / rate / #drift, plus the total
+    row (global retention, number of successful tables) via rollup."""
+    j = drifts.select("table_name", "source_count", "target_count", _status().alias("status"),
+                      F.size("issues").cast("bigint").alias("n_drift"))
     r = j.rollup("table_name").agg(
         F.first("status", ignorenulls=True).alias("_status"),
         F.sum("source_count").cast("bigint").alias("source_count"),
@@ -195,6 +209,8 @@ def run_summary(stats: DataFrame, status: DataFrame) -> DataFrame:
         "n_drift", "n_success")
 
 
-def before_after(source_col, target_col, layout) -> list:
-    """R-11 helper: (source layout, converted-or-lost) columns for a census."""
-    return [layout(source_col).alias("source_format"), F.col(target_col).isNull().alias("target_null")]
+def run_documents(drifts: DataFrame, run_id: str) -> DataFrame:
+    """K-5: one run-log document per table: load statistics, status and issues."""
+    return drifts.select(F.lit(run_id).alias("run_id"), F.col("table_name").alias("table"), _status().alias("status"),
+                         F.struct("source_count", "target_count", ratio("target_count", "source_count", 4).alias("load_rate")).alias("load_stats"),
+                         F.col("issues").alias("drift_issues"))

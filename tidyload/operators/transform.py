@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidyload.plans.specs import SPECS, TableSpec, stages
-from tidyload.session import checkpointed
+from tidyload.session import written
 
 
 def staged_select(df: DataFrame, items, passthrough=()) -> DataFrame:
@@ -42,14 +42,14 @@ def staged_select(df: DataFrame, items, passthrough=()) -> DataFrame:
     return df
 
 
-def project(df: DataFrame, spec: TableSpec, keep_key: bool = False, extra=None) -> DataFrame:
+def project(df: DataFrame, spec: TableSpec, keep_key: bool = False, extra=None, columns=None) -> DataFrame:
     """P-1..P-8: rename-and-select with the spec's Column builders.
 
     With ``keep_key`` the source order key rides along as ``_src_key`` so that
     dedup can order rows even when the key is not a target column; ``extra``
-    ({source column: output name}) passes further source columns through.
+    ({source column: output name}) passes further source columns through;
+    ``columns`` restricts the target columns.
     """
-    items = list(spec.columns)
     passthrough = []
     if keep_key:
         df = df.withColumn("_src_key", F.col(spec.key))
@@ -57,58 +57,72 @@ def project(df: DataFrame, spec: TableSpec, keep_key: bool = False, extra=None)
     for s, name in (extra or {}).items():
         df = df.withColumn(name, F.col(s))
         passthrough.append(name)
-    return staged_select(df, [(name, s, t) for name, s, t in items], passthrough)
+    return staged_select(df, [(name, s, t) for name, s, t in spec.columns if columns is None or name in columns], passthrough)
+
+
+def _first(df: DataFrame, order_col: str) -> Column:
+    """The order in which keep-first looks at rows: by ``order_col``, null last,
+    then by all columns, so that repeated and null row keys are settled too."""
+    return F.struct(F.col(order_col).isNull(), F.col(order_col), *[F.col(c) for c in df.columns])
 
 
 def survivors(df: DataFrame, on, order_col: str) -> DataFrame:
-    """One row per ``on`` group: the smallest ``order_col`` (nulls form one group).
+    """One row per ``on`` group, the first by ``order_col`` (null keys form one
+    group): the whole row as struct ``_row``.
 
-    A hash aggregate with map-side partial aggregation: a hot key (even a third
-    of all rows, e.g. all-null emails) collapses to one row per map task before
-    the shuffle, so no task ever receives a whole hot group.
+    An aggregate with map-side partial aggregation: a hot key (even a third of all
+    rows, e.g. all-null emails) collapses to one row per map task before the
+    shuffle, so no task ever receives a whole hot group.
     """
-    return df.groupBy(*on).agg(F.min(order_col).alias("_keep_key"))
+    row = F.struct(*[F.col(c) for c in df.columns])
+    return df.groupBy(*[F.col(c).alias(f"_k_{c}") for c in on]).agg(F.min_by(row, _first(df, order_col)).alias("_row"))
 
 
 def dedup_keep_first(df: DataFrame, on, order_col: str, nulls: str = "collapse") -> DataFrame:
-    """W-1: ``drop_duplicates(subset=on)`` keeping the first row by ``order_col``.
+    """W-1: ``drop_duplicates(subset=on)`` keeping the first row by ``order_col``:
+    exactly one row per key, one shuffle, no join and no second scan.
 
     ``nulls='collapse'`` (reference parity) keeps one row for all-null keys;
-    ``nulls='keep'`` keeps every row whose key is null.  The surviving keys are
-    found by a skew-proof aggregate and joined back on ``order_col`` (a unique
-    row key, evenly spread), never by a window partitioned on the hot key.
+    ``nulls='keep'`` keeps every row whose key is null.
     """
     on = list(on)
     if nulls not in ("collapse", "keep"):
         raise ValueError("nulls must be 'collapse' or 'keep'")
-    base = df
+    if nulls == "collapse":
+        return survivors(df, on, order_col).select("_row.*")
     any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    if nulls == "keep":
-        base = df.where(~any_null)
-    keep = survivors(base, on, order_col).select(
-        *[F.col(c).alias(f"_k_{c}") for c in on], "_keep_key")
-    kept = base.join(keep, on=[base[order_col] == keep["_keep_key"]] +
-                     [base[c].eqNullSafe(keep[f"_k_{c}"]) for c in on], how="left_semi")
-    if nulls == "keep":
-        kept = kept.unionByName(df.where(any_null))
-    return kept
+    return survivors(df.where(~any_null), on, order_col).select("_row.*").unionByName(df.where(any_null))
 
 
-def dedup_rejects(df: DataFrame, on, order_col: str) -> DataFrame:
-    """W-2: rows W-1 drops, with the key of the row that survived in their place.
+SALTS = 16
+"""Slices over which the rows of one dedup key are spread when they meet their survivor."""
+
 
-    The many-to-one join on the dedup key may be skewed (a hot key has many
-    rejects); the right side has one row per key and AQE's skew-join split
-    handles the hot partitions.
+def dedup_marks(df: DataFrame, on, order_col: str) -> DataFrame:
+    """Every row of ``df`` with ``_kept`` (it is the row that W-1 keeps) and
+    ``_kept_key`` (the ``order_col`` of the row kept in its group).
+
+    Equal rows are counted first, so repeated rows are one row here, and the
+    survivors are repeated over ``SALTS`` slices of a group: a key with a third of
+    all rows is spread by a hash of the row, whatever the join strategy.
     """
     on = list(on)
-    keep = survivors(df, on, order_col)
-    k = keep.select(*[F.col(c).alias(f"_k_{c}") for c in on], "_keep_key")
-    cond = [df[c].eqNullSafe(k[f"_k_{c}"]) for c in on]
-    joined = df.join(k, on=cond, how="inner")
-    return (joined.where(F.col(order_col) != F.col("_keep_key"))
-            .drop(*[f"_k_{c}" for c in on])
-            .withColumnRenamed("_keep_key", "kept_" + order_col))
+    names = df.columns
+    counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_salt", F.pmod(F.xxhash64(*names), F.lit(SALTS)).cast("int"))
+    kept = survivors(df, on, order_col).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed(
+        "_salt", "_kept_salt")
+    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in on], F.col("_salt") == F.col("_kept_salt"))
+    joined = counted.join(kept, match)
+    same = F.struct(*[F.col(c) for c in names]).eqNullSafe(F.col("_row"))
+    return joined.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select(
+        *names, (same & (F.col("_i") == 1)).alias("_kept"), F.col(f"_row.{order_col}").alias("_kept_key"))
+
+
+def dedup_rejects(df: DataFrame, on, order_col: str) -> DataFrame:
+    """W-2: rows W-1 drops, with the key of the row that survived in their place."""
+    return dedup_marks(df, on, order_col).where(~F.col("_kept")).drop("_kept").withColumnRenamed(
+        "_kept_key", "kept_" + order_col)
 
 
 def keep_where(df: DataFrame, cond) -> DataFrame:
@@ -137,36 +151,40 @@ def required_filter(df: DataFrame, required, computed=()) -> DataFrame:
     return df
 
 
-def migrate(df: DataFrame, spec: TableSpec | str, nulls: str = "collapse") -> DataFrame:
-    """The reference's table transform: project -> keep-first dedup -> dropna."""
+def migrate(df: DataFrame, spec: TableSpec | str, nulls: str = "collapse", columns=None) -> DataFrame:
+    """The reference's table transform: project -> keep-first dedup -> dropna.
+    ``columns`` computes these target columns only (with what dedup and the
+    required filter look at), for checks that need a few of them."""
     if isinstance(spec, str):
         spec = SPECS[spec]
-    out = project(df, spec, keep_key=bool(spec.dedup_on))
+    needed = None if columns is None else [name for name, _, _ in spec.columns if name in {*columns, *spec.dedup_on, *spec.required}]
+    source = df
+    for name, s, tr in spec.columns:  # a null source gives a null target: let the scan drop such rows, if no dedup looks at them
+        if name in spec.required and not spec.dedup_on and len(stages(tr)) > 1:
+            source = source.where(F.col(s).isNotNull())
+    out = project(source, spec, keep_key=bool(spec.dedup_on), columns=needed)
     if spec.dedup_on:
         out = dedup_keep_first(out, spec.dedup_on, "_src_key", nulls=nulls).drop("_src_key")
     computed = [name for name, _, tr in spec.columns if len(stages(tr)) > 1]
-    return required_filter(out, spec.required, computed)
+    out = required_filter(out, spec.required, computed)
+    return out if columns is None else out.select(*columns)
 
 
-def surrogate_keys(df: DataFrame, order_col: str, id_col: str = "target_id") -> DataFrame:
-    """W-3: dense ``SERIAL``-style ids 1..n in ``order_col`` order, without a
-    single-partition window.
+def surrogate_keys(df: DataFrame, order_col, id_col: str = "target_id") -> DataFrame:
+    """W-3: dense ``SERIAL``-style ids 1..n in ``order_col`` order (a column or a
+    list, nulls last), without a single-partition window.
 
-    The table is range-partitioned and sorted by ``order_col`` and checkpointed
-    (so both passes below see identical partitions); a per-partition row index
-    comes from ``monotonically_increasing_id``, per-partition counts (one row per
-    partition — a bounded table) give running offsets, and a broadcast join of
-    that tiny table adds them.
+    The rows are range-partitioned, sorted and written once to the shared folder
+    with their partition and their place in it; the counts per partition (one row
+    per partition, read from that narrow column) give running offsets.
     """
-    ranked = (df.repartitionByRange(F.col(order_col))
-              .sortWithinPartitions(order_col)
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
+    by = [F.col(c).asc_nulls_last() for c in order]
+    ranked = (df.repartitionByRange(*by).sortWithinPartitions(*by)
               .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mono", F.monotonically_increasing_id()))
-    ranked = checkpointed(ranked)
+              .withColumn("_place", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    ranked = written(ranked)
     counts = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    out = ranked.join(F.broadcast(offsets), "_pid")
-    local = F.col("_mono") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (out.withColumn(id_col, F.col("_off") + local + 1)
-            .drop("_pid", "_mono", "_off"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return ranked.join(offsets, "_pid").withColumn(id_col, F.col("_off") + F.col("_place") + 1).drop("_pid", "_place", "_off")

@@ -134,6 +134,20 @@ def dedup_rejects(spark, sf_dir):
                     F.col("kept__src_key").alias("kept_legacy_cst_id")))
 
 
+@register("dedup_order_lines")
+def dedup_order_lines(spark, sf_dir):
+    """W-1 on a row key that repeats: order lines by legacy line id."""
+    li = T.project(_legacy(spark, sf_dir, "order_lines"), SPECS["order_lines"], keep_key=True)
+    return T.dedup_keep_first(li, ["legacy_line_id"], "_src_key").drop("_src_key")
+
+
+@register("dedup_order_lines_rejects")
+def dedup_order_lines_rejects(spark, sf_dir):
+    """W-2 on a row key that repeats: every line but the one kept."""
+    li = T.project(_legacy(spark, sf_dir, "order_lines"), SPECS["order_lines"], keep_key=True)
+    return T.dedup_rejects(li, ["legacy_line_id"], "_src_key").drop("_src_key").withColumnRenamed("kept__src_key", "kept_legacy_line_id")
+
+
 # ---- profile (A-*) and encoding detection (D-1..D-4) -------------------------
 
 from tidyload.operators import profile as P  # noqa: E402
@@ -222,13 +236,13 @@ def _assess(spark, sf_dir, table):
 
 def _anomalies(table):
     def q(spark, sf_dir):
-        return _assess(spark, sf_dir, table)[1]
+        return Q.anomalies(_assess(spark, sf_dir, table))
     return q
 
 
 def _rules(table):
     def q(spark, sf_dir):
-        return _assess(spark, sf_dir, table)[2]
+        return Q.rule_results(_assess(spark, sf_dir, table))
     return q
 
 
@@ -237,28 +251,41 @@ for _t in LEGACY_ORDER:
     register(f"rule_results_{_t}")(_rules(_t))
 
 
-def _all_rules(spark, sf_dir):
-    return _reduce(_DF.unionByName, [_assess(spark, sf_dir, t)[2] for t in LEGACY_ORDER])
+def _assessed(spark, sf_dir, tables=LEGACY_ORDER):
+    return _reduce(_DF.unionByName, [_assess(spark, sf_dir, t) for t in tables])
 
 
 @register("quality_score")
 def quality_score(spark, sf_dir):
     """G-7 + G-9 for the five legacy tables."""
-    return Q.score(_all_rules(spark, sf_dir))
+    return Q.score(Q.rule_results(_assessed(spark, sf_dir)))
 
 
 @register("score_by_severity")
 def score_by_severity(spark, sf_dir):
-    return Q.score_by_severity(_all_rules(spark, sf_dir))
+    return Q.score_by_severity(Q.rule_results(_assessed(spark, sf_dir)))
 
 
 @register("quality_summary")
 def quality_summary(spark, sf_dir):
     """G-10: per-table score, gate and number of findings, plus the ALL row."""
-    assessed = [_assess(spark, sf_dir, t) for t in LEGACY_ORDER]
-    rr = _reduce(_DF.unionByName, [a[2] for a in assessed])
-    an = _reduce(_DF.unionByName, [a[1] for a in assessed])
-    return Q.quality_summary(Q.score(rr), an)
+    return Q.quality_summary(_assessed(spark, sf_dir))
+
+
+# Yesterday's valid sets, which today's load no longer meets (G-3).
+SUPPLIED_SETS = {
+    "ord_status": ["P", "PEND", "pending", "C", "CONF", "confirmed", "S", "SHIP", "shipped", "D", "DELIV", "delivered"],
+    "ord_channel": ["WEB", "tel", " Store ", "API", "FAX"],
+    "ord_tva": [0.0, 7.0],
+}
+
+
+@register("rule_supplied_sets")
+def rule_supplied_sets(spark, sf_dir):
+    """G-3 with supplied sets: the legacy orders against other values than their own."""
+    rules = Q.rule_results(Q.assess(_legacy(spark, sf_dir, "orders"), "orders", valid_sets=SUPPLIED_SETS))
+    return rules.where(F.col("rule_type").endswith("_in_set") & F.col("column_name").isin(list(SUPPLIED_SETS))).select(
+        "rule_id", "column_name", "valid_set", "passed", "observed")
 
 
 # ---- load stats, reconciliation, drift (K-2, R-*) ----------------------------
@@ -270,9 +297,10 @@ from tidyload.plans.specs import VALID_STATUSES  # noqa: E402
 MIGRATION_ORDER = ["customers", "products", "suppliers", "orders", "order_lines"]
 
 
-def _frames(spark, sf_dir, tables=MIGRATION_ORDER):
+def _frames(spark, sf_dir, tables=MIGRATION_ORDER, columns=None):
+    """Source and migrated frames; ``columns`` (table -> target columns) computes these only."""
     src = {t: _legacy(spark, sf_dir, t) for t in tables}
-    tgt = {t: T.migrate(src[t], SPECS[t]) for t in tables}
+    tgt = {t: T.migrate(src[t], SPECS[t], columns=(columns or {}).get(t)) for t in tables}
     return src, tgt
 
 
@@ -301,9 +329,7 @@ def reconcile_keys(spark, sf_dir):
 @register("reconcile_verdict")
 def reconcile_verdict(spark, sf_dir):
     src, tgt = _frames(spark, sf_dir)
-    stats = _union([R.load_stats(src[t], tgt[t], t) for t in MIGRATION_ORDER])
-    keys = _union([R.key_checks(tgt[t], t) for t in MIGRATION_ORDER])
-    return R.verdict(stats, keys)
+    return R.verdict(src, tgt)
 
 
 @register("reconcile_rows")
@@ -312,17 +338,15 @@ def reconcile_rows(spark, sf_dir):
     return _union([R.pair_rows(src[t], tgt[t], SPECS[t].key, SPECS[t].target_key, t) for t in MIGRATION_ORDER])
 
 
-def _drift(spark, sf_dir):
+def _drifts(spark, sf_dir):
     src, tgt = _frames(spark, sf_dir)
-    stats = {t: R.load_stats(src[t], tgt[t], t) for t in MIGRATION_ORDER}
-    issues = _union([R.drift_issues(tgt[t], t, src[t], VALID_STATUSES.get(t)) for t in MIGRATION_ORDER])
-    return stats, issues
+    return _union([R.drift(tgt[t], t, src[t], VALID_STATUSES.get(t)) for t in MIGRATION_ORDER])
 
 
 @register("drift_issues")
 def drift_issues(spark, sf_dir):
     """R-6 .. R-8b for the five migrated tables."""
-    return _drift(spark, sf_dir)[1]
+    return R.drift_issues(_drifts(spark, sf_dir))
 
 
 def _table_list(spark):
@@ -331,15 +355,12 @@ def _table_list(spark):
 
 @register("migration_status")
 def migration_status(spark, sf_dir):
-    _, issues = _drift(spark, sf_dir)
-    return R.migration_status(_table_list(spark), issues)
+    return R.migration_status(_drifts(spark, sf_dir))
 
 
 @register("run_summary")
 def run_summary(spark, sf_dir):
-    stats, issues = _drift(spark, sf_dir)
-    status = R.migration_status(_table_list(spark), issues)
-    return R.run_summary(_union(list(stats.values())), status)
+    return R.run_summary(_drifts(spark, sf_dir))
 
 
 # ---- constraints, foreign keys, lookups (C-*, J-*, W-3, R-9) -----------------
@@ -353,10 +374,9 @@ def check_not_null(spark, sf_dir):
 @register("check_unique")
 def check_unique(spark, sf_dir):
     """C-2 on the migrated tables and on lineitem's (l_orderkey, l_linenumber)."""
-    _, tgt = _frames(spark, sf_dir)
-    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"])
-    return _union([C.check_unique(tgt[t], t) for t in MIGRATION_ORDER]
-                  + [C.check_unique(li, "lineitem", [["l_orderkey", "l_linenumber"]])])
+    keys = C.UNIQUE | {"lineitem": [["l_orderkey", "l_linenumber"]]}
+    _, tgt = _frames(spark, sf_dir, columns={t: [c for k in keys[t] for c in k] for t in MIGRATION_ORDER})
+    return C.check_unique(tgt | {"lineitem": read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"])}, keys)
 
 
 @register("check_range")
@@ -367,8 +387,14 @@ def check_range(spark, sf_dir):
 
 @register("check_set")
 def check_set(spark, sf_dir):
-    _, tgt = _frames(spark, sf_dir, ["customers", "orders"])
-    return _union([C.check_set(tgt[t], t) for t in ["customers", "orders"]])
+    """C-4 on the migrated tables, on their sources (where it fails), and on the
+    statuses of the row-level log."""
+    src, tgt = _frames(spark, sf_dir, ["customers", "orders"])
+    raw = {"customers": src["customers"].select(F.col("cst_segment").alias("segment")),
+           "orders": src["orders"].select(F.col("ord_channel").alias("channel"))}
+    log = C.row_level_log(src["customers"], SPECS["customers"], "run_sf")
+    return _union([C.check_set(tgt[t], t) for t in tgt] + [C.check_set(raw[t], f"legacy_{t}", C.SETS[t]) for t in raw]
+                  + [C.check_set(log, "migration_log")])
 
 
 @register("check_length")
@@ -379,10 +405,9 @@ def check_length(spark, sf_dir):
 
 @register("fk_orphans")
 def fk_orphans(spark, sf_dir):
-    """J-1: the eight relations of the target DDL over the migrated tables
-    (on a cluster, pass the loaded targets: the checks then read key columns
-    from parquet instead of recomputing transforms)."""
-    _, tgt = _frames(spark, sf_dir)
+    """J-1: the eight relations of the target DDL over the migrated tables, whose
+    key columns alone are computed."""
+    _, tgt = _frames(spark, sf_dir, columns={t: C.key_columns(t) for t in MIGRATION_ORDER})
     return C.all_fk_orphans(spark, tgt)
 
 
@@ -440,52 +465,47 @@ def line_total(spark, sf_dir):
 
 @register("row_level_log")
 def row_level_log(spark, sf_dir):
-    """R-9: per source customer: success or skipped (duplicate / missing)."""
-    c = T.project(_legacy(spark, sf_dir, "customers"), SPECS["customers"], keep_key=True)
-    log = C.row_level_log(c, "_src_key", ["email"], SPECS["customers"].required, "run_sf", "customers")
-    return log.groupBy("table_name", "status", "error_message").agg(F.count(F.lit(1)).alias("n_rows"))
+    """R-9: per source row of the five tables: success with its target id, or
+    skipped (duplicate / missing)."""
+    return _union([C.row_level_log(_legacy(spark, sf_dir, t), SPECS[t], "run_sf") for t in MIGRATION_ORDER])
 
 
 # ---- mapping (S-6, D-5 .. D-10, P-10 .. P-16) --------------------------------
 
 from tidyload.operators import mapping as M  # noqa: E402
+from tidyload.plans.mappings import RELABELLED  # noqa: E402
 from tidyload.sources.legacy import ORDER_KEYS  # noqa: E402
 
 
-UNIQUE_ORDER_KEY = {"customers", "products", "suppliers", "orders"}
-
-
-def _order_cols(table, df):
-    """Sample order: the row key; where it is not unique (order lines) every
-    column follows as tie-breaker so the sample is deterministic."""
-    k = ORDER_KEYS[table]
-    return [k] if table in UNIQUE_ORDER_KEY else [k] + [c for c in df.columns if c != k]
-
-
 def _patterns(spark, sf_dir, tables):
     parts = []
     for t in tables:
         df = _legacy(spark, sf_dir, t)
-        cols = [c for c in df.columns if c != ORDER_KEYS[t]]
-        parts.append(M.value_patterns(df, t, _order_cols(t, df), columns=cols))
+        parts.append(M.value_patterns(df, t, [c for c in df.columns if c != ORDER_KEYS[t]]))
     return _union(parts)
 
 
+@register("sampled_pattern")
+def sampled_pattern(spark, sf_dir):
+    """D-5 by its sampling option, over the first 50 values (S-5) of the legacy orders."""
+    return M.sampled_patterns(_legacy(spark, sf_dir, "orders"), "orders", "ord_id")
+
+
 @register("value_pattern")
 def value_pattern(spark, sf_dir):
-    """D-5 (+S-5 samples) over the legacy tables."""
+    """D-5 over all values of the legacy tables."""
     return _patterns(spark, sf_dir, MIGRATION_ORDER)
 
 
 def _enriched(spark, sf_dir):
-    rows = M.mapping_rows(M.read_mapping_documents(spark))
+    rows = M.mapping_rows(M.read_mapping_documents(spark, form="proposed"))
     return M.enrich(rows, _patterns(spark, sf_dir, MIGRATION_ORDER))
 
 
 @register("mapping_enrich")
 def mapping_enrich(spark, sf_dir):
     """D-6 .. D-8: type families/compatibility and data-driven upgrades."""
-    return _enriched(spark, sf_dir).drop("transform_sql", "migration_complexity")
+    return _enriched(spark, sf_dir).drop("migration_complexity")
 
 
 @register("mapping_ambiguous")
@@ -498,24 +518,27 @@ def mapping_summary(spark, sf_dir):
     return M.summary(_enriched(spark, sf_dir))
 
 
-def _staging(table):
+def _staging(table, as_written=False):
     def q(spark, sf_dir):
-        rows = M.mapping_rows(M.read_mapping_documents(spark))
-        return M.staging_model(_legacy(spark, sf_dir, table), rows, table)
+        rows = M.mapping_rows(M.read_mapping_documents(spark, form="proposed"))
+        return M.staging_model(_legacy(spark, sf_dir, table), rows, table, as_written)
     return q
 
 
 for _t in MIGRATION_ORDER:
     register(f"stg_{_t}")(_staging(_t))
+register("stg_products_as_written")(_staging("products", as_written=True))
+
+
+def _mapped(spark, sf_dir, table):
+    rows = M.mapping_rows(M.read_mapping_documents(spark))
+    return M.apply_mapping(_legacy(spark, sf_dir, table), rows, table, relabelled=RELABELLED.get(table))
 
 
 def _mapping_projection(table):
     def q(spark, sf_dir):
-        """P-14 in registry mode with the spec's transforms as overrides: the
-        mapping-driven projection equals the hard-coded table transform."""
-        rows = M.mapping_rows(M.read_mapping_documents(spark))
-        overrides = {name: tr for name, _, tr in SPECS[table].columns}
-        return M.apply_mapping(_legacy(spark, sf_dir, table), rows, table, mode="registry", overrides=overrides)
+        """P-14: the committed mapping's own transforms (the wrong label of a currency apart)."""
+        return _mapped(spark, sf_dir, table)
     return q
 
 
@@ -523,9 +546,24 @@ for _t in MIGRATION_ORDER:
     register(f"mapping_projection_{_t}")(_mapping_projection(_t))
 
 
+@register("defaults_filled")
+def defaults_filled(spark, sf_dir):
+    """C-6 on the mapped rows of all tables: nulls per defaulted column, before and after."""
+    parts = []
+    for t in MIGRATION_ORDER:
+        mapped = _mapped(spark, sf_dir, t)
+        cols = [c for c in C.DEFAULTS[t] if c in mapped.columns]
+        filled = C.apply_defaults(mapped.select(*cols, *[F.col(c).alias(f"_raw_{c}") for c in cols]), t)
+        one = filled.agg(*[F.count_if(F.col(p + c).isNull()).alias(p + c) for c in cols for p in ("", "_raw_")])
+        parts.append(one.select(F.explode(F.array(*[F.struct(
+            F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), F.col(f"_raw_{c}").alias("nulls_before"),
+            F.col(c).alias("nulls_after")) for c in cols])).alias("r")).select("r.*"))
+    return _union(parts)
+
+
 # ---- loads, sinks, result documents, preflight (K-*, S-1..S-7, R-1) ----------
 
-from tidyload.session import shared_path  # noqa: E402
+from tidyload.session import shared_path, written  # noqa: E402
 from tidyload.sources import sinks as K  # noqa: E402
 from tidyload.sources.tables import column_samples, first_rows, schema_rows  # noqa: E402
 
@@ -541,7 +579,7 @@ def load_roundtrip(spark, sf_dir):
 def audit_append(spark, sf_dir):
     """K-2 + K-3: load stats of the five tables appended twice to a fresh log."""
     src, tgt = _frames(spark, sf_dir)
-    stats = _union([R.load_stats(src[t], tgt[t], t) for t in MIGRATION_ORDER])
+    stats = written(_union([R.load_stats(src[t], tgt[t], t) for t in MIGRATION_ORDER]))
     path = shared_path(spark, "migration_log")
     K.audit_append(stats, path, "run_a", "2024-01-15 10:00:00")
     return K.audit_append(stats, path, "run_b", "2024-01-16 10:00:00").drop("migrated_at")
@@ -556,22 +594,36 @@ def csv_roundtrip(spark, sf_dir):
 
 @register("json_results")
 def json_results(spark, sf_dir):
-    """K-5: quality findings as one nested JSON document per table, read back
-    and flattened to (table, number of findings, first finding type)."""
-    parts = [_assess(spark, sf_dir, t)[1] for t in LEGACY_ORDER]
-    docs = K.result_documents(_union(parts), shared_path(spark, "quality_docs"),
-                              ["seq", "anomaly_type", "severity", "column_name", "metric"], "anomalies")
-    return docs.select("table_name", F.size("anomalies").cast("bigint").alias("n_anomalies"),
-                       F.col("anomalies")[0]["anomaly_type"].alias("first_anomaly"))
+    """K-5: one quality document per table, without findings too, read back."""
+    docs = K.write_documents(Q.documents(_assessed(spark, sf_dir), _table_list(spark)), shared_path(spark, "quality_docs"))
+    return docs.select(F.col("table").alias("table_name"), "score", "approved", F.size("anomalies").cast("bigint").alias("n_anomalies"),
+                       F.get("anomalies", F.lit(0))["anomaly_type"].alias("first_anomaly"),
+                       F.size("rule_results").cast("bigint").alias("n_rules"), F.size("score_detail").cast("bigint").alias("n_severities"))
+
+
+@register("json_documents")
+def json_documents(spark, sf_dir):
+    """K-5: mapping documents and run-log documents, one per table, read back."""
+    maps = K.write_documents(M.documents(_enriched(spark, sf_dir)), shared_path(spark, "mapping_docs"))
+    runs = K.write_documents(R.run_documents(_drifts(spark, sf_dir), "run_sf"), shared_path(spark, "run_docs"))
+    return maps.select(F.lit("mapping").alias("kind"), F.col("table").alias("table_name"), F.col("migration_complexity").alias("state"),
+                       F.size("mappings").cast("bigint").alias("n_entries")).unionByName(
+        runs.select(F.lit("run").alias("kind"), F.col("table").alias("table_name"), F.col("status").alias("state"),
+                    F.size("drift_issues").cast("bigint").alias("n_entries")))
 
 
 @register("preflight")
 def preflight(spark, sf_dir):
-    """R-1 (+S-2, S-6, S-7): mapping present, mapped columns exist, quality."""
+    """R-1 (+S-2, S-6, S-7): mapping present, mapped columns exist, quality read
+    from the reports. As a run might find it, the order lines lack a mapped column
+    and the suppliers have no report."""
     rows = M.mapping_rows(M.read_mapping_documents(spark))
-    schemas = _union([schema_rows(spark, _legacy(spark, sf_dir, t), t) for t in MIGRATION_ORDER])
-    score = Q.score(_all_rules(spark, sf_dir)).select("table_name", "score", "approved")
-    return K.preflight(_table_list(spark), rows, schemas, score)
+    views = {t: _legacy(spark, sf_dir, t) for t in MIGRATION_ORDER}
+    views["order_lines"] = views["order_lines"].drop("line_discount")
+    schemas = _union([schema_rows(spark, df, t) for t, df in views.items()])
+    path = shared_path(spark, "reports")
+    K.write_documents(Q.documents(_assessed(spark, sf_dir, LEGACY_ORDER[:-1]), _table_list(spark).where("table_name != 'suppliers'")), path)
+    return K.preflight(_table_list(spark), rows, schemas, K.read_quality_reports(spark, path))
 
 
 @register("sample_values")

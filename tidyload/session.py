@@ -28,6 +28,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.files.maxPartitionBytes", "16m")
         .config("spark.driver.memory", "8g")
         .config("spark.driver.extraJavaOptions", JIT_HUGE_METHODS)
         .config("spark.executor.extraJavaOptions", JIT_HUGE_METHODS)
@@ -50,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tidyload-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, configured)
     sc.setCheckpointDir(configured)
@@ -62,8 +65,9 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(root, "tables", *parts, uuid.uuid4().hex)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Eager reliable checkpoint into the shared folder (never a local one):
-    cuts lineage and pins partitioning, and survives executor loss."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def written(df: DataFrame) -> DataFrame:
+    """Write a frame once into the shared folder and read it back: cuts lineage,
+    keeps columns prunable and survives executor loss."""
+    path = shared_path(df.sparkSession, "written")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -30,7 +30,7 @@ PRODUCT_CURRENCY_RAW = ["TND", "EUR", "USD", "tnd", " eur ", None]
 PRODUCT_UNIT_RAW = ["pièce", "pcs", "unit", "box", "kg", None]
 PRODUCT_ACTIVE_RAW = ["Y", "N", "1", "0", "yes", "no"]
 SUPPLIER_COUNTRY_RAW = ["TN", "CN", "DE", "fr ", "IT", "Espagne", "US", "TR"]
-SUPPLIER_RATING_RAW = [1.0, 2.0, 3.0, 4.0, 5.0, None]
+SUPPLIER_RATING_RAW = ["1", "2", "3", "4", "5", None, "9", "-1", "n/a", " 4.5 "]
 SUPPLIER_ACTIVE_RAW = ["Y", "N", "1", "0"]
 
 LEGACY_TABLES = ["customers", "products", "suppliers", "orders", "order_lines"]
@@ -115,7 +115,7 @@ def legacy_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     company = k % 5 < 2
     created = iso_text(_days_after("2018-01-01", k, 2190))
     return c.select(
-        k.alias("cst_id"),
+        F.when(k % 211 != 0, k).alias("cst_id"),
         F.when(~company, F.col("c_name")).alias("cst_fname"),
         F.when(~company, F.col("c_mktsegment")).alias("cst_lname"),
         F.when(company, F.concat(F.col("c_name"), F.lit(" SARL"))).alias("cst_company"),
@@ -140,14 +140,15 @@ def legacy_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     created = iso_text(_days_after("2017-01-01", k, 2000))
     return p.select(
         k.alias("prod_id"),
-        F.concat(F.lit("REF-"), F.when(k % 61 == 0, k - 1).otherwise(k).cast("string")).alias("prod_ref"),
-        F.col("p_name").alias("prod_name"),
+        F.when(k % 107 != 0, F.concat(F.lit("REF-"), F.when(k % 61 == 0, k - 1).otherwise(k).cast("string"))).alias("prod_ref"),
+        F.when(k % 103 != 0, F.col("p_name")).alias("prod_name"),
         F.when(k % 20 != 0, F.col("p_type")).alias("prod_category"),
         F.when(k % 50 == 0, F.lit(None).cast("double"))
         .when(k % 41 == 0, -F.col("p_retailprice"))
         .otherwise(F.col("p_retailprice")).alias("prod_price"),
         pick(k, PRODUCT_CURRENCY_RAW).alias("prod_currency"),
-        F.when(k % 25 == 0, F.lit(-1).cast("long")).otherwise(k % 500).alias("prod_stock"),
+        F.when(k % 27 == 0, F.lit(None).cast("long")).when(k % 25 == 0, F.lit(-1).cast("long"))
+        .otherwise(k % 500).alias("prod_stock"),
         pick(k, PRODUCT_UNIT_RAW).alias("prod_unit"),
         pick(k, PRODUCT_ACTIVE_RAW).alias("prod_active"),
         F.when(k % 29 != 0, mixed_date(created, k)).alias("prod_created"),
@@ -160,13 +161,13 @@ def legacy_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     since = iso_text(_days_after("2010-01-01", k, 4000))
     return s.select(
         k.alias("sup_id"),
-        F.col("s_name").alias("sup_name"),
+        F.when(k % 19 != 0, F.col("s_name")).alias("sup_name"),
         pick(k, SUPPLIER_COUNTRY_RAW).alias("sup_country"),
         F.when(k % 10 != 0, F.concat(F.lit("Contact "), k.cast("string"))).alias("sup_contact"),
         F.when(k % 12 != 0, F.concat(F.lit("contact"), k.cast("string"),
                                      F.lit("@supplier.com"))).alias("sup_email"),
         phone_text(k + 2).alias("sup_phone"),
-        pick(k, SUPPLIER_RATING_RAW).cast("double").alias("sup_rating"),
+        pick(k, SUPPLIER_RATING_RAW).alias("sup_rating"),
         pick(k, SUPPLIER_ACTIVE_RAW).alias("sup_active"),
         F.when(k % 23 != 0, mixed_date(since, k)).alias("sup_since"),
     )
@@ -176,16 +177,19 @@ def legacy_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"])
     k = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    m = F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13  # takes every remainder, unlike k
+    price = F.col("l_extendedprice") / F.col("l_quantity")
+    none = F.lit(None).cast("double")
     return li.select(
         k.alias("line_id"),
-        F.col("l_orderkey").alias("line_ord_id"),
-        F.col("l_partkey").alias("line_prod_id"),
-        F.when(k % 50 == 0, F.lit(None).cast("double"))
-        .when(k % 51 == 0, F.lit(0.0))
+        F.when(m % 89 != 0, F.col("l_orderkey")).alias("line_ord_id"),
+        F.when(m % 83 != 0, F.col("l_partkey")).alias("line_prod_id"),
+        F.when(m % 50 == 0, none).when(m % 51 == 0, F.lit(0.0)).when(m % 53 == 0, F.lit(-3.0)).when(m % 43 == 0, F.lit(2.75))
         .otherwise(F.col("l_quantity")).alias("line_qty"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("line_unit_price"),
-        F.when(k % 20 != 0, F.col("l_discount") * 100).alias("line_discount"),
-        F.when(k % 33 != 0, F.col("l_extendedprice")).alias("line_total"),
+        F.when(m % 47 == 0, none).when(m % 59 == 0, -price).otherwise(price).alias("line_unit_price"),
+        F.when(m % 20 == 0, none).when(m % 61 == 0, F.lit(150.0)).when(m % 67 == 0, F.lit(-5.0))
+        .otherwise(F.col("l_discount") * 100).alias("line_discount"),
+        F.when(m % 33 != 0, F.col("l_extendedprice")).alias("line_total"),
     )
 
 

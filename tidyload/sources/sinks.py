@@ -10,6 +10,9 @@ the Hadoop output committer, so a lost executor's tasks are simply retried.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,14 +25,24 @@ class EmptyLoadError(ValueError):
 def overwrite_load(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None) -> DataFrame:
     """K-1: replace the target with ``df`` and return the table read back.
 
-    The emptiness check is ``isEmpty()`` (a limit-1 job, not a count)."""
-    if df.isEmpty():
-        raise EmptyLoadError("load: empty DataFrame")
-    w = df.write.mode("overwrite").format(fmt)
+    The frame is computed once: it is written beside the target, looked at there,
+    and moved into place, so an empty or failed load leaves the old target alone."""
+    spark = df.sparkSession
+    staged = f"{path}.{uuid.uuid4().hex}"
+    w = df.write.format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
-    return df.sparkSession.read.format(fmt).load(path)
+    w.save(staged)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    new, old = hadoop(staged), hadoop(path)
+    fs = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if spark.read.schema(df.schema).format(fmt).load(staged).isEmpty():
+        fs.delete(new, True)
+        raise EmptyLoadError("load: empty DataFrame")
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"load: {staged} could not be moved to {path}")
+    return spark.read.schema(df.schema).format(fmt).load(path)
 
 
 AUDIT_SCHEMA = T.StructType([
@@ -56,13 +69,11 @@ def csv_extract(df: DataFrame, path: str, schema: T.StructType | None = None) ->
     return df.sparkSession.read.schema(schema or df.schema).option("header", True).csv(path)
 
 
-def result_documents(rows: DataFrame, path: str, struct_cols, list_name: str) -> DataFrame:
-    """K-5: one nested JSON document per table: ``{table_name, <list_name>:
-    [struct ...]}`` written partitioned by table (one small document each)."""
-    doc = rows.groupBy("table_name").agg(
-        F.sort_array(F.collect_list(F.struct(*struct_cols))).alias(list_name))
-    doc.write.mode("overwrite").partitionBy("table_name").json(path)
-    return rows.sparkSession.read.json(path)
+def write_documents(docs: DataFrame, path: str, key: str = "table") -> DataFrame:
+    """K-5: one JSON document per row, in a folder of its own by ``key``; read back
+    with the same schema (a frame without rows reads back as one)."""
+    docs.withColumn("document", F.col(key)).write.mode("overwrite").partitionBy("document").json(path)
+    return docs.sparkSession.read.schema(docs.schema).json(path).select(*docs.columns)
 
 
 QUALITY_DOC = T.StructType([
@@ -73,12 +84,15 @@ QUALITY_DOC = T.StructType([
 
 def read_quality_reports(spark: SparkSession, path: str) -> DataFrame:
     """S-7: quality documents (``{table, score, approved, ...}``); a missing
-    folder means no reports (the reference warns and goes on)."""
+    folder means no reports (the reference warns and goes on), any other fault is
+    raised."""
     try:
-        return spark.read.schema(QUALITY_DOC).option("multiLine", True).json(path).select(
-            F.col("table").alias("table_name"), "score", "approved")
-    except Exception:  # noqa: BLE001 — a missing source is a normal state here
+        found = spark.read.schema(QUALITY_DOC).json(path)
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "table_name string, score double, approved boolean")
+    return found.select(F.col("table").alias("table_name"), "score", "approved")
 
 
 def preflight(tables: DataFrame, mapping_rows: DataFrame, schema_rows: DataFrame, quality: DataFrame) -> DataFrame:

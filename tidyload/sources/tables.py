@@ -19,27 +19,11 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None,
-               balance: bool = True) -> DataFrame:
-    """S-1: parquet scan; selecting ``columns`` here lets the scan prune them.
-
-    A file written as one row group scans as ONE task, whatever the cluster
-    size.  With ``balance`` such an under-split scan is spread round-robin over
-    the default parallelism so the CPU-heavy projections that follow run on all
-    cores.  A large input already has at least that many splits, so at scale
-    this adds nothing to the plan.
-    """
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
+    """S-1: parquet scan; selecting ``columns`` here lets the scan prune them. How
+    a scan is split is the session's matter (``spark.sql.files.maxPartitionBytes``)."""
     df = spark.read.parquet(table_path(sf_dir, name))
-    if columns:
-        df = df.select(*columns)
-    return balanced(df) if balance else df
-
-
-def balanced(df: DataFrame) -> DataFrame:
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    return df.select(*columns) if columns else df
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -68,48 +52,27 @@ def first_rows(df: DataFrame, key: str, n: int = 3) -> DataFrame:
     return df.orderBy(F.col(key)).limit(n)
 
 
+SAMPLE_BUCKETS = 64
+
+
 def column_samples(df: DataFrame, order_by, k: int = 30, columns=None) -> DataFrame:
-    """S-5: up to ``k`` non-null values per column, first by ``order_by``.
-
-    A distributed top-k in ONE scan: each task keeps, per column, only its
-    ``k`` first non-null values (``mapInPandas`` over Arrow batches, bounded
-    state), and a window ranks the surviving candidates — at most
-    ``k x tasks`` per column — to pick the global first ``k``.  No task ever
-    holds more than that, however large or skewed the table.  ``order_by`` is a
-    column name or a list (add tie-breakers when the first is not unique so the
-    sample is deterministic); order columns must be non-null.
+    """S-5: up to ``k`` non-null values per column, first by ``order_by`` (a column
+    or a list; nulls last; add tie-breakers where it is not unique).
+
+    A distributed top-k in one scan, in two levels: the first ``k`` of each
+    (column, bucket of rows), which Spark already limits map-side, then the first
+    ``k`` of each column among at most ``k * SAMPLE_BUCKETS`` candidates.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     columns = list(columns) if columns is not None else [c for c in df.columns if c not in order]
-    keys = [f"_o{i}" for i in range(len(order))]
-    vals = [f"_v{i}" for i in range(len(columns))]
-    narrow = df.select(*[F.col(o).alias(k2) for o, k2 in zip(order, keys)],
-                       *[F.col(c).cast("string").alias(v) for c, v in zip(columns, vals)])
-    key_fields = [T.StructField(k2, narrow.schema[k2].dataType) for k2 in keys]
-    out_schema = T.StructType([T.StructField("column_name", T.StringType())] + key_fields
-                              + [T.StructField("value", T.StringType())])
-    names = dict(zip(vals, columns))
-
-    def local_first(batches):
-        import pandas as pd
-        best = {v: None for v in vals}
-        for pdf in batches:
-            for v in vals:
-                cand = pdf.loc[pdf[v].notna(), keys + [v]]
-                if best[v] is not None:
-                    cand = pd.concat([best[v], cand], ignore_index=True)
-                best[v] = cand.sort_values(keys, kind="mergesort").head(k)
-        for v, cand in best.items():
-            if cand is not None and len(cand):
-                out = cand.rename(columns={v: "value"})
-                out.insert(0, "column_name", names[v])
-                yield out[["column_name"] + keys + ["value"]]
-
-    cands = narrow.mapInPandas(local_first, out_schema)
-    w = Window.partitionBy("column_name").orderBy(*keys)
-    ranked = cands.withColumn("position", F.row_number().over(w)).where(F.col("position") <= k)
-    return ranked.select("column_name", F.struct(*[F.col(k2).alias(o) for k2, o in zip(keys, order)])
-                         .alias("row_key"), "value", "position")
+    row_key = F.struct(*order)
+    values = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
+    long = df.select(row_key.alias("row_key"), F.explode(values).alias("p")).where(F.col("p.value").isNotNull()).select(
+        "row_key", "p.column_name", "p.value", F.pmod(F.xxhash64("row_key"), F.lit(SAMPLE_BUCKETS)).alias("bucket"))
+    by = [F.col(f"row_key.{o}").asc_nulls_last() for o in order]
+    for keys in (["column_name", "bucket"], ["column_name"]):
+        long = long.withColumn("position", F.row_number().over(Window.partitionBy(*keys).orderBy(*by))).where(F.col("position") <= k)
+    return long.select("column_name", "row_key", "value", "position")
 
 
 # S-8 reference dimensions (fixed values from the target DDL).
