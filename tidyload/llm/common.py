@@ -145,8 +145,8 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """Connected components by alternating large-star and small-star steps.
 
     ``edges`` has two id columns; null ids and self-loops are ignored. Returns
-    ``node, component`` for every node that has an edge to another node; the
-    component is the smallest id in it. Every step is a partial minimum per node
+    ``node, component`` for every node that is not the smallest of its component;
+    the component is the smallest id in it. Every step is a partial minimum per node
     and a join back, so a node with very many edges is pre-aggregated and its
     rows stay spread; each round is checkpointed in the shared folder.
     """
