@@ -113,7 +113,6 @@ def test_gate(spark, monkeypatch):
 
 
 def test_documents_for_tables_without_findings(spark, tmp_path):
-    from pyspark.errors import AnalysisException
     from tidyload.sources import sinks as K
     assessed = Q.assess(spark.createDataFrame([("a@x",), ("a@x",)], "email string"), "dirty", [])
     tables = spark.createDataFrame([("dirty",), ("clean",)], "table_name string")
@@ -124,5 +123,5 @@ def test_documents_for_tables_without_findings(spark, tmp_path):
     assert none.count() == 0
     assert {r.table_name for r in K.read_quality_reports(spark, str(tmp_path / "d")).collect()} == {"dirty", "clean"}
     assert K.read_quality_reports(spark, str(tmp_path / "missing")).count() == 0
-    with pytest.raises(AnalysisException):
-        K.read_quality_reports(spark, "nosuchstore://x/y")
+    with pytest.raises(Exception, match="nosuchstore"):  # only a missing path means that there are no reports
+        K.read_quality_reports(spark, "nosuchstore://x/y").count()

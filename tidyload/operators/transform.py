@@ -104,19 +104,19 @@ def dedup_marks(df: DataFrame, on, order_col: str) -> DataFrame:
 
     Equal rows are counted first, so repeated rows are one row here, and the
     survivors are repeated over ``SALTS`` slices of a group: a key with a third of
-    all rows is spread by a hash of the row, whatever the join strategy.
+    all rows is spread by a hash of the row, whatever the join strategy. The rows are
+    written once to the shared folder, since both sides of the join read them.
     """
-    on = list(on)
-    names = df.columns
-    counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).withColumn(
-        "_salt", F.pmod(F.xxhash64(*names), F.lit(SALTS)).cast("int"))
-    kept = survivors(df, on, order_col).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed(
-        "_salt", "_kept_salt")
-    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in on], F.col("_salt") == F.col("_kept_salt"))
-    joined = counted.join(kept, match)
-    same = F.struct(*[F.col(c) for c in names]).eqNullSafe(F.col("_row"))
-    return joined.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select(
-        *names, (same & (F.col("_i") == 1)).alias("_kept"), F.col(f"_row.{order_col}").alias("_kept_key"))
+    on, df = list(on), written(df)
+    keys = [F.col(c).alias(f"_on_{c}") for c in on]
+    counted = df.select(F.struct(*df.columns).alias("_all"), *keys).groupBy("_all", *[f"_on_{c}" for c in on]).agg(
+        F.count(F.lit(1)).alias("_n")).withColumn("_salt", F.pmod(F.xxhash64("_all"), F.lit(SALTS)).cast("int"))
+    kept = survivors(df, on, order_col).withColumn("_kept_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    match = reduce(lambda a, b: a & b, [F.col(f"_on_{c}").eqNullSafe(F.col(f"_k_{c}")) for c in on], F.col("_salt") == F.col("_kept_salt"))
+    joined = counted.join(kept, match).select("_all", F.col("_all").eqNullSafe(F.col("_row")).alias("_same"),
+                                              F.col(f"_row.{order_col}").alias("_kept_key"),
+                                              F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_i"))
+    return joined.select("_all.*", (F.col("_same") & (F.col("_i") == 1)).alias("_kept"), "_kept_key")
 
 
 def dedup_rejects(df: DataFrame, on, order_col: str) -> DataFrame:
