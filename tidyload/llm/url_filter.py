@@ -39,23 +39,27 @@ RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "b
 EXAMPLES = {
     "block": """
 cheap pills online pharmacy; buy viagra cialis pills; discount meds no prescription; weight loss pills; diet pills cheap
-casino win; online casino bonus; play poker slots jackpot; free bets; sports betting bet odds; lucky casino spin win; lottery winner prize
+casino win; casino win big; online casino bonus; play poker slots jackpot; free bets; free bets today; sports betting bet odds; lucky casino spin win; lottery winner prize
 adult x; xxx porn video; sex cams live adult; hot adult dating girls; nude escort sex
 spam farm; link farm seo spam; buy backlinks seo traffic; spam mail bulk sender; clone spam links
 ads track; ad tracker pixel click; banner ads server; track click redirect; popup ads network; adserver doubleclick track
 free download crack keygen; warez serial crack; torrent free movies hack; malware phishing login verify account
 payday loan cash fast; easy money earn cash home; crypto double bitcoin profit; replica watches cheap; free gift card win prize
+spam farm pages; ads track pixel; adult x videos; free bets win; cheap pills store
+en index page; de seite index; fr page article; es pagina; www main site; mobile m site; blog post page
 """,
     "allow": """
 news daily world report; science journal article; university research library; open source project docs; city council public service
 blog travel food recipes; garden home ideas; music festival review; history museum archive; book store reading club
 weather forecast local; health hospital clinic care; school education learning course; software developer guide; wiki encyclopedia page
 sports team football league; art gallery design studio; company about contact products; forum community help support; photo nature magazine
-en index page; de seite index; fr page article; es pagina; www main site; mobile m site; blog post; shop catalog product
-government tax info; data map atlas; law court review; farm market fresh food; win win strategy business; free software foundation; track and field athletics
+en index page; de seite index; fr page article; es pagina; www main site; mobile m site; blog post page; shop catalog product
+government tax info; data map atlas; law court review; farm market fresh food; strategy business; free software foundation; track and field athletics
 """,
 }
 UNKNOWN_WORD, UNKNOWN_LETTER = 9.0, 2.2
+BLOCK_SHARE = 0.35
+"""Share of blocked names that the scorer expects among those that no rule decides."""
 LETTERS = re.compile(r"[a-z]+")
 CACHE = 100_000
 
@@ -72,8 +76,7 @@ class Model:
         sizes = {label: sum(c.values()) + len(both) for label, c in counts.items()}
         self.odds = {w: math.log((counts["block"][w] + 1) / sizes["block"]) - math.log((counts["allow"][w] + 1) / sizes["allow"])
                      for w in both}
-        names = {label: text.count(";") + text.strip().count("\n") + 1 for label, text in examples.items()}
-        self.prior = math.log(names["block"] / names["allow"])
+        self.prior = math.log(BLOCK_SHARE / (1 - BLOCK_SHARE))
         self.seen: dict[str, list[str]] = {}
 
     def split(self, name: str) -> list[str]:
