@@ -100,7 +100,8 @@ class Tree:
         return self.tokens[1]
 
     def size(self) -> int:
-        return sum(map(len, self.pieces))
+        """Characters of the text."""
+        return self.chars[1]
 
     def text(self) -> str:
         return "".join(p for chunk in self.pieces for p in chunk)
