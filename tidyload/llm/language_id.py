@@ -225,7 +225,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
     return own.mapInArrow(run, out)
 
 
-def known_language(docs: DataFrame, id_col: str = "doc_id", least: float = 0.4, **options) -> DataFrame:
+def known_language(docs: DataFrame, id_col: str = "doc_id", least: float = 0.25, **options) -> DataFrame:
     """The documents, with their own columns, that are mostly in one learned
     language: others (no letters, or no language with a share of ``least``) go."""
     model = train(docs.where(admitted(id_col)), id_col, **options)
