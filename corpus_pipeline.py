@@ -18,7 +18,7 @@ and over the stock lines and phrases that ordinary documents share."""
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or without a language that a quarter of their letters are in, go."""
+    """Documents of whose letters less than a quarter are in words known to a learned language go."""
     return language_id.known_language(docs)
 
 

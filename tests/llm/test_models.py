@@ -151,6 +151,42 @@ def test_rejects(spark):
     assert kept.columns == docs.columns and kept.count() == docs.count()
 
 
+def test_unlearned_scripts_and_random_letters_go(spark):
+    rnd = random.Random(4)
+
+    def letters(n):
+        return " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randrange(2, 10))) for _ in range(n))
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    clean = {r.lang: r.text for r in docs.where("length(text) > 600").groupBy("lang").agg(F.first("text").alias("text")).collect()}
+    russian, chinese = "Все люди рождаются свободными и равными в своем достоинстве и правах. ", "人人生而自由,在尊严和权利上一律平等。"
+    gone = [letters(10), letters(100), letters(1000), russian, russian * 50, chinese, chinese * 50, russian * 9 + clean["en"][:100]]
+    stay = [*clean.values(), "".join(t[:300] for t in clean.values()), clean["de"][:600] + letters(60), chinese + clean["fr"], clean["es"][:20]]
+    rows = [(10**7 + i, t, None) for i, t in enumerate(gone + stay)]
+    kept = {r.doc_id for r in language_id.known_language(docs.unionByName(spark.createDataFrame(rows, docs.schema))).collect()}
+    assert not kept & {i for i, _, _ in rows[:len(gone)]} and {i for i, _, _ in rows[len(gone):]} <= kept
+    assert len(kept) == docs.count() + len(stay)
+
+
+def test_known_words_do_not_hang_on_the_number_of_languages(spark):
+    # ten languages of an alphabet each, and a text in equal parts of all
+    rnd = random.Random(5)
+    words = {f"l{k}": ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz"[2 * k:2 * k + 6]) for _ in range(rnd.randrange(2, 8))) for _ in range(60)] for k in range(10)}
+    rows = [(k * 100 + i, " ".join(rnd.choices(w, k=80)), lang) for k, (lang, w) in enumerate(words.items()) for i in range(30)]
+    rows.append((10**6, ". ".join(" ".join(rnd.choices(w, k=30)) for w in words.values()), None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language_id.known_language(docs).count() == len(rows)
+
+
+def test_sparsely_learned_alphabet_stays(spark):
+    # so many letters that most trigrams of the held-out texts were never learned
+    rnd = random.Random(6)
+    words = ["".join(chr(0x4E00 + rnd.randrange(2000)) for _ in range(2)) for _ in range(3000)]
+    draw = [1 / (r + 20) for r in range(len(words))]
+    rows = [(i, ",".join("".join(rnd.choices(words, draw, k=5)) for _ in range(8)), "zh") for i in range(60)]
+    assert language_id.known_language(spark.createDataFrame(rows, "doc_id long, text string, lang string")).count() == len(rows)
+
+
 # -- quality ------------------------------------------------------------------
 
 def test_quality_against_labels(spark):

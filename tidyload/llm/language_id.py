@@ -5,7 +5,10 @@ language, and the scripts it is written in. A word's script narrows the candidat
 languages; its score under each is the sum of its trigrams' log probabilities; a
 Viterbi search over the words of a text, in which a switch of language costs
 ``SWITCH``, labels spans. The language of a text is the one with the most labelled
-letters, the score their share.
+letters, the score their share. Every word gets a learned language; a word is known
+to it if the language uses one of the word's scripts and the word's trigrams are
+likelier in it than buckets drawn at random, on average: trigrams at random are less
+likely than those, the language's own are more.
 
 Training uses the labelled rows the caller admits, at most about ``per_language``
 of each language (picked by a hash of the id, so the sample is the same each time;
@@ -182,16 +185,30 @@ def label(letters: Letters, model: Model, n_rows: int) -> np.ndarray:
     return out
 
 
+def known_share(letters: Letters, named: np.ndarray, model: Model, n_rows: int) -> np.ndarray:
+    """By text, the share of its letters in words known to their language (0 without
+    letters)."""
+    total = np.bincount(letters.row, letters.size, n_rows)
+    if not len(letters.first) or not model.scripts.any():
+        return np.zeros(n_rows)
+    gained = np.add.reduceat(model.scores[letters.buckets, np.repeat(named, letters.size)] + np.log(BUCKETS), letters.first)
+    written = np.bitwise_or.reduceat(letters.scripts, letters.first)
+    known = (gained > 0) & ((written & model.scripts[named]) != 0)
+    return np.bincount(letters.row, letters.size * known, n_rows) / np.maximum(total, 1)
+
+
 SPAN = StructType([StructField("start", LongType()), StructField("end", LongType()), StructField("lang", StringType())])
 RESULT = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("lang_spans", ArrayType(SPAN))]
+KNOWN = StructField("known", DoubleType())
 SLICE_BYTES = 4 << 20
 
 
-def _judged(texts: list[bytes], model: Model) -> dict[str, list]:
+def _judged(texts: list[bytes], model: Model, known: bool = False) -> dict[str, list]:
     letters, n, n_langs = Letters.of(texts), len(texts), len(model.languages)
+    named = label(letters, model, n) if n_langs else np.zeros(len(letters.first), np.int64)
+    more = {KNOWN.name: known_share(letters, named, model, n).tolist()} if known else {}
     if not n_langs:
-        return {"lang_pred": [UNKNOWN] * n, "score": [0.0] * n, "lang_spans": [[] for _ in range(n)]}
-    named = label(letters, model, n)
+        return {"lang_pred": [UNKNOWN] * n, "score": [0.0] * n, "lang_spans": [[] for _ in range(n)], **more}
     share = np.bincount(letters.row * n_langs + named, letters.size, n * n_langs).reshape(n, n_langs)
     total, top = share.sum(axis=1), share.argmax(axis=1)
     score = np.where(total > 0, share[np.arange(n), top] / np.maximum(total, 1), 0.0)
@@ -201,18 +218,20 @@ def _judged(texts: list[bytes], model: Model) -> dict[str, list]:
         for i, j in zip(np.append(0, edge + 1), np.append(edge, len(named) - 1)):
             spans[letters.row[i]].append({"start": int(letters.place[i]), "end": int(letters.place[j] + letters.size[j]),
                                           "lang": model.languages[named[i]]})
-    return {"lang_pred": [model.languages[k] if s else UNKNOWN for k, s in zip(top, total)], "score": score.tolist(), "lang_spans": spans}
+    return {"lang_pred": [model.languages[k] if s else UNKNOWN for k, s in zip(top, total)], "score": score.tolist(), "lang_spans": spans, **more}
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None,
+             known: bool = False) -> DataFrame:
     """``doc`` (a struct of the columns in ``keep``, all by default), ``lang_pred``,
-    ``score`` and ``lang_spans`` (start and end in characters, language) of every row."""
+    ``score`` and ``lang_spans`` (start and end in characters, language) of every row;
+    with ``known``, also the share of its letters in ``known`` words."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
     C.ship(spark)
     own = docs.select(C.whole(docs, keep), C.as_bytes(text_col).alias("bytes"))
-    out = StructType([own.schema["doc"], *RESULT])
+    out = StructType([own.schema["doc"], *RESULT, *[KNOWN] * known])
     arrow, sent = to_arrow_schema(out), spark.sparkContext.broadcast((model.languages, model.scores, model.scripts))
 
     def run(batches):
@@ -220,13 +239,15 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
         for batch in batches:
             texts = batch.column("bytes").to_pylist()
             for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts)), SLICE_BYTES):
-                yield C.appended(batch.slice(part.start, part.stop - part.start), arrow, **_judged(texts[part], held))
+                yield C.appended(batch.slice(part.start, part.stop - part.start), arrow, **_judged(texts[part], held, known))
 
     return own.mapInArrow(run, out)
 
 
-def known_language(docs: DataFrame, id_col: str = "doc_id", least: float = 0.25, **options) -> DataFrame:
-    """The documents, with their own columns, that are mostly in one learned
-    language: others (no letters, or no language with a share of ``least``) go."""
-    model = train(docs.where(admitted(id_col)), id_col, **options)
-    return identify(docs, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("doc.*")
+def known_language(docs: DataFrame, id_col: str = "doc_id", least: float = 0.25, text_col: str = "text", **options) -> DataFrame:
+    """The documents, with their own columns, of whose letters a share of ``least``
+    is in words known to learned languages, however many there are: others (no
+    letters, unlearned scripts, letters at random) go. Texts in an unlearned
+    language that is written and spelt much like a learned one may stay."""
+    model = train(docs.where(admitted(id_col)), id_col, text_col, **options)
+    return identify(docs, model, text_col, known=True).where((F.col("known") >= least) & (F.col("known") > 0)).select("doc.*")
