@@ -168,6 +168,14 @@ def test_unlearned_scripts_and_random_letters_go(spark):
     assert len(kept) == docs.count() + len(stay)
 
 
+def test_documents_stay_if_nothing_can_be_learned(spark):
+    held_out = next(i for i in range(100) if not spark.range(i, i + 1).where(language_id.admitted("id")).count())
+    for extra in ((1000, "abc", None), (held_out, "abc", "en"), (None, "abc", "en"), (1001, "12", "en")):
+        rows = [(200, "Some words.", None), (201, "語", None), (202, "12 - 7", None), (203, None, None), (204, "", None), extra]
+        kept = language_id.known_language(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+        assert {r.text for r in kept.collect()} == {"Some words.", "語", extra[1]} - {"12"}
+
+
 def test_known_words_do_not_hang_on_the_number_of_languages(spark):
     # ten languages of an alphabet each, and a text in equal parts of all
     rnd = random.Random(5)

@@ -18,7 +18,8 @@ slices of bounded bytes, nothing is shuffled; the search runs step by step over
 texts of a slice at once, the longest first.
 
 Defined cases: a null text or one without letters is ``und`` with score 0, and so
-is every text if nothing could be learned; ties go to the language first by code
+is every text if nothing could be learned (``known_language`` then keeps all texts
+with letters); ties go to the language first by code
 point; repeated rows are judged alike.
 """
 
@@ -187,10 +188,10 @@ def label(letters: Letters, model: Model, n_rows: int) -> np.ndarray:
 
 def known_share(letters: Letters, named: np.ndarray, model: Model, n_rows: int) -> np.ndarray:
     """By text, the share of its letters in words known to their language (0 without
-    letters)."""
+    letters). If no letter was learned, there is nothing to tell by and all count."""
     total = np.bincount(letters.row, letters.size, n_rows)
     if not len(letters.first) or not model.scripts.any():
-        return np.zeros(n_rows)
+        return (total > 0).astype(float)
     gained = np.add.reduceat(model.scores[letters.buckets, np.repeat(named, letters.size)] + np.log(BUCKETS), letters.first)
     written = np.bitwise_or.reduceat(letters.scripts, letters.first)
     known = (gained > 0) & ((written & model.scripts[named]) != 0)
@@ -248,6 +249,8 @@ def known_language(docs: DataFrame, id_col: str = "doc_id", least: float = 0.25,
     """The documents, with their own columns, of whose letters a share of ``least``
     is in words known to learned languages, however many there are: others (no
     letters, unlearned scripts, letters at random) go. Texts in an unlearned
-    language that is written and spelt much like a learned one may stay."""
+    language that is written and spelt much like a learned one may stay. If nothing
+    could be learned (no admitted row has a language and letters), all documents
+    with letters stay."""
     model = train(docs.where(admitted(id_col)), id_col, text_col, **options)
     return identify(docs, model, text_col, known=True).where((F.col("known") >= least) & (F.col("known") > 0)).select("doc.*")
