@@ -23,8 +23,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, 0.8) stays."""
-    return minhash.keep_one_of_each(docs)
+    """One document of each group of near duplicates (five words, 0.8) stays, whatever their ids."""
+    return minhash.keep_one_row_of_each(docs)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

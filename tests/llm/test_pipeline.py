@@ -41,3 +41,18 @@ def test_stages_on_planted_cases(spark, tmp_path):
     assert set(kept["mixing"]) == set(kept["benchmark"])
     whole = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(map(tuple, whole.collect()), key=str) == sorted((tuple(r) for r in kept["mixing"].values()), key=str)
+
+
+def test_copies_with_null_or_repeated_ids_go(spark):
+    rnd = random.Random(9)
+    one, two, three, four = [" ".join("".join(rnd.choices("abcdeiou", k=5)) for _ in range(60)) for _ in range(4)]
+    rows = [(None, one, 1), (None, one, 2), (None, one + " end", 3),  # null ids only
+            (7, two, 4), (7, two, 5), (9, two, 6), (None, two, 7),  # the smallest id is repeated
+            (8, three, 8), (8, four, 9), (3, four + " end", 10),  # one id, two texts
+            (None, None, 11), (None, "", 12), (5, " ", 13), (5, " ", 14)]  # no words
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row int").repartition(4)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    by = {r.row: r for r in kept.collect()}
+    assert len(by) == kept.count() == 8 and len({1, 2, 3} & set(by)) == 1 and len({4, 5, 6, 7} & set(by)) == 1
+    assert {4, 5} & set(by) and {8, 10, 11, 12, 13, 14} <= set(by)

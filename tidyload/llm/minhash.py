@@ -203,3 +203,19 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> Data
     """The documents that are the smallest id of their group, with their own columns."""
     found = near_duplicates(docs, id_col, **options).where("not kept").select(F.col(id_col).alias("__drop")).distinct()
     return docs.join(found, docs[id_col] == found["__drop"], "left_anti")
+
+
+def keep_one_row_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of each group, with its own columns: the one of smallest id, then of
+    smallest text hash, null ids last. Rows are told apart by a number of their
+    own, fixed by writing them once, so null and repeated ids are settled too; rows
+    without words stay."""
+    rows = C.written(docs.select(C.whole(docs), F.monotonically_increasing_id().alias("row")))
+    found = C.written(near_duplicates(rows, "row", f"doc.`{text_col}`", **options).where("not kept").select("row", "component_id"))
+    # a group's first row is in none of its links as the one to go: add it back
+    members = found.unionByName(found.select(F.col("component_id").alias("row"), "component_id").distinct())
+    own = F.col(f"doc.`{id_col}`")
+    ranked = rows.select("row", F.struct(own.isNull(), own, F.xxhash64(f"doc.`{text_col}`"), "row").alias("rank")).join(members, "row")
+    best = ranked.groupBy("component_id").agg(F.min("rank")["row"].alias("row"))
+    gone = members.join(best, "row", "left_anti").select("row")
+    return rows.join(gone, "row", "left_anti").select("doc.*")
