@@ -205,6 +205,31 @@ def test_substrings_against_brute_force(spark, monkeypatch, width):
             assert len(raw) - sum(s.end - s.start for s in spans) == len(by_id[i][1])
 
 
+def test_null_and_repeated_ids_fill_no_block(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 5_000)
+    rnd = random.Random(12)
+    texts = ["".join(rnd.choices("abcdefgh ", k=300)) for _ in range(300)]
+    rows = [((None, 7, i)[i % 3], t + rnd.choice(texts)[:120]) for i, t in enumerate(texts)]
+    pack, seen = suffix_dedup._pack, str(tmp_path)
+
+    def spy(batches):
+        from uuid import uuid4
+
+        for batch in batches:
+            with open(f"{seen}/{uuid4()}", "w") as f:
+                f.writelines(f"{b} {i}\n" for b, i in zip(batch.column("block").to_pylist(), batch.column("id").to_pylist()))
+            yield from pack([batch])
+
+    monkeypatch.setattr(suffix_dedup, "_pack", spy)
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = suffix_dedup.dedup_substrings(df).select("doc.doc_id", "kept_bytes").collect()
+    assert sorted(((r[0], bytes(r[1])) for r in got), key=str) == brute_removed(rows, 50)
+    held = {}
+    for line in next(tmp_path.iterdir()).read_text().splitlines():
+        held.setdefault(line.split()[0], []).append(line.split()[1])
+    assert sum(map(len, held.values())) == 200 and max(map(len, held.values())) < 40
+
+
 def test_without_repeats_keeps_columns(spark):
     shared = "é" * 120
     df = spark.createDataFrame([(1, "abc " + shared, 5, "k"), (2, shared + " xyz", 6, "m"), (3, None, None, None)],

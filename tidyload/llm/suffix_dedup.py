@@ -29,7 +29,8 @@ a suffix sorts by its place in a phrase:
    ids cover.
 
 Distribution. Documents are packed into blocks of about ``BLOCK_BYTES`` by a hash
-of the id; the five passes read the same exchange of blocks. Each pass sends at
+of id and text, so that the texts of a repeated id spread (rows equal in both share
+a block, however many); rows with a null id pass by. The five passes read the same exchange of blocks. Each pass sends at
 most one entry per distinct value and block to a bucket by the value's hash, and
 the bucket answers the blocks. The number of blocks and buckets follows the bytes
 of the input, so the size of a group does not; a passage that a third of the
@@ -454,9 +455,10 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         raise ValueError("min_bytes must be 2 or more")
     C.ship(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("long").alias("id"), C.as_bytes(text_col).alias("bytes"), C.whole(docs, keep or [id_col]))
+    nameless, own = own.where("id is null"), own.where("id is not null")
     total = own.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     blocks, buckets = 1 + total // BLOCK_BYTES, 1 + total // BUCKET_BYTES
-    by_block = own.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).mapInArrow(
+    by_block = own.withColumn("block", F.pmod(F.xxhash64("id", "bytes"), F.lit(blocks)).cast("int")).mapInArrow(
         _pack, "block int, rows binary").groupBy("block")
 
     def ask(messages: DataFrame, settle) -> DataFrame:
@@ -474,8 +476,10 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                       StructField("removed_spans", ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())]))),
                       StructField("kept_bytes", BinaryType())])
     answers = entries.where(F.col("kind") == PHRASE).unionByName(classes)
-    return by_block.cogroup(answers.groupBy("block")).applyInArrow(
+    found = by_block.cogroup(answers.groupBy("block")).applyInArrow(
         _removed(min_bytes, whole_chars, to_arrow_schema(out)), out)
+    return found.unionByName(nameless.select(
+        "doc", F.array().cast(out["removed_spans"].dataType).alias("removed_spans"), F.col("bytes").alias("kept_bytes")))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 100) -> DataFrame:
