@@ -261,6 +261,26 @@ def test_leaks_both_ways(spark, limit):
                            (6, 4, 4, ("",)), (6, 2, 2, ("1", "2")), (None, 4, 0, ())], key=str)
 
 
+def test_index_size_bounds_the_broadcast(spark, monkeypatch):
+    import tracemalloc
+
+    rnd = random.Random(3)
+    items = [(i, " ".join("".join(rnd.choices("abcdeé", k=4)) for _ in range(rnd.choice([3, 40, 200])))) for i in range(60)] + [(60, "-- --"), (61, None)]
+    bench, texts = spark.createDataFrame(items, "item_id long, text string"), [(t or "").encode() for _, t in items]
+    tracemalloc.start()
+    index = decontaminate.Index.of([i for i, _ in items], texts, 10)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    told = bench.agg(F.sum(decontaminate.index_bytes(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), 10))).first()[0]
+    assert index.hashes and 0.8 * held < told < 1.5 * held
+    joined, calls = decontaminate._joined_leaks, []
+    monkeypatch.setattr(decontaminate, "_joined_leaks", lambda *a: calls.append(1) or joined(*a))
+    docs = spark.createDataFrame([(1, "x " + items[2][1]), (2, "none")], "doc_id long, text string")
+    limit = 4 * sum(map(len, texts))  # well over the texts, under the index
+    hit = {r[0]: r[1] for r in decontaminate.find_leaks(docs, bench, broadcast_bytes=limit).select("doc.doc_id", "items").collect()}
+    assert calls and hit == {1: ["2"], 2: []}
+
+
 def test_decontaminate_modes(spark):
     docs = spark.createDataFrame([(i, t, "k") for i, t in DOCS], "doc_id long, text string, n_hit string")
     bench = spark.createDataFrame(BENCH, "item_id long, text string")

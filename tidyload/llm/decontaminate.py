@@ -6,8 +6,9 @@ up. A window is ``n`` consecutive words of a benchmark item; an item of fewer
 words, but not none, is one window. Every word of a document inside an occurrence
 of a window is hit; hash hits are verified on the words themselves.
 
-The benchmark is collected and broadcast only while its texts hold at most
-``broadcast_bytes``; beyond that its windows stay a distributed table and
+The benchmark is collected and broadcast only while its texts and the index built
+from them hold at most ``broadcast_bytes`` (``index_bytes``, from counts of words
+and bytes); beyond that its windows stay a distributed table and
 documents meet it in a join on a 128-bit fingerprint of the window. Documents are
 scanned once, whole, in slices of bounded bytes; the broadcast form shuffles nothing.
 
@@ -21,7 +22,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
@@ -30,6 +31,8 @@ from tidyload.llm import common as C
 INSIDE = np.zeros(256, bool)
 INSIDE[48:58] = INSIDE[97:123] = INSIDE[128:] = True
 BROADCAST_BYTES = 32 << 20
+ENTRY_BYTES = 500
+"""Of a window in ``Index``, besides its words: dicts, list, numbers, the item's name (468 to 484 as measured)."""
 SPAN = StructType([StructField("start", LongType()), StructField("end", LongType())])
 
 
@@ -124,6 +127,14 @@ def _report(words: Words, n_rows: int, hits) -> dict[str, list]:
             "items": [sorted(x) for x in items], "hit_spans": spans}
 
 
+def index_bytes(text: Column, n: int) -> Column:
+    """About the memory that an item's text (as bytes) and its windows in ``Index`` take."""
+    size, words = F.octet_length(text), F.regexp_count(F.decode(text, "ISO-8859-1"), F.lit(r"[0-9A-Za-z\x80-\xFF]+"))
+    windows = F.when(words >= n, words - n + 1).when(words > 0, 1).otherwise(0)
+    each = F.least(size, F.ceil(size * F.lit(float(n)) / F.greatest(words, F.lit(1))))
+    return size + 40 + windows.cast("long") * (each + ENTRY_BYTES)
+
+
 RESULT = [StructField("n_words", LongType()), StructField("n_hit", LongType()), StructField("items", ArrayType(StringType())),
           StructField("hit_spans", ArrayType(SPAN))]
 
@@ -141,7 +152,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
     own = docs.select(C.whole(docs, keep), C.as_bytes(text_col).alias("bytes"))
     out = StructType([own.schema["doc"], *RESULT])
     items = benchmark.select(F.col(item_col).alias("id"), C.as_bytes(item_text).alias("words"))
-    if (items.agg(F.sum(F.octet_length("words") + 40)).first()[0] or 0) > broadcast_bytes:
+    if (items.agg(F.sum(index_bytes(F.col("words"), n))).first()[0] or 0) > broadcast_bytes:
         return _joined_leaks(own, items, n, out)
     rows = items.collect()  # at most broadcast_bytes
     index = spark.sparkContext.broadcast(Index.of([r.id for r in rows], [bytes(r.words) for r in rows], n))
