@@ -82,6 +82,20 @@ def test_page_cases(spark):
     assert got == dict(enumerate(PAGES.values()))
 
 
+def test_nearest_role_of_a_block_wins():
+    tree = html_text.trained()
+    pages = {
+        "<div class='sticky-header-page'><article><p>All of it is here.</p></article></div>": "All of it is here.",
+        "<header><a href=/>Home</a><article><h1>T</h1><p>Never closed before.</p></article>": "T\n\nNever closed before.",
+        "<article><p class=ad>Buy this now.</p><p>Text of it.</p></article>": "Text of it.",
+        "<article><ul><li class='share'><p>Send it on</p><li>Flour</ul><p>End.</p></article>": "Flour\n\nEnd.",
+        "<main class=content><div class=comments><p>Me too.</p></div><p>Yes.</p></main>": "Yes.",
+        "<article><ul><li class=ad>Buy</li></ul><p>One.<div><p>Two.</div></article>": "One.\n\nTwo."}
+    for page, text in pages.items():
+        found = html_text.blocks(page)
+        assert "\n\n".join(b.text for b, s in zip(found, tree.predict(html_text.features(found))) if s > 0.5) == text
+
+
 def test_page_tree_fits_its_labels():
     tree = html_text.trained()
     for page in html_text.LABELLED:

@@ -4,8 +4,9 @@ link densities and those of their neighbours, classified by a decision tree.
 A page is cut at block-level tags into flat blocks of text. Each has features: its
 words and link density, those of the block before and after, whether it is a
 heading, and how it stands in the page (inside an article or main element; inside
-a menu, header, footer, sidebar, form or an element whose class or id names such a
-thing). A tree trained on ``LABELLED``, a small table of labelled pages, decides
+a menu, header, footer, sidebar, form or an element whose class, id or role names
+such a thing, unless an article or main element begins nearer; paragraphs and list
+items have such names too, inline elements have not). A tree trained on ``LABELLED``, a small table of labelled pages, decides
 which blocks are main text. Scripts, styles, markup and comments never are.
 
 Character references are decoded, white space inside a block becomes one space,
@@ -75,15 +76,15 @@ def blocks(html: str) -> list[Block]:
     out: list[Block] = []
     pieces: list[tuple[str, bool]] = []
     stack: list[tuple[str, str]] = []
-    at, link, heading = 0, False, False
+    at, link, heading, role = 0, False, False, ""
 
     def close() -> None:
         if pieces:
             text = " ".join(unescape("".join(p for p, _ in pieces)).split())
             if text:
                 linked = len(" ".join(unescape("".join(p for p, is_link in pieces if is_link)).split()))
-                roles = [r for _, r in stack]
-                out.append(Block(text, linked, heading, "main" in roles, "around" in roles))
+                roles = [r for r in (*(r for _, r in stack), role) if r]
+                out.append(Block(text, linked, heading, "main" in roles, roles[-1:] == ["around"]))
             pieces.clear()
 
     for found in MARKUP.finditer(html):
@@ -97,7 +98,16 @@ def blocks(html: str) -> list[Block]:
             pieces.append((" ", False))
         elif tag in BLOCK_TAGS:
             close()
-            if tag in NESTED:
+            # a paragraph's role ends with it, an item's at the next one or the end of the list
+            role = _role(tag, found["rest"]) if tag == "p" and not found["end"] else ""
+            if tag == "li":
+                inner = [t for t, _ in stack]
+                last = max((k for k, t in enumerate(inner) if t in NESTED), default=-1)
+                if "li" in inner[last + 1:]:
+                    del stack[last + 1 + inner[last + 1:].index("li"):]
+                if not found["end"]:
+                    stack.append((tag, _role(tag, found["rest"])))
+            elif tag in NESTED:
                 if not found["end"]:
                     stack.append((tag, _role(tag, found["rest"])))
                 elif any(t == tag for t, _ in stack):
@@ -180,6 +190,12 @@ LABELLED = [
      ("0", "<nav><a href=/p>Next page</a></nav></article>"),
      ("0", "<div class='sidebar'>The most read stories of the week are here for you to see, from all parts of the land.</div>"),
      ("0", "<footer>Made here.</footer>")],
+    [("0", "<div class='content has-sidebar'><div class='sidebar'>What others read here this week, and what they said about it.</div>"),
+     ("11", "<article><h1>Snow</h1><p>It snowed all night on the hills and roads were shut until the plough came at noon.</p>"),
+     ("0", "<p class='ad'>Buy warm boots now and save a lot of money on all of them this week.</p>"),
+     ("1", "<p>No one was hurt.</p></article></div>")],
+    [("00", "<nav><ul><li><a href=/>Home</a><li><a href=/n>News</a></ul>"),
+     ("11", "<main><h1>Bridge</h1><p>The new bridge opens in May, a year later than the town had planned at first.</p></main>")],
 ]
 
 
