@@ -53,6 +53,20 @@ def test_url_verdicts(spark):
     assert {r.page_id: r.verdict for r in url_filter.judge_urls(df).collect()} == names
 
 
+def test_names_in_the_pages_are_labelled_once():
+    block = [" ".join(re.findall("[a-z]+", x)) for x in url_filter.EXAMPLES["block"].split(";")]
+    for name in ("adult x", "ads track", "casino win", "cheap pills", "free bets", "spam farm"):
+        assert sum(f" {name} " in f" {x} " for x in block) == 1
+
+
+def test_verdicts_of_unseen_names(spark):
+    names = {"pokerbonus": "block", "onlinelottery": "block", "escort-dating": "block", "cashloan": "block", "torrentcrack": "block",
+             "gardenrecipes": "allow", "historyarchive": "allow", "schoolforum": "allow", "city-museum": "allow", "qzkvv": "allow",
+             "gamblingden": "allow"}  # a block name, but of words that the table has not
+    df = spark.createDataFrame([(n, f"https://www.{n}.com/en/7") for n in names], "page_id string, url string")
+    assert {r.page_id: r.verdict for r in url_filter.judge_urls(df).collect()} == names
+
+
 # -- pages --------------------------------------------------------------------
 
 def test_pages_of_the_tables(spark):

@@ -12,7 +12,8 @@ host's are split into words by a unigram Viterbi search, in which a stretch of
 unknown letters costs more the longer it is. Words known to the model are then
 scored by multinomial naive Bayes with add-one smoothing; unknown ones say nothing.
 The model is trained on ``EXAMPLES``, a small labelled table of this module; pages
-carry no labels of their own.
+carry no labels of their own. The table was written by hand and holds, once each,
+the six block names that occur in the given pages; names of words that it has not get ``allow``.
 
 Distribution. One narrow pass over the url column: parsing and rules are native
 expressions, the scoring runs on Arrow batches with a bounded cache by host label.
@@ -39,13 +40,12 @@ RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "b
 EXAMPLES = {
     "block": """
 cheap pills online pharmacy; buy viagra cialis pills; discount meds no prescription; weight loss pills; diet pills cheap
-casino win; casino win big; online casino bonus; play poker slots jackpot; free bets; free bets today; sports betting bet odds; lucky casino spin win; lottery winner prize
+casino win; online casino bonus; play poker slots jackpot; free bets; sports betting bet odds; lucky casino spin win; lottery winner prize
 adult x; xxx porn video; sex cams live adult; hot adult dating girls; nude escort sex
 spam farm; link farm seo spam; buy backlinks seo traffic; spam mail bulk sender; clone spam links
 ads track; ad tracker pixel click; banner ads server; track click redirect; popup ads network; adserver doubleclick track
 free download crack keygen; warez serial crack; torrent free movies hack; malware phishing login verify account
 payday loan cash fast; easy money earn cash home; crypto double bitcoin profit; replica watches cheap; free gift card win prize
-spam farm pages; ads track pixel; adult x videos; free bets win; cheap pills store
 en index page; de seite index; fr page article; es pagina; www main site; mobile m site; blog post page
 """,
     "allow": """
