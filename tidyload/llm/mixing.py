@@ -38,7 +38,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
     """``source, size, n`` (rows) per source in; ``source, source_size, target`` out.
-    One row per source goes through a window: no more than that is ordered in one place."""
+    One row per source goes through a window: no more than that is ordered in one place.
+    Sources are assumed to be some million at most; more give the same result, in a
+    task that grows with their number."""
     order = Window.orderBy(F.col("source").asc_nulls_last())
     total = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     table = F.array(*[F.lit(float(w)) for w in weights])
