@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidyload.llm import (decontaminate, embedding_lsh, html_text, language_id, minhash, mixing, suffix_dedup, token_counts,
-                          url_filter, weak_quality)
+from tidyload.llm import (decontaminate, embedding_lsh, html_text, language_id, line_dedup, merkle, minhash, mixing, periodic_runs,
+                          suffix_dedup, token_counts, url_filter, weak_quality)
 from tidyload.llm.common import table
 
 
@@ -65,7 +65,37 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = line_dedup.dedup_lines(docs, line_dedup.build(docs), keep=["doc_id"])
+    return found.select("doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def tampered_manifest(docs: DataFrame, bits: int = merkle.BITS) -> DataFrame:
+    """Each document whose crc32 of the id is divisible by 7 has one more character than it says."""
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    found = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], tampered={"n_chars": more}, where=chosen, bits=bits)
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.col("proof").alias("proof_sha256"),
+                        F.col("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tampered_manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every text, after a repetition is planted in one document of ten."""
+    found = periodic_runs.word_runs(table(spark, sf_dir, "documents"), keep=["doc_id"], plant=F.crc32(F.col("doc_id").cast("string")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", periodic_runs.strongest()).select(
+        "doc.doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_embedding_dups, op2_minhash_dups, op3_url_filter, op4_benchmark_leaks, op5_substring_dups, op6_html_text,
-        op7_language_id, op8_weak_quality, op9_token_counts, op10_source_mix)}
+        op7_language_id, op8_weak_quality, op9_token_counts, op10_source_mix, op11_line_dedup, op12_merkle_manifest,
+        op13_periodic_runs)}
