@@ -14,10 +14,17 @@ from tidyload.llm.queries import QUERIES
 from tidyload.llm.sql import SQL
 
 
+def cell(value) -> str:
+    """A value as text, the same for a null or whole number of any column type."""
+    if pd.isna(value):
+        return "null"
+    return str(int(value)) if isinstance(value, float) and value == int(value) else str(value)
+
+
 def same(got: pd.DataFrame, want: pd.DataFrame) -> None:
     names = sorted(want.columns)
     assert sorted(got.columns) == names
-    got, want = (x[names].astype(str).sort_values(names).reset_index(drop=True) for x in (got, want))
+    got, want = (x[names].astype(object).map(cell).sort_values(names).reset_index(drop=True) for x in (got, want))
     pd.testing.assert_frame_equal(got, want, check_dtype=False, check_column_type=False)
 
 
