@@ -546,6 +546,11 @@ SQL["audit_append"] = with_mig(_u([
     f"SELECT '{r}' AS migration_run, table_name, source_count, target_count, 'success' AS status "
     f"FROM ({_u([_stats(t) for t in MIG])})" for r in ("run_a", "run_b")]))
 SQL["csv_roundtrip"] = with_mig("SELECT * FROM mig_suppliers", ["suppliers"])
+_NOTES = ["''", "' '", "'he said \"yes\"'", "'two' || chr(10) || 'lines'", "'a,b;c' || chr(9) || 'd'", "'\\N'", "'\\'", "'\"'"]
+SQL["csv_dirty_roundtrip"] = D.with_legacy(
+    "SELECT *, CASE cst_id % 9 " + " ".join(f"WHEN {i} THEN {n}" for i, n in enumerate(_NOTES, 1)) + " END AS note FROM legacy_customers", "customers")
+SQL["mapping_reload_orders"] = SQL["mapping_projection_orders"]
+SQL["quality_reload"] = D.with_ctes(_QT, _all_q + [("rr", _rr_all)], f"SELECT table_name, score, approved FROM ({D.score_sql('rr')})")
 SQL["json_results"] = D.with_ctes(_QT, _all_q + [("rr", _rr_all), ("an", _an_all)], (
     f"SELECT tl.table_name, sc.score, sc.approved, CAST(coalesce(a.n, 0) AS BIGINT) AS n_anomalies, a.first_anomaly, "
     f"CAST(r.n AS BIGINT) AS n_rules, CAST(r.k AS BIGINT) AS n_severities FROM {_TABLES} LEFT JOIN ({D.score_sql('rr')}) sc "

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidyload.functions.numeric import round_half_up
+from tidyload.session import written
 from tidyload.sources.tables import dimension
 
 # The target DDL's constraints, per migrated table.
@@ -249,9 +250,11 @@ def row_level_log(source: DataFrame, spec, run_id: str) -> DataFrame:
     skipped = dup | (miss != "")
     message = (F.when(dup, F.concat(F.lit("duplicate on "), F.lit(",".join(spec.dedup_on))))
                .when(miss != "", F.concat(F.lit("missing required: "), miss)))
-    rows = df.select(F.col("_src_key").alias("legacy_id"), *[F.col(c).alias(f"_{c}") for c in dict.fromkeys(names)],
-                     F.when(skipped, F.lit("skipped")).otherwise(F.lit("success")).alias("status"), message.alias("error_message"))
-    loaded = surrogate_keys(rows.where(F.col("status") == "success"), ["legacy_id", *[f"_{c}" for c in dict.fromkeys(names)]], "target_id")
+    ties = list(dict.fromkeys(names))
+    # written once: filters on the status would otherwise be inlined over every normaliser, for each use again
+    rows = written(df.select(F.col("_src_key").alias("legacy_id"), *[F.col(c).alias(f"_{c}") for c in ties],
+                             F.when(skipped, F.lit("skipped")).otherwise(F.lit("success")).alias("status"), message.alias("error_message")))
+    loaded = surrogate_keys(rows.where(F.col("status") == "success"), ["legacy_id", *[f"_{c}" for c in ties]], "target_id")
     out = [F.lit(run_id).alias("migration_run"), F.lit(spec.source).alias("table_name"), "legacy_id"]
     return loaded.select(*out, "target_id", "status", "error_message").unionByName(
         rows.where(F.col("status") != "success").select(*out, F.lit(None).cast("long").alias("target_id"), "status", "error_message"))

@@ -22,6 +22,7 @@ from tidyload.functions import normalize as N
 from tidyload.functions.numeric import round_half_up
 from tidyload.operators import profile as P
 from tidyload.plans import mappings as packaged
+from tidyload.sources.documents import read_documents
 from tidyload.sources.tables import column_samples
 
 MAPPING_ROW = T.StructType([
@@ -35,6 +36,8 @@ MAPPING_DOC = T.StructType([
     T.StructField("migration_complexity", T.StringType()),
     T.StructField("mappings", T.ArrayType(MAPPING_ROW)),
 ])
+# what a stored document may have: result documents name their table ``table``
+STORED_DOC = T.StructType([T.StructField("table", T.StringType()), *MAPPING_DOC.fields])
 
 # Type-family vocabularies (substring tests, in this order).
 TYPE_FAMILIES = [
@@ -76,10 +79,15 @@ TARGET_COLUMNS = {
 
 
 def read_mapping_documents(spark: SparkSession, path: str | None = None, form: str = "committed") -> DataFrame:
-    """S-6: mapping documents with a fixed schema: the packaged ones of a form, or
-    JSON (one document a line) from a shared ``path``."""
+    """S-6: mapping documents with a fixed schema: the packaged ones of a form, or the
+    JSON documents under a shared ``path`` (any layout; what ``documents`` writes too).
+    A corrupt document, or one that is no mapping, fails with its file's name."""
     if path is not None:
-        return spark.read.schema(MAPPING_DOC).json(path)
+        found = read_documents(spark, path, STORED_DOC, ["table_source|table", "mappings"])
+        broken = F.exists("mappings", lambda m: m.isNull() | m["source_col"].isNull() | m["target_col"].isNull())
+        rows = F.when(broken, F.raise_error(F.concat(F.lit("mapping without columns: "), "file"))).otherwise(F.col("mappings"))
+        return found.select(F.coalesce("table_source", "table").alias("table_source"), "table_target", "migration_complexity",
+                            rows.alias("mappings"))
     return spark.createDataFrame(packaged.documents(form), MAPPING_DOC)
 
 
@@ -196,10 +204,13 @@ def enrich(rows: DataFrame, patterns: DataFrame) -> DataFrame:
 
 
 def documents(enriched: DataFrame) -> DataFrame:
-    """K-5: one mapping document per table, its mappings in their order."""
-    row = F.struct("position", "source_col", "target_col", "transform", "confidence", "value_pattern", "notes")
+    """K-5: one mapping document per table, its mappings in their order. Rows that are
+    not enriched give documents too; ``read_mapping_documents`` takes either back."""
+    stored = ["position", *MAPPING_ROW.names, "value_pattern"]
+    row = F.struct(*[c for c in stored if c in enriched.columns])
+    target = [F.any_value("table_target").alias("table_target")] if "table_target" in enriched.columns else []
     return enriched.groupBy(F.col("table_name").alias("table")).agg(
-        F.any_value("migration_complexity").alias("migration_complexity"), F.sort_array(F.collect_list(row)).alias("mappings"))
+        *target, F.any_value("migration_complexity").alias("migration_complexity"), F.sort_array(F.collect_list(row)).alias("mappings"))
 
 
 def ambiguous(enriched: DataFrame) -> DataFrame:

@@ -466,8 +466,11 @@ def line_total(spark, sf_dir):
 @register("row_level_log")
 def row_level_log(spark, sf_dir):
     """R-9: per source row of the five tables: success with its target id, or
-    skipped (duplicate / missing)."""
-    return _union([C.row_level_log(_legacy(spark, sf_dir, t), SPECS[t], "run_sf") for t in MIGRATION_ORDER])
+    skipped (duplicate / missing), logged to the run's table and read back."""
+    path = shared_path(spark, "row_log")
+    for t in MIGRATION_ORDER:
+        log = K.log_rows(C.row_level_log(_legacy(spark, sf_dir, t), SPECS[t], "run_sf"), path)
+    return log
 
 
 # ---- mapping (S-6, D-5 .. D-10, P-10 .. P-16) --------------------------------
@@ -577,11 +580,13 @@ def load_roundtrip(spark, sf_dir):
 
 @register("audit_append")
 def audit_append(spark, sf_dir):
-    """K-2 + K-3: load stats of the five tables appended twice to a fresh log."""
+    """K-2 + K-3: load stats of the five tables by two runs in a fresh log; the first
+    run is logged twice, which changes nothing."""
     src, tgt = _frames(spark, sf_dir)
     stats = written(_union([R.load_stats(src[t], tgt[t], t) for t in MIGRATION_ORDER]))
     path = shared_path(spark, "migration_log")
-    K.audit_append(stats, path, "run_a", "2024-01-15 10:00:00")
+    for _ in range(2):
+        K.audit_append(stats, path, "run_a", "2024-01-15 10:00:00")
     return K.audit_append(stats, path, "run_b", "2024-01-16 10:00:00").drop("migrated_at")
 
 
@@ -592,6 +597,23 @@ def csv_roundtrip(spark, sf_dir):
     return K.csv_extract(tgt["suppliers"], shared_path(spark, "csv", "suppliers"))
 
 
+def dirty_notes(customers: DataFrame) -> DataFrame:
+    """Legacy customers with notes that a careless extract loses: quotes, line feeds,
+    separators, backslashes, the null marker, empty and blank texts."""
+    k = F.col("cst_id") % 9
+    note = F.when(k == 0, F.lit(None))
+    for i, text in enumerate(["", " ", 'he said "yes"', "two\nlines", "a,b;c\td", "\\N", "\\", '"'], 1):
+        note = note.when(k == i, F.lit(text))
+    return customers.withColumn("note", note)
+
+
+@register("csv_dirty_roundtrip")
+def csv_dirty_roundtrip(spark, sf_dir):
+    """K-4 on the dirty legacy customers: white space, nulls, empty texts, quotes and line
+    feeds come back as they were."""
+    return K.csv_extract(dirty_notes(_legacy(spark, sf_dir, "customers")), shared_path(spark, "csv", "legacy_customers"))
+
+
 @register("json_results")
 def json_results(spark, sf_dir):
     """K-5: one quality document per table, without findings too, read back."""
@@ -612,6 +634,24 @@ def json_documents(spark, sf_dir):
                     F.size("drift_issues").cast("bigint").alias("n_entries")))
 
 
+@register("mapping_reload_orders")
+def mapping_reload_orders(spark, sf_dir):
+    """K-5 -> S-6 -> P-14: mapping documents written indented, read back and applied to
+    the orders."""
+    path = shared_path(spark, "mapping_files")
+    K.write_documents(M.documents(M.mapping_rows(M.read_mapping_documents(spark))), path, indent=True)
+    rows = M.mapping_rows(M.read_mapping_documents(spark, path))
+    return M.apply_mapping(_legacy(spark, sf_dir, "orders"), rows, "orders", relabelled=RELABELLED.get("orders"))
+
+
+@register("quality_reload")
+def quality_reload(spark, sf_dir):
+    """K-5 -> S-7: the quality documents of the five tables written indented and read back as reports."""
+    path = shared_path(spark, "quality_files")
+    K.write_documents(Q.documents(_assessed(spark, sf_dir), _table_list(spark)), path, indent=True)
+    return K.read_quality_reports(spark, path)
+
+
 @register("preflight")
 def preflight(spark, sf_dir):
     """R-1 (+S-2, S-6, S-7): mapping present, mapped columns exist, quality read

@@ -10,13 +10,14 @@ the Hadoop output committer, so a lost executor's tasks are simply retried.
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidyload.sources.csv import read_extract, write_extract
+from tidyload.sources.documents import documents_or_none, write_documents  # noqa: F401 (write_documents is K-5's sink)
+from tidyload.sources.publish import publish, read_current, stage
+
 
 class EmptyLoadError(ValueError):
     """K-1: the reference refuses to load an empty frame ("DataFrame vide")."""
@@ -25,24 +26,15 @@ class EmptyLoadError(ValueError):
 def overwrite_load(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None) -> DataFrame:
     """K-1: replace the target with ``df`` and return the table read back.
 
-    The frame is computed once: it is written beside the target, looked at there,
-    and moved into place, so an empty or failed load leaves the old target alone."""
+    The frame is computed once: it is written beside the target's loads, looked at
+    there, and published in one step (``sources.publish``), so readers see the old table
+    or the new one, also after a crash; an empty load is refused and never seen."""
     spark = df.sparkSession
-    staged = f"{path}.{uuid.uuid4().hex}"
-    w = df.write.format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(staged)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    new, old = hadoop(staged), hadoop(path)
-    fs = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if spark.read.schema(df.schema).format(fmt).load(staged).isEmpty():
-        fs.delete(new, True)
+    load = stage(df, path, fmt, partition_by)
+    if spark.read.schema(df.schema).format(fmt).load(f"{path}/loads/{load}").isEmpty():
         raise EmptyLoadError("load: empty DataFrame")
-    fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise OSError(f"load: {staged} could not be moved to {path}")
-    return spark.read.schema(df.schema).format(fmt).load(path)
+    publish(spark, path, load)
+    return read_current(spark, path, df.schema, fmt)
 
 
 AUDIT_SCHEMA = T.StructType([
@@ -52,28 +44,41 @@ AUDIT_SCHEMA = T.StructType([
 ])
 
 
+def _replaced(rows: DataFrame, path: str, by: list[str], schema: T.StructType) -> DataFrame:
+    """Write rows to a log in which each value of ``by`` has one commit: what a rerun
+    writes takes the place of what it wrote before. The whole log read back."""
+    rows.select(*schema.names).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    return rows.sparkSession.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def audit_append(stats: DataFrame, path: str, run_id: str, migrated_at, status: str = "success") -> DataFrame:
-    """K-3: append one audit row per table (from ``load_stats`` rows) to the
-    migration log and return the whole log read back.  ``migrated_at`` is a
-    run parameter (not ``now()``) so a rerun writes the same rows."""
+    """K-3: one audit row per table (from ``load_stats`` rows) in the migration log; the
+    whole log read back. ``migrated_at`` is a run parameter (not ``now()``), and a run
+    has one commit, so the same run twice gives the same log."""
     rows = stats.select(F.lit(run_id).alias("migration_run"), "table_name", "source_count", "target_count",
                         F.lit(status).alias("status"),
                         F.lit(migrated_at).cast("timestamp").alias("migrated_at"))
-    rows.write.mode("append").parquet(path)
-    return stats.sparkSession.read.schema(AUDIT_SCHEMA).parquet(path)
+    return _replaced(rows, path, ["migration_run"], AUDIT_SCHEMA)
 
 
-def csv_extract(df: DataFrame, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """K-4: header + UTF-8 CSV extract, read back with an explicit schema."""
-    df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
-    return df.sparkSession.read.schema(schema or df.schema).option("header", True).csv(path)
+ROW_LOG_SCHEMA = T.StructType([
+    T.StructField("migration_run", T.StringType()), T.StructField("table_name", T.StringType()),
+    T.StructField("legacy_id", T.LongType()), T.StructField("target_id", T.LongType()),
+    T.StructField("status", T.StringType()), T.StructField("error_message", T.StringType()),
+])
+
 
+def log_rows(rows: DataFrame, path: str) -> DataFrame:
+    """R-9: the row-level log of a run's tables (``constraints.row_level_log``) into its
+    table; a rerun of a run and table replaces what it logged. The whole log read back."""
+    return _replaced(rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ROW_LOG_SCHEMA.fields]), path,
+                     ["migration_run", "table_name"], ROW_LOG_SCHEMA)
 
-def write_documents(docs: DataFrame, path: str, key: str = "table") -> DataFrame:
-    """K-5: one JSON document per row, in a folder of its own by ``key``; read back
-    with the same schema (a frame without rows reads back as one)."""
-    docs.withColumn("document", F.col(key)).write.mode("overwrite").partitionBy("document").json(path)
-    return docs.sparkSession.read.schema(docs.schema).json(path).select(*docs.columns)
+
+def csv_extract(df: DataFrame, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """K-4: header + UTF-8 CSV extract (``sources.csv``), read back with its types."""
+    write_extract(df, path)
+    return read_extract(df.sparkSession, path, schema or df.schema)
 
 
 QUALITY_DOC = T.StructType([
@@ -83,16 +88,11 @@ QUALITY_DOC = T.StructType([
 
 
 def read_quality_reports(spark: SparkSession, path: str) -> DataFrame:
-    """S-7: quality documents (``{table, score, approved, ...}``); a missing
-    folder means no reports (the reference warns and goes on), any other fault is
-    raised."""
-    try:
-        found = spark.read.schema(QUALITY_DOC).json(path)
-    except AnalysisException as fault:
-        if fault.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "table_name string, score double, approved boolean")
-    return found.select(F.col("table").alias("table_name"), "score", "approved")
+    """S-7: quality documents (``{table, score, approved, ...}``, any layout); a missing
+    folder means no reports (the reference warns and goes on), any other fault, such
+    as a corrupt document or one that is no report, is raised."""
+    return documents_or_none(spark, path, QUALITY_DOC, ["table", "score", "approved"]).select(
+        F.col("table").alias("table_name"), "score", "approved")
 
 
 def preflight(tables: DataFrame, mapping_rows: DataFrame, schema_rows: DataFrame, quality: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Scans (S-1), schema introspection (S-2), row samples (S-4, S-5) and the
+"""Scans (S-1; CSV extracts: ``sources.csv``), schema introspection (S-2), row samples (S-4, S-5) and the
 reference dimensions (S-8)."""
 
 from __future__ import annotations
@@ -26,11 +26,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> Dat
     return df.select(*columns) if columns else df
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """S-1 for CSV extracts: header row, explicit schema (no inference pass)."""
-    return spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").csv(path)
-
-
 def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str,
               lower: int, upper: int, partitions: int, properties: dict | None = None) -> DataFrame:
     """S-1 for a database source: a range-partitioned parallel read."""
