@@ -372,6 +372,11 @@ def _fk(child, fk, parent, pk):
 SQL["fk_orphans"] = with_mig(_u([_fk(*r) for r in CN.FOREIGN_KEYS]))
 _SK = "SELECT row_number() OVER (ORDER BY legacy_cst_id) AS customer_id, legacy_cst_id FROM mig_customers"
 SQL["surrogate_keys"] = with_mig(_SK, ["customers"])
+SQL["key_registry"] = with_mig(
+    "SELECT * FROM (WITH b AS (SELECT legacy_cst_id, legacy_cst_id IN (SELECT customer_id FROM mig_orders WHERE customer_id IS NOT NULL) AS buys "
+    "FROM (SELECT DISTINCT legacy_cst_id FROM mig_customers WHERE legacy_cst_id IS NOT NULL)) "
+    "SELECT legacy_cst_id, row_number() OVER (ORDER BY buys DESC, legacy_cst_id) AS id, CASE WHEN buys THEN 'first' ELSE 'second' END AS load FROM b)",
+    ["customers", "orders"])
 SQL["fk_resolve"] = with_mig(
     f"SELECT o.legacy_ord_id, o.customer_id AS legacy_customer_id, c.customer_id FROM mig_orders o "
     f"LEFT JOIN ({_SK}) c ON o.customer_id = c.legacy_cst_id", ["customers", "orders"])
@@ -415,6 +420,16 @@ def _log(t):
             f"FROM ({marked})")
 
 
+SQL["reconcile_values"] = with_mig(
+    "SELECT * FROM (WITH s AS (SELECT legacy_sup_id AS k, name AS x, CASE WHEN legacy_sup_id % 5 = 0 THEN lower(name) ELSE name END AS y FROM mig_suppliers), "
+    "o AS (SELECT legacy_ord_id AS k, delivered_at AS d, channel AS c, CASE WHEN legacy_ord_id % 97 = 0 THEN NULL ELSE delivered_at END AS e, "
+    "CASE WHEN legacy_ord_id % 194 = 0 THEN 'FAX' ELSE channel END AS f FROM mig_orders) "
+    "SELECT 'suppliers' AS table_name, CAST(k AS VARCHAR) AS key, 'changed' AS status, 'name' AS changed FROM s WHERE x IS DISTINCT FROM y "
+    "UNION ALL SELECT 'orders', CAST(k AS VARCHAR), 'missing', NULL FROM o WHERE k % 101 = 0 "
+    "UNION ALL SELECT 'orders', CAST(-k AS VARCHAR), 'extra', NULL FROM o WHERE k % 101 = 0 "
+    "UNION ALL SELECT 'orders', CAST(k AS VARCHAR), 'changed', concat_ws(',', CASE WHEN d IS DISTINCT FROM e THEN 'delivered_at' END, "
+    "CASE WHEN c IS DISTINCT FROM f THEN 'channel' END) FROM o WHERE k % 101 <> 0 AND (d IS DISTINCT FROM e OR c IS DISTINCT FROM f))",
+    ["suppliers", "orders"])
 SQL["row_level_log"] = D.with_legacy(_u([_log(t) for t in MIG]), *MIG)
 
 # ---- mapping ---------------------------------------------------------------------

@@ -292,6 +292,8 @@ def rule_supplied_sets(spark, sf_dir):
 
 from tidyload.operators import constraints as C  # noqa: E402
 from tidyload.operators import reconcile as R  # noqa: E402
+from tidyload.operators import registry as KR  # noqa: E402
+from tidyload.operators import row_reconcile as RR  # noqa: E402
 from tidyload.plans.specs import VALID_STATUSES  # noqa: E402
 
 MIGRATION_ORDER = ["customers", "products", "suppliers", "orders", "order_lines"]
@@ -338,6 +340,23 @@ def reconcile_rows(spark, sf_dir):
     return _union([R.pair_rows(src[t], tgt[t], SPECS[t].key, SPECS[t].target_key, t) for t in MIGRATION_ORDER])
 
 
+@register("reconcile_values")
+def reconcile_values(spark, sf_dir):
+    """J-4 by value: the migrated suppliers and orders against a target as a faulty load
+    leaves it: lower-cased names, a lost date, a changed key."""
+    _, tgt = _frames(spark, sf_dir, ["suppliers", "orders"])
+    sup, ords = tgt["suppliers"], tgt["orders"]
+    k, o = F.col("legacy_sup_id"), F.col("legacy_ord_id")
+    bad_sup = sup.withColumn("name", F.when(k % 5 == 0, F.lower("name")).otherwise(F.col("name")))
+    bad_ord = ords.withColumn("delivered_at", F.when(o % 97 == 0, F.lit(None)).otherwise(F.col("delivered_at"))).withColumn(
+        "channel", F.when(o % 194 == 0, F.lit("FAX")).otherwise(F.col("channel"))).withColumn(
+        "legacy_ord_id", F.when(o % 101 == 0, -o).otherwise(o))
+    parts = [RR.compare_rows(a, b, key).select(F.lit(t).alias("table_name"), F.col(key).alias("key"), "status",
+                                               F.array_join("changed", ",").alias("changed"))
+             for t, key, a, b in (("suppliers", "legacy_sup_id", sup, bad_sup), ("orders", "legacy_ord_id", ords, bad_ord))]
+    return _union(parts)
+
+
 def _drifts(spark, sf_dir):
     src, tgt = _frames(spark, sf_dir)
     return _union([R.drift(tgt[t], t, src[t], VALID_STATUSES.get(t)) for t in MIGRATION_ORDER])
@@ -419,6 +438,18 @@ def surrogate_keys(spark, sf_dir):
         "customer_id", "legacy_cst_id")
 
 
+@register("key_registry")
+def key_registry(spark, sf_dir):
+    """W-3 over two loads: first the customers that have orders, then all of them. Keys
+    keep the ids of the first load, the new ones go on from there."""
+    _, tgt = _frames(spark, sf_dir, ["customers", "orders"])
+    customers = tgt["customers"].select("legacy_cst_id")
+    buyers = customers.join(tgt["orders"].select(F.col("customer_id").alias("legacy_cst_id")), "legacy_cst_id", "left_semi")
+    path = shared_path(spark, "key_registry")
+    KR.register(buyers, "legacy_cst_id", path, "first")
+    return KR.register(customers, "legacy_cst_id", path, "second").select(F.col("legacy_key").alias("legacy_cst_id"), "id", "load")
+
+
 @register("fk_resolve")
 def fk_resolve(spark, sf_dir):
     """J-2: orders' legacy customer id -> the migrated customer's surrogate id."""
