@@ -12,14 +12,20 @@ population count of the XOR of two sketches estimates their similarity, most
 precisely where it is high, and candidates whose estimate lies more than
 ``MARGIN`` below the threshold go. The rest is confirmed on the full sets.
 
-Distribution. Documents with equal sets form a class, and only its smallest id
-goes on, so exact copies of any number are one row. In a band, members are first
-compared with the member of smallest id (a star, linear in the size of the band);
-components follow. Then only members outside the largest component of their band
-are compared with the band's members in other components: a band with thousands
-of near copies of each other costs no further pair, and yet no candidate pair
-that could join two components is left out. With 40 bands of 5 rows a pair at
-similarity 0.8 is missed with probability 1.2e-7.
+Distribution. Documents with equal sets form a class, and only the class goes on, so exact
+copies of any number are one row. The classes of a band form a group with its first
+class as pivot (bands of one pivot are one group); pivot and members are compared, which is
+linear in the size of the group, and components follow. What is left to find are links
+between members of a group that lie in different components. They are found exactly, and
+without a pair of each two near misses, from the members' differences to the pivot
+(shingles that only one of the two has): x and y link if and only if their differences
+share at least k = (|Dx| + |Dy| - q (|x| + |y|)) / 2 shingles, q = (100 - percent) / (100 +
+percent). With the shingles of all differences in one order, rarest in the group first, the
+first one that x and y share stands among the first |Dx| - k + 1 of x and at a place from which
+k can still be reached in both; a member's own bound on k (its partner does not link with
+the pivot, or is at least as small as sizes allow) cuts what is looked up at all. Shared
+shingles of one component only are dropped before members meet. With 40 bands of 5
+rows a pair at similarity 0.8 is missed with probability 1.2e-7.
 
 Defined cases: a null or empty text has an empty set; rows that share an id are
 one vertex; a row with a null id links with nothing and is kept; ties in nothing
@@ -38,6 +44,10 @@ from tidyload.llm import common as C
 BANDS, ROWS = 40, 5
 SKETCH_BITS = 512
 MARGIN = 0.2
+SLICE_BYTES = 1 << 19
+"""Text bytes that one vectorised step handles: a step holds some hundred bytes for each."""
+MAX_BROADCAST = 1_000_000
+"""Ids that are broadcast at most (8 bytes each) to pick texts; beyond, texts meet them by a shuffle."""
 SPACE = np.zeros(256, bool)
 SPACE[9:14] = SPACE[32] = True
 
@@ -103,7 +113,7 @@ def _sign(width: int):
 
         for batch in batches:
             texts = [bytes(t) for t in batch["bytes"]]
-            for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts))):
+            for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts)), SLICE_BYTES):
                 sets, starts = shingles(texts[part], width)
                 sizes = np.diff(starts)
                 bands, sketches = [None] * len(sizes), [None] * len(sizes)
@@ -122,7 +132,7 @@ def _sets(width: int):
 
         for batch in batches:
             texts = [bytes(t) for t in batch["bytes"]]
-            for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts))):
+            for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts)), SLICE_BYTES):
                 sets, starts = shingles(texts[part], width)
                 yield pd.DataFrame({"id": batch["id"].iloc[part].array, "key": _keys(sets, starts),
                                     "shingles": [x.view(np.int64) for x in np.split(sets, starts[1:-1])]})
@@ -137,25 +147,72 @@ def estimate(a: Column, b: Column) -> Column:
     return 1 + F.lit(n / (4.0 * k)) * F.log(share)
 
 
-def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (u, v) that really link: size bound, odd sketch, then the full sets."""
-    def side(name: str) -> DataFrame:
-        return nodes.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}"))
-
-    near = C.written(
-        pairs.join(side("u"), "u").join(side("v"), "v")
-        .where(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v"))
-        .where(estimate(F.col("s_u"), F.col("s_v")) >= percent / 100 - MARGIN)
-        .select("u", "v").distinct())
-    wanted = near.select(F.col("u").alias("id")).union(near.select("v")).distinct()
-    sets = C.written(docs.join(wanted, "id", "left_semi")
-                     .mapInPandas(_sets(width), "id long, key binary, shingles array<long>")
-                     .where("key is not null").dropDuplicates(["id", "key"]).drop("key"))
-    right = sets.select(F.col("id").alias("v"), F.col("shingles").alias("b"))
-    left = sets.select(F.col("id").alias("u"), F.col("shingles").alias("a"))
-    common = F.size(F.array_intersect("a", "b"))
-    return near.join(right, "v").join(left, "u").where(
-        100 * common >= percent * (F.size("a") + F.size("b") - common)).select("u", "v").distinct()
+def _sets_of(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """(k, n, shingles, sketch) of the given classes, from the texts of their ids."""
+    ids = classes.select("id").distinct()
+    ids = F.broadcast(ids) if ids.count() <= MAX_BROADCAST else ids
+    found = docs.join(ids, "id", "left_semi").mapInPandas(_sets(width), "id long, key binary, shingles array<long>")
+    return C.written(found.where("key is not null").select("key", "shingles").dropDuplicates(["key"]).join(
+        classes.select("key", "k", "n", "sketch"), "key").drop("key"))
+
+
+def _agree(a: Column, b: Column, n_a: Column, n_b: Column, percent: int) -> Column:
+    """Two sets link, by the number of shingles that only the first has."""
+    common = n_a - F.size(F.array_except(a, b))
+    return 100 * common >= percent * (n_a + n_b - common)
+
+
+def _side(sets: DataFrame, key: str) -> DataFrame:
+    return sets.select(F.col("k").alias(key), *[F.col(c).alias(f"{c}_{key}") for c in ("n", "shingles", "sketch")])
+
+
+def _likely(u: str, v: str, percent: int) -> Column:
+    """What the odd sketches say of a candidate pair."""
+    return estimate(F.col(f"sketch_{u}"), F.col(f"sketch_{v}")) >= percent / 100 - MARGIN
+
+
+def _differences(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """For each member (k) of a group (g, its pivot): whether both link, and ``d``,
+    the shingles that only one of the two has (those of the pivot bit-inverted)."""
+    met = groups.where("g != k").join(_side(sets, "k"), "k").join(_side(sets, "g"), "g")
+    apart = met.select("g", "k", F.col("n_k").alias("n"), F.col("n_g").alias("nc"), _likely("k", "g", percent).alias("likely"),
+                       F.array_except("shingles_k", "shingles_g").alias("more"), F.array_except("shingles_g", "shingles_k").alias("less"))
+    common = F.col("n") - F.size("more")
+    return C.written(apart.select(
+        "g", "k", "n", "nc", (F.col("likely") & (100 * common >= percent * (F.col("n") + F.col("nc") - common))).alias("direct"),
+        F.concat("more", F.transform("less", lambda t: F.bitwise_not(t))).alias("d")))
+
+
+def _candidates(apart: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of members of a group, in different parts, that may link. ``apart``:
+    differences with the member's ``part``."""
+    low, high = 100 - percent, 100 + percent  # q = low / high, kept in whole numbers
+    each = apart.select("g", "k", F.explode("d").alias("t"))
+    often = each.groupBy("g", "t").agg(F.count("*").alias("f")).where("f > 1")
+    ordered = each.join(often, ["g", "t"], "left").groupBy("g", "k").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(1)).alias("f"), "t"))).alias("order"))
+    size = F.size("order")
+    # least number of shared shingles: with a partner that does not link with the pivot; with any partner
+    apart_too = F.ceil((high * size + low * (F.col("nc") - F.col("n"))) / (2.0 * high) - 1e-9)
+    any_kind = F.ceil((high * size - low * (F.col("n") * (1 + 100.0 / percent))) / (2.0 * high) - 1e-9)
+    known = apart.select("g", "k", "n", "nc", "direct", "part").join(ordered, ["g", "k"]).select(
+        "g", "k", "n", "direct", "part", "order", size.alias("nd"), (size - F.greatest(F.lit(1), apart_too) + 1).alias("near"),
+        (size - F.greatest(F.lit(1), any_kind) + 1).alias("far"))
+    looked = F.when(F.col("direct"), F.col("near")).otherwise(F.col("far")).cast("int")
+    rows = known.select("g", "k", "n", "nd", "direct", "part", "near", F.posexplode(F.slice("order", F.lit(1), F.greatest(F.lit(0), looked)))).where(
+        F.col("col.f") > 1).select("g", "k", "n", "nd", "direct", "part", F.col("col.t").alias("t"), (F.col("pos") + 1).alias("at"),
+                                   (F.col("pos") < F.col("near")).alias("early"))
+    rows = C.written(rows)
+    several = rows.groupBy("g", "t").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a != b").select("g", "t")
+    rows = rows.join(several, ["g", "t"])
+    x, y = (rows.select("g", "t", *[F.col(c).alias(f"{s}_{c}") for c in ("k", "n", "nd", "direct", "part", "at", "early")]) for s in "xy")
+    reach = 1 + F.least(F.col("x_nd") - F.col("x_at"), F.col("y_nd") - F.col("y_at"))
+    inside = F.col("x_direct") | F.col("y_direct") | (F.col("x_early") & F.col("y_early"))
+    return x.join(y, ["g", "t"]).where(
+        (F.col("x_k") < F.col("y_k")) & (F.col("x_part") != F.col("y_part")) & ~(F.col("x_direct") & F.col("y_direct")) & inside
+        & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
+        & (2 * high * reach >= high * (F.col("x_nd") + F.col("y_nd")) - low * (F.col("x_n") + F.col("y_n")))).select(
+        F.col("x_k").alias("u"), F.col("y_k").alias("v")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
@@ -167,29 +224,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = C.written(own.mapInPandas(
         _sign(width), "id long, n long, key binary, bands array<long>, sketch array<long>"))
     known = signed.where("key is not null and id is not null")
-    classes = known.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"),
-                                       F.first("sketch").alias("sketch"))
-    nodes = C.written(classes)
+    nodes = C.written(known.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"),
+                                               F.first("sketch").alias("sketch")).withColumn("k", F.monotonically_increasing_id()))
     copies = known.select("id", "key").join(nodes.select("key", F.col("id").alias("rep")), "key").where("id != rep").select(
         F.col("id").alias("u"), F.col("rep").alias("v")).distinct()
 
-    rows = nodes.select("id", F.explode("bands").alias("band"))
-    centres = rows.groupBy("band").agg(F.min("id").alias("centre"), F.count("*").alias("size")).where("size > 1")
-    grouped = C.written(rows.join(centres.drop("size"), "band"))
-    star = grouped.where("id != centre").select(F.col("centre").alias("u"), F.col("id").alias("v")).distinct()
-    first = C.written(_linked(star, nodes, own, width, percent).unionByName(copies))
+    rows = nodes.select("k", F.explode("bands").alias("band"))
+    pivots = rows.groupBy("band").agg(F.min("k").alias("g"), F.count("*").alias("size")).where("size > 1").drop("size")
+    groups = C.written(rows.join(pivots, "band").select("g", "k").distinct())
+    classes = C.written(nodes.drop("bands").join(groups.select("k").distinct(), "k", "left_semi"))
+    sets = _sets_of(own, classes, width)
+    apart = _differences(groups, sets, percent)
+
+    def by_id(pairs: DataFrame) -> DataFrame:
+        u, v = (classes.select(F.col("k").alias(c), F.col("id").alias(f"id_{c}")) for c in "uv")
+        return pairs.join(u, "u").join(v, "v").select(F.col("id_u").alias("u"), F.col("id_v").alias("v"))
+
+    first = by_id(apart.where("direct").select(F.col("g").alias("u"), F.col("k").alias("v"))).unionByName(copies)
     found = C.written(C.components(first))
 
-    placed = grouped.join(found, F.col("id") == F.col("node"), "left").select(
-        "band", "id", F.coalesce("component", "id").alias("part"))
-    parts = placed.groupBy("band", "part").agg(F.count("*").alias("size"))
-    mixed = parts.groupBy("band").agg(F.max_by("part", F.struct("size", "part")).alias("main"), F.count("*").alias("parts")).where(
-        "parts > 1").select("band", "main")
-    placed = C.written(placed.join(mixed, "band"))
-    across = placed.where("part != main").select("band", "id", "part").alias("x").join(
-        placed.select("band", F.col("id").alias("other"), F.col("part").alias("other_part")).alias("y"), "band").where(
-        "part != other_part").select(F.least("id", "other").alias("u"), F.greatest("id", "other").alias("v")).distinct()
-    second = C.written(_linked(across, nodes, own, width, percent))
+    parts = classes.select("k", "id").join(found, F.col("id") == F.col("node"), "left").select("k", F.coalesce("component", "id").alias("part"))
+    several = groups.join(parts, "k").groupBy("g").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a != b").select("g")
+    pairs = C.written(_candidates(C.written(apart.join(several, "g").join(parts, "k")), percent))
+    near = pairs.join(_side(sets, "u"), "u").join(_side(sets, "v"), "v").where(_likely("u", "v", percent)).where(
+        _agree(F.col("shingles_u"), F.col("shingles_v"), F.col("n_u"), F.col("n_v"), percent)).select("u", "v")
+    second = C.written(by_id(near))
     if not second.isEmpty():
         found = C.written(C.components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(second)))
 
