@@ -13,7 +13,7 @@ likely than those, the language's own are more.
 Training uses the labelled rows the caller admits, at most about ``per_language``
 of each language (picked by a hash of the id, so the sample is the same each time;
 a documented bound). Counts are summed by Spark; what is broadcast is one table of
-``BUCKETS`` floats a language. Prediction is one narrow pass over whole texts in
+``BUCKETS`` floats a language (fewer beyond 512 languages, see ``TABLE_CELLS``). Prediction is one narrow pass over whole texts in
 slices of bounded bytes, nothing is shuffled; the search runs step by step over all
 texts of a slice at once, the longest first.
 
@@ -25,11 +25,13 @@ point; repeated rows are judged alike.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
@@ -38,7 +40,9 @@ from tidyload.llm import common as C
 BUCKETS = 1 << 16
 SWITCH = 12.0
 PER_LANGUAGE = 20_000
-MAX_LANGUAGES = 500
+TABLE_CELLS = 1 << 25
+"""Cells (bucket and language) of the learned table at most: 128 MiB of floats. Up to 512
+languages have ``BUCKETS`` buckets each; with more, buckets are halved until all fit."""
 FAR = -60.0
 UNKNOWN = "und"
 
@@ -108,6 +112,19 @@ def admitted(id_col: str) -> Column:
     return ~F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(True))
 
 
+def buckets_for(languages: int) -> int:
+    """Buckets of a learned table for so many languages."""
+    buckets = BUCKETS
+    while buckets * languages > TABLE_CELLS and buckets > 1:
+        buckets //= 2
+    return buckets
+
+
+def slice_bytes(limit: int, model: Model) -> int:
+    """Text bytes of a slice: a word has a number for each language, so many languages make slices smaller."""
+    return max(1, limit * 32 // max(32, len(model.languages)))
+
+
 def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           per_language: int = PER_LANGUAGE) -> Model:
     """Learn from the rows whose language is not null."""
@@ -115,9 +132,8 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     known = rows.where(F.col(lang_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.pmod(F.xxhash64(F.col(id_col), F.lit(5)), F.lit(1 << 32)).alias("draw"),
         C.as_bytes(text_col).alias("bytes"))
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").collect()}
+    buckets = buckets_for(len(sizes))
     if not sizes:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.uint32))
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_language / n))])
@@ -125,35 +141,37 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     n_scripts = len({name for _, name in SCRIPTS})
 
     def count(batches):
-        import pandas as pd
-
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, some in batch.groupby("lang")["bytes"]:
                 texts = [bytes(t) for t in some]
-                held = sums.setdefault(lang, np.zeros(BUCKETS + n_scripts, np.int64))
+                held = sums.setdefault(lang, np.zeros(buckets + n_scripts, np.int64))
                 for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts))):
                     letters = Letters.of(texts[part])
-                    held[:BUCKETS] += np.bincount(letters.buckets, minlength=BUCKETS)
-                    held[BUCKETS:] += [np.count_nonzero(letters.scripts & (1 << s)) for s in range(n_scripts)]
+                    held[:buckets] += np.bincount(letters.buckets & (buckets - 1), minlength=buckets)
+                    held[buckets:] += [np.count_nonzero(letters.scripts & (1 << s)) for s in range(n_scripts)]
         for lang, held in sums.items():
             at = np.flatnonzero(held)
             yield pd.DataFrame({"lang": lang, "bucket": at, "n": held[at]})
 
     counted = picked.mapInPandas(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(sizes)
-    sums = np.zeros((BUCKETS + n_scripts, len(languages)))
-    sums[counted["bucket"], counted["lang"].map(languages.index).to_numpy(np.int64)] = counted["n"]
-    grams, scripts = sums[:BUCKETS], sums[BUCKETS:]
-    logs = np.log(grams + 0.5) - np.log(grams.sum(axis=0) + 0.5 * BUCKETS)
+    sums = np.zeros((buckets + n_scripts, len(languages)), np.float32)
+    number = {lang: i for i, lang in enumerate(languages)}
+    sums[counted["bucket"], counted["lang"].map(number).to_numpy(np.int64)] = counted["n"]
+    grams, scripts = sums[:buckets], sums[buckets:]
+    logs = np.empty(grams.shape, np.float32)
+    for i in range(len(languages)):
+        seen = grams[:, i].astype(float)
+        logs[:, i] = np.log(seen + 0.5) - np.log(seen.sum() + 0.5 * buckets)
     used = scripts >= np.maximum(1, 0.001 * scripts.sum(axis=0))
-    return Model(languages, logs.astype(np.float32), (used * (1 << np.arange(n_scripts))[:, None]).sum(axis=0).astype(np.uint32))
+    return Model(languages, logs, (used * (1 << np.arange(n_scripts))[:, None]).sum(axis=0).astype(np.uint32))
 
 
 def label(letters: Letters, model: Model, n_rows: int) -> np.ndarray:
     """The language number of every word: the best path of each text."""
     n_langs = len(model.languages)
-    emitted = np.add.reduceat(model.scores[letters.buckets], letters.first, axis=0) if len(letters.first) else np.zeros((0, n_langs))
+    emitted = np.add.reduceat(model.scores[letters.buckets & (len(model.scores) - 1)], letters.first, axis=0) if len(letters.first) else np.zeros((0, n_langs))
     if len(letters.first):
         written = np.bitwise_or.reduceat(letters.scripts, letters.first)
         candidate = (written[:, None] & model.scripts[None, :]) != 0
@@ -192,7 +210,7 @@ def known_share(letters: Letters, named: np.ndarray, model: Model, n_rows: int)
     total = np.bincount(letters.row, letters.size, n_rows)
     if not len(letters.first) or not model.scripts.any():
         return (total > 0).astype(float)
-    gained = np.add.reduceat(model.scores[letters.buckets, np.repeat(named, letters.size)] + np.log(BUCKETS), letters.first)
+    gained = np.add.reduceat(model.scores[letters.buckets & (len(model.scores) - 1), np.repeat(named, letters.size)] + np.log(len(model.scores)), letters.first)
     written = np.bitwise_or.reduceat(letters.scripts, letters.first)
     known = (gained > 0) & ((written & model.scripts[named]) != 0)
     return np.bincount(letters.row, letters.size * known, n_rows) / np.maximum(total, 1)
@@ -202,6 +220,7 @@ SPAN = StructType([StructField("start", LongType()), StructField("end", LongType
 RESULT = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("lang_spans", ArrayType(SPAN))]
 KNOWN = StructField("known", DoubleType())
 SLICE_BYTES = 4 << 20
+SHARE_BYTES = 1 << 20
 
 
 def _judged(texts: list[bytes], model: Model, known: bool = False) -> dict[str, list]:
@@ -239,12 +258,30 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
         held = Model(*sent.value)
         for batch in batches:
             texts = batch.column("bytes").to_pylist()
-            for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts)), SLICE_BYTES):
+            for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts)), slice_bytes(SLICE_BYTES, held)):
                 yield C.appended(batch.slice(part.start, part.stop - part.start), arrow, **_judged(texts[part], held, known))
 
     return own.mapInArrow(run, out)
 
 
+def shares_known(spark: SparkSession, model: Model):
+    """A function of a text's bytes: the share of its letters in known words. Only the
+    text goes to Python and one number comes back, in slices of ``SHARE_BYTES``."""
+    C.ship(spark)
+    sent = spark.sparkContext.broadcast((model.languages, model.scores, model.scripts))
+
+    @F.pandas_udf("double")
+    def share(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        held = Model(*sent.value)
+        for batch in batches:
+            texts, out = [bytes(t) for t in batch], []
+            for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts)), slice_bytes(SHARE_BYTES, held)):
+                out += _judged(texts[part], held, known=True)[KNOWN.name]
+            yield pd.Series(out, dtype=float)
+
+    return share
+
+
 def known_language(docs: DataFrame, id_col: str = "doc_id", least: float = 0.25, text_col: str = "text", **options) -> DataFrame:
     """The documents, with their own columns, of whose letters a share of ``least``
     is in words known to learned languages, however many there are: others (no
@@ -253,4 +290,5 @@ def known_language(docs: DataFrame, id_col: str = "doc_id", least: float = 0.25,
     could be learned (no admitted row has a language and letters), all documents
     with letters stay."""
     model = train(docs.where(admitted(id_col)), id_col, text_col, **options)
-    return identify(docs, model, text_col, known=True).where((F.col("known") >= least) & (F.col("known") > 0)).select("doc.*")
+    rows = docs.select(C.whole(docs), shares_known(docs.sparkSession, model)(C.as_bytes(text_col)).alias("known"))
+    return rows.where((F.col("known") >= least) & (F.col("known") > 0)).select("doc.*")
