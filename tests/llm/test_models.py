@@ -307,3 +307,22 @@ def test_query_masks_personal_data(spark, tokenizer):
         for mask, pattern in token_counts.PERSONAL.items():
             text = re.sub(pattern, mask, text)
         assert r.n_tokens == len(tokenizer.encode(text))
+
+
+def test_more_languages_than_the_table_has_room_for_at_full_width(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "TABLE_CELLS", 1 << 15)
+    names = [f"l{k:03d}" for k in range(60)]
+    rnd = random.Random(3)
+    words = {n: ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randrange(3, 9))) for _ in range(25)] for n in names}
+    rows = [(i, " ".join(rnd.choices(words[n], k=60)), n) for i, n in enumerate(names * 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(docs)
+    assert model.scores.shape == (512, 60) and model.languages == names
+    found = language_id.identify(docs, model, keep=["lang"]).select("doc.lang", "lang_pred").collect()
+    assert sum(r.lang == r.lang_pred for r in found) > 0.95 * len(rows)
+
+
+def test_five_hundred_and_one_languages(spark):
+    rows = [(i, f"wort{chr(97 + i % 26)}{chr(97 + i // 26)} text", f"l{i}") for i in range(501)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.languages) == 501 and model.scores.shape[0] == language_id.BUCKETS
