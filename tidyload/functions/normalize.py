@@ -99,26 +99,34 @@ def _days_in_month(y: Column, m: Column) -> Column:
             .when(m.isin(4, 6, 9, 11), 30).otherwise(31))
 
 
-def date_parts(s: Column) -> Column:
-    """N-1 step 2: struct(y, m, d) of already-stripped text, from the first
-    matching layout (null when none matches)."""
-    parts = [(s.rlike(regex), DATE_PARTS[label]) for label, regex, _ in DATE_LAYOUTS]
-    layout = None
-    for i, (cond, _) in enumerate(parts):
-        layout = (F.when if layout is None else layout.when)(cond, F.lit(i))
+DIGITS = "0123456789"
 
-    def pick(idx):
-        out = None
-        for i, (_, spec) in enumerate(parts):
-            start, length = spec[idx]
-            out = (F.when if out is None else out.when)(layout == i, F.substring(s, start, length).cast("int"))
-        return out
 
-    return F.when(layout.isNotNull(), F.struct(pick(0).alias("y"), pick(1).alias("m"), pick(2).alias("d")))
+def date_shape(s: Column) -> Column:
+    """N-1 step 2: struct(text, shape) of already-stripped text, its shape being the
+    text with every digit as 0. A layout has one shape, so one pass over the text takes
+    the place of a regular expression per layout."""
+    return F.when(s.isNotNull(), F.struct(s.alias("text"), F.translate(s, DIGITS, "0" * len(DIGITS)).alias("shape")))
+
+
+def _shape(label: str) -> str:
+    """The shape of a layout, from its date format."""
+    pattern = next(fmt for name, _, fmt in DATE_LAYOUTS if name == label)
+    return "".join("0" if c.isalpha() else c for c in pattern)
+
+
+def date_parts(p: Column) -> Column:
+    """N-1 step 3: struct(y, m, d) from the layout of a ``date_shape`` (null when none
+    matches)."""
+    out = None
+    for label, parts in DATE_PARTS.items():
+        cut = F.struct(*[F.substring(p["text"], start, length).cast("int").alias(n) for n, (start, length) in zip("ymd", parts)])
+        out = (F.when if out is None else out.when)(p["shape"] == _shape(label), cut)
+    return out
 
 
 def date_from_parts(p: Column) -> Column:
-    """N-1 step 3: calendar check (leap years included) then ``make_date``,
+    """N-1 step 4: calendar check (leap years included) then ``make_date``,
     evaluated only on valid parts, so bad dates cost no parse exception."""
     y, m, d = p["y"], p["m"], p["d"]
     valid = (y >= 1) & (m >= 1) & (m <= 12) & (d >= 1) & (d <= _days_in_month(y, m))
@@ -130,11 +138,11 @@ def normalize_date(c) -> Column:
 
     ``dd-MM-yyyy`` is read as ``MM-dd-yyyy`` exactly like the reference, so a day
     above 12 becomes null and smaller days are swapped; year 0 is rejected
-    (Python has none).  Table transforms run the three steps (strip, parts,
+    (Python has none).  Table transforms run the four steps (strip, shape, parts,
     date) as staged projections so each is computed once per row; this
     single-expression form is for ad hoc use.
     """
-    return date_from_parts(date_parts(strip(c)))
+    return date_from_parts(date_parts(date_shape(strip(c))))
 
 
 def normalize_status_customer(c) -> Column:

@@ -25,9 +25,9 @@ TRANSFORMS = {
     "direct": lambda c, t: c,
     "lowercase": lambda c, t: N.lower_strip(c),
     "uppercase": lambda c, t: N.upper_strip(c),
-    # staged: strip -> (y, m, d) -> date, one projection per step
-    "normalize_date": [lambda c, t: N.strip(c), lambda c, t: N.date_parts(c),
-                       lambda c, t: N.date_from_parts(c)],
+    # staged: strip -> shape -> (y, m, d) -> date, one projection per step
+    "normalize_date": [lambda c, t: N.strip(c), lambda c, t: N.date_shape(c),
+                       lambda c, t: N.date_parts(c), lambda c, t: N.date_from_parts(c)],
     "normalize_status_customer": lambda c, t: N.normalize_status_customer(c),
     "normalize_status_order": lambda c, t: N.normalize_status_order(c),
     "normalize_bool": lambda c, t: N.normalize_bool(c),
