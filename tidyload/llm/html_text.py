@@ -4,8 +4,10 @@ link densities and those of their neighbours, classified by a decision tree.
 A page is cut at block-level tags into flat blocks of text. Each has features: its
 words and link density, those of the block before and after, whether it is a
 heading, and how it stands in the page (inside an article or main element; inside
-a menu, header, footer, sidebar, form or an element whose class, id or role names
-such a thing, unless an article or main element begins nearer; paragraphs and list
+a menu, header, footer, sidebar, form or an element with a class, id or role that names
+such a thing, unless an article or main element begins nearer; all words of such a name
+are names of these or neutral, so ``cookie-notice`` and ``main-nav`` count, states of
+a wrapper such as ``nav-open`` or ``has-sidebar`` do not; paragraphs and list
 items have such names too, inline elements have not). A tree trained on ``LABELLED``, a small table of labelled pages, decides
 which blocks are main text. Scripts, styles, markup and comments never are.
 
@@ -14,8 +16,10 @@ blocks are joined in page order by two line feeds; nothing else is cut. One narr
 pass over the pages, page by page; nothing is shuffled.
 
 Defined cases: null or empty html, or a page without main text, gives an empty
-text; unclosed and stray tags are tolerated, a tag cut off at the end of the page
-is dropped; repeated rows are treated alike.
+text; unclosed and stray tags are tolerated (script, style, title, textarea and comments run
+to the end of the page then, other elements without text end at the next block), a tag
+cut off at the end of the page is dropped; very long pages are handled whole, one at a
+time; repeated rows are treated alike.
 """
 
 from __future__ import annotations
@@ -32,11 +36,14 @@ from tidyload.llm import common as C
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|title|textarea|iframe|object|svg|select|button)\b[^>]*>.*?(?:</(?P=raw)\b[^>]*(?:>|\Z)|\Z)"
+    r"|<(?P<raw>script|style|title|textarea)\b[^>]*>.*?(?:</(?P=raw)\b[^>]*(?:>|\Z)|\Z)"
+    r"|<(?P<part>noscript|template|iframe|object|svg|select|button)\b(?P<inside>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/a-z][^>]*(?:>|\Z)", re.I | re.S)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 TOKEN = re.compile(r"[a-z]+")
+# Elements that hold no markup of the page's text end at the next block tag if they are not closed before; the others may hold any.
+PLAIN_PARTS = frozenset("svg select button".split())
 BLOCK_TAGS = frozenset("""address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th
 thead tr ul""".split())
@@ -45,7 +52,10 @@ AROUND_TAGS = frozenset("nav header footer aside form menu dialog".split())
 AROUND_NAMES = frozenset("""ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus
 footer header login masthead menu modal nav navbar navigation newsletter notice pagination popup promo related reply
 share sharing sidebar signup social sponsor sponsored subscribe toolbar widget""".split())
+NEUTRAL_NAMES = frozenset("""area bar block bottom box buttons column container group inner item items left links list main panel post posts primary
+right secondary section site top wrap wrapper""".split())
 MAIN_TAGS = frozenset(["article", "main"])
+BLOCK_EDGE = re.compile(r"</?(?:" + "|".join(sorted(BLOCK_TAGS - {"option"})) + r")(?=[\s/>])", re.I)
 FEATURES = ("words", "link_density", "words_before", "density_before", "words_after", "density_after", "heading", "main", "around")
 
 
@@ -65,12 +75,41 @@ class Block:
 def _role(tag: str, rest: str) -> str:
     if tag in AROUND_TAGS:
         return "around"
-    names = {w for found in NAMES.findall(rest.lower()) for w in TOKEN.findall(" ".join(found))} if rest else ()
-    if names and AROUND_NAMES & names:
-        return "around"
+    for found in NAMES.findall(rest.lower()) if rest else ():
+        for name in " ".join(found).split():
+            words = set(TOKEN.findall(name))
+            if words & AROUND_NAMES and words <= AROUND_NAMES | NEUTRAL_NAMES:
+                return "around"
     return "main" if tag in MAIN_TAGS else ""
 
 
+class Parts:
+    """Where the elements end whose content is no text of the page: at their end tag;
+    of the plain ones, at a block tag if one comes first. Of the others, one without
+    an end tag of its own is its start tag alone."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.known: dict[str, re.Match | None] = {}
+
+    def tag(self, name: str, at: int) -> re.Match | None:
+        """The next start or end tag of this name; looked for once between two finds."""
+        held = self.known.get(name, False)
+        if held is False or held is not None and held.start() < at:
+            self.known[name] = held = re.compile(rf"<(/?){name}\b[^>]*(?:>|\Z)", re.I).search(self.html, at)
+        return held
+
+    def end(self, name: str, at: int) -> int:
+        nearest = self.tag(name, at)
+        closed = nearest is not None and nearest[1] == "/"
+        if name not in PLAIN_PARTS:
+            return nearest.end() if closed else at
+        edge = BLOCK_EDGE.search(self.html, at, nearest.start() if closed else len(self.html))
+        if edge is not None:
+            return edge.start()
+        return nearest.end() if closed else len(self.html)
+
+
 def blocks(html: str) -> list[Block]:
     """The flat text blocks of a page, in page order."""
     out: list[Block] = []
@@ -87,10 +126,15 @@ def blocks(html: str) -> list[Block]:
                 out.append(Block(text, linked, heading, "main" in roles, roles[-1:] == ["around"]))
             pieces.clear()
 
-    for found in MARKUP.finditer(html):
+    parts = Parts(html)
+    while found := MARKUP.search(html, at):
         if found.start() > at:
             pieces.append((html[at: found.start()], link))
         at = found.end()
+        if found["part"]:
+            if not found["inside"].endswith("/"):
+                at = parts.end(found["part"].lower(), at)
+            continue
         tag = (found["tag"] or "").lower()
         if tag == "a":
             link = not found["end"]
