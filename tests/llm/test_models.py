@@ -326,3 +326,32 @@ def test_five_hundred_and_one_languages(spark):
     rows = [(i, f"wort{chr(97 + i % 26)}{chr(97 + i // 26)} text", f"l{i}") for i in range(501)]
     model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert len(model.languages) == 501 and model.scores.shape[0] == language_id.BUCKETS
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><svg/><p>One two.</p></article>", "One two."),
+    ("<article><svg viewBox='0 0 1 1'><title>t</title><text>no</text></svg><p>One two.</p></article>", "One two."),
+    ("<article><p>Pick one. <select><option>a<option>b</p><p>Main text stays.</p></article>", "Pick one.\n\nMain text stays."),
+    ("<article><p>Pick one. <select><option>a</option></select> Then go.</p></article>", "Pick one. Then go."),
+    ("<article><button>Go<p>Main text stays.</p><p>More of it.</p></article>", "Main text stays.\n\nMore of it."),
+    ("<article><button>Go</button><p>Main text stays.</p><button>Stop<p>More of it.</p><button>x</button></article>", "Main text stays.\n\nMore of it."),
+    ("<article><iframe src=x><p>After the frame.</p></article>", "After the frame."),
+    ("<article><iframe src=x><p>no</p></iframe><object><p>no</p></object><p>After the frame.</p></article>", "After the frame."),
+    ("<article><template><p>no</p></template><noscript><p>no</p></noscript><p>The end of it.</p></article>", "The end of it."),
+    ("<article><p>Before it.</p><script>if (a < b) <p>no</p>", "Before it."),
+])
+def test_elements_without_text_end_where_they_should(page, text):
+    assert html_text.main_text(page, html_text.trained()) == text
+
+
+@pytest.mark.parametrize("name, kept", [("nav-open", True), ("has-nav", True), ("no-sidebar layout", True), ("sticky-header-page", True),
+                                        ("nav", False), ("main-nav", False), ("site-footer", False), ("cookie-notice", False), ("comment-list", False)])
+def test_a_wrapper_is_around_by_a_whole_name(name, kept):
+    words = "Long words in a text that goes on for a while here and says what it has to say. " * 3
+    text = html_text.main_text(f"<body><div class='{name}'><h1>The title of it</h1><p>{words}</p></div></body>", html_text.trained())
+    assert (words.strip() in text) == kept
+
+
+def test_a_very_long_page_of_unclosed_elements():
+    page = "<article>" + "<button>x<p>word word</p>" * 20000 + "<svg>" * 2000 + "</article>"
+    assert html_text.main_text(page, html_text.trained()).count("word word") == 20000
