@@ -24,7 +24,7 @@ percent). With the shingles of all differences in one order, rarest in the group
 first one that x and y share stands among the first |Dx| - k + 1 of x and at a place from which
 k can still be reached in both; a member's own bound on k (its partner does not link with
 the pivot, or is at least as small as sizes allow) cuts what is looked up at all. Shared
-shingles of one component only are dropped before members meet. With 40 bands of 5
+shingles of one part only are dropped before members meet. With 40 bands of 5
 rows a pair at similarity 0.8 is missed with probability 1.2e-7.
 
 Defined cases: a null or empty text has an empty set; rows that share an id are
@@ -241,16 +241,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return pairs.join(u, "u").join(v, "v").select(F.col("id_u").alias("u"), F.col("id_v").alias("v"))
 
     first = by_id(apart.where("direct").select(F.col("g").alias("u"), F.col("k").alias("v"))).unionByName(copies)
-    found = C.written(C.components(first))
-
-    parts = classes.select("k", "id").join(found, F.col("id") == F.col("node"), "left").select("k", F.coalesce("component", "id").alias("part"))
+    # a part: members that links with pivots are known to connect, in two steps
+    low = apart.where("direct").groupBy("k").agg(F.min("g").alias("low"))
+    once = C.written(classes.select("k").join(low, "k", "left").select("k", F.least("k", F.coalesce("low", "k")).alias("low")))
+    parts = C.written(once.join(once.select(F.col("k").alias("low"), F.col("low").alias("part")), "low").select("k", "part"))
     several = groups.join(parts, "k").groupBy("g").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a != b").select("g")
     pairs = C.written(_candidates(C.written(apart.join(several, "g").join(parts, "k")), percent))
     near = pairs.join(_side(sets, "u"), "u").join(_side(sets, "v"), "v").where(_likely("u", "v", percent)).where(
         _agree(F.col("shingles_u"), F.col("shingles_v"), F.col("n_u"), F.col("n_v"), percent)).select("u", "v")
-    second = C.written(by_id(near))
-    if not second.isEmpty():
-        found = C.written(C.components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(second)))
+    found = C.written(C.components(first.unionByName(by_id(near))))
 
     component = F.coalesce("component", "id")
     return signed.select("id", "n").join(found, F.col("id") == F.col("node"), "left").select(
