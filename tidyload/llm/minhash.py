@@ -226,7 +226,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = signed.where("key is not null and id is not null")
     nodes = C.written(known.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"),
                                                F.first("sketch").alias("sketch")).withColumn("k", F.monotonically_increasing_id()))
-    copies = known.select("id", "key").join(nodes.select("key", F.col("id").alias("rep")), "key").where("id != rep").select(
+    # a copy follows its class; only where an id has several rows do its classes meet in the id
+    reps = nodes.select("key", F.col("id").alias("rep"))
+    repeated = signed.where("id is not null").groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select("id")
+    copies = known.select("id", "key").join(repeated, "id").join(reps, "key").where("id != rep").select(
         F.col("id").alias("u"), F.col("rep").alias("v")).distinct()
 
     rows = nodes.select("k", F.explode("bands").alias("band"))
@@ -251,8 +254,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _agree(F.col("shingles_u"), F.col("shingles_v"), F.col("n_u"), F.col("n_v"), percent)).select("u", "v")
     found = C.written(C.components(first.unionByName(by_id(near))))
 
-    component = F.coalesce("component", "id")
-    return signed.select("id", "n").join(found, F.col("id") == F.col("node"), "left").select(
+    component = F.coalesce("component", "own")
+    own_class = F.when(F.col("id").isNotNull(), F.coalesce("rep", "id"))
+    placed = signed.select("id", "n", "key").join(reps, "key", "left").select("id", "n", own_class.alias("own"))
+    return placed.join(found, F.col("own") == F.col("node"), "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.col("id").eqNullSafe(component).alias("kept"))
 
