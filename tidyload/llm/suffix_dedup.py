@@ -30,7 +30,8 @@ a suffix sorts by its place in a phrase:
 
 Distribution. Documents are packed into blocks of about ``BLOCK_BYTES`` by a hash
 of id and text, so that the texts of a repeated id spread (rows equal in both share
-a block, however many); rows with a null id pass by. The five passes read the same exchange of blocks. Each pass sends at
+a block, however many); rows with a null id pass by. Texts are parsed once, when packed,
+and their phrases go with them. The five passes read the same exchange of blocks. Each pass sends at
 most one entry per distinct value and block to a bucket by the value's hash, and
 the bucket answers the blocks. The number of blocks and buckets follows the bytes
 of the input, so the size of a group does not; a passage that a third of the
@@ -64,77 +65,113 @@ ANSWER = "block int, kind int, bucket int, a binary, b binary"
 SHARED, PHRASE, FIRST, LIKELY, CLASS = 1, 2, 3, 4, 5
 
 
-def _pack(batches):
-    """Rows of a batch, grouped by block, each group as one compressed Arrow stream."""
-    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))
-    for batch in batches:
-        blocks = batch.column("block").to_numpy(zero_copy_only=False)
-        order = np.argsort(blocks, kind="stable")
-        cuts = np.flatnonzero(np.diff(blocks[order])) + 1
-        rest = batch.drop_columns(["block"])
-        names, streams = [], []
-        for rows in np.split(order, cuts) if len(order) else []:
-            sink = io.BytesIO()
-            part = rest.take(pa.array(rows))
-            with pa.ipc.new_stream(sink, part.schema, options=options) as out:
-                out.write_batch(part)
-            names.append(int(blocks[rows[0]]))
-            streams.append(sink.getvalue())
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(streams, pa.binary())], ["block", "rows"])
+def _trigger(width: int) -> int:
+    return TRIGGER if width > TRIGGER else max(1, width // 2)
+
+
+def _small(width: int):
+    """A type for places within a phrase, of which a phrase has ``width`` at most."""
+    return np.uint8 if width < 256 else np.uint32
+
+
+def parse(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The phrases of texts laid end to end: the first start of the strings that share
+    a trigger, their number, and the trigger's start. The phrases of a text follow each
+    other without a gap from its first byte on."""
+    w, none = _trigger(width), np.zeros(0, np.int64)
+    if len(data) < width:
+        return none, none, none
+    grams = C.ROLLING.windows(C.ROLLING.prefix(data), w)
+    least = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
+    span, step = width - w + 1, 1  # the smallest of ``span`` neighbours, by doubling
+    while step * 2 <= span:
+        least = np.minimum(least[:-step], least[step:])
+        step *= 2
+    if span > step:
+        least = np.minimum(least[: len(least) - (span - step)], least[span - step:])
+    at = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    sizes = np.diff(offsets)
+    valid = np.ones(len(data) + 1, bool)  # a string must end within its document
+    tail = np.minimum(sizes, width - 1)
+    ends = np.repeat(offsets[1:], tail) - (np.arange(tail.sum()) - np.repeat(np.cumsum(tail) - tail, tail)) - 1
+    valid[ends] = False
+    starts = np.flatnonzero(valid[: len(at)])
+    if not len(starts):
+        return none, none, none
+    at = at[starts]
+    new = np.ones(len(starts), bool)
+    new[1:] = (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)
+    first = np.flatnonzero(new)
+    return starts[first], np.diff(np.append(first, len(starts))), at[first]
+
+
+def _parsed(texts: list[bytes], width: int) -> tuple[list[bytes], list[bytes]]:
+    """Of each text the numbers of starts of its phrases, and where in them the triggers begin."""
+    counts, places, small = [], [], _small(width)
+    for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts))):
+        data, offsets = C.joined(texts[part])
+        lo, count, at = parse(data, offsets, width)
+        cuts = np.searchsorted(lo, offsets)
+        count, place = count.astype(small), (at - lo).astype(small)
+        for i, j in zip(cuts, cuts[1:]):
+            counts.append(count[i:j].tobytes())
+            places.append(place[i:j].tobytes())
+    return counts, places
+
+
+def _pack(width: int):
+    """Rows of a batch with their phrases, grouped by block, each group as one compressed Arrow stream."""
+    def run(batches):
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))
+        for batch in batches:
+            blocks = batch.column("block").to_numpy(zero_copy_only=False)
+            order = np.argsort(blocks, kind="stable")
+            cuts = np.flatnonzero(np.diff(blocks[order])) + 1
+            rest = batch.drop_columns(["block"])
+            for name, values in zip(("counts", "places"), _parsed(rest.column("bytes").to_pylist(), width)):
+                rest = rest.append_column(name, pa.array(values, pa.binary()))
+            names, streams = [], []
+            for rows in np.split(order, cuts) if len(order) else []:
+                sink = io.BytesIO()
+                part = rest.take(pa.array(rows))
+                with pa.ipc.new_stream(sink, part.schema, options=options) as out:
+                    out.write_batch(part)
+                names.append(int(blocks[rows[0]]))
+                streams.append(sink.getvalue())
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(streams, pa.binary())], ["block", "rows"])
+    return run
 
 
 class Block:
-    """The documents of a block with their triggers and phrases."""
+    """The documents of a block with their triggers and phrases, as parsed when packed.
+
+    lo, hi: first and last start of the strings that share the trigger at ``at``;
+    doc: the row they belong to."""
 
     def __init__(self, packed: pa.Table, width: int):
         tables = [pa.ipc.open_stream(x).read_all() for x in packed.column("rows").to_pylist()]
         self.table = pa.concat_tables(tables) if tables else None
+        counts, places, small = [], [], _small(width)
         if self.table is None:
             self.texts, self.ids = [], np.zeros(0, np.int64)
         else:
             self.texts = self.table.column("bytes").to_pylist()
+            counts, places = (self.table.column(c).to_pylist() for c in ("counts", "places"))
             ids = self.table.column("id")
             self.known = ids.is_valid().to_numpy()
             self.ids = ids.fill_null(NEVER).to_numpy().astype(np.int64)
         self.width = width
         self.data, self.offsets = C.joined(self.texts)
-        self._phrases()
-
-    def _phrases(self) -> None:
-        """lo, hi: first and last start of the strings that share the trigger at
-        ``at``; doc: the row they belong to."""
-        w, width, data = TRIGGER if self.width > TRIGGER else max(1, self.width // 2), self.width, self.data
-        none = np.zeros(0, np.int64)
-        self.lo = self.hi = self.at = self.doc = none
-        self.grams = np.zeros(0, np.uint64)
-        self.prefix = C.ROLLING.prefix(data)
-        if len(data) < width:
-            return
-        grams = C.ROLLING.windows(self.prefix, w)
-        least = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
-        span, step = width - w + 1, 1  # the smallest of ``span`` neighbours, by doubling
-        while step * 2 <= span:
-            least = np.minimum(least[:-step], least[step:])
-            step *= 2
-        if span > step:
-            least = np.minimum(least[: len(least) - (span - step)], least[span - step:])
-        at = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        sizes = np.diff(self.offsets)
-        valid = np.ones(len(data) + 1, bool)  # a string must end within its document
-        tail = np.minimum(sizes, width - 1)
-        ends = np.repeat(self.offsets[1:], tail) - (np.arange(tail.sum()) - np.repeat(np.cumsum(tail) - tail, tail)) - 1
-        valid[ends] = False
-        starts = np.flatnonzero(valid[: len(at)])
-        if not len(starts):
-            return
-        at = at[starts]
-        new = np.ones(len(starts), bool)
-        new[1:] = (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(starts)) - 1
-        self.lo, self.hi, self.at = starts[first], starts[last], at[first]
-        self.doc = np.searchsorted(self.offsets, self.lo, side="right") - 1
-        self.grams = grams[self.at]
+        self.prefix = C.ROLLING.prefix(self.data)
+        own = np.fromiter((len(c) // small().itemsize for c in counts), np.int64, len(counts))
+        count = np.frombuffer(b"".join(counts), small).astype(np.int64)
+        before = np.cumsum(count) - count  # starts of earlier phrases of all texts
+        self.doc = np.repeat(np.arange(len(own)), own)
+        ahead = np.append(before, count.sum())[np.cumsum(own) - own]
+        self.lo = before - ahead[self.doc] + self.offsets[:-1][self.doc]
+        self.hi = self.lo + count - 1
+        self.at = self.lo + np.frombuffer(b"".join(places), small)
+        self.grams = C.ROLLING.spans(self.prefix, self.at, self.at + _trigger(width))
 
     def keep(self, chosen: np.ndarray) -> None:
         for name in ("lo", "hi", "at", "doc", "grams"):
@@ -459,7 +496,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     total = own.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     blocks, buckets = 1 + total // BLOCK_BYTES, 1 + total // BUCKET_BYTES
     by_block = own.withColumn("block", F.pmod(F.xxhash64("id", "bytes"), F.lit(blocks)).cast("int")).mapInArrow(
-        _pack, "block int, rows binary").groupBy("block")
+        _pack(min_bytes), "block int, rows binary").groupBy("block")
 
     def ask(messages: DataFrame, settle) -> DataFrame:
         return messages.groupBy("bucket").applyInArrow(settle, ANSWER)
