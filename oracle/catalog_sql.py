@@ -150,6 +150,14 @@ SQL["rule_supplied_sets"] = D.with_legacy(" UNION ALL ".join(
     f"CAST(count_if({c} IS NOT NULL AND {c} NOT IN {D.in_list(values)}) AS DOUBLE) AS observed FROM legacy_orders"
     for c, (_, values, text) in _SETS.items()), "orders")
 
+_NEW = {"cst_segment": "CASE WHEN cst_id % 40 = 7 THEN 'GOV, NGO' ELSE cst_segment END",
+        "cst_status": "CASE WHEN cst_id % 60 = 1 THEN 'blocked' ELSE cst_status END", "cst_country": "cst_country"}
+SQL["rule_store"] = D.with_legacy(" UNION ALL ".join(
+    f"SELECT '{c}__valid_values' AS rule_id, '{c}' AS column_name, (SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT {c} AS v FROM legacy_customers "
+    f"WHERE {c} IS NOT NULL)) AS valid_set, count_if(bad) = 0 AS passed, CAST(count_if(bad) AS DOUBLE) AS observed FROM ("
+    f"SELECT {e} IS NOT NULL AND {e} NOT IN (SELECT {c} FROM legacy_customers WHERE {c} IS NOT NULL) AS bad FROM legacy_customers)"
+    for c, e in _NEW.items()), "customers")
+
 # ---- migrated tables as CTEs ----------------------------------------------------
 from tidyload.operators import constraints as CN  # noqa: E402
 from tidyload.sources import tables as TB  # noqa: E402

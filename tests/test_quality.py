@@ -125,3 +125,17 @@ def test_documents_for_tables_without_findings(spark, tmp_path):
     assert K.read_quality_reports(spark, str(tmp_path / "missing")).count() == 0
     with pytest.raises(Exception, match="nosuchstore"):  # only a missing path means that there are no reports
         K.read_quality_reports(spark, "nosuchstore://x/y").count()
+
+
+def test_rules_of_one_run_hold_in_the_next(spark, tmp_path):
+    """G-3: a value that appears only in the second load fails; the third is judged by the second's sets."""
+    first = spark.createDataFrame([(i, ["a", "b,c", " d "][i % 3], "x" * 300 if i % 2 else "y") for i in range(30)], "id int, kind string, note string")
+    second = first.unionByName(spark.createDataFrame([(99, "new", "y"), (98, None, "y")], first.schema))
+    path = str(tmp_path / "rules")
+    sets = Q.supplied_sets(Q.learn_rules({"t": first}, path, "one"))
+    assert sets == {"t": {"kind": [" d ", "a", "b,c"], "note": ["x" * 300, "y"]}}
+    rows = Q.rule_results(Q.assess(second, "t", critical=[], valid_sets=sets["t"])).where("rule_type like '%in_set'").collect()
+    assert {r.column_name: (r.passed, r.observed) for r in rows} == {"kind": (False, 1.0), "note": (True, 0.0)}
+    again = Q.supplied_sets(Q.learn_rules({"t": second}, path, "two"))
+    assert again["t"]["kind"] == [" d ", "a", "b,c", "new"]
+    assert [r.run for r in Q.stored_rules(spark, path).collect()] == ["two"]

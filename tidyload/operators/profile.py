@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidyload.functions import normalize as N
-from tidyload.functions.numeric import ratio, round_half_up
+from tidyload.functions.numeric import exact_sum, ratio, round_half_up
 
 # The boolean-encoding vocabulary (upper-cased) and the limits of D-4.
 BOOL_VALUES = ["1", "0", "Y", "N", "YES", "NO", "TRUE", "FALSE", "A", "I", "ACTIVE", "INACTIVE"]
@@ -107,7 +107,7 @@ def _statistics(counts: DataFrame, valid_sets: dict) -> DataFrame:
     aggs = [F.sum(n).alias("row_count"), F.sum(F.when(~known(), n)).alias("null_count"),
             F.count_if(known()).alias("unique_count"), F.sum(F.when(known(), n - 1)).alias("dup_count"),
             F.min(num).alias("min"), F.max(num).alias("max"),
-            (F.sum(num * n) / F.sum(F.when(num.isNotNull(), n))).alias("mean_raw"),
+            (exact_sum(num, n) / F.sum(F.when(num.isNotNull(), n))).alias("mean_raw"),
             F.sum(F.when(num < 0, n)).alias("negative_count"),
             (F.sum(F.col("len") * n) / F.sum(F.when(F.col("len").isNotNull(), n))).alias("len_raw"),
             F.bool_and(F.when(known(), F.coalesce(up.isin(BOOL_VALUES), F.lit(False)))).alias("all_bool"),
@@ -188,6 +188,15 @@ def profile(df: DataFrame, table_name: str, with_rows: bool = False, valid_sets:
     )
 
 
+def status_sets(df: DataFrame) -> DataFrame:
+    """D-4 as lists: (column_name, values) of the text columns with few values, sorted."""
+    df = clean(df)
+    meta = df.sparkSession.createDataFrame([(i, f.name, f.dataType.simpleString(), is_text(f.dataType), is_numeric(f.dataType))
+                                            for i, f in enumerate(df.schema.fields)], META_SCHEMA)
+    counts = value_counts(df)
+    return meta.join(_status_lists(df, counts, meta.join(_statistics(counts, {}), "c", "left")), "c").select("column_name", "values")
+
+
 def row_digest(df: DataFrame) -> Column:
     """SHA-256 of the row's JSON form (field names, escaped values, nulls
     omitted per field): equal rows, nulls equal, give equal digests."""

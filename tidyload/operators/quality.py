@@ -14,10 +14,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidyload.functions.numeric import ratio, round_half_up
 from tidyload.operators import profile as P
 from tidyload.plans.specs import CRITICAL_COLUMNS, QUALITY_THRESHOLD, SEVERITY_WEIGHTS
+from tidyload.sources.documents import read_documents
+from tidyload.sources.publish import current, publish, stage
 
 # Thresholds and name keywords of the checks.
 HIGH_NULL_RATE = 0.15
@@ -136,6 +139,36 @@ def assess(df: DataFrame, table_name: str, critical=None, valid_sets: dict | Non
     return prof.repartition(1).select(F.explode(checks).alias("r")).where(F.col("r").isNotNull()).select("r.*")
 
 
+RULE_DOC = T.StructType([
+    T.StructField("table", T.StringType()), T.StructField("run", T.StringType()),
+    T.StructField("sets", T.ArrayType(T.StructType([T.StructField("column", T.StringType()), T.StructField("values", T.ArrayType(T.StringType()))]))),
+])
+
+
+def learn_rules(frames: dict, path: str, run: str) -> DataFrame:
+    """G-3: the valid sets that a run's tables show, one document per table, stored as
+    the rules of the next run (the run before is replaced in one step)."""
+    spark = next(iter(frames.values())).sparkSession
+    sets = reduce(DataFrame.unionByName, [P.status_sets(df).select(F.lit(t).alias("table"), "*") for t, df in frames.items()])
+    tables = spark.createDataFrame([(t,) for t in frames], "table string")
+    by = sets.groupBy("table").agg(F.sort_array(F.collect_list(F.struct(F.col("column_name").alias("column"), "values"))).alias("sets"))
+    docs = tables.join(by, "table", "left").select(
+        "table", F.lit(run).alias("run"), F.coalesce("sets", F.array().cast(RULE_DOC["sets"].dataType)).alias("sets"))
+    publish(spark, path, stage(docs, path, "json"))
+    return stored_rules(spark, path)
+
+
+def stored_rules(spark, path: str) -> DataFrame:
+    """The rules that the last run left: (table, run, sets)."""
+    return read_documents(spark, current(spark, path), RULE_DOC, ["table", "run", "sets"]).select(*RULE_DOC.names)
+
+
+def supplied_sets(rules: DataFrame) -> dict[str, dict[str, list[str]]]:
+    """Stored rules as ``valid_sets`` by table: a few values for each of a few columns,
+    so they are brought to the driver."""
+    return {r["table"]: {s["column"]: list(s["values"]) for s in r["sets"]} for r in rules.collect()}
+
+
 def anomalies(assessed: DataFrame) -> DataFrame:
     """Q-1..Q-8 of assessed tables."""
     return assessed.where(F.col("kind") == "finding").withColumnRenamed("type", "anomaly_type").select(*ANOMALY_COLS)

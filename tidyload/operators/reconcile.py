@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidyload.functions.numeric import ratio, round_half_up
+from tidyload.functions.numeric import exact_sum, ratio, round_half_up
 from tidyload.operators import profile as P
 
 # Fixed values of the checks.
@@ -60,7 +60,7 @@ def numeric_checks(target: DataFrame, table_name: str) -> DataFrame:
     for i, c in enumerate(cols):
         v = F.col(c).cast("double")
         aggs += [F.count(v).alias(f"_{i}_n"), F.min(v).alias(f"_{i}_min"), F.max(v).alias(f"_{i}_max"),
-                 F.avg(v).alias(f"_{i}_avg")]
+                 (exact_sum(v) / F.count(v)).alias(f"_{i}_avg")]
     one = target.agg(*aggs)
     rows = F.array(*[F.struct(
         F.lit(c).alias("column_name"), F.col(f"_{i}_n").alias("n"), F.col(f"_{i}_min").alias("target_min"),

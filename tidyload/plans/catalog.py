@@ -288,6 +288,25 @@ def rule_supplied_sets(spark, sf_dir):
         "rule_id", "column_name", "valid_set", "passed", "observed")
 
 
+def second_load(customers: DataFrame) -> DataFrame:
+    """The legacy customers of a later load: segments and statuses that were not there before."""
+    k = F.col("cst_id")
+    return customers.withColumn("cst_segment", F.when(k % 40 == 7, F.lit("GOV, NGO")).otherwise(F.col("cst_segment"))).withColumn(
+        "cst_status", F.when(k % 60 == 1, F.lit("blocked")).otherwise(F.col("cst_status")))
+
+
+@register("rule_store")
+def rule_store(spark, sf_dir):
+    """G-3 over two runs: the valid sets that the first load of the customers shows are
+    stored and hold for the second load, whose new values fail."""
+    path = shared_path(spark, "rules")
+    first = _legacy(spark, sf_dir, "customers").select("cst_id", "cst_segment", "cst_status", "cst_country")
+    sets = Q.supplied_sets(Q.learn_rules({"customers": first}, path, "first"))["customers"]
+    rules = Q.rule_results(Q.assess(second_load(first), "customers", valid_sets=sets))
+    return rules.where(F.col("rule_type").endswith("_in_set") & F.col("column_name").isin(list(sets))).select(
+        "rule_id", "column_name", "valid_set", "passed", "observed")
+
+
 # ---- load stats, reconciliation, drift (K-2, R-*) ----------------------------
 
 from tidyload.operators import constraints as C  # noqa: E402
