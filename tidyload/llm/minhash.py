@@ -244,20 +244,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return pairs.join(u, "u").join(v, "v").select(F.col("id_u").alias("u"), F.col("id_v").alias("v"))
 
     first = by_id(apart.where("direct").select(F.col("g").alias("u"), F.col("k").alias("v"))).unionByName(copies)
-    # a part: members that links with pivots are known to connect, in two steps
-    low = apart.where("direct").groupBy("k").agg(F.min("g").alias("low"))
-    once = C.written(classes.select("k").join(low, "k", "left").select("k", F.least("k", F.coalesce("low", "k")).alias("low")))
-    parts = C.written(once.join(once.select(F.col("k").alias("low"), F.col("low").alias("part")), "low").select("k", "part"))
+    found = C.written(C.components(first))
+    parts = C.written(classes.select("k", "id").join(found, F.col("id") == F.col("node"), "left").select(
+        "k", F.coalesce("component", "id").alias("part")))
     several = groups.join(parts, "k").groupBy("g").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a != b").select("g")
     pairs = C.written(_candidates(C.written(apart.join(several, "g").join(parts, "k")), percent))
     near = pairs.join(_side(sets, "u"), "u").join(_side(sets, "v"), "v").where(_likely("u", "v", percent)).where(
         _agree(F.col("shingles_u"), F.col("shingles_v"), F.col("n_u"), F.col("n_v"), percent)).select("u", "v")
-    found = C.written(C.components(first.unionByName(by_id(near))))
+    u, v = (parts.select(F.col("k").alias(c), F.col("part").alias(f"part_{c}")) for c in "uv")
+    across = C.written(near.join(u, "u").join(v, "v").select(F.col("part_u").alias("u"), F.col("part_v").alias("v")).distinct())
+    merged = C.components(across) if not across.isEmpty() else across.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    merged = merged.select(F.col("node").alias("part"), F.col("component").alias("whole"))
 
-    component = F.coalesce("component", "own")
+    part = F.coalesce("component", "own")
+    component = F.coalesce("whole", "part")
     own_class = F.when(F.col("id").isNotNull(), F.coalesce("rep", "id"))
     placed = signed.select("id", "n", "key").join(reps, "key", "left").select("id", "n", own_class.alias("own"))
-    return placed.join(found, F.col("own") == F.col("node"), "left").select(
+    placed = placed.join(found, F.col("own") == F.col("node"), "left").select("id", "n", part.alias("part"))
+    return placed.join(merged, "part", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.col("id").eqNullSafe(component).alias("kept"))
 
