@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidyload.operators import registry, row_reconcile
+from tidyload.operators import constraints, registry, row_reconcile
 
 
 def test_keys_stay_over_loads(spark, tmp_path):
@@ -70,3 +70,28 @@ def test_only_differing_nodes_are_fetched(spark):
     other = one.withColumn("t", F.when(F.col("id") == 13, F.lit("z")).otherwise(F.col("t")))
     left, right = (row_reconcile.fingerprinted(x, "id") for x in (one, other))
     assert row_reconcile.differing(left, right, 8).count() == 1 and row_reconcile.differing(left, left, 8).count() == 0
+
+
+@pytest.mark.parametrize("adaptive", ["false", "true"])
+def test_a_frequent_foreign_key_is_spread(spark, adaptive):
+    """A third of the rows hold one key, a third none, a parent is missing: right results, and no task gets a third (J-2)."""
+    n = 30000
+    child = spark.range(n, numPartitions=6).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id")).alias("fk"))
+    parent = spark.range(n - 100).select(F.col("id").alias("legacy"), (F.col("id") * 10).alias("sk"))
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = constraints.resolve_fk(child, "fk", parent, "legacy", "sk", "sk").withColumn("task", F.spark_partition_id())
+        rows = got.toPandas()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(rows) == n and rows["task"].value_counts().max() < 2 * n / 8
+    fk = rows["id"].map(lambda i: 7 if i % 3 == 0 else i if i % 3 == 1 else None)
+    want = fk.map(lambda k: k * 10 if k is not None and k < n - 100 else None)
+    assert ((rows["sk"] == want) | (rows["sk"].isna() & want.isna())).all()

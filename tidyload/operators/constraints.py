@@ -217,13 +217,39 @@ def all_fk_orphans(spark, migrated: dict, relations=None) -> DataFrame:
         F.coalesce("keys", F.lit(0)).cast("bigint").alias("orphan_keys"))
 
 
+HEAVY = 1000
+SPREAD = 64
+
+
+def frequent_keys(df: DataFrame, key: str, most: int = HEAVY) -> DataFrame:
+    """(key): at most ``most`` keys, among them all that hold more than a ``most``-th
+    part of the rows, from one pass with a sketch of bounded size in each task. Keys that
+    are not frequent may be among them."""
+    top = df.where(F.col(key).isNotNull()).agg(F.expr(f"approx_top_k(`{key}`, {most}, {100 * most})").alias("top"))
+    return top.select(F.explode("top.item").alias("_key"))
+
+
 def resolve_fk(child: DataFrame, fk: str, parent: DataFrame, legacy_key: str, surrogate: str,
                out: str) -> DataFrame:
     """J-2: replace a legacy foreign key by the parent's surrogate key (left
-    join on the unique legacy key; unmatched rows keep a null, see J-1).  A
-    child key holding many rows is split by adaptive skew-join handling."""
-    p = parent.select(F.col(legacy_key).alias("_lk"), F.col(surrogate).alias(out))
-    return child.join(p, child[fk] == p["_lk"], "left").drop("_lk")
+    join on the unique legacy key; unmatched rows keep a null, see J-1).
+
+    Frequent keys do not meet in one task, whatever the join strategy: their parents,
+    at most ``HEAVY`` rows, are broadcast and settle their children where they are; in the
+    join of the rest, rows that are settled or have no key are spread over ``SPREAD``
+    slices that no parent is in."""
+    p = parent.select(F.col(legacy_key).alias("_lk"), F.col(surrogate).alias("_id"))
+    hot = p.join(F.broadcast(frequent_keys(child, fk)), F.col("_lk") == F.col("_key"), "left_semi").select(
+        F.col("_lk").alias("_hot"), F.col("_id").alias("_hot_id"))
+    met = child.join(F.broadcast(hot), F.col(fk) == F.col("_hot"), "left")
+    settled = F.col("_hot").isNotNull() | F.col(fk).isNull()
+    met = met.withColumn("_rest", F.when(~settled, F.col(fk))).withColumn(
+        "_slice", F.when(settled, 1 + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in child.columns]), F.lit(SPREAD))).otherwise(F.lit(0)).cast("long"))
+    # always 0, but not known to the optimiser, which would otherwise join on the key alone
+    sliced = p.withColumn("_slot", F.pmod(F.xxhash64("_lk"), F.lit(1)).cast("long"))
+    joined = met.join(sliced, (F.col("_rest") == F.col("_lk")) & (F.col("_slice") == F.col("_slot")), "left")
+    kept = [F.col(f"`{c}`") for c in child.columns if c != out]
+    return joined.select(*kept, F.coalesce("_hot_id", "_id").alias(out))
 
 
 def dim_lookup(df: DataFrame, code_col: str, dim: DataFrame, dim_key: str, columns) -> DataFrame:

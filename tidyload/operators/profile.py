@@ -17,6 +17,8 @@ it: the broadcast side is then empty) fetches the text itself.
 
 from __future__ import annotations
 
+from hashlib import sha256
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -117,7 +119,10 @@ def _statistics(counts: DataFrame, valid_sets: dict) -> DataFrame:
     if valid_sets:
         valid = None
         for ordinal, values in valid_sets.items():
-            valid = (F.when if valid is None else valid.when)(F.col("c") == ordinal, as_string().isin([str(v) for v in values]))
+            texts = [str(v) for v in values]
+            long = [sha256(t.encode()).hexdigest() for t in texts if len(t.encode()) > LONG_TEXT]
+            among = F.when(F.col("long"), s.isin(long)).otherwise(as_string().isin(texts))
+            valid = (F.when if valid is None else valid.when)(F.col("c") == ordinal, among)
         aggs.append(F.sum(F.when(known() & ~valid, n)).alias("invalid_count"))
     return counts.groupBy("c").agg(*aggs)
 
