@@ -221,8 +221,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links) and ``kept`` (the id is the component's) for every row of ``docs``."""
     C.ship(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("long").alias("id"), C.as_bytes(text_col).alias("bytes"))
-    signed = C.written(own.mapInPandas(
-        _sign(width), "id long, n long, key binary, bands array<long>, sketch array<long>"))
+    with C.small_batches(docs.sparkSession):
+        signed = C.written(own.mapInPandas(
+            _sign(width), "id long, n long, key binary, bands array<long>, sketch array<long>"))
     known = signed.where("key is not null and id is not null")
     nodes = C.written(known.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"),
                                                F.first("sketch").alias("sketch")).withColumn("k", F.monotonically_increasing_id()))
@@ -236,7 +237,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pivots = rows.groupBy("band").agg(F.min("k").alias("g"), F.count("*").alias("size")).where("size > 1").drop("size")
     groups = C.written(rows.join(pivots, "band").select("g", "k").distinct())
     classes = C.written(nodes.drop("bands").join(groups.select("k").distinct(), "k", "left_semi"))
-    sets = _sets_of(own, classes, width)
+    with C.small_batches(docs.sparkSession):
+        sets = _sets_of(own, classes, width)
     apart = _differences(groups, sets, percent)
 
     def by_id(pairs: DataFrame) -> DataFrame:
