@@ -139,3 +139,28 @@ def test_rules_of_one_run_hold_in_the_next(spark, tmp_path):
     again = Q.supplied_sets(Q.learn_rules({"t": second}, path, "two"))
     assert again["t"]["kind"] == [" d ", "a", "b,c", "new"]
     assert [r.run for r in Q.stored_rules(spark, path).collect()] == ["two"]
+
+
+def test_profile_computes_its_table_once(spark):
+    """Without status columns one look at the rows is all; with them a second one at these columns."""
+    from tidyload.operators import profile as P
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(200, numPartitions=4).selectExpr("id", "cast(id % 7 as double) d", "concat('t', id) t").mapInArrow(count, "id long, d double, t string")
+    got = {r.column_name: r for r in P.profile(df, "t", with_rows=True).collect()}
+    assert seen.value == 200
+    assert [got[c].unique_count for c in ("id", "d", "t", "*")] == [200, 7, 200, 200] and got["d"].mean == 2.97
+
+
+def test_counts_take_shares_bounded_by_the_shuffle(spark):
+    """However few tasks read the table, its values are counted by many: the rows are dealt out first."""
+    from tidyload.operators import profile as P
+    df = P.clean(spark.range(1000, numPartitions=1).selectExpr("id", "cast(id as string) t"))
+    plan = P._fixed_counts(df, True, {})._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate explode") < plan.rindex("Exchange hashpartitioning")
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan

@@ -9,9 +9,10 @@ across engines use explicit formulas:
   counts up to 10^18.
 * ``exact_sum(x, n)`` — the sum of doubles (each ``n`` times) without rounding on
   the way: a value is cut into its whole part and two 48-bit pieces of its fraction,
-  each a whole number that is exact as a double; the pieces are summed as decimals, in
-  any order and over any partitions, and put together at the end. Exact to 2^-96 for
-  values below 2^63; larger ones are added as doubles.
+  each a whole number that is exact as a double; the pieces are summed as longs of 21
+  bits each, in any order and over any partitions, and put together as decimals at the
+  end. Exact to 2^-96 for values below 2^63 and up to 2^42 of them (an error beyond, in
+  ANSI mode); larger values are added as doubles.
 * ``round_half_up(x, k)`` — ``floor(x·10^k + 0.5) / 10^k`` on a double, which
   also agrees with Python's ``round`` on binary values such as 2.675.
 """
@@ -41,6 +42,7 @@ def round_half_up(x, digits: int) -> Column:
 
 LIMB = float(1 << 48)
 LARGE = float(1 << 63)
+SUM_BITS = 21
 
 
 def exact_sum(x, n=None) -> Column:
@@ -49,16 +51,18 @@ def exact_sum(x, n=None) -> Column:
     x = _c(x)
     size = F.abs(x)
     fits = F.coalesce(size < LARGE, F.lit(False))
-    sign = F.when(x < 0, F.lit(-1)).otherwise(F.lit(1)).cast("decimal(1,0)")
-    times = F.lit(1).cast("decimal(19,0)") if n is None else _c(n).cast("decimal(19,0)")
+    times = F.when(x < 0, F.lit(-1)).otherwise(F.lit(1)).cast("long") * (F.lit(1) if n is None else _c(n)).cast("long")
     whole = F.when(fits, F.floor(size))
     rest = F.when(fits, size - whole.cast("double"))
     upper = F.floor(rest * LIMB)
     parts = [whole, upper, F.floor((rest * LIMB - upper.cast("double")) * LIMB)]
     total = F.lit(0.0)
     for i, part in enumerate(parts):
-        summed = F.sum((part.cast("decimal(19,0)") * sign * times).cast("decimal(38,0)"))
-        total = F.coalesce(summed.cast("double"), F.lit(0.0)) * (LIMB ** -i) + (total if i else F.lit(0.0))
+        summed = F.lit(0).cast("decimal(38,0)")
+        for low in range(0, 48 if i else 63, SUM_BITS):
+            piece = F.sum(F.shiftright(part, low).bitwiseAND(F.lit((1 << SUM_BITS) - 1)) * times)
+            summed = summed + F.coalesce(piece, F.lit(0)).cast("decimal(19,0)") * F.lit(1 << low).cast("decimal(14,0)")
+        total = summed.cast("double") * (LIMB ** -i) + (total if i else F.lit(0.0))
     weight = F.lit(1.0) if n is None else _c(n).cast("double")
     large = F.sum(F.when(~fits & x.isNotNull(), x * weight))
     return F.when(F.count(x) > 0, total + F.coalesce(large, F.lit(0.0)))

@@ -1,18 +1,18 @@
 """Column profile (A-1 .. A-11) and encoding detection (D-1 .. D-4).
 
-Plan shape, whatever the table width: the table is unpivoted to (column, value)
-pairs, nulls included, and counted by value in ONE shuffle (partially aggregated
-map-side, so hot values collapse before the exchange). Every figure of the profile
-comes from those counts: nulls, distinct values, duplicates, minimum, maximum,
-mean, negatives, text lengths, date layouts and encoding flags. Nothing runs while
-the query is built, and nothing is estimated.
+Plan shape, whatever the table width: the rows (long texts as digests) are dealt out
+by all their columns, unpivoted to (column, value) pairs, nulls included, and counted
+by value in one more shuffle of entries of a fixed width (partially aggregated, so hot
+values collapse before the exchange). Every figure of the profile comes from those
+counts: nulls, distinct values, duplicates, minimum, maximum, mean, negatives, text
+lengths, date layouts and encoding flags. The figures, a row per column, are written
+once while the query is built; nothing is estimated.
 
 Value lists are bounded by construction: boolean encodings hold words of a
 vocabulary of twelve, status encodings are listed for columns whose exact distinct
 count is 2 to 15. Texts longer than ``LONG_TEXT`` bytes are grouped by their
-SHA-256, so whole documents never cross a shuffle; where such a text belongs into a
-status list, a second look at the table (skipped at run time when no column needs
-it: the broadcast side is then empty) fetches the text itself.
+SHA-256, so whole documents never cross a shuffle. The values of the columns that D-4
+lists come from a second look at the table that reads these columns only.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from tidyload.functions import normalize as N
 from tidyload.functions.numeric import exact_sum, ratio, round_half_up
+from tidyload.session import written
 
 # The boolean-encoding vocabulary (upper-cased) and the limits of D-4.
 BOOL_VALUES = ["1", "0", "Y", "N", "YES", "NO", "TRUE", "FALSE", "A", "I", "ACTIVE", "INACTIVE"]
@@ -80,13 +81,10 @@ def _entry(ordinal: int, c: Column, dt) -> Column:
         (F.length(text) if is_text(dt) else F.lit(None).cast("int")).alias("len"))
 
 
-def value_counts(df: DataFrame, with_rows: bool = False) -> DataFrame:
+def value_counts(df: DataFrame) -> DataFrame:
     """(c, s, d, l, long, len, n): how often each value of each column occurs,
-    nulls (no s, d or l) included; ``with_rows`` adds the digest of the whole row
-    as column ``ROW_ORDINAL``. ``df`` is cleaned already."""
+    nulls (no s, d or l) included. ``df`` is cleaned already."""
     entries = [_entry(i, F.col(f"`{f.name}`"), f.dataType) for i, f in enumerate(df.schema.fields)]
-    if with_rows:
-        entries.append(_entry(ROW_ORDINAL, row_digest(df), T.StringType()))
     return (df.select(F.explode(F.array(*entries)).alias("p"))
             .groupBy("p.c", "p.s", "p.d", "p.l", "p.long")
             .agg(F.max("p.len").alias("len"), F.count(F.lit(1)).alias("n")))
@@ -101,48 +99,125 @@ def as_string() -> Column:
     return F.coalesce("s", F.col("l").cast("string"), F.col("d").cast("string"))
 
 
+def _compact(df: DataFrame) -> DataFrame:
+    """The cleaned rows with short columns: ``v<i>`` is the value (a long text's
+    digest, other types as numbers or texts), ``w<i>`` a long text's length (else null)."""
+    cols = []
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f"`{f.name}`")
+        if is_text(f.dataType):
+            cols += [F.when(_is_long(c), F.sha2(c, 256)).otherwise(c).alias(f"v{i}"), F.when(_is_long(c), F.length(c)).alias(f"w{i}")]
+        elif isinstance(f.dataType, T.BooleanType):
+            cols.append(c.cast("int").cast("long").alias(f"v{i}"))
+        else:
+            cols.append(c.cast("long" if isinstance(f.dataType, WHOLE) else "double" if isinstance(f.dataType, FLOATING) else "string").alias(f"v{i}"))
+    return df.select(*cols)
+
+
+def _row_text(rows: DataFrame) -> Column:
+    """128 bits of hashes over a compact row (nulls by their place) as text."""
+    parts = [x for c in rows.columns for x in ((F.col(c),) if c.startswith("w") else (F.col(c), F.col(c).isNull()))]
+    return F.concat_ws(",", *[F.xxhash64(F.lit(seed), *parts).cast("string") for seed in (1, 2)])
+
+
+# What the figures need to know of a value beside the value, in one number: a bit per word
+# of BOOL_VALUES, one per date layout, three flags, and the length.
+WORD_BITS, DATE_SHIFT, INVALID, LONG, TEXTUAL, LENGTH_SHIFT = (1 << 12) - 1, 12, 1 << 16, 1 << 17, 1 << 18, 19
+
+
+def _facts(valid_sets: dict) -> Column:
+    """``facts`` of an exploded entry; they depend on its column and value only."""
+    s, long = F.col("s"), F.col("w").isNotNull()
+    up = F.upper(s)
+    word = None
+    for i, w in enumerate(BOOL_VALUES):
+        word = (F.when if word is None else word.when)(up == w, F.lit(1 << i))
+    word = F.when(F.octet_length(s) <= 32, word)
+    date = sum(F.when(s.rlike(regex), F.lit(1 << i)).otherwise(F.lit(0)) for i, (_, regex, _) in enumerate(N.DATE_LAYOUTS))
+    begins = (F.octet_length(s) <= 12) & F.substring(s, 1, 1).between("0", "9")  # no other text has a date's layout
+    facts = F.coalesce(word, F.lit(0)) + F.coalesce(F.when(begins, date), F.lit(0)) * (1 << DATE_SHIFT)
+    if valid_sets:
+        value = F.coalesce("s", F.col("l").cast("string"), F.col("d").cast("string"))
+        valid = None
+        for ordinal, values in valid_sets.items():
+            texts = [str(v) for v in values]
+            digests = [sha256(t.encode()).hexdigest() for t in texts if len(t.encode()) > LONG_TEXT]
+            among = F.when(long, s.isin(digests)).otherwise(value.isin(texts))
+            valid = (F.when if valid is None else valid.when)(F.col("c") == ordinal, among)
+        facts = facts + F.when(F.coalesce(~valid, F.lit(False)), F.lit(INVALID)).otherwise(F.lit(0))
+    facts = facts + F.when(long, F.lit(LONG)).otherwise(F.lit(0)) + F.when(s.isNotNull(), F.lit(TEXTUAL)).otherwise(F.lit(0))
+    return facts.cast("long") + F.coalesce("w", F.length(s), F.lit(0)).cast("long") * (1 << LENGTH_SHIFT)
+
+
+def _fixed_counts(df: DataFrame, with_rows: bool, valid_sets: dict) -> DataFrame:
+    """(c, a, d, b, facts, n): how often each value of each column occurs, nulls (no
+    ``a`` or ``d``) included. A number is itself (``a`` or ``d``), a text two 64-bit
+    hashes (``a``, ``b``), so that keys and counts have a fixed width.
+
+    The compact rows are dealt out by all their columns first: a task that counts gets
+    a share that the shuffle partitions bound, whatever the files' splits are."""
+    rows = _compact(df)
+    rows = rows.repartition(*rows.columns)
+    null = lambda t: F.lit(None).cast(t)
+    entries = []
+    for i, f in enumerate(df.schema.fields):
+        v, whole, floating = F.col(f"v{i}"), isinstance(f.dataType, WHOLE), isinstance(f.dataType, FLOATING)
+        number = v if floating else v.cast("double") if isinstance(f.dataType, T.DecimalType) else null("double")
+        entries.append(F.struct(F.lit(i).alias("c"), (null("string") if whole or floating else v).alias("s"),
+                                (F.col(f"w{i}") if is_text(f.dataType) else null("int")).alias("w"),
+                                (v if whole else null("long")).alias("l"), number.alias("d")))
+    if with_rows:
+        entries.append(F.struct(F.lit(ROW_ORDINAL).alias("c"), _row_text(rows).alias("s"), null("int").alias("w"),
+                                null("long").alias("l"), null("double").alias("d")))
+    text = F.col("s").isNotNull()
+    hashed = [F.when(text, F.xxhash64(F.lit(seed), "s", "w")) for seed in (3, 4)]
+    return rows.select(F.explode(F.array(*entries)).alias("p")).select("p.*").select(
+        "c", F.coalesce(hashed[0], "l").alias("a"), "d", F.coalesce(hashed[1], F.lit(0)).alias("b"), _facts(valid_sets).alias("facts")
+    ).groupBy("c", "a", "d", "b", "facts").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _statistics(counts: DataFrame, valid_sets: dict) -> DataFrame:
     """One row per column ordinal, from the value counts."""
-    s, n, num = F.col("s"), F.col("n"), F.coalesce("d", F.col("l").cast("double"))
-    text = s.isNotNull() & ~F.col("long")
-    up = F.upper(F.when(text, s))
-    aggs = [F.sum(n).alias("row_count"), F.sum(F.when(~known(), n)).alias("null_count"),
-            F.count_if(known()).alias("unique_count"), F.sum(F.when(known(), n - 1)).alias("dup_count"),
+    n, facts = F.col("n"), F.col("facts")
+    has = lambda bit: facts.bitwiseAND(F.lit(bit)) != 0
+    known = F.col("a").isNotNull() | F.col("d").isNotNull()
+    num = F.coalesce("d", F.when(~has(TEXTUAL), F.col("a").cast("double")))
+    length = F.when(has(TEXTUAL), F.shiftright(facts, LENGTH_SHIFT))
+    words = facts.bitwiseAND(F.lit(WORD_BITS))
+    aggs = [F.sum(n).alias("row_count"), F.sum(F.when(~known, n)).alias("null_count"),
+            F.count_if(known).alias("unique_count"), F.sum(F.when(known, n - 1)).alias("dup_count"),
             F.min(num).alias("min"), F.max(num).alias("max"),
             (exact_sum(num, n) / F.sum(F.when(num.isNotNull(), n))).alias("mean_raw"),
             F.sum(F.when(num < 0, n)).alias("negative_count"),
-            (F.sum(F.col("len") * n) / F.sum(F.when(F.col("len").isNotNull(), n))).alias("len_raw"),
-            F.bool_and(F.when(known(), F.coalesce(up.isin(BOOL_VALUES), F.lit(False)))).alias("all_bool"),
-            F.array_sort(F.collect_set(F.when(up.isin(BOOL_VALUES), up))).alias("bool_words")]
-    for name, (_, regex, _) in zip(("date_iso", "date_fr", "date_us", "date_compact"), N.DATE_LAYOUTS):
-        aggs.append(F.sum(F.when(text & s.rlike(regex), n)).alias(name))
+            (F.sum(length * n) / F.sum(F.when(length.isNotNull(), n))).alias("len_raw"),
+            F.bool_and(F.when(known, words > 0)).alias("all_bool"), F.bit_or(words).alias("words")]
+    for i, name in enumerate(("date_iso", "date_fr", "date_us", "date_compact")):
+        aggs.append(F.sum(F.when(has(1 << (DATE_SHIFT + i)), n)).alias(name))
     if valid_sets:
-        valid = None
-        for ordinal, values in valid_sets.items():
-            texts = [str(v) for v in values]
-            long = [sha256(t.encode()).hexdigest() for t in texts if len(t.encode()) > LONG_TEXT]
-            among = F.when(F.col("long"), s.isin(long)).otherwise(as_string().isin(texts))
-            valid = (F.when if valid is None else valid.when)(F.col("c") == ordinal, among)
-        aggs.append(F.sum(F.when(known() & ~valid, n)).alias("invalid_count"))
-    return counts.groupBy("c").agg(*aggs)
+        aggs.append(F.sum(F.when(has(INVALID), n)).alias("invalid_count"))
+    found = F.array_sort(F.array_compact(F.array(*[F.when(F.col("words").bitwiseAND(F.lit(1 << i)) != 0, F.lit(w))
+                                                  for i, w in enumerate(BOOL_VALUES)])))
+    return counts.groupBy("c").agg(*aggs).withColumn("bool_words", found).drop("words")
+
+
+def _by_column(df: DataFrame, meta_rows: list, with_rows: bool = False, valid_sets: dict | None = None) -> DataFrame:
+    """The figures of every column: a row per column, written once, since the lists of
+    status values are looked up by them."""
+    figures = _statistics(_fixed_counts(df, with_rows, valid_sets or {}), valid_sets or {})
+    return written(df.sparkSession.createDataFrame(meta_rows, META_SCHEMA).join(figures, "c", "left"))
 
 
-def _status_lists(df: DataFrame, counts: DataFrame, by_column: DataFrame) -> DataFrame:
-    """(c, values): the sorted values of the columns that D-4 lists, at most 15 each."""
-    chosen = F.broadcast(by_column.where(
+def _status_lists(df: DataFrame, by_column: DataFrame) -> DataFrame:
+    """(c, values): the sorted values of the columns that D-4 lists, at most 15 each,
+    from a second look at these columns only."""
+    chosen = [r["c"] for r in by_column.where(
         F.col("is_text") & ~F.coalesce("all_bool", F.lit(False))
-        & F.col("unique_count").between(STATUS_MIN_VALUES, STATUS_MAX_VALUES)).select("c"))
-    values = counts.where(F.col("s").isNotNull()).join(chosen, "c").select("c", "s", "long")
-    texts = [(i, F.col(f"`{f.name}`")) for i, f in enumerate(df.schema.fields) if is_text(f.dataType)]
-    if not texts:
-        return values.groupBy("c").agg(F.array_sort(F.collect_list("s")).alias("values"))
-    wide = df.select(F.explode(F.filter(
-        F.array(*[F.struct(F.lit(i).alias("c"), c.alias("text")) for i, c in texts]),
-        lambda x: _is_long(x["text"]))).alias("p")).select("p.c", "p.text", F.sha2("p.text", 256).alias("s"))
-    fetched = wide.join(F.broadcast(values.where("long").select("c", "s")), ["c", "s"]).groupBy("c", "s").agg(
-        F.any_value("text").alias("text"))
-    every = values.where("not long").select("c", F.col("s").alias("text")).unionByName(fetched.select("c", "text"))
-    return every.groupBy("c").agg(F.array_sort(F.collect_list("text")).alias("values"))
+        & F.col("unique_count").between(STATUS_MIN_VALUES, STATUS_MAX_VALUES)).select("c").collect()]
+    if not chosen:
+        return df.sparkSession.createDataFrame([], "c int, values array<string>")
+    texts = F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"`{df.columns[i]}`").alias("text")) for i in sorted(chosen)])
+    return df.select(F.explode(texts).alias("p")).where(F.col("p.text").isNotNull()).groupBy("p.c", "p.text").agg(
+        F.count(F.lit(1)).alias("n")).groupBy("c").agg(F.array_sort(F.collect_list("text")).alias("values"))
 
 
 def profile(df: DataFrame, table_name: str, with_rows: bool = False, valid_sets: dict | None = None) -> DataFrame:
@@ -153,24 +228,21 @@ def profile(df: DataFrame, table_name: str, with_rows: bool = False, valid_sets:
     (column -> supplied values) adds ``invalid_count``, the rows whose value lies
     outside (null for columns without a set)."""
     df = clean(df)
-    spark = df.sparkSession
     fields = df.schema.fields
     ordinals = {f.name: i for i, f in enumerate(fields)}
     meta_rows = [(i, f.name, f.dataType.simpleString(), is_text(f.dataType), is_numeric(f.dataType))
                  for i, f in enumerate(fields)]
     if with_rows:
         meta_rows.append((ROW_ORDINAL, ROW_PSEUDO_COLUMN, "row", False, False))
-    counts = value_counts(df, with_rows)
     sets = {ordinals[c]: v for c, v in (valid_sets or {}).items()}
-    meta = spark.createDataFrame(meta_rows, META_SCHEMA)
-    by_column = meta.join(_statistics(counts, sets), "c", "left")
+    by_column = _by_column(df, meta_rows, with_rows, sets)
     text = F.col("is_text")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
     layouts = ("date_iso", "date_fr", "date_us", "date_compact")
     dates = {c: F.when(text, zero(c)).otherwise(F.lit(0)).cast("bigint") for c in layouts}
     n_formats = sum((dates[c] > 0).cast("bigint") for c in layouts)
     bool_enc = F.when(text & F.coalesce("all_bool", F.lit(False)), F.array_join("bool_words", ","))
-    listed = by_column.join(_status_lists(df, counts, by_column), "c", "left")
+    listed = by_column.join(_status_lists(df, by_column), "c", "left")
     number = F.when(F.col("is_numeric"), F.lit(True))
     return listed.select(
         F.lit(table_name).alias("table_name"),
@@ -196,10 +268,9 @@ def profile(df: DataFrame, table_name: str, with_rows: bool = False, valid_sets:
 def status_sets(df: DataFrame) -> DataFrame:
     """D-4 as lists: (column_name, values) of the text columns with few values, sorted."""
     df = clean(df)
-    meta = df.sparkSession.createDataFrame([(i, f.name, f.dataType.simpleString(), is_text(f.dataType), is_numeric(f.dataType))
-                                            for i, f in enumerate(df.schema.fields)], META_SCHEMA)
-    counts = value_counts(df)
-    return meta.join(_status_lists(df, counts, meta.join(_statistics(counts, {}), "c", "left")), "c").select("column_name", "values")
+    by_column = _by_column(df, [(i, f.name, f.dataType.simpleString(), is_text(f.dataType), is_numeric(f.dataType))
+                                for i, f in enumerate(df.schema.fields)])
+    return by_column.join(_status_lists(df, by_column), "c").select("column_name", "values")
 
 
 def row_digest(df: DataFrame) -> Column:
