@@ -139,3 +139,13 @@ def test_a_rerun_logs_the_same(spark, tmp_path):
     for _ in range(2):
         assert K.log_rows(rows, path).count() == 4
     assert K.log_rows(rows.withColumn("table_name", F.lit("u")), path).count() == 8
+
+
+def test_samples_are_heaps_of_k_rows(spark):
+    """S-5: no task sorts the values of a table; nulls of the order come last, null values never."""
+    from tidyload.sources.tables import column_samples
+    df = spark.createDataFrame([(i if i % 5 else None, f"a{i}" if i % 3 else None, None, f"c{i}") for i in range(40)], "k int, a string, b string, c string")
+    samples = column_samples(df, "k", k=4)
+    assert samples._jdf.queryExecution().executedPlan().toString().count("TakeOrderedAndProject") == 3
+    got = sorted((r.column_name, r.position, r.value) for r in samples.collect())
+    assert got == [(c, i + 1, f"{c}{n}") for c, ns in (("a", (1, 2, 4, 7)), ("c", (1, 2, 3, 4))) for i, n in enumerate(ns)]

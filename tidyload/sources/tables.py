@@ -4,6 +4,7 @@ reference dimensions (S-8)."""
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -47,27 +48,20 @@ def first_rows(df: DataFrame, key: str, n: int = 3) -> DataFrame:
     return df.orderBy(F.col(key)).limit(n)
 
 
-SAMPLE_BUCKETS = 64
-
-
 def column_samples(df: DataFrame, order_by, k: int = 30, columns=None) -> DataFrame:
     """S-5: up to ``k`` non-null values per column, first by ``order_by`` (a column
     or a list; nulls last; add tie-breakers where it is not unique).
 
-    A distributed top-k in one scan, in two levels: the first ``k`` of each
-    (column, bucket of rows), which Spark already limits map-side, then the first
-    ``k`` of each column among at most ``k * SAMPLE_BUCKETS`` candidates.
+    A distributed top-k per column: each task keeps a heap of ``k`` rows and reads that
+    column and the order's only, so no task sorts or holds its rows.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     columns = list(columns) if columns is not None else [c for c in df.columns if c not in order]
-    row_key = F.struct(*order)
-    values = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
-    long = df.select(row_key.alias("row_key"), F.explode(values).alias("p")).where(F.col("p.value").isNotNull()).select(
-        "row_key", "p.column_name", "p.value", F.pmod(F.xxhash64("row_key"), F.lit(SAMPLE_BUCKETS)).alias("bucket"))
     by = [F.col(f"row_key.{o}").asc_nulls_last() for o in order]
-    for keys in (["column_name", "bucket"], ["column_name"]):
-        long = long.withColumn("position", F.row_number().over(Window.partitionBy(*keys).orderBy(*by))).where(F.col("position") <= k)
-    return long.select("column_name", "row_key", "value", "position")
+    firsts = [df.select(F.lit(c).alias("column_name"), F.struct(*order).alias("row_key"), F.col(c).cast("string").alias("value"))
+              .where(F.col("value").isNotNull()).orderBy(*by).limit(k) for c in columns]
+    position = F.row_number().over(Window.partitionBy("column_name").orderBy(*by))
+    return reduce(DataFrame.unionByName, firsts).select("column_name", "row_key", "value", position.alias("position"))
 
 
 # S-8 reference dimensions (fixed values from the target DDL).
