@@ -136,3 +136,18 @@ def test_staging_keeps_nulls_and_casts(spark):
     text = spark.createDataFrame([(1, 2, 3, "4", 1.5, "x")], "line_id long, line_ord_id long, line_prod_id long, line_qty string, line_unit_price double, line_discount string")
     out = M.apply_mapping(text, rows, "order_lines", mode="staging")
     assert dict(out.dtypes)["quantity"] == "double" and out.first().quantity == 4.0 and out.first().discount_pct is None
+
+
+def test_rejects_of_small_large_and_null_groups_without_copies_of_survivors(spark):
+    """Groups beyond the thousand largest meet in one shuffle, large and null ones by broadcast; survivors are not repeated."""
+    rows = [(i, i // 2, "x") for i in range(3000)] + [(9000 + i % 50, -1, "y") for i in range(400)] + [(None, -2, "z"), (5, None, "n"), (5, None, "n"), (4, None, "n")]
+    df = spark.createDataFrame(rows, "k long, g long, v string")
+    marks = T.dedup_marks(df, ["g"], "k")
+    got = sorted((tuple(r) for r in marks.collect()), key=str)
+    first, want = {}, []
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[2]))
+    for r in order:
+        want.append((*r, r[1] not in first, first.setdefault(r[1], r[0])))
+    assert got == sorted(want, key=str)
+    plan = marks._jdf.queryExecution().executedPlan().toString()
+    assert "sequence(0" not in plan.replace(" ", "") and "SortMergeJoin" not in plan

@@ -94,29 +94,32 @@ def dedup_keep_first(df: DataFrame, on, order_col: str, nulls: str = "collapse")
     return survivors(df.where(~any_null), on, order_col).select("_row.*").unionByName(df.where(any_null))
 
 
-SALTS = 16
-"""Slices over which the rows of one dedup key are spread when they meet their survivor."""
-
-
 def dedup_marks(df: DataFrame, on, order_col: str) -> DataFrame:
     """Every row of ``df`` with ``_kept`` (it is the row that W-1 keeps) and
     ``_kept_key`` (the ``order_col`` of the row kept in its group).
 
-    Equal rows are counted first, so repeated rows are one row here, and the
-    survivors are repeated over ``SALTS`` slices of a group: a key with a third of
-    all rows is spread by a hash of the row, whatever the join strategy. The rows are
-    written once to the shared folder, since both sides of the join read them.
+    Rows meet their group in one shuffle, in which each group is looked at in order.
+    Groups of more than a thousandth of the rows (``frequent_keys``, written once, since
+    two filters ask for it) do not meet in one task: their survivors, at most some
+    thousand rows, are broadcast, and equal rows are counted first, so that one of them is kept.
     """
-    on, df = list(on), written(df)
+    from tidyload.operators.constraints import frequent_keys
+    on = list(on)
+    hashed = df.withColumn("_group", F.xxhash64(*on))
+    hot = F.broadcast(written(frequent_keys(hashed, "_group").select(F.col("_key").alias("_hot"))))
+    of_hot = F.col("_group") == F.col("_hot")
+    rows = hashed.join(hot, of_hot, "left_anti").drop("_group")
+    order = Window.partitionBy(*on).orderBy(F.col(order_col).isNull(), *[F.col(c) for c in (order_col, *df.columns)])
+    few = rows.select("*", (F.row_number().over(order) == 1).alias("_kept"),
+                      F.first(order_col).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_kept_key"))
+    large = hashed.join(hot, of_hot, "left_semi").drop("_group")
     keys = [F.col(c).alias(f"_on_{c}") for c in on]
-    counted = df.select(F.struct(*df.columns).alias("_all"), *keys).groupBy("_all", *[f"_on_{c}" for c in on]).agg(
-        F.count(F.lit(1)).alias("_n")).withColumn("_salt", F.pmod(F.xxhash64("_all"), F.lit(SALTS)).cast("int"))
-    kept = survivors(df, on, order_col).withColumn("_kept_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    match = reduce(lambda a, b: a & b, [F.col(f"_on_{c}").eqNullSafe(F.col(f"_k_{c}")) for c in on], F.col("_salt") == F.col("_kept_salt"))
-    joined = counted.join(kept, match).select("_all", F.col("_all").eqNullSafe(F.col("_row")).alias("_same"),
-                                              F.col(f"_row.{order_col}").alias("_kept_key"),
-                                              F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_i"))
-    return joined.select("_all.*", (F.col("_same") & (F.col("_i") == 1)).alias("_kept"), "_kept_key")
+    counted = large.select(F.struct(*df.columns).alias("_all"), *keys).groupBy("_all", *[f"_on_{c}" for c in on]).agg(F.count(F.lit(1)).alias("_n"))
+    match = reduce(lambda a, b: a & b, [F.col(f"_on_{c}").eqNullSafe(F.col(f"_k_{c}")) for c in on])
+    joined = counted.join(F.broadcast(survivors(large, on, order_col)), match).select(
+        "_all", F.col("_all").eqNullSafe(F.col("_row")).alias("_same"), F.col(f"_row.{order_col}").alias("_kept_key"),
+        F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_i"))
+    return few.unionByName(joined.select("_all.*", (F.col("_same") & (F.col("_i") == 1)).alias("_kept"), "_kept_key"))
 
 
 def dedup_rejects(df: DataFrame, on, order_col: str) -> DataFrame:
