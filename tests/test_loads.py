@@ -95,3 +95,18 @@ def test_a_frequent_foreign_key_is_spread(spark, adaptive):
     fk = rows["id"].map(lambda i: 7 if i % 3 == 0 else i if i % 3 == 1 else None)
     want = fk.map(lambda k: k * 10 if k is not None and k < n - 100 else None)
     assert ((rows["sk"] == want) | (rows["sk"].isna() & want.isna())).all()
+
+
+def test_rows_compared_by_value_are_computed_once(spark):
+    """J-4: every level and the pairing read the fingerprinted rows that were written, not the sides' plans."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    one = spark.range(100, numPartitions=2).selectExpr("id", "id % 7 as v").mapInArrow(count, "id long, v long")
+    other = spark.range(100).selectExpr("id", "if(id = 3, -1, id % 7) as v")
+    assert [(r.id, r.status) for r in row_reconcile.compare_rows(one, other, "id").collect()] == [("3", "changed")]
+    assert seen.value == 100

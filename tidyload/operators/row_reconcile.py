@@ -6,7 +6,8 @@ summed, in any order, by a hash of their key: a tree whose root holds all keys a
 node of ``LEVELS[i]`` bits holds a 2**-bits share. Both sides are compared at the first
 level; only rows below nodes that differ are summed again at the next, and only rows
 below the last level's differing nodes are fetched and paired by key. Equal tables
-are one narrow aggregate each, and the rows paired grow with the differences.
+are one narrow aggregate each, and the rows paired grow with the differences. Each side
+is computed once: its fingerprinted rows are written to the shared folder.
 
 Keys that repeat are paired as groups: by their number of rows and the sum of their
 fingerprints. Null keys are one group. Columns are compared by their text form, null
@@ -61,7 +62,8 @@ def compare_rows(expected: DataFrame, actual: DataFrame, key: str, levels=LEVELS
     if sorted(expected.columns) != sorted(actual.columns):
         raise ValueError(f"columns differ: {sorted(set(expected.columns) ^ set(actual.columns))}")
     names = [c for c in expected.columns if c != key]
-    left, right = fingerprinted(expected, key), fingerprinted(actual.select(*[f"`{c}`" for c in expected.columns]), key)
+    # written once: each level and the pairing read them, and the sides may be dear to compute
+    left, right = written(fingerprinted(expected, key)), written(fingerprinted(actual.select(*[f"`{c}`" for c in expected.columns]), key))
     for bits in levels:
         nodes = written(differing(left, right, bits))
         left, right = (side.join(F.broadcast(nodes), _node(bits) == nodes["node"], "left_semi") for side in (left, right))
