@@ -3,7 +3,8 @@
 Plan shape, whatever the table width: the rows (long texts as digests) are dealt out
 by all their columns, unpivoted to (column, value) pairs, nulls included, and counted
 by value in one more shuffle of entries of a fixed width (partially aggregated, so hot
-values collapse before the exchange). Every figure of the profile comes from those
+values collapse before the exchange), each kind of value (whole numbers, floating
+numbers, texts, rows) by itself. Every figure of the profile comes from those
 counts: nulls, distinct values, duplicates, minimum, maximum, mean, negatives, text
 lengths, date layouts and encoding flags. The figures, a row per column, are written
 once while the query is built; nothing is estimated.
@@ -17,6 +18,7 @@ lists come from a second look at the table that reads these columns only.
 
 from __future__ import annotations
 
+from functools import reduce
 from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame
@@ -114,10 +116,10 @@ def _compact(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _row_text(rows: DataFrame) -> Column:
-    """128 bits of hashes over a compact row (nulls by their place) as text."""
+def _row_hashes(rows: DataFrame) -> list[Column]:
+    """128 bits of hashes over a compact row (nulls by their place)."""
     parts = [x for c in rows.columns for x in ((F.col(c),) if c.startswith("w") else (F.col(c), F.col(c).isNull()))]
-    return F.concat_ws(",", *[F.xxhash64(F.lit(seed), *parts).cast("string") for seed in (1, 2)])
+    return [F.xxhash64(F.lit(seed), *parts) for seed in (1, 2)]
 
 
 # What the figures need to know of a value beside the value, in one number: a bit per word
@@ -125,27 +127,33 @@ def _row_text(rows: DataFrame) -> Column:
 WORD_BITS, DATE_SHIFT, INVALID, LONG, TEXTUAL, LENGTH_SHIFT = (1 << 12) - 1, 12, 1 << 16, 1 << 17, 1 << 18, 19
 
 
+def _date_bits(s: Column) -> Column:
+    """A bit for the layout of a date text. A separator's place tells the only layout that
+    can match, so a value meets one regular expression at most."""
+    matched = [F.when(s.rlike(regex), F.lit(1 << i)) for i, (_, regex, _) in enumerate(N.DATE_LAYOUTS)]
+    third, fifth = F.substring(s, 3, 1), F.substring(s, 5, 1)
+    begins = (F.octet_length(s) <= 12) & F.substring(s, 1, 1).between("0", "9")  # no other text has a date's layout
+    return F.when(begins, F.when(fifth == "-", matched[0]).when(third == "/", matched[1]).when(third == "-", matched[2]).otherwise(matched[3]))
+
+
+def _invalid(valid_sets: dict, value: Column, long: Column) -> Column:
+    """INVALID for a value outside its column's set, else 0."""
+    valid = None
+    for ordinal, values in valid_sets.items():
+        texts = [str(v) for v in values]
+        digests = [sha256(t.encode()).hexdigest() for t in texts if len(t.encode()) > LONG_TEXT]
+        among = F.when(long, value.isin(digests)).otherwise(value.isin(texts))
+        valid = (F.when if valid is None else valid.when)(F.col("c") == ordinal, among)
+    return F.lit(0) if valid is None else F.when(F.coalesce(~valid, F.lit(False)), F.lit(INVALID)).otherwise(F.lit(0))
+
+
 def _facts(valid_sets: dict) -> Column:
-    """``facts`` of an exploded entry; they depend on its column and value only."""
+    """``facts`` of an exploded text (s, w); they depend on its column and value only."""
     s, long = F.col("s"), F.col("w").isNotNull()
-    up = F.upper(s)
-    word = None
-    for i, w in enumerate(BOOL_VALUES):
-        word = (F.when if word is None else word.when)(up == w, F.lit(1 << i))
-    word = F.when(F.octet_length(s) <= 32, word)
-    date = sum(F.when(s.rlike(regex), F.lit(1 << i)).otherwise(F.lit(0)) for i, (_, regex, _) in enumerate(N.DATE_LAYOUTS))
-    begins = (F.octet_length(s) <= 12) & F.substring(s, 1, 1).between("0", "9")  # no other text has a date's layout
-    facts = F.coalesce(word, F.lit(0)) + F.coalesce(F.when(begins, date), F.lit(0)) * (1 << DATE_SHIFT)
-    if valid_sets:
-        value = F.coalesce("s", F.col("l").cast("string"), F.col("d").cast("string"))
-        valid = None
-        for ordinal, values in valid_sets.items():
-            texts = [str(v) for v in values]
-            digests = [sha256(t.encode()).hexdigest() for t in texts if len(t.encode()) > LONG_TEXT]
-            among = F.when(long, s.isin(digests)).otherwise(value.isin(texts))
-            valid = (F.when if valid is None else valid.when)(F.col("c") == ordinal, among)
-        facts = facts + F.when(F.coalesce(~valid, F.lit(False)), F.lit(INVALID)).otherwise(F.lit(0))
-    facts = facts + F.when(long, F.lit(LONG)).otherwise(F.lit(0)) + F.when(s.isNotNull(), F.lit(TEXTUAL)).otherwise(F.lit(0))
+    words = F.create_map(*[F.lit(x) for i, w in enumerate(BOOL_VALUES) for x in (w, 1 << i)])
+    word = F.when(F.octet_length(s) <= 32, F.try_element_at(words, F.upper(s)))
+    facts = (F.coalesce(word, F.lit(0)) + F.coalesce(_date_bits(s), F.lit(0)) * (1 << DATE_SHIFT) + _invalid(valid_sets, s, long)
+             + F.when(long, F.lit(LONG)).otherwise(F.lit(0)) + F.when(s.isNotNull(), F.lit(TEXTUAL)).otherwise(F.lit(0)))
     return facts.cast("long") + F.coalesce("w", F.length(s), F.lit(0)).cast("long") * (1 << LENGTH_SHIFT)
 
 
@@ -155,25 +163,39 @@ def _fixed_counts(df: DataFrame, with_rows: bool, valid_sets: dict) -> DataFrame
     hashes (``a``, ``b``), so that keys and counts have a fixed width.
 
     The compact rows are dealt out by all their columns first: a task that counts gets
-    a share that the shuffle partitions bound, whatever the files' splits are."""
+    a share that the shuffle partitions bound, whatever the files' splits are. Whole
+    numbers, floating numbers, texts and rows are counted apart, from that one exchange:
+    each kind has a key as narrow as it can be, and a task holds one kind at a time."""
     rows = _compact(df)
     rows = rows.repartition(*rows.columns)
-    null = lambda t: F.lit(None).cast(t)
-    entries = []
-    for i, f in enumerate(df.schema.fields):
-        v, whole, floating = F.col(f"v{i}"), isinstance(f.dataType, WHOLE), isinstance(f.dataType, FLOATING)
-        number = v if floating else v.cast("double") if isinstance(f.dataType, T.DecimalType) else null("double")
-        entries.append(F.struct(F.lit(i).alias("c"), (null("string") if whole or floating else v).alias("s"),
-                                (F.col(f"w{i}") if is_text(f.dataType) else null("int")).alias("w"),
-                                (v if whole else null("long")).alias("l"), number.alias("d")))
+    types = [f.dataType for f in df.schema.fields]
+    n = F.count(F.lit(1)).alias("n")
+    none = F.lit(None).cast("double")
+    kinds = []
+    for kind, column in ((WHOLE, "a"), (FLOATING, "d")):
+        at = [i for i, t in enumerate(types) if isinstance(t, kind)]
+        if at:
+            found = rows.select(F.posexplode(F.array(*[F.col(f"v{i}").cast("long" if kind is WHOLE else "double") for i in at])).alias("at", column))
+            counted = found.groupBy("at", column).agg(n).withColumn("c", F.get(F.array(*[F.lit(i) for i in at]), F.col("at")))
+            value = F.col(column)
+            kinds.append(counted.select("c", value if kind is WHOLE else F.lit(None).cast("long").alias("a"), none.alias("d") if kind is WHOLE else value,
+                                        F.lit(0).cast("long").alias("b"), _invalid(valid_sets, value.cast("string"), F.lit(False)).cast("long").alias("facts"), "n"))
+    at = [i for i, t in enumerate(types) if not isinstance(t, WHOLE + FLOATING)]
+    if at:
+        decimal = any(isinstance(types[i], T.DecimalType) for i in at)
+        entries = F.array(*[F.struct(
+            F.lit(i).alias("c"), F.col(f"v{i}").alias("s"), (F.col(f"w{i}") if is_text(types[i]) else F.lit(None).cast("int")).alias("w"),
+            *([(F.col(f"v{i}").cast("double") if isinstance(types[i], T.DecimalType) else none).alias("d")] if decimal else [])) for i in at])
+        hashed = [F.when(F.col("s").isNotNull(), F.xxhash64(F.lit(seed), "s", "w")) for seed in (3, 4)]
+        numbers = ["d"] if decimal else []
+        found = rows.select(F.explode(entries).alias("p")).select("p.*").select(
+            "c", hashed[0].alias("a"), *numbers, F.coalesce(hashed[1], F.lit(0)).alias("b"), _facts(valid_sets).alias("facts"))
+        kinds.append(found.groupBy("c", "a", *numbers, "b", "facts").agg(n).select("c", "a", *(numbers or [none.alias("d")]), "b", "facts", "n"))
     if with_rows:
-        entries.append(F.struct(F.lit(ROW_ORDINAL).alias("c"), _row_text(rows).alias("s"), null("int").alias("w"),
-                                null("long").alias("l"), null("double").alias("d")))
-    text = F.col("s").isNotNull()
-    hashed = [F.when(text, F.xxhash64(F.lit(seed), "s", "w")) for seed in (3, 4)]
-    return rows.select(F.explode(F.array(*entries)).alias("p")).select("p.*").select(
-        "c", F.coalesce(hashed[0], "l").alias("a"), "d", F.coalesce(hashed[1], F.lit(0)).alias("b"), _facts(valid_sets).alias("facts")
-    ).groupBy("c", "a", "d", "b", "facts").agg(F.count(F.lit(1)).alias("n"))
+        a, b = _row_hashes(rows)
+        counted = rows.select(a.alias("a"), b.alias("b")).groupBy("a", "b").agg(n)
+        kinds.append(counted.select(F.lit(ROW_ORDINAL).alias("c"), "a", none.alias("d"), "b", F.lit(TEXTUAL).cast("long").alias("facts"), "n"))
+    return reduce(DataFrame.unionByName, kinds)
 
 
 def _statistics(counts: DataFrame, valid_sets: dict) -> DataFrame:
@@ -204,7 +226,8 @@ def _by_column(df: DataFrame, meta_rows: list, with_rows: bool = False, valid_se
     """The figures of every column: a row per column, written once, since the lists of
     status values are looked up by them."""
     figures = _statistics(_fixed_counts(df, with_rows, valid_sets or {}), valid_sets or {})
-    return written(df.sparkSession.createDataFrame(meta_rows, META_SCHEMA).join(figures, "c", "left"))
+    meta = F.array(*[F.struct(*[F.lit(x) for x in row]) for row in meta_rows]).cast(f"array<struct<{META_SCHEMA.replace(' ', ':')}>>".replace(",:", ","))
+    return written(df.sparkSession.range(1).select(F.inline(meta)).join(figures, "c", "left"))
 
 
 def _status_lists(df: DataFrame, by_column: DataFrame) -> DataFrame:
@@ -214,7 +237,7 @@ def _status_lists(df: DataFrame, by_column: DataFrame) -> DataFrame:
         F.col("is_text") & ~F.coalesce("all_bool", F.lit(False))
         & F.col("unique_count").between(STATUS_MIN_VALUES, STATUS_MAX_VALUES)).select("c").collect()]
     if not chosen:
-        return df.sparkSession.createDataFrame([], "c int, values array<string>")
+        return by_column.select("c", F.lit(None).cast("array<string>").alias("values")).where(F.lit(False))
     texts = F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"`{df.columns[i]}`").alias("text")) for i in sorted(chosen)])
     return df.select(F.explode(texts).alias("p")).where(F.col("p.text").isNotNull()).groupBy("p.c", "p.text").agg(
         F.count(F.lit(1)).alias("n")).groupBy("c").agg(F.array_sort(F.collect_list("text")).alias("values"))
