@@ -37,14 +37,9 @@ LEGACY_TABLES = ["customers", "products", "suppliers", "orders", "order_lines"]
 
 
 def pick(k: Column, values: list) -> Column:
-    """``values[k % len(values)]`` as a CASE expression."""
-    n = len(values)
-    sel = k % F.lit(n)
-    out = None
-    for i, v in enumerate(values):
-        lit = F.lit(v)
-        out = (F.when if out is None else out.when)(sel == i, lit)
-    return out
+    """``values[k % len(values)]``: a look into one literal array (null for a null or
+    negative ``k``), so that views of many such columns stay small generated methods."""
+    return F.get(F.array(*[F.lit(v) for v in values]), (k % F.lit(len(values))).cast("int"))
 
 
 def iso_text(d: Column) -> Column:
@@ -53,16 +48,11 @@ def iso_text(d: Column) -> Column:
 
 
 def mixed_date(iso: Column, sel: Column) -> Column:
-    """Legacy date text in one of five layouts chosen by ``sel % 7``."""
+    """Legacy date text in one of five layouts chosen by ``sel % 7`` (the last one for a null ``sel``)."""
     y, m, d = F.substring(iso, 1, 4), F.substring(iso, 6, 2), F.substring(iso, 9, 2)
-    s = sel % F.lit(7)
-    return (
-        F.when(s <= 2, iso)
-        .when(s == 3, F.concat(d, F.lit("/"), m, F.lit("/"), y))
-        .when(s == 4, F.concat(m, F.lit("-"), d, F.lit("-"), y))
-        .when(s == 5, F.concat(d, F.lit("-"), m, F.lit("-"), y))
-        .otherwise(F.concat(y, m, d))
-    )
+    texts = [iso, F.concat(d, F.lit("/"), m, F.lit("/"), y), F.concat(m, F.lit("-"), d, F.lit("-"), y),
+             F.concat(d, F.lit("-"), m, F.lit("-"), y), F.concat(y, m, d)]
+    return F.get(F.array(*texts), (F.greatest(F.coalesce(sel % F.lit(7), F.lit(6)), F.lit(2)) - 2).cast("int"))
 
 
 def phone_text(k: Column) -> Column:
@@ -88,9 +78,9 @@ def legacy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                    ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"])
     k = F.col("o_orderkey")
     day = F.to_date(F.col("o_orderdate"))
-    iso = iso_text(day)
-    exp = iso_text(F.date_add(day, (k % 14 + 1).cast("int")))
-    dlv = iso_text(F.date_add(day, (k % 14 + k % 13 - 1).cast("int")))
+    o = o.withColumns({"iso": iso_text(day), "exp": iso_text(F.date_add(day, (k % 14 + 1).cast("int"))),
+                       "dlv": iso_text(F.date_add(day, (k % 14 + k % 13 - 1).cast("int")))})
+    iso, exp, dlv = F.col("iso"), F.col("exp"), F.col("dlv")
     return o.select(
         k.alias("ord_id"),
         F.when(k % 97 != 0, F.concat(F.lit("ORD-"), F.substring(iso, 1, 4), F.lit("-"),
@@ -113,7 +103,8 @@ def legacy_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
     k = F.col("c_custkey")
     company = k % 5 < 2
-    created = iso_text(_days_after("2018-01-01", k, 2190))
+    c = c.withColumn("created", iso_text(_days_after("2018-01-01", k, 2190)))
+    created = F.col("created")
     return c.select(
         F.when(k % 211 != 0, k).alias("cst_id"),
         F.when(~company, F.col("c_name")).alias("cst_fname"),
@@ -137,7 +128,8 @@ def legacy_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def legacy_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_retailprice"])
     k = F.col("p_partkey")
-    created = iso_text(_days_after("2017-01-01", k, 2000))
+    p = p.withColumn("created", iso_text(_days_after("2017-01-01", k, 2000)))
+    created = F.col("created")
     return p.select(
         k.alias("prod_id"),
         F.when(k % 107 != 0, F.concat(F.lit("REF-"), F.when(k % 61 == 0, k - 1).otherwise(k).cast("string"))).alias("prod_ref"),
@@ -158,7 +150,8 @@ def legacy_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def legacy_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
     k = F.col("s_suppkey")
-    since = iso_text(_days_after("2010-01-01", k, 4000))
+    s = s.withColumn("since", iso_text(_days_after("2010-01-01", k, 4000)))
+    since = F.col("since")
     return s.select(
         k.alias("sup_id"),
         F.when(k % 19 != 0, F.col("s_name")).alias("sup_name"),
