@@ -7,10 +7,12 @@ rounding, so there is no ORACLE_SQL; the tests hold the stages against brute for
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidyload.llm import decontaminate, language_id, minhash, mixing, suffix_dedup
-from tidyload.llm.common import table, written
+from tidyload.llm.common import small_batches, table, written
 
 MIN_BYTES = 100
 """Repeated strings from this many bytes on go: well under a passage of 50 words,
@@ -44,11 +46,14 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language", language), ("minhash", near_duplicates), ("substrings", substrings),
           ("benchmark", benchmark), ("mixing", mixture)]
+PACKING = {"substrings"}
+"""Stages that pack the texts of a batch by block: their batches keep the session's size."""
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+    for name, stage in STAGES[:-1]:
+        with nullcontext() if name in PACKING else small_batches(spark):
+            docs = written(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

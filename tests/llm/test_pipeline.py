@@ -56,3 +56,21 @@ def test_copies_with_null_or_repeated_ids_go(spark):
     by = {r.row: r for r in kept.collect()}
     assert len(by) == kept.count() == 8 and len({1, 2, 3} & set(by)) == 1 and len({4, 5, 6, 7} & set(by)) == 1
     assert {4, 5} & set(by) and {8, 10, 11, 12, 13, 14} <= set(by)
+
+
+def test_whole_texts_go_to_python_a_few_at_a_time(spark, monkeypatch):
+    """In every stage that does not pack its batches, and the session's setting holds again after."""
+    from tidyload.llm import common
+    seen, before = {}, spark.conf.get(common.ARROW_ROWS)
+
+    def stage(name):
+        def run(spark, docs, sf_dir):
+            seen[name] = int(spark.conf.get(common.ARROW_ROWS))
+            return docs
+        return name, run
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [stage(name) for name, _ in corpus_pipeline.STAGES])
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: spark.range(3))
+    monkeypatch.setattr(corpus_pipeline, "written", lambda docs: docs)
+    assert corpus_pipeline.run(spark, "").count() == 3 and spark.conf.get(common.ARROW_ROWS) == before
+    assert [seen[s] for s in ("language", "minhash", "benchmark")] == [1000] * 3 and seen["substrings"] == int(before)

@@ -146,7 +146,7 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             for lang, some in batch.groupby("lang")["bytes"]:
                 texts = [bytes(t) for t in some]
                 held = sums.setdefault(lang, np.zeros(buckets + n_scripts, np.int64))
-                for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts))):
+                for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts)), SHARE_BYTES):
                     letters = Letters.of(texts[part])
                     held[:buckets] += np.bincount(letters.buckets & (buckets - 1), minlength=buckets)
                     held[buckets:] += [np.count_nonzero(letters.scripts & (1 << s)) for s in range(n_scripts)]
