@@ -247,6 +247,40 @@ def test_without_repeats_keeps_columns(spark):
     assert got[3].text is None and got[3].n_chars is None
 
 
+def test_a_block_takes_a_bounded_multiple_of_its_bytes():
+    """However many of its strings two phrases may hold, here every one of 2 MB."""
+    import tracemalloc
+
+    import pyarrow as pa
+    rnd, width, buckets = np.random.default_rng(7), 100, 32
+    texts = [rnd.integers(97, 123, 2000, np.uint8).tobytes() for _ in range(1000)]
+    rows = pa.record_batch({"id": np.arange(1000), "bytes": pa.array(texts, pa.binary()), "block": np.zeros(1000, np.int32),
+                            "width": np.full(1000, width, np.int32), "doc": pa.array([{"doc_id": i} for i in range(1000)])})
+    size, peak = sum(map(len, texts)), {}
+
+    def step(name, run):
+        tracemalloc.start()
+        out = run()
+        peak[name] = tracemalloc.get_traced_memory()[1] / size
+        tracemalloc.stop()
+        return out
+
+    def answers(kind, sent, column):
+        return pa.Table.from_pylist([{"block": 0, "kind": kind, "bucket": r["bucket"], "a": r[column], "b": b""} for r in sent.to_pylist()],
+                                    suffix_dedup._ARROW_ANSWER)
+
+    packed = step("pack", lambda: pa.Table.from_batches(suffix_dedup._pack([rows])))
+    triggers = step("triggers", lambda: suffix_dedup._triggers(width, buckets)(packed))
+    phrases = step("phrases", lambda: suffix_dedup._phrases(width, buckets)(0, packed, answers(suffix_dedup.SHARED, triggers, "a")))
+    first = answers(suffix_dedup.FIRST, phrases, "b")
+    likely = step("candidates", lambda: suffix_dedup._candidates(width, buckets)(0, packed, first))
+    told = pa.concat_tables([first, answers(suffix_dedup.LIKELY, likely, "a")])
+    found = step("suffixes", lambda: suffix_dedup._suffixes(width, buckets)(0, packed, told))
+    strings = {t[i: i + width] for t in texts for i in range(len(t) - width + 1)}
+    assert sum(len(x) for x in found.column("a").to_pylist()) == 8 * len(strings)
+    assert max(peak["pack"], peak["triggers"], peak["phrases"]) < 20 and peak["candidates"] < 70 and peak["suffixes"] < 110, peak
+
+
 def test_substrings_empty(spark):
     assert suffix_dedup.dedup_substrings(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

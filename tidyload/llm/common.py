@@ -3,6 +3,7 @@ whole texts inside tasks, and connected components over a distributed edge table
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -194,6 +195,17 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
         spark.conf.set(ARROW_ROWS, before)
 
 
+def release() -> None:
+    """Give back what a Python worker has freed: workers outlive their tasks, and what the
+    allocators keep for the next step would stand beside the memory of all later stages."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def appended(batch, schema, **columns):
     """An Arrow batch with further columns, in the field order of ``schema``."""
     import pyarrow as pa

@@ -150,6 +150,7 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                     letters = Letters.of(texts[part])
                     held[:buckets] += np.bincount(letters.buckets & (buckets - 1), minlength=buckets)
                     held[buckets:] += [np.count_nonzero(letters.scripts & (1 << s)) for s in range(n_scripts)]
+        C.release()
         for lang, held in sums.items():
             at = np.flatnonzero(held)
             yield pd.DataFrame({"lang": lang, "bucket": at, "n": held[at]})
@@ -278,6 +279,8 @@ def shares_known(spark: SparkSession, model: Model):
             for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts)), slice_bytes(SHARE_BYTES, held)):
                 out += _judged(texts[part], held, known=True)[KNOWN.name]
             yield pd.Series(out, dtype=float)
+            del batch, texts
+            C.release()
 
     return share
 

@@ -123,6 +123,7 @@ def _sign(width: int):
                         bands[i], sketches[i] = b, s
                 yield pd.DataFrame({"id": batch["id"].iloc[part].array, "n": sizes, "key": _keys(sets, starts),
                                     "bands": bands, "sketch": sketches})
+        C.release()
     return run
 
 
@@ -136,6 +137,7 @@ def _sets(width: int):
                 sets, starts = shingles(texts[part], width)
                 yield pd.DataFrame({"id": batch["id"].iloc[part].array, "key": _keys(sets, starts),
                                     "shingles": [x.view(np.int64) for x in np.split(sets, starts[1:-1])]})
+        C.release()
     return run
 
 

@@ -45,10 +45,13 @@ ids do not remove from each other; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import inspect
 import io
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, LongType, StructField, StructType)
@@ -58,6 +61,9 @@ from tidyload.llm import common as C
 TRIGGER = 28
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 4 << 20
+PIECE = 1 << 18
+"""Bytes, or strings, that one vectorised step handles: a step holds some ten numbers for each,
+and a worker keeps much of what its largest step took."""
 NEVER = np.iinfo(np.int64).max
 
 MESSAGE = "bucket int, block int, kind int, a binary, b binary, c binary, d binary"
@@ -105,11 +111,11 @@ def parse(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray
     return starts[first], np.diff(np.append(first, len(starts))), at[first]
 
 
-def _parsed(texts: list[bytes], width: int) -> tuple[list[bytes], list[bytes]]:
+def _parsed(texts: pa.Array, width: int) -> tuple[list[bytes], list[bytes]]:
     """Of each text the numbers of starts of its phrases, and where in them the triggers begin."""
     counts, places, small = [], [], _small(width)
-    for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts))):
-        data, offsets = C.joined(texts[part])
+    for part in C.slices(pc.binary_length(texts).to_numpy(zero_copy_only=False), PIECE):
+        data, offsets = C.joined(texts.slice(part.start, part.stop - part.start).to_pylist())
         lo, count, at = parse(data, offsets, width)
         cuts = np.searchsorted(lo, offsets)
         count, place = count.astype(small), (at - lo).astype(small)
@@ -119,27 +125,28 @@ def _parsed(texts: list[bytes], width: int) -> tuple[list[bytes], list[bytes]]:
     return counts, places
 
 
-def _pack(width: int):
+def _pack(batches):
     """Rows of a batch with their phrases, grouped by block, each group as one compressed Arrow stream."""
-    def run(batches):
-        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))
-        for batch in batches:
-            blocks = batch.column("block").to_numpy(zero_copy_only=False)
-            order = np.argsort(blocks, kind="stable")
-            cuts = np.flatnonzero(np.diff(blocks[order])) + 1
-            rest = batch.drop_columns(["block"])
-            for name, values in zip(("counts", "places"), _parsed(rest.column("bytes").to_pylist(), width)):
-                rest = rest.append_column(name, pa.array(values, pa.binary()))
-            names, streams = [], []
-            for rows in np.split(order, cuts) if len(order) else []:
-                sink = io.BytesIO()
-                part = rest.take(pa.array(rows))
-                with pa.ipc.new_stream(sink, part.schema, options=options) as out:
-                    out.write_batch(part)
-                names.append(int(blocks[rows[0]]))
-                streams.append(sink.getvalue())
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(streams, pa.binary())], ["block", "rows"])
-    return run
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))
+    for batch in batches:
+        blocks = batch.column("block").to_numpy(zero_copy_only=False)
+        order = np.argsort(blocks, kind="stable")
+        cuts = np.flatnonzero(np.diff(blocks[order])) + 1
+        rest = batch.drop_columns(["block", "width"])
+        width = batch.column("width")[0].as_py() if len(order) else 0
+        for name, values in zip(("counts", "places"), _parsed(rest.column("bytes"), width)):
+            rest = rest.append_column(name, pa.array(values, pa.binary()))
+        names, streams = [], []
+        for rows in np.split(order, cuts) if len(order) else []:
+            sink = io.BytesIO()
+            part = rest.take(pa.array(rows))
+            with pa.ipc.new_stream(sink, part.schema, options=options) as out:
+                out.write_batch(part)
+            names.append(int(blocks[rows[0]]))
+            streams.append(sink.getvalue())
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(streams, pa.binary())], ["block", "rows"])
+        del batch, rest, streams
+        C.release()
 
 
 class Block:
@@ -162,7 +169,6 @@ class Block:
             self.ids = ids.fill_null(NEVER).to_numpy().astype(np.int64)
         self.width = width
         self.data, self.offsets = C.joined(self.texts)
-        self.prefix = C.ROLLING.prefix(self.data)
         own = np.fromiter((len(c) // small().itemsize for c in counts), np.int64, len(counts))
         count = np.frombuffer(b"".join(counts), small).astype(np.int64)
         before = np.cumsum(count) - count  # starts of earlier phrases of all texts
@@ -171,7 +177,20 @@ class Block:
         self.lo = before - ahead[self.doc] + self.offsets[:-1][self.doc]
         self.hi = self.lo + count - 1
         self.at = self.lo + np.frombuffer(b"".join(places), small)
-        self.grams = C.ROLLING.spans(self.prefix, self.at, self.at + _trigger(width))
+        self.grams = self.spans(self.at, self.at + _trigger(width))
+
+    def spans(self, start: np.ndarray, end: np.ndarray, rolling: C.Rolling = C.ROLLING) -> np.ndarray:
+        """The hash of each string, from prefix sums of the ``PIECE`` bytes that it starts in."""
+        out = np.empty(len(start), np.uint64)
+        order = np.argsort(start, kind="stable")
+        pieces = np.arange(0, len(self.data) + PIECE, PIECE)
+        edges = np.searchsorted(start, pieces, sorter=order)
+        for at, i, j in zip(pieces, edges, edges[1:]):
+            if i < j:
+                rows = order[i:j]
+                prefix = rolling.prefix(self.data[at: end[rows].max()])
+                out[rows] = rolling.spans(prefix, start[rows] - at, end[rows] - at)
+        return out
 
     def keep(self, chosen: np.ndarray) -> None:
         for name in ("lo", "hi", "at", "doc", "grams"):
@@ -208,6 +227,21 @@ def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new)
 
 
+def _released(run):
+    """The same function of a group, of a bucket or block; what it held goes back."""
+    def alone(group: pa.Table) -> pa.Table:
+        out = run(group)
+        C.release()
+        return out
+
+    def both(key, packed: pa.Table, told: pa.Table) -> pa.Table:
+        out = run(key, packed, told)
+        C.release()
+        return out
+
+    return alone if len(inspect.signature(run).parameters) == 1 else both
+
+
 def _number(group: pa.Table, column: str = "block") -> int:
     return group.column(column)[0].as_py()
 
@@ -219,16 +253,20 @@ def _codes(keys: np.ndarray, n: int) -> np.ndarray:
 
 def _announced(number: int, keys: np.ndarray, doc: np.ndarray, n: int) -> pa.Table:
     """The distinct values of a block as 4-byte codes; kind 1 if two documents of the block hold them."""
-    order, first = _runs(keys, doc)
-    keys = keys[order][first]  # once per document
-    new = np.ones(len(keys), bool)
-    new[1:] = keys[1:] != keys[:-1]
-    starts = np.flatnonzero(new)
-    many = np.diff(np.append(starts, len(keys))) > 1
-    rows = []
-    for kind, chosen in ((0, ~many), (1, many)):
-        own = keys[starts[chosen]]
-        rows += [r + (b"", b"", b"") for r in _messages(number, kind, own, n, own.astype(np.uint32))]
+    parts, rows = 1 + len(keys) // PIECE, []
+    part = (_buckets(keys, n) * parts // n).astype(np.int32)  # whole buckets, some at a time
+    for p in range(parts):
+        here = np.flatnonzero(part == p)
+        own, owner = keys[here], doc[here]
+        order, first = _runs(own, owner)
+        own = own[order][first]  # once per document
+        new = np.ones(len(own), bool)
+        new[1:] = own[1:] != own[:-1]
+        starts = np.flatnonzero(new)
+        many = np.diff(np.append(starts, len(own))) > 1
+        for kind, chosen in ((0, ~many), (1, many)):
+            found = own[starts[chosen]]
+            rows += [r + (b"", b"", b"") for r in _messages(number, kind, found, n, found.astype(np.uint32))]
     return _table(rows, _ARROW_MESSAGE)
 
 
@@ -286,7 +324,7 @@ def _told_ids(told: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
 def _prints(block: Block) -> np.ndarray:
     """A fingerprint of each phrase: its bytes, its trigger and where that stands in it."""
     shape = ((block.hi - block.lo) << 20 | (block.at - block.lo)).astype(np.uint64)
-    own = C.ROLLING.spans(block.prefix, block.lo, block.hi + block.width)
+    own = block.spans(block.lo, block.hi + block.width)
     return C.mixed(own + shape * np.uint64(0x9E3779B97F4A7C15)) ^ block.grams
 
 
@@ -358,23 +396,47 @@ def _first_held(block: Block, told: pa.Table) -> None:
     block.keep(np.sort(order[new]))
 
 
-def _expanded(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """Start of every string in the block's phrases, and the phrase it is in."""
+def _expanded(block: Block) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Start, phrase and fingerprint of every string in the block's phrases, about ``PIECE`` at a time."""
     count = block.hi - block.lo + 1
-    starts = np.repeat(block.lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
-    return starts, np.repeat(np.arange(len(count)), count)
+    for part in C.slices(count, PIECE):
+        own = count[part]
+        starts = np.repeat(block.lo[part] - (np.cumsum(own) - own), own) + np.arange(own.sum())
+        yield (starts.astype(np.int32), np.repeat(np.arange(part.start, part.stop, dtype=np.int32), own),
+               block.spans(starts, starts + block.width))
 
 
 def _chosen(block: Block, keys: np.ndarray, of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, phrase and fingerprint of the block's strings whose ``of(fingerprint)`` is among the keys."""
-    starts, phrase = _expanded(block)
-    one = _first_print(block, starts)
-    found = _member(of(one), keys)
-    return starts[found], phrase[found], one[found]
-
-
-def _first_print(block: Block, starts: np.ndarray) -> np.ndarray:
-    return C.ROLLING.spans(block.prefix, starts, starts + block.width)
+    none = (np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint64))
+    parts = [none]
+    for columns in _expanded(block):
+        found = _member(of(columns[2]), keys)
+        parts.append(tuple(c[found] for c in columns))
+    return tuple(np.concatenate(c) for c in zip(*parts))
+
+
+def _suffix_array(data: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the suffixes at ``starts``, cut at ``width``, and which of them, so ordered, differ
+    from the one before. Their first bytes part them, and each part is sorted by itself, so that not
+    all suffixes are laid out at a time."""
+    strings = np.lib.stride_tricks.sliding_window_view(data, width)
+    lead = np.zeros((len(starts), 8), np.uint8)
+    lead[:, : min(8, width)] = np.lib.stride_tricks.sliding_window_view(data, min(8, width))[starts]
+    lead = lead.view(">u8").ravel().astype(np.uint64)
+    order = np.argsort(lead, kind="stable")
+    lead = lead[order]
+    heads = np.flatnonzero(np.append(True, lead[1:] != lead[:-1]))
+    wanted = np.arange(0, len(order), max(1, 8 * PIECE // width))
+    cuts = np.append(np.unique(heads[np.searchsorted(heads, wanted, side="right") - 1]), len(order))
+    new = np.ones(len(order), bool)
+    for i, j in zip(cuts, cuts[1:]):
+        cut = strings[starts[order[i:j]]]
+        own = np.argsort(np.ascontiguousarray(cut).view(f"S{width}" if (cut != 0).all() else f"V{width}").ravel(), kind="stable")
+        cut = cut[own]
+        order[i:j] = order[i:j][own]
+        new[i + 1:j] = (cut[1:] != cut[:-1]).any(axis=1)
+    return order, new
 
 
 def _candidates(width: int, n: int):
@@ -386,8 +448,9 @@ def _candidates(width: int, n: int):
             return _table([], _ARROW_MESSAGE)
         block = Block(packed, width)
         _first_held(block, told)
-        starts, phrase = _expanded(block)
-        return _announced(_number(packed), _first_print(block, starts), phrase, n)
+        parts = [(phrase, one) for _, phrase, one in _expanded(block)]
+        phrase, one = (np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0, np.int32), np.zeros(0, np.uint64))
+        return _announced(_number(packed), one, phrase, n)
 
     return send
 
@@ -405,15 +468,11 @@ def _suffixes(width: int, n: int):
         doc = block.doc[phrase]
         if not len(starts):
             return _table([], _ARROW_MESSAGE)
-        cut = np.lib.stride_tricks.sliding_window_view(block.data, width)[starts]
-        order = np.argsort(np.ascontiguousarray(cut).view(f"S{width}" if (cut != 0).all() else f"V{width}").ravel(), kind="stable")
-        cut = cut[order]  # the suffix array, cut at width
-        new = np.ones(len(order), bool)
-        new[1:] = (cut[1:] != cut[:-1]).any(axis=1)
+        order, new = _suffix_array(block.data, starts, width)
         first = np.flatnonzero(new)
         least = np.minimum.reduceat(block.ids[doc][order], first)
-        starts = starts[order][first]
-        one, two = _first_print(block, starts), C.ROLLING_2.spans(C.ROLLING_2.prefix(block.data), starts, starts + width).astype(np.uint32)
+        starts = starts[order][first].astype(np.int64)
+        one, two = block.spans(starts, starts + width), block.spans(starts, starts + width, C.ROLLING_2).astype(np.uint32)
         order = np.lexsort((two, one))
         one, two, least = one[order], two[order], least[order]
         return _table([r + (b"",) for r in _messages(_number(packed), 0, one, n, one, two, least)], _ARROW_MESSAGE)
@@ -456,7 +515,7 @@ def _removed(width: int, whole_chars: bool, schema: pa.Schema):
                 later = later[ids[np.searchsorted(keys, prints[later])] < own[block.doc[later]]]
                 np.add.at(depth, block.lo[later], 1)
                 np.add.at(depth, block.hi[later] + width, -1)
-        gone = np.cumsum(depth[:-1]) > 0
+        gone = np.cumsum(depth[:-1], dtype=np.int32) > 0
         if whole_chars and len(gone):
             heads = np.flatnonzero((block.data & 0xC0) != 0x80)
             gone = np.repeat(np.logical_and.reduceat(gone, heads), np.diff(np.append(heads, len(gone))))
@@ -495,16 +554,16 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     nameless, own = own.where("id is null"), own.where("id is not null")
     total = own.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     blocks, buckets = 1 + total // BLOCK_BYTES, 1 + total // BUCKET_BYTES
-    by_block = own.withColumn("block", F.pmod(F.xxhash64("id", "bytes"), F.lit(blocks)).cast("int")).mapInArrow(
-        _pack(min_bytes), "block int, rows binary").groupBy("block")
+    by_block = own.withColumn("block", F.pmod(F.xxhash64("id", "bytes"), F.lit(blocks)).cast("int")).withColumn(
+        "width", F.lit(min_bytes)).mapInArrow(_pack, "block int, rows binary").groupBy("block")
 
     def ask(messages: DataFrame, settle) -> DataFrame:
-        return messages.groupBy("bucket").applyInArrow(settle, ANSWER)
+        return messages.groupBy("bucket").applyInArrow(_released(settle), ANSWER)
 
     def told(send, answers: DataFrame) -> DataFrame:
-        return by_block.cogroup(answers.groupBy("block")).applyInArrow(send, MESSAGE)
+        return by_block.cogroup(answers.groupBy("block")).applyInArrow(_released(send), MESSAGE)
 
-    shared = ask(by_block.applyInArrow(_triggers(min_bytes, buckets), MESSAGE), _shared(SHARED))
+    shared = ask(by_block.applyInArrow(_released(_triggers(min_bytes, buckets)), MESSAGE), _shared(SHARED))
     entries = ask(told(_phrases(min_bytes, buckets), shared), _dictionary)
     first = entries.where(F.col("kind") == FIRST)
     likely = ask(told(_candidates(min_bytes, buckets), first), _shared(LIKELY))
@@ -514,7 +573,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                       StructField("kept_bytes", BinaryType())])
     answers = entries.where(F.col("kind") == PHRASE).unionByName(classes)
     found = by_block.cogroup(answers.groupBy("block")).applyInArrow(
-        _removed(min_bytes, whole_chars, to_arrow_schema(out)), out)
+        _released(_removed(min_bytes, whole_chars, to_arrow_schema(out))), out)
     return found.unionByName(nameless.select(
         "doc", F.array().cast(out["removed_spans"].dataType).alias("removed_spans"), F.col("bytes").alias("kept_bytes")))
 
@@ -522,8 +581,11 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 100) -> DataFrame:
     """The documents with their own columns, repeated strings cut out of the texts
     (whole characters only). A null text stays null; ``n_chars``, if there, follows the text."""
-    found = dedup_substrings(docs, id_col, text_col, min_bytes, keep=docs.columns, whole_chars=True)
-    text = F.when(F.col(f"doc.`{text_col}`").isNotNull(), F.col("kept_bytes").cast("string"))
+    others = [c for c in docs.columns if c != text_col]  # the text itself travels once, as bytes
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), C.whole(docs, others).alias("rest"),
+                       F.col(text_col).isNull().alias("missing"))
+    found = dedup_substrings(rows, "id", "text", min_bytes, keep=["rest", "missing"], whole_chars=True)
+    text = F.when(~F.col("doc.missing"), F.col("kept_bytes").cast("string"))
     fresh = {text_col: text, "n_chars": F.char_length(text)}
-    return found.select(*[(fresh[f.name].cast(f.dataType) if f.name in fresh else F.col(f"doc.`{f.name}`")).alias(f.name)
+    return found.select(*[(fresh[f.name].cast(f.dataType) if f.name in fresh else F.col(f"doc.rest.`{f.name}`")).alias(f.name)
                           for f in docs.schema])
