@@ -322,6 +322,28 @@ def test_index_size_bounds_the_broadcast(spark, monkeypatch):
     assert calls and hit == {1: ["2"], 2: []}
 
 
+def test_a_scan_takes_a_bounded_room():
+    """Whatever a batch holds, here 6 MB in texts of 3 KB."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    rnd = random.Random(4)
+    texts = [" ".join("".join(rnd.choices("abcdeé", k=4)) for _ in range(500)).encode() for _ in range(2000)]
+    index = decontaminate.Index.of([1], [texts[5]], 10)
+    batch = pa.record_batch({"doc": pa.array([{"doc_id": i} for i in range(2000)]), "bytes": pa.array(texts, pa.binary())})
+    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+    arrow = pa.schema([("doc", batch.schema.field("doc").type), ("n_words", pa.int64()), ("n_hit", pa.int64()),
+                       ("items", pa.list_(pa.string())), ("hit_spans", pa.list_(span))])
+    none = batch.slice(0, 0)
+    tracemalloc.start()
+    hit = [r["doc"]["doc_id"] for b in decontaminate._scan(SimpleNamespace(value=index), arrow)([none, batch, none])
+           for r in b.to_pylist() if r["n_hit"]]
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert hit == [5] and peak < 40, peak
+
+
 def test_decontaminate_modes(spark):
     docs = spark.createDataFrame([(i, t, "k") for i, t in DOCS], "doc_id long, text string, n_hit string")
     bench = spark.createDataFrame(BENCH, "item_id long, text string")

@@ -31,6 +31,8 @@ from tidyload.llm import common as C
 INSIDE = np.zeros(256, bool)
 INSIDE[48:58] = INSIDE[97:123] = INSIDE[128:] = True
 BROADCAST_BYTES = 32 << 20
+SLICE_BYTES = 1 << 18
+"""Text bytes of a slice: a worker keeps tables of hashes, and much of the room it took, for its largest."""
 ENTRY_BYTES = 500
 """Of a window in ``Index``, besides its words: dicts, list, numbers, the item's name (468 to 484 as measured)."""
 SPAN = StructType([StructField("start", LongType()), StructField("end", LongType())])
@@ -139,6 +141,22 @@ RESULT = [StructField("n_words", LongType()), StructField("n_hit", LongType()),
           StructField("hit_spans", ArrayType(SPAN))]
 
 
+def _scan(index, arrow):
+    """Report on the documents of each batch by the broadcast index."""
+    def scan(batches):
+        for batch in batches:
+            texts = batch.column("bytes").to_pylist()
+            for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts)), SLICE_BYTES):
+                words = Words.of(texts[part])
+                found = _report(words, part.stop - part.start, index.value.hits(words))
+                yield C.appended(batch.slice(part.start, part.stop - part.start), arrow, **found)
+            words = found = None
+            del batch, texts
+            C.release()
+
+    return scan
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                item_text: str = "text", n: int = 10, keep: list[str] | None = None,
                broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -156,17 +174,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
         return _joined_leaks(own, items, n, out)
     rows = items.collect()  # at most broadcast_bytes
     index = spark.sparkContext.broadcast(Index.of([r.id for r in rows], [bytes(r.words) for r in rows], n))
-    arrow = to_arrow_schema(out)
-
-    def scan(batches):
-        for batch in batches:
-            texts = batch.column("bytes").to_pylist()
-            for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts))):
-                words = Words.of(texts[part])
-                found = _report(words, part.stop - part.start, index.value.hits(words))
-                yield C.appended(batch.slice(part.start, part.stop - part.start), arrow, **found)
-
-    return own.mapInArrow(scan, out)
+    return own.mapInArrow(_scan(index, to_arrow_schema(out)), out)
 
 
 def _joined_leaks(own: DataFrame, items: DataFrame, n: int, out: StructType) -> DataFrame:
@@ -181,7 +189,7 @@ def _joined_leaks(own: DataFrame, items: DataFrame, n: int, out: StructType) ->
 
             for batch in batches:
                 texts = [bytes(t) for t in batch["words"]]
-                for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts))):
+                for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts)), SLICE_BYTES):
                     some, keys = texts[part], batch["id"].iloc[part].to_numpy()
                     if lengths is None:
                         found = [(keys[r], length, np.int64(np.uint64(a)), np.int64(np.uint64(b)), 0)
@@ -195,6 +203,7 @@ def _joined_leaks(own: DataFrame, items: DataFrame, n: int, out: StructType) ->
                         row = words.row[first]
                         yield pd.DataFrame({"id": keys[row], "length": length, "one": one.view(np.int64),
                                             "two": two.view(np.int64), "first": first - begins[row]})
+            C.release()
         return run
 
     table = "id string, length int, one long, two long, first long"
@@ -211,13 +220,14 @@ def _joined_leaks(own: DataFrame, items: DataFrame, n: int, out: StructType) ->
     def report(batches):
         for batch in batches:
             texts, hits = batch.column("bytes").to_pylist(), batch.column("hits").to_pylist()
-            for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts))):
+            for part in C.slices(np.fromiter(map(len, texts), np.int64, len(texts)), SLICE_BYTES):
                 words = Words.of(texts[part])
                 begins = np.searchsorted(words.row, np.arange(part.stop - part.start))
                 found = ((int(begins[i]) + h["first"], h["length"], [h["item"]])
                          for i, some in enumerate(hits[part]) for h in some or [])
                 yield C.appended(batch.slice(part.start, part.stop - part.start), arrow,
                                  **_report(words, part.stop - part.start, found))
+            C.release()
 
     return both.mapInArrow(report, out)
 
