@@ -281,6 +281,31 @@ def test_a_block_takes_a_bounded_multiple_of_its_bytes():
     assert max(peak["pack"], peak["triggers"], peak["phrases"]) < 20 and peak["candidates"] < 70 and peak["suffixes"] < 110, peak
 
 
+def test_the_last_pass_looks_up_only_strings_of_phrases_held_first(monkeypatch):
+    """Strings of unshared phrases are in no class, and later holders of a phrase lose it whole."""
+    import pyarrow as pa
+    rnd, width = random.Random(15), 50
+    texts = ["".join(rnd.choices("abcdefgh ", k=1000)) for _ in range(100)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t) for i, t in enumerate(texts[:40])]
+    rows += [(200 + i, t[300:300 + rnd.randrange(40, 140)] + rnd.choice("xyz") * 3 + texts[i + 1][10:75]) for i, t in enumerate(texts[:8])]
+    rows += [(3, texts[50][:200]), (90, texts[3][500:700]), (207, "")]
+    batch = pa.record_batch({"block": np.zeros(len(rows), np.int32), "width": np.full(len(rows), width, np.int32),
+                             "id": np.array([i for i, _ in rows]), "bytes": pa.array([t.encode() for _, t in rows], pa.binary()),
+                             "doc": pa.array([{"doc_id": i} for i, _ in rows])})
+    packed = pa.Table.from_batches(suffix_dedup._pack([batch]))
+    shared = suffix_dedup._shared(suffix_dedup.SHARED)(suffix_dedup._triggers(width, 1)(packed))
+    entries = suffix_dedup._dictionary(suffix_dedup._phrases(width, 1)(0, packed, shared))
+    likely = suffix_dedup._shared(suffix_dedup.LIKELY)(suffix_dedup._candidates(width, 1)(0, packed, entries))
+    classes = suffix_dedup._one_class(suffix_dedup._suffixes(width, 1)(0, packed, pa.concat_tables([entries, likely])))
+    expanded, seen = suffix_dedup._expanded, []
+    monkeypatch.setattr(suffix_dedup, "_expanded", lambda block: (seen.append(len(c[0])) or c for c in expanded(block)))
+    schema = pa.schema([("doc", pa.struct([("doc_id", pa.int64())])),
+                        ("removed_spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept_bytes", pa.binary())])
+    found = suffix_dedup._removed(width, False, schema)(0, packed, pa.concat_tables([entries, classes])).to_pylist()
+    assert sorted(((r["doc"]["doc_id"], r["kept_bytes"]) for r in found), key=str) == brute_removed(rows, width)
+    assert 0 < sum(seen) < sum(len(t) for _, t in rows) / 20
+
+
 def test_substrings_empty(spark):
     assert suffix_dedup.dedup_substrings(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

@@ -385,11 +385,15 @@ def _dictionary(group: pa.Table) -> pa.Table:
     return _table([r for r in rows if r[3]], _ARROW_ANSWER)
 
 
+def _told_first(told: pa.Table) -> np.ndarray:
+    """The phrases that the block was told it holds first, sorted."""
+    return np.sort(np.concatenate([np.frombuffer(r["a"], np.uint64) for r in told.to_pylist() if r["kind"] == FIRST] or [np.zeros(0, np.uint64)]))
+
+
 def _first_held(block: Block, told: pa.Table) -> None:
     """Keep one occurrence of each phrase that the block was told it holds first."""
-    keys = np.sort(np.concatenate([np.frombuffer(r["a"], np.uint64) for r in told.to_pylist() if r["kind"] == FIRST] or [np.zeros(0, np.uint64)]))
     phrase = _prints(block)
-    mine = np.flatnonzero(_member(phrase, keys))
+    mine = np.flatnonzero(_member(phrase, _told_first(told)))
     order = mine[np.lexsort((block.ids[block.doc[mine]], phrase[mine]))]
     new = np.ones(len(order), bool)
     new[1:] = phrase[order][1:] != phrase[order][:-1]
@@ -493,7 +497,8 @@ def _one_class(group: pa.Table) -> pa.Table:
 
 
 def _removed(width: int, whole_chars: bool, schema: pa.Schema):
-    """Pass 5, in a block: the removed spans and the bytes that stay."""
+    """Pass 5, in a block: the removed spans and the bytes that stay. A class can remove strings
+    of the phrases that the block holds first only: those of all later holders go with the phrase."""
 
     def finish(key, packed: pa.Table, told: pa.Table) -> pa.Table:
         if not packed.num_rows:
@@ -502,12 +507,6 @@ def _removed(width: int, whole_chars: bool, schema: pa.Schema):
         own = np.where(block.known, block.ids, np.iinfo(np.int64).min)
         depth = np.zeros(len(block.data) + 1, np.int32)
         if told.num_rows:
-            classes, least = _told_ids(told, CLASS)
-            starts, phrase, one = _chosen(block, classes, lambda one: one)
-            if len(starts):
-                gone = starts[least[np.searchsorted(classes, one)] < own[block.doc[phrase]]]
-                np.add.at(depth, gone, 1)
-                np.add.at(depth, gone + width, -1)
             keys, ids = _told_ids(told, PHRASE)
             prints = _prints(block)
             later = np.flatnonzero(_member(prints, keys))
@@ -515,6 +514,15 @@ def _removed(width: int, whole_chars: bool, schema: pa.Schema):
                 later = later[ids[np.searchsorted(keys, prints[later])] < own[block.doc[later]]]
                 np.add.at(depth, block.lo[later], 1)
                 np.add.at(depth, block.hi[later] + width, -1)
+            held = _member(prints, _told_first(told))
+            held[later] = False
+            block.keep(held)
+            classes, least = _told_ids(told, CLASS)
+            starts, phrase, one = _chosen(block, classes, lambda one: one)
+            if len(starts):
+                gone = starts[least[np.searchsorted(classes, one)] < own[block.doc[phrase]]]
+                np.add.at(depth, gone, 1)
+                np.add.at(depth, gone + width, -1)
         gone = np.cumsum(depth[:-1], dtype=np.int32) > 0
         if whole_chars and len(gone):
             heads = np.flatnonzero((block.data & 0xC0) != 0x80)
@@ -571,7 +579,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     out = StructType([own.schema["doc"],
                       StructField("removed_spans", ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())]))),
                       StructField("kept_bytes", BinaryType())])
-    answers = entries.where(F.col("kind") == PHRASE).unionByName(classes)
+    answers = entries.unionByName(classes)
     found = by_block.cogroup(answers.groupBy("block")).applyInArrow(
         _released(_removed(min_bytes, whole_chars, to_arrow_schema(out))), out)
     return found.unionByName(nameless.select(
