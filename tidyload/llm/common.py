@@ -103,7 +103,10 @@ class Rolling:
     def prefix(self, data: np.ndarray) -> np.ndarray:
         self._grow(len(data) + 1)
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self._powers[: len(data)], out=sums[1:])
+        terms = data.astype(np.uint64)  # a copy, worked on in place
+        terms += np.uint64(1)
+        terms *= self._powers[: len(data)]
+        np.cumsum(terms, out=sums[1:])
         return sums
 
     def spans(self, prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:

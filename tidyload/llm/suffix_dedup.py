@@ -127,7 +127,7 @@ def _parsed(texts: pa.Array, width: int) -> tuple[list[bytes], list[bytes]]:
 
 def _pack(batches):
     """Rows of a batch with their phrases, grouped by block, each group as one compressed Arrow stream."""
-    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
     for batch in batches:
         blocks = batch.column("block").to_numpy(zero_copy_only=False)
         order = np.argsort(blocks, kind="stable")
@@ -300,10 +300,16 @@ def _shared(answer: int):
 
 
 def _member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
-    if not len(ordered):
-        return np.zeros(len(values), bool)
-    place = np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)
-    return ordered[place] == values
+    """Which values are among the ordered ones; a table of last bits rules out most others before the search."""
+    out = np.zeros(len(values), bool)
+    if len(ordered):
+        last = values.dtype.type((1 << min(22, len(ordered).bit_length() + 3)) - 1)
+        held = np.zeros(int(last) + 1, bool)
+        held[ordered & last] = True
+        at = np.flatnonzero(held[values & last])
+        found = values[at]
+        out[at] = ordered[np.minimum(np.searchsorted(ordered, found), len(ordered) - 1)] == found
+    return out
 
 
 def _told_codes(told: pa.Table, kind: int) -> np.ndarray:
